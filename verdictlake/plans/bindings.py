@@ -1,0 +1,259 @@
+"""The contract tables, bound to the driver's parquet files.
+
+Every binding exists twice: as a DataFrame for the Spark queries, with group
+positions computed block-wise, and as SQL text that opens the oracle queries.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdictlake.operators.ordered import day_block, hour_block, number_block, positions
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spoken = table(spark, sf_dir, "conversations").filter("role <> 'system'")
+    return (positions(spoken, ["conv_id"], ["turn"], number_block("turn"), "pos")
+            .select(F.col("conv_id").alias("rollout_id"), F.col("pos").cast("int").alias("turn_idx"),
+                    F.when(F.col("role") == "user", "user").otherwise("agent").alias("role"),
+                    F.col("text").alias("content")))
+
+
+def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS check_id", "o_custkey % 20 AS session_id",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'main' WHEN '2-HIGH' THEN 'release' "
+        "ELSE o_orderpriority END AS branch",
+        "CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'running' "
+        "ELSE 'failed' END AS status",
+        "o_orderdate AS created_at")
+
+
+JUDGING_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+def evaluations(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+    """Verdicts. ``eval_seq`` is the judging order: by default the sort key
+    itself as a struct, which needs no window; with ``dense`` an integer."""
+    items = table(spark, sf_dir, "lineitem")
+    if dense:
+        items = positions(items, ["l_orderkey", "l_linenumber"], JUDGING_ORDER,
+                          day_block("l_shipdate"), "pos")
+        seq = (F.col("pos") + 1).cast("int")
+    else:
+        seq = F.struct(*JUDGING_ORDER)
+    return items.select(
+        F.col("l_orderkey").alias("check_id"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rollout_id"),
+        seq.alias("eval_seq"), (F.col("l_returnflag") != "R").alias("passed"),
+        F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"),
+               "refund loop after tool timeout")
+        .when(F.col("l_returnflag") == "R", "claimed an action no tool performed").alias("issue"))
+
+
+def rollouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = (table(spark, sf_dir, "lineitem")
+              .selectExpr("l_orderkey * 10 + l_linenumber AS rollout_id", "l_orderkey AS check_id")
+              .distinct())
+    unjudged = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey * 10 AS rollout_id", "o_orderkey AS check_id")
+    return judged.unionByName(unjudged).selectExpr(
+        "rollout_id", "check_id",
+        "(check_id * 4 + rollout_id % 10 % 4) % 200 + 1 AS scenario_id",
+        "CASE WHEN rollout_id % 17 = 0 THEN 'failed' ELSE 'completed' END AS status",
+        "concat('agent-', rollout_id % 3) AS agent_version")
+
+
+def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS scenario_id", "p_name AS title", "p_type AS task_family",
+        "p_brand AS representation_id", "p_size AS difficulty")
+
+
+def tool_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return (positions(events, ["user_id"], ["ts", "event_id"], hour_block("ts"), "pos")
+            .select(F.col("user_id").alias("rollout_id"), F.col("pos").cast("int").alias("seq"),
+                    F.col("event_type").alias("name"), F.col("props").alias("input"),
+                    (F.col("event_type") == "error").alias("is_error"), "ts"))
+
+
+def sandboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (table(spark, sf_dir, "events").select(F.col("user_id").alias("rollout_id")).distinct()
+            .selectExpr("rollout_id", "rollout_id AS seed",
+                        "CASE WHEN rollout_id % 2 = 0 THEN array('purchase') "
+                        "ELSE cast(array() AS array<string>) END AS fail_tools",
+                        "cast(0 AS bigint) AS version"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", "concat('/v1/', event_type) AS route", "concat('key-', user_id % 10) AS api_key_id",
+        "CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status",
+        "value AS latency_ms", "ts AS created_at")
+
+
+def trace_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+
+
+def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part brand's customers: a customer is a dataset header."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS dataset_id", "c_custkey % 25 AS session_id",
+        "concat('um-', c_custkey % 7) AS user_model_id",
+        "cast(c_nationkey * 5 AS int) AS row_count",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 365 AS int)) AS created_at")
+
+
+def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset membership: the parts a customer ordered, by reference."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    owners = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return (items.join(owners, items.l_orderkey == owners.o_orderkey)
+            .selectExpr("o_custkey AS dataset_id", "l_partkey AS scenario_id").distinct())
+
+
+def user_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS user_model_id", "s_suppkey % 30 AS session_id", "s_name AS persona",
+        "concat('Brand#', s_nationkey + 1) AS representation_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(s_suppkey % 50 AS int)) AS created_at")
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions 0..24 (one per nation): 20 run checks, five never did."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey AS bigint) AS session_id", "n_name AS name")
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-run event log with a monotone ``seq`` from 1."""
+    return tool_events(spark, sf_dir).select(
+        F.col("rollout_id").alias("run_id"), (F.col("seq").cast("bigint") + 1).alias("seq"),
+        F.col("name").alias("stage"), F.concat(F.lit("step "), F.col("seq")).alias("message"),
+        F.col("input").alias("data"), F.col("ts").alias("created_at"))
+
+
+# The same tables as SQL text for the oracle; chosen per query by `with_views`.
+VIEWS = {
+    "fx_turns": """
+SELECT conv_id AS rollout_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS turn_idx,
+       CASE WHEN role = 'user' THEN 'user' ELSE 'agent' END AS role, text AS content
+FROM conversations WHERE role <> 'system'""",
+    "fx_quality_checks": """
+SELECT o_orderkey AS check_id, o_custkey % 20 AS session_id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'main' WHEN '2-HIGH' THEN 'release'
+            ELSE o_orderpriority END AS branch,
+       CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'running'
+            ELSE 'failed' END AS status,
+       o_orderdate AS created_at
+FROM orders""",
+    "fx_evaluations": """
+SELECT l_orderkey AS check_id, l_orderkey * 10 + l_linenumber AS rollout_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_shipdate, l_partkey, l_suppkey, l_extendedprice, l_quantity,
+                     l_discount, l_tax, l_returnflag, l_linestatus) AS INT) AS eval_seq,
+       l_returnflag <> 'R' AS passed,
+       CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'refund loop after tool timeout'
+            WHEN l_returnflag = 'R' THEN 'claimed an action no tool performed' END AS issue
+FROM lineitem""",
+    "fx_rollouts": """
+SELECT rollout_id, check_id,
+       (check_id * 4 + rollout_id % 10 % 4) % 200 + 1 AS scenario_id,
+       CASE WHEN rollout_id % 17 = 0 THEN 'failed' ELSE 'completed' END AS status,
+       'agent-' || CAST(rollout_id % 3 AS VARCHAR(10)) AS agent_version
+FROM (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS rollout_id, l_orderkey AS check_id
+      FROM lineitem
+      UNION ALL
+      SELECT o_orderkey * 10 AS rollout_id, o_orderkey AS check_id FROM orders) k""",
+    "fx_scenarios": """
+SELECT p_partkey AS scenario_id, p_name AS title, p_type AS task_family,
+       p_brand AS representation_id, p_size AS difficulty
+FROM part""",
+    "fx_tool_events": """
+SELECT user_id AS rollout_id,
+       CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS seq,
+       event_type AS name, props AS input, event_type = 'error' AS is_error, ts
+FROM events""",
+    "fx_requests": """
+SELECT event_id, '/v1/' || event_type AS route,
+       'key-' || CAST(user_id % 10 AS VARCHAR(10)) AS api_key_id,
+       CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
+       value AS latency_ms, ts AS created_at
+FROM events""",
+    "fx_datasets": """
+SELECT c_custkey AS dataset_id, c_custkey % 25 AS session_id,
+       'um-' || CAST(c_custkey % 7 AS VARCHAR) AS user_model_id,
+       CAST(c_nationkey * 5 AS INT) AS row_count,
+       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey % 365 AS INT)) AS created_at
+FROM customer""",
+    "fx_dataset_rows": """
+SELECT DISTINCT o_custkey AS dataset_id, l_partkey AS scenario_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "fx_user_models": """
+SELECT s_suppkey AS user_model_id, s_suppkey % 30 AS session_id, s_name AS persona,
+       'Brand#' || CAST(s_nationkey + 1 AS VARCHAR) AS representation_id,
+       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey % 50 AS INT)) AS created_at
+FROM supplier""",
+    "fx_sessions": """
+SELECT CAST(n_nationkey AS BIGINT) AS session_id, n_name AS name FROM nation""",
+    "fx_run_events": """
+SELECT rollout_id AS run_id, CAST(seq AS BIGINT) + 1 AS seq, name AS stage,
+       'step ' || CAST(seq AS VARCHAR) AS message, input AS data, ts AS created_at
+FROM fx_tool_events""",
+    # Last verdict of every judged rollout.
+    "fx_latest": """
+SELECT check_id, rollout_id, passed FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY rollout_id ORDER BY eval_seq DESC) AS rn
+  FROM fx_evaluations) e WHERE rn = 1""",
+    # Suite totals of every check.
+    "fx_totals": """
+SELECT r.check_id, r.scenarios, r.rollouts, r.completed,
+       COALESCE(e.evaluated, 0) AS evaluated, COALESCE(e.passed, 0) AS passed,
+       COALESCE(e.passed * 1.0::DOUBLE / e.evaluated, 0.0::DOUBLE) AS pass_rate
+FROM (SELECT check_id, count(DISTINCT scenario_id) AS scenarios, count(*) AS rollouts,
+             count(*) FILTER (status = 'completed') AS completed
+      FROM fx_rollouts GROUP BY check_id) r
+LEFT JOIN (SELECT check_id, count(*) AS evaluated, count(*) FILTER (passed) AS passed
+           FROM fx_evaluations GROUP BY check_id) e ON r.check_id = e.check_id""",
+    # Scenario scorecard: last verdict per rollout, unjudged scenarios at 0.
+    "fx_scorecard": """
+SELECT r.check_id, r.scenario_id, count(l.passed) AS repeats,
+       count(*) FILTER (l.passed) AS passed,
+       CASE WHEN count(l.passed) = 0 THEN 0.0::DOUBLE
+            ELSE count(*) FILTER (l.passed) * 1.0::DOUBLE / count(l.passed) END AS pass_rate
+FROM fx_rollouts r LEFT JOIN fx_latest l ON r.rollout_id = l.rollout_id
+GROUP BY r.check_id, r.scenario_id""",
+}
+
+NEEDS = {"fx_run_events": ["fx_tool_events"], "fx_latest": ["fx_evaluations"],
+         "fx_totals": ["fx_rollouts", "fx_evaluations"],
+         "fx_scorecard": ["fx_rollouts", "fx_latest"]}
+
+
+def with_views(body: str, *names: str) -> str:
+    """``body`` with the named views, and those they need, as leading CTEs."""
+    wanted: list[str] = []
+
+    def need(name: str) -> None:
+        for other in NEEDS.get(name, []):
+            need(other)
+        if name not in wanted:
+            wanted.append(name)
+
+    for name in names:
+        need(name)
+    if not wanted:
+        return body.strip()
+    ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in wanted)
+    body = body.strip()
+    joiner = ",\n" if body.upper().startswith("WITH ") else "\n"
+    return f"WITH {ctes}{joiner}{body[5:] if joiner[0] == ',' else body}"
