@@ -158,9 +158,8 @@ def default_dataset(sessions: DataFrame, datasets: DataFrame) -> DataFrame:
     account's newest with a note, else an error."""
     own = latest_per_session(datasets, "dataset_id").select(
         "session_id", F.col("dataset_id").alias("own"))
-    # One row, by construction: a global aggregate.
-    newest = datasets.agg(F.max_by("dataset_id", F.struct("created_at", "dataset_id")).alias("any"))
-    joined = sessions.join(own, "session_id", "left").join(F.broadcast(newest), how="left")
+    newest = datasets.agg(F.max_by("dataset_id", F.struct("created_at", "dataset_id"))).scalar()
+    joined = sessions.join(own, "session_id", "left").withColumn("any", newest)
     note = (F.when(F.col("own").isNotNull(), F.lit(None))
             .when(F.col("any").isNotNull(), "no dataset in this session yet; using latest dataset")
             .otherwise("no datasets exist yet; generate one first"))
