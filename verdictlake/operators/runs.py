@@ -33,7 +33,8 @@ def session_rollup(sessions: DataFrame, runs: DataFrame, rollouts: DataFrame) ->
     tables shrink to one row per session before they are joined."""
     ran = runs.groupBy("session_id").agg(F.count("*").alias("runs"), F.max("created_at").alias("last_activity"))
     per_check = rollouts.groupBy("check_id").agg(F.count("*").alias("n"))
-    played = (per_check.join(runs.select(F.col("run_id").alias("check_id"), "session_id"), "check_id")
+    checks = runs.filter("type = 'quality_check'").select(F.col("run_id").alias("check_id"), "session_id")
+    played = (per_check.join(checks, "check_id")
               .groupBy("session_id").agg(F.sum("n").alias("rollouts")))
     zero = F.lit(0).cast("bigint")
     return (sessions.join(ran, "session_id", "left").join(played, "session_id", "left")

@@ -11,14 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rate_of(passed: Column, total: Column, empty: Column | None = None) -> Column:
+def rate_of(passed: Column, total: Column, empty: float | None = None) -> Column:
     """passed / total as a double; ``empty`` (default NULL) when total is 0."""
     value = F.when(total > 0, passed.cast("double") / total)
     return value if empty is None else value.otherwise(empty)
 
 
-ZERO = F.lit(0.0)
-
 
 def latest_verdicts(evaluations: DataFrame) -> DataFrame:
     """The last verdict of every rollout, by ``eval_seq``."""
@@ -40,7 +38,7 @@ def scenario_scorecard(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame
     return (attach_verdicts(rollouts, evaluations)
             .groupBy("check_id", "scenario_id")
             .agg(F.count("verdict").alias("repeats"), F.count_if("verdict").alias("passed"))
-            .withColumn("pass_rate", rate_of(F.col("passed"), F.col("repeats"), ZERO)))
+            .withColumn("pass_rate", rate_of(F.col("passed"), F.col("repeats"), 0.0)))
 
 
 def attach_scenario_meta(rows: DataFrame, meta: DataFrame) -> DataFrame:
@@ -63,7 +61,7 @@ def suite_totals(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return (played.join(judged, "check_id", "left")
             .withColumns({c: F.coalesce(c, zero) for c in ("evaluated", "passed")})
-            .withColumn("pass_rate", rate_of(F.col("passed"), F.col("evaluated"), ZERO)))
+            .withColumn("pass_rate", rate_of(F.col("passed"), F.col("evaluated"), 0.0)))
 
 
 def pooled_pass_rate(evaluations: DataFrame, by: list[str]) -> DataFrame:

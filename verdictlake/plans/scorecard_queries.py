@@ -1,0 +1,519 @@
+"""Scorecards, totals, gates, decisions and set operations over whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdictlake.operators import gates, runs as run_ops, scorecard as sc
+from verdictlake.plans import bindings as fx
+from verdictlake.plans.registry import query
+
+
+def scorecard(spark: SparkSession, sf: str) -> DataFrame:
+    return sc.scenario_scorecard(fx.rollouts(spark, sf), fx.evaluations(spark, sf))
+
+
+def totals(spark: SparkSession, sf: str) -> DataFrame:
+    return sc.suite_totals(fx.rollouts(spark, sf), fx.evaluations(spark, sf))
+
+
+def baselines(spark: SparkSession, sf: str) -> DataFrame:
+    checks = fx.quality_checks(spark, sf)
+    asked = checks.withColumn("baseline_branch", F.lit("main"))
+    return gates.baseline_for(asked, checks, totals(spark, sf))
+
+
+def configs(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.quality_checks(spark, sf).selectExpr(
+        "check_id", "session_id", "cast(0.8D AS double) AS threshold",
+        "1 AS min_scenarios", "CASE WHEN check_id % 3 = 0 THEN NULL ELSE 0.1D END AS max_regression")
+
+
+def gated(spark: SparkSession, sf: str) -> DataFrame:
+    return gates.gate(totals(spark, sf), configs(spark, sf).drop("session_id"), baselines(spark, sf))
+
+
+GATE_SQL = """
+WITH candidate AS (
+  SELECT r.check_id, c.check_id AS baseline_check_id,
+         ROW_NUMBER() OVER (PARTITION BY r.check_id ORDER BY c.created_at DESC, c.check_id DESC) AS rn
+  FROM fx_quality_checks r JOIN fx_quality_checks c
+    ON c.session_id = r.session_id AND c.branch = 'main' AND c.status = 'succeeded'
+   AND c.created_at < r.created_at),
+base AS (
+  SELECT n.check_id, n.baseline_check_id, t.passed AS baseline_passed, t.evaluated AS baseline_evaluated,
+         t.passed * 1.0::DOUBLE / t.evaluated AS baseline_rate
+  FROM candidate n JOIN fx_totals t ON t.check_id = n.baseline_check_id
+  WHERE n.rn = 1 AND t.evaluated > 0),
+gated AS (
+  SELECT t.*, b.baseline_check_id, b.baseline_rate, t.pass_rate - b.baseline_rate AS delta,
+         CASE WHEN t.check_id % 3 = 0 THEN NULL ELSE 0.1::DOUBLE END AS max_regression,
+         t.evaluated >= 1 AND t.pass_rate >= 0.8::DOUBLE AS threshold_ok
+  FROM fx_totals t LEFT JOIN base b ON b.check_id = t.check_id),
+final AS (
+  SELECT *, COALESCE(-delta <= max_regression, TRUE) AS regression_ok,
+         CASE WHEN threshold_ok AND COALESCE(-delta <= max_regression, TRUE)
+              THEN 'passed' ELSE 'failed' END AS status
+  FROM gated)
+"""
+
+
+@query("scenario_scorecard", "SELECT * FROM fx_scorecard", "fx_scorecard")
+def _(spark, sf):
+    return scorecard(spark, sf)
+
+
+@query("scorecard_with_gate", """
+SELECT s.check_id, s.scenario_id, s.repeats, s.passed, s.pass_rate, t.evaluated,
+       t.pass_rate AS suite_rate,
+       CASE WHEN t.evaluated >= 1 AND t.pass_rate >= 0.8::DOUBLE THEN 'passed' ELSE 'failed' END AS status
+FROM fx_scorecard s JOIN fx_totals t ON s.check_id = t.check_id""", "fx_scorecard fx_totals")
+def flagship(spark, sf):
+    gate = gates.gate(totals(spark, sf), configs(spark, sf).drop("session_id").withColumn(
+        "max_regression", F.lit(None).cast("double")))
+    suite = gate.select("check_id", "evaluated", F.col("pass_rate").alias("suite_rate"), "status")
+    return scorecard(spark, sf).join(suite, "check_id")
+
+
+@query("attach_verdicts", """
+SELECT r.rollout_id, r.check_id, r.scenario_id, r.status, l.passed AS verdict
+FROM fx_rollouts r LEFT JOIN fx_latest l ON r.rollout_id = l.rollout_id""", "fx_rollouts fx_latest")
+def _(spark, sf):
+    return sc.attach_verdicts(fx.rollouts(spark, sf), fx.evaluations(spark, sf)).drop("agent_version")
+
+
+@query("attach_scenario_meta", """
+SELECT s.*, p.title, p.task_family FROM fx_scorecard s
+LEFT JOIN fx_scenarios p ON s.scenario_id = p.scenario_id""", "fx_scorecard fx_scenarios")
+def _(spark, sf):
+    return sc.attach_scenario_meta(scorecard(spark, sf), fx.scenarios(spark, sf))
+
+
+@query("unjudged_rollouts", """
+SELECT rollout_id, check_id, scenario_id FROM fx_rollouts r
+WHERE NOT EXISTS (SELECT 1 FROM fx_evaluations e WHERE e.rollout_id = r.rollout_id)""",
+       "fx_rollouts fx_evaluations")
+def _(spark, sf):
+    return (sc.unjudged_rollouts(fx.rollouts(spark, sf), fx.evaluations(spark, sf))
+            .select("rollout_id", "check_id", "scenario_id"))
+
+
+@query("suite_totals", "SELECT * FROM fx_totals", "fx_totals")
+def _(spark, sf):
+    return totals(spark, sf)
+
+
+@query("pooled_pass_rate", """
+SELECT q.session_id, count(e.passed) AS evaluated, count(*) FILTER (e.passed) AS passed,
+       CASE WHEN count(e.passed) > 0
+            THEN count(*) FILTER (e.passed) * 1.0::DOUBLE / count(e.passed) END AS pass_rate
+FROM fx_quality_checks q LEFT JOIN fx_evaluations e ON e.check_id = q.check_id
+GROUP BY q.session_id""", "fx_quality_checks fx_evaluations")
+def _(spark, sf):
+    # Reduced to checks first: sessions may be few and large.
+    per_check = fx.evaluations(spark, sf).groupBy("check_id").agg(
+        F.count("passed").alias("n"), F.count_if("passed").alias("ok"))
+    rows = fx.quality_checks(spark, sf).join(per_check, "check_id", "left")
+    return (rows.groupBy("session_id")
+            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("evaluated"), F.coalesce(F.sum("ok"), F.lit(0)).alias("passed"))
+            .withColumn("pass_rate", sc.rate_of(F.col("passed"), F.col("evaluated"))))
+
+
+@query("pooled_rate_by_check", """
+SELECT check_id, count(passed) AS evaluated, count(*) FILTER (passed) AS passed,
+       CASE WHEN count(passed) > 0
+            THEN count(*) FILTER (passed) * 1.0::DOUBLE / count(passed) END AS pass_rate
+FROM fx_evaluations GROUP BY check_id""", "fx_evaluations")
+def _(spark, sf):
+    return sc.pooled_pass_rate(fx.evaluations(spark, sf), ["check_id"])
+
+
+@query("union_repeats", """
+SELECT rollout_id, count(*) AS verdicts, count(*) FILTER (passed) AS passed
+FROM (SELECT * FROM fx_evaluations UNION ALL SELECT * FROM fx_evaluations WHERE passed) u
+GROUP BY rollout_id""", "fx_evaluations")
+def _(spark, sf):
+    first = fx.evaluations(spark, sf)
+    return (sc.union_repeats(first, first.filter("passed")).groupBy("rollout_id")
+            .agg(F.count("*").alias("verdicts"), F.count_if("passed").alias("passed")))
+
+
+@query("weakest_first", "SELECT * FROM fx_scorecard ORDER BY pass_rate, scenario_id", "fx_scorecard")
+def _(spark, sf):
+    return sc.weakest_first(scorecard(spark, sf))
+
+
+@query("weakest_scenarios", """
+SELECT * FROM (
+  SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY check_id ORDER BY pass_rate, scenario_id) AS INT) AS place
+  FROM fx_scorecard WHERE pass_rate < 1) w WHERE place <= 8""", "fx_scorecard")
+def _(spark, sf):
+    return sc.weakest_scenarios(scorecard(spark, sf))
+
+
+FINDINGS_SQL = """
+WITH rows AS (
+  SELECT e.check_id, r.scenario_id, e.rollout_id * 1000 + e.eval_seq AS ord, e.passed, e.issue,
+         CASE WHEN e.rollout_id % 5 = 0 THEN '' ELSE p.title || ' ' || CAST(e.eval_seq AS VARCHAR) END AS title,
+         p.task_family
+  FROM fx_evaluations e JOIN fx_rollouts r ON r.rollout_id = e.rollout_id
+  LEFT JOIN fx_scenarios p ON p.scenario_id = r.scenario_id)
+"""
+
+
+def finding_rows(spark: SparkSession, sf: str) -> DataFrame:
+    judged = fx.evaluations(spark, sf, dense=True).drop("check_id")
+    rows = (judged.join(fx.rollouts(spark, sf).select("rollout_id", "check_id", "scenario_id"), "rollout_id")
+            .join(fx.scenarios(spark, sf), "scenario_id", "left"))
+    return rows.select(
+        "check_id", "scenario_id", (F.col("rollout_id") * 1000 + F.col("eval_seq")).alias("ord"), "passed", "issue",
+        F.when(F.col("rollout_id") % 5 == 0, "").otherwise(F.concat("title", F.lit(" "), "eval_seq")).alias("title"),
+        "task_family")
+
+
+@query("fold_scenario_meta", FINDINGS_SQL + """
+SELECT check_id, scenario_id, arg_max(title, ord) FILTER (title <> '') AS title,
+       arg_max(task_family, ord) FILTER (task_family <> '') AS task_family,
+       substr(arg_min(issue, ord) FILTER (NOT passed AND issue IS NOT NULL), 1, 160) AS top_issue
+FROM rows GROUP BY check_id, scenario_id""", "fx_evaluations fx_rollouts fx_scenarios")
+def _(spark, sf):
+    from verdictlake.functions.redaction import redact_secrets
+    return sc.fold_scenario_meta(finding_rows(spark, sf), redact_secrets(F.col("issue")))
+
+
+@query("latest_check_per_session", """
+SELECT session_id, check_id, branch, status FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY created_at DESC, check_id DESC) AS rn
+  FROM fx_quality_checks) q WHERE rn = 1""", "fx_quality_checks")
+def _(spark, sf):
+    return (sc.latest_per_session(fx.quality_checks(spark, sf), "check_id")
+            .select("session_id", "check_id", "branch", "status"))
+
+
+LATEST_SUMMARY_SQL = """
+SELECT q.session_id, q.check_id, COALESCE(e.passed, 0) AS passed, COALESCE(e.total, 0) AS total
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY created_at DESC, check_id DESC) AS rn
+      FROM fx_quality_checks WHERE status = 'succeeded') q
+LEFT JOIN (SELECT check_id, count(*) AS total, count(*) FILTER (passed) AS passed
+           FROM fx_evaluations GROUP BY check_id) e ON e.check_id = q.check_id
+WHERE q.rn = 1"""
+
+
+@query("latest_check_summary", LATEST_SUMMARY_SQL, "fx_quality_checks fx_evaluations")
+def _(spark, sf):
+    return sc.latest_check_summary(fx.quality_checks(spark, sf), fx.evaluations(spark, sf))
+
+
+@query("expand_repeats", """
+SELECT b.dataset_id, b.scenario_id, CAST(unnest(generate_series(1, 1 + b.dataset_id % 3)) AS INT) AS repeat
+FROM fx_dataset_rows b""", "fx_dataset_rows")
+def _(spark, sf):
+    return sc.expand_repeats(fx.dataset_rows(spark, sf), (1 + F.col("dataset_id") % 3).cast("int"))
+
+
+@query("dataset_rows", """
+SELECT b.dataset_id, b.scenario_id, s.title, s.task_family FROM fx_dataset_rows b
+JOIN fx_scenarios s ON s.scenario_id = b.scenario_id""", "fx_dataset_rows fx_scenarios")
+def _(spark, sf):
+    return (sc.dataset_rows(fx.dataset_rows(spark, sf), fx.scenarios(spark, sf))
+            .select("dataset_id", "scenario_id", "title", "task_family"))
+
+
+@query("list_datasets", """
+SELECT dataset_id, session_id, user_model_id, row_count FROM fx_datasets
+ORDER BY created_at DESC, dataset_id DESC""", "fx_datasets")
+def _(spark, sf):
+    return sc.list_datasets(fx.datasets(spark, sf)).drop("created_at")
+
+
+@query("list_user_models", """
+SELECT user_model_id, session_id, persona, representation_id FROM fx_user_models
+ORDER BY created_at, user_model_id""", "fx_user_models")
+def _(spark, sf):
+    return sc.list_user_models(fx.user_models(spark, sf)).drop("created_at")
+
+
+@query("default_dataset", """
+WITH own AS (
+  SELECT session_id, dataset_id FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY created_at DESC, dataset_id DESC) AS rn
+    FROM fx_datasets WHERE session_id < 20) d WHERE rn = 1),
+newest AS (SELECT dataset_id FROM fx_datasets WHERE session_id < 20
+           ORDER BY created_at DESC, dataset_id DESC LIMIT 1)
+SELECT s.session_id, COALESCE(o.dataset_id, n.dataset_id) AS dataset_id,
+       CASE WHEN o.dataset_id IS NULL
+            THEN 'no dataset in this session yet; using latest dataset' END AS note,
+       FALSE AS is_error
+FROM fx_sessions s LEFT JOIN own o ON o.session_id = s.session_id CROSS JOIN newest n""",
+       "fx_sessions fx_datasets")
+def _(spark, sf):
+    return sc.default_dataset(fx.sessions(spark, sf), fx.datasets(spark, sf).filter("session_id < 20"))
+
+
+@query("compose_dataset", """
+WITH asked AS (SELECT s_suppkey AS user_model_id, p_partkey AS scenario_id FROM supplier
+               JOIN part ON p_partkey % 100 = s_suppkey % 100 AND (s_suppkey % 2 = 0
+                    OR p_brand = 'Brand#' || CAST(s_nationkey + 1 AS VARCHAR))),
+checked AS (
+  SELECT a.*, COALESCE(s.representation_id = m.representation_id, FALSE) AS belongs
+  FROM asked a JOIN fx_user_models m ON m.user_model_id = a.user_model_id
+  LEFT JOIN fx_scenarios s ON s.scenario_id = a.scenario_id)
+SELECT c.user_model_id, c.scenario_id, c.belongs, v.accepted FROM checked c
+JOIN (SELECT user_model_id, bool_and(belongs) AS accepted FROM checked GROUP BY user_model_id) v
+  ON v.user_model_id = c.user_model_id""", "fx_user_models fx_scenarios")
+def _(spark, sf):
+    models, parts = fx.table(spark, sf, "supplier"), fx.table(spark, sf, "part")
+    asked = (models.withColumn("k", F.col("s_suppkey") % 100)
+             .join(parts.withColumn("k", F.col("p_partkey") % 100), "k")
+             .filter("s_suppkey % 2 = 0 OR p_brand = concat('Brand#', s_nationkey + 1)")
+             .selectExpr("s_suppkey AS user_model_id", "p_partkey AS scenario_id"))
+    return sc.compose_dataset(asked, fx.user_models(spark, sf), fx.scenarios(spark, sf))
+
+
+@query("dataset_diff", """
+WITH pairs AS (SELECT dataset_id AS dataset_a, dataset_id + 1 AS dataset_b FROM fx_datasets),
+a AS (SELECT p.*, r.scenario_id FROM pairs p JOIN fx_dataset_rows r ON r.dataset_id = p.dataset_a),
+b AS (SELECT p.*, r.scenario_id FROM pairs p JOIN fx_dataset_rows r ON r.dataset_id = p.dataset_b)
+SELECT COALESCE(a.dataset_a, b.dataset_a) AS dataset_a, COALESCE(a.dataset_b, b.dataset_b) AS dataset_b,
+       COALESCE(a.scenario_id, b.scenario_id) AS scenario_id,
+       CASE WHEN a.scenario_id IS NULL THEN 'added' WHEN b.scenario_id IS NULL THEN 'removed'
+            ELSE 'shared' END AS change
+FROM a FULL JOIN b ON a.dataset_a = b.dataset_a AND a.scenario_id = b.scenario_id""",
+       "fx_datasets fx_dataset_rows")
+def _(spark, sf):
+    pairs = fx.datasets(spark, sf).selectExpr("dataset_id AS dataset_a", "dataset_id + 1 AS dataset_b")
+    return sc.dataset_diff(pairs, fx.dataset_rows(spark, sf))
+
+
+@query("agent_version_compare", """
+SELECT r.agent_version, count(*) AS rollouts, count(l.passed) AS judged,
+       count(*) FILTER (l.passed) AS passed,
+       count(*) FILTER (l.passed) * 1.0::DOUBLE / count(l.passed) AS pass_rate
+FROM fx_rollouts r LEFT JOIN fx_latest l ON l.rollout_id = r.rollout_id
+GROUP BY r.agent_version""", "fx_rollouts fx_latest")
+def _(spark, sf):
+    return sc.agent_version_compare(fx.rollouts(spark, sf), fx.evaluations(spark, sf))
+
+
+@query("family_rollup", """
+SELECT s.task_family, r.scenario_id, CAST(GROUPING(s.task_family, r.scenario_id) AS INT) AS level,
+       count(l.passed) AS judged, count(*) FILTER (l.passed) AS passed,
+       CASE WHEN count(l.passed) > 0
+            THEN count(*) FILTER (l.passed) * 1.0::DOUBLE / count(l.passed) END AS pass_rate
+FROM fx_rollouts r LEFT JOIN fx_latest l ON l.rollout_id = r.rollout_id
+LEFT JOIN fx_scenarios s ON s.scenario_id = r.scenario_id
+GROUP BY ROLLUP (s.task_family, r.scenario_id)""", "fx_rollouts fx_latest fx_scenarios")
+def _(spark, sf):
+    return sc.family_scorecard(fx.rollouts(spark, sf), fx.evaluations(spark, sf), fx.scenarios(spark, sf))
+
+
+@query("issue_frequency", """
+SELECT e.issue, count(*) AS findings, count(DISTINCT r.scenario_id) AS scenarios
+FROM fx_evaluations e JOIN fx_rollouts r ON r.rollout_id = e.rollout_id
+WHERE e.issue IS NOT NULL GROUP BY e.issue""", "fx_evaluations fx_rollouts")
+def _(spark, sf):
+    found = fx.evaluations(spark, sf).select("rollout_id", "issue").filter("issue IS NOT NULL")
+    return sc.issue_frequency(found.join(fx.rollouts(spark, sf).select("rollout_id", "scenario_id"), "rollout_id"))
+
+
+@query("baseline_asof", GATE_SQL + """
+SELECT check_id, baseline_check_id, 'main' AS baseline_branch, baseline_passed, baseline_evaluated,
+       baseline_rate FROM base""", "fx_quality_checks fx_totals")
+def _(spark, sf):
+    return baselines(spark, sf)
+
+
+@query("regression_gate", GATE_SQL + """
+SELECT check_id, evaluated, passed, pass_rate, baseline_check_id, baseline_rate, delta,
+       threshold_ok, regression_ok, status FROM final""", "fx_quality_checks fx_totals")
+def _(spark, sf):
+    return gated(spark, sf).select("check_id", "evaluated", "passed", "pass_rate", "baseline_check_id",
+                                   "baseline_rate", "delta", "threshold_ok", "regression_ok", "status")
+
+
+@query("exit_code", GATE_SQL + """
+SELECT check_id, status, CASE WHEN check_id % 11 = 0 THEN 2 WHEN check_id % 13 = 0 THEN 3
+       WHEN status = 'passed' OR check_id % 2 = 0 THEN 0 ELSE 1 END AS exit_code
+FROM final""", "fx_quality_checks fx_totals")
+def _(spark, sf):
+    check = F.col("check_id")
+    return gated(spark, sf).select("check_id", "status", gates.exit_code(
+        F.col("status"), check % 2 == 0, check % 11 == 0, check % 13 == 0).alias("exit_code"))
+
+
+@query("reuse_decision", f"""
+WITH latest AS ({LATEST_SUMMARY_SQL}),
+newest AS (
+  SELECT session_id, dataset_id, row_count FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY created_at DESC, dataset_id DESC) AS rn
+    FROM fx_datasets WHERE session_id % 6 <> 5) d WHERE rn = 1),
+people AS (SELECT DISTINCT session_id FROM fx_user_models WHERE session_id % 4 <> 1),
+rows AS (
+  SELECT s.session_id, n.dataset_id, n.row_count, l.check_id, p.session_id IS NOT NULL AS has_model,
+         CASE WHEN l.total > 0 THEN l.passed * 1.0::DOUBLE / l.total END AS rate,
+         s.session_id % 9 = 8 AS forced
+  FROM fx_sessions s LEFT JOIN newest n ON n.session_id = s.session_id
+  LEFT JOIN latest l ON l.session_id = s.session_id LEFT JOIN people p ON p.session_id = s.session_id),
+steps AS (
+  SELECT *, CASE WHEN forced THEN 'forced' WHEN dataset_id IS NULL THEN 'none'
+                 WHEN rate < 0.6 OR rate > 0.9 THEN 'drift'
+                 WHEN row_count <> 60 THEN 'size' ELSE 'reuse' END AS step,
+         CAST(CAST(round_even(rate * 100, 0) AS BIGINT) AS VARCHAR) || '%' AS shown
+  FROM rows)
+SELECT session_id, CASE WHEN step = 'reuse' THEN 'reused' ELSE 'generated' END AS action,
+       CASE WHEN step = 'reuse' THEN dataset_id END AS dataset_id,
+       step <> 'reuse' AND NOT (step IN ('none', 'size') AND has_model) AS probes,
+       CASE WHEN step = 'drift' THEN check_id END AS calibrating_check,
+       CASE WHEN step NOT IN ('forced', 'none') THEN rate END AS success_rate,
+       CASE step WHEN 'forced' THEN 'reprobe requested'
+         WHEN 'none' THEN 'no datasets in this session yet'
+         WHEN 'drift' THEN 'success rate ' || shown ||
+              CASE WHEN rate < 0.6 THEN ' below 60%' ELSE ' above 90%' END ||
+              '; regenerating calibrated on ' || CAST(check_id AS VARCHAR)
+         WHEN 'size' THEN 'latest dataset has ' || CAST(row_count AS VARCHAR) || ' rows; requested 60'
+         ELSE CASE WHEN rate IS NOT NULL THEN 'success rate ' || shown || ' within 60%-90% band'
+              ELSE 'no completed quality check to judge by; reusing latest dataset' END END
+       || CASE WHEN step IN ('none', 'size') AND has_model
+               THEN '; reusing session user model (no drift signal)' ELSE '' END AS reason
+FROM steps""", "fx_quality_checks fx_evaluations fx_datasets fx_user_models fx_sessions")
+def _(spark, sf):
+    return gates.reuse_decision(
+        fx.sessions(spark, sf).select("session_id", (F.col("session_id") % 9 == 8).alias("reprobe")),
+        fx.datasets(spark, sf).filter("session_id % 6 <> 5"), fx.quality_checks(spark, sf),
+        fx.evaluations(spark, sf), fx.user_models(spark, sf).filter("session_id % 4 <> 1"), count=60)
+
+
+
+@query("render_summary", GATE_SQL + """,
+weak AS (
+  SELECT w.*, p.title, p.task_family,
+         ROW_NUMBER() OVER (PARTITION BY w.check_id ORDER BY w.pass_rate, w.scenario_id) AS place
+  FROM fx_scorecard w LEFT JOIN fx_scenarios p ON p.scenario_id = w.scenario_id WHERE w.pass_rate < 1),
+listed AS (
+  SELECT check_id, string_agg('    ' || CAST(passed AS VARCHAR) || '/' || CAST(repeats AS VARCHAR) || '  ' ||
+         COALESCE(title, CAST(scenario_id AS VARCHAR)) || COALESCE(' [' || task_family || ']', ''),
+         chr(10) ORDER BY place) AS lines
+  FROM weak WHERE place <= 8 GROUP BY check_id),
+shown AS (
+  SELECT f.*, round_even(pass_rate * 10000, 0) / 10000 AS r, round_even(baseline_rate * 10000, 0) / 10000 AS b,
+         round_even(delta * 10000, 0) / 10000 AS d, l.lines
+  FROM final f LEFT JOIN listed l ON l.check_id = f.check_id)
+SELECT check_id, concat_ws(chr(10), '',
+  '  pass rate ' || printf('%.1f', r * 100) || '% — ' || CAST(passed AS VARCHAR) || '/' ||
+    CAST(evaluated AS VARCHAR) || ' rollouts across ' || CAST(scenarios AS VARCHAR) || ' scenarios' ||
+    CASE WHEN b IS NULL THEN ' (no baseline found — first run on this branch?)'
+         ELSE ' (baseline main: ' || printf('%.1f', b * 100) || '%, Δ ' ||
+              CASE WHEN d >= 0 THEN '+' ELSE '' END || printf('%.1f', d * 100) || 'pp)' END,
+  '  threshold 80.0%: ' || CASE WHEN threshold_ok THEN 'met' ELSE 'NOT MET' END,
+  CASE WHEN b IS NOT NULL AND max_regression IS NOT NULL
+       THEN '  regression gate (max 10.0%): ' || CASE WHEN regression_ok THEN 'met' ELSE 'NOT MET' END END,
+  CASE WHEN lines IS NOT NULL THEN chr(10) || '  weakest scenarios:' || chr(10) || lines END,
+  '', '  full report: /runs/' || CAST(check_id AS VARCHAR), '') AS summary
+FROM shown""", "fx_quality_checks fx_totals fx_scorecard fx_scenarios")
+def _(spark, sf):
+    weak = sc.attach_scenario_meta(sc.weakest_scenarios(scorecard(spark, sf)), fx.scenarios(spark, sf))
+    rows = gated(spark, sf).withColumns({
+        "branch": F.lit("main"), "report_url": F.concat(F.lit("/runs/"), "check_id")})
+    return gates.render_summary(rows, weak.withColumn("top_issue", F.lit(None).cast("string")))
+
+
+@query("write_report", GATE_SQL + """
+SELECT f.check_id AS quality_check_id, CAST(q.session_id AS INT) AS session_id, f.status,
+       f.scenarios, f.rollouts, f.completed, f.evaluated, f.passed,
+       round_even(f.pass_rate * 10000, 0) / 10000 AS pass_rate, f.threshold_ok AS met,
+       f.baseline_check_id AS baseline_id, round_even(f.baseline_rate * 10000, 0) / 10000 AS baseline_rate,
+       round_even(f.delta * 10000, 0) / 10000 AS delta
+FROM final f JOIN fx_quality_checks q ON q.check_id = f.check_id""", "fx_quality_checks fx_totals")
+def _(spark, sf):
+    """Written to the shared folder as JSON by session, then read back."""
+    from verdictlake.session import work_path
+    from verdictlake.sources.sinks import report_rows, write_report
+    rows = (gated(spark, sf).join(configs(spark, sf).select("check_id", "session_id"), "check_id")
+            .withColumn("baseline_branch", F.lit("main")))
+    report = report_rows(rows)
+    folder = work_path(spark, "report")
+    write_report(report, folder)
+    back = spark.read.schema(report.schema).json(f"{folder}/reports")
+    return back.select("quality_check_id", F.col("session_id").cast("int").alias("session_id"), "status",
+                       *[f"totals.{c}" for c in ("scenarios", "rollouts", "completed", "evaluated", "passed", "pass_rate")],
+                       F.col("thresholds.passed").alias("met"), F.col("baseline.quality_check_id").alias("baseline_id"),
+                       F.col("baseline.pass_rate").alias("baseline_rate"), "baseline.delta")
+
+
+RUNS_SQL = """
+WITH runs AS (
+  SELECT check_id AS run_id, 'quality_check' AS type, status, session_id, branch, created_at FROM fx_quality_checks
+  UNION ALL
+  SELECT dataset_id, 'generation', 'succeeded', session_id, NULL, created_at FROM fx_datasets)
+"""
+
+
+def all_runs(spark: SparkSession, sf: str) -> DataFrame:
+    checks = fx.quality_checks(spark, sf).selectExpr(
+        "check_id AS run_id", "'quality_check' AS type", "status", "session_id", "branch", "created_at")
+    made = fx.datasets(spark, sf).selectExpr(
+        "dataset_id AS run_id", "'generation' AS type", "'succeeded' AS status", "session_id",
+        "cast(NULL AS string) AS branch", "created_at")
+    return checks.unionByName(made)
+
+
+@query("list_runs", RUNS_SQL + """
+SELECT run_id, type, status, session_id, branch FROM runs WHERE type = 'quality_check' AND branch = 'main'
+ORDER BY created_at DESC, type DESC, run_id DESC LIMIT 100""", "fx_quality_checks fx_datasets")
+def _(spark, sf):
+    return run_ops.list_runs(all_runs(spark, sf), run_type="quality_check", branch="main", limit=100).drop("created_at")
+
+
+@query("session_rollup", RUNS_SQL + """
+SELECT s.session_id, s.name, COALESCE(r.runs, 0) AS runs, COALESCE(p.rollouts, 0) AS rollouts,
+       strftime(r.last_activity, '%Y-%m-%d') AS last_day
+FROM fx_sessions s
+LEFT JOIN (SELECT session_id, count(*) AS runs, max(created_at) AS last_activity FROM runs GROUP BY 1) r
+  ON r.session_id = s.session_id
+LEFT JOIN (SELECT q.session_id, count(*) AS rollouts FROM fx_rollouts o
+           JOIN fx_quality_checks q ON q.check_id = o.check_id GROUP BY 1) p ON p.session_id = s.session_id""",
+       "fx_quality_checks fx_datasets fx_rollouts fx_sessions")
+def _(spark, sf):
+    runs = all_runs(spark, sf)
+    rolled = run_ops.session_rollup(fx.sessions(spark, sf), runs, fx.rollouts(spark, sf))
+    return rolled.withColumn("last_day", F.date_format("last_activity", "yyyy-MM-dd")).drop("last_activity")
+
+
+@query("pass_rate_trend", """
+SELECT q.check_id, q.session_id, q.branch, t.pass_rate,
+       LAG(t.pass_rate) OVER w AS previous_rate, t.pass_rate - LAG(t.pass_rate) OVER w AS delta
+FROM fx_quality_checks q JOIN fx_totals t ON t.check_id = q.check_id
+WINDOW w AS (PARTITION BY q.session_id, q.branch ORDER BY q.created_at, q.check_id)""",
+       "fx_quality_checks fx_totals")
+def _(spark, sf):
+    checks = fx.quality_checks(spark, sf).join(totals(spark, sf).select("check_id", "pass_rate"), "check_id")
+    return (run_ops.pass_rate_trend(checks)
+            .select("check_id", "session_id", "branch", "pass_rate", "previous_rate", "delta"))
+
+
+@query("judge_chunks", """
+WITH r AS (SELECT q.session_id, o.rollout_id FROM fx_rollouts o JOIN fx_quality_checks q ON q.check_id = o.check_id),
+p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY rollout_id) - 1 AS pos,
+             count(*) OVER (PARTITION BY session_id) AS n FROM r)
+SELECT session_id, rollout_id, pos // 500 + 1 AS chunk, (n + 499) // 500 AS chunks,
+       'nightly' || CASE WHEN n > 500 THEN ' ' || CAST(pos // 500 + 1 AS VARCHAR) || '/' ||
+                         CAST((n + 499) // 500 AS VARCHAR) ELSE '' END AS label
+FROM p""", "fx_rollouts fx_quality_checks")
+def _(spark, sf):
+    rows = (fx.rollouts(spark, sf).select("rollout_id", "check_id")
+            .join(fx.quality_checks(spark, sf).select("check_id", "session_id"), "check_id")
+            .select("session_id", "rollout_id"))
+    return run_ops.judge_chunks(rows, ["session_id"], F.lit("nightly"))
+
+
+@query("state_trajectory", """
+WITH e AS (SELECT ROW_NUMBER() OVER () AS id, [l_linestatus, l_returnflag,
+                  CASE WHEN l_tax > 0.04 THEN 'F' ELSE 'O' END, l_returnflag] AS s FROM lineitem),
+t AS (SELECT s[i] AS from_state, s[i + 1] AS to_state FROM e, (SELECT unnest([1, 2, 3]) AS i) k)
+SELECT from_state, to_state, count(*) AS n FROM t GROUP BY from_state, to_state""")
+def _(spark, sf):
+    states = fx.table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS check_id", "l_orderkey * 10 + l_linenumber AS rollout_id", "l_shipdate AS eval_seq",
+        "array(l_linestatus, l_returnflag, CASE WHEN l_tax > 0.04 THEN 'F' ELSE 'O' END, l_returnflag) AS states")
+    return run_ops.transition_counts(run_ops.state_trajectory(states))
