@@ -7,18 +7,19 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _canonical(text: str | None) -> str | None:
     return None if text is None else json.dumps(json.loads(text), sort_keys=True)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _canonical_batch(texts: pd.Series) -> pd.Series:
     return texts.map(_canonical, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _call_key_batch(names: pd.Series, inputs: pd.Series) -> pd.Series:
     keys = [json.dumps([n, json.loads(i)], sort_keys=True)[:-1]
             for n, i in zip(names, inputs)]

@@ -59,10 +59,13 @@ def redact_secrets(text: Column, extra: Sequence[str] = (),
     return text
 
 
-def redact_pii(text: Column, hook: Callable[[Column], Column] | None = None) -> Column:
-    """Mask structured personal data; ``hook`` runs after the built-ins."""
+def redact_pii(text: Column, hook: Callable[[Column], Column] | None = None,
+               only: Sequence[str] | None = None) -> Column:
+    """Mask structured personal data; ``hook`` runs after the built-ins. ``only``
+    names the labels to apply, by default all."""
     for label, pattern in PII_PATTERNS:
-        text = F.regexp_replace(text, pattern, label)
+        if only is None or label in only:
+            text = F.regexp_replace(text, pattern, label)
     return hook(text) if hook else text
 
 

@@ -1,0 +1,224 @@
+"""Replay, redaction and trace queries over whole tables and whole texts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdictlake.functions import canonical, redaction as rd
+from verdictlake.operators import issues, replay
+from verdictlake.plans import bindings as fx
+from verdictlake.plans.registry import query
+
+HEX_TOKEN = r"\b[0-9a-f]{40}\b"
+
+REPLAY_SQL = """
+WITH faults AS (
+  SELECT f.*, f.rollout_id % 2 = 0 AND f.name = 'purchase'
+         AND ROW_NUMBER() OVER (PARTITION BY f.rollout_id, f.name ORDER BY f.seq) = 1 AS is_fault
+  FROM fx_tool_events f),
+versions AS (
+  SELECT *, CAST(COALESCE(sum(CASE WHEN is_fault THEN 0 ELSE 1 END) OVER (
+           PARTITION BY rollout_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS version
+  FROM faults),
+replayed AS (
+  SELECT *, CASE WHEN NOT is_fault THEN substr(sha256('["' || name || '", ' || input || ', ' ||
+              CAST(version AS VARCHAR) || ', ' || CAST(rollout_id AS VARCHAR) || ']'), 1, 8) END AS result_id,
+         CASE WHEN is_fault THEN name || ' is unavailable' END AS error
+  FROM versions),
+reported AS (
+  SELECT rollout_id, seq, name, CASE WHEN NOT is_error THEN substr(sha256('["' || name || '", ' || input || ', ' ||
+           CAST(seq AS VARCHAR) || ', ' || CAST(rollout_id AS VARCHAR) || ']'), 1, 8) END AS result_id,
+         CASE WHEN is_error THEN name || ' is unavailable' END AS error
+  FROM fx_tool_events)
+"""
+
+
+def reported(spark: SparkSession, sf: str) -> DataFrame:
+    """Outputs as a client would report them that counts faulted calls too."""
+    events = fx.tool_events(spark, sf)
+    return events.select(
+        "rollout_id", "seq", "name",
+        F.when(~F.col("is_error"), canonical.call_hash(F.col("name"), F.col("input"), F.col("seq"),
+                                                       F.col("rollout_id"))).alias("result_id"),
+        F.when(F.col("is_error"), F.concat("name", F.lit(" is unavailable"))).alias("error"))
+
+
+@query("first_call_fault", REPLAY_SQL + "SELECT rollout_id, seq, name, is_fault FROM faults", "fx_tool_events")
+def _(spark, sf):
+    return (replay.first_call_fault(fx.tool_events(spark, sf), fx.sandboxes(spark, sf))
+            .select("rollout_id", "seq", "name", "is_fault"))
+
+
+@query("tool_version", REPLAY_SQL + "SELECT rollout_id, seq, name, version FROM versions", "fx_tool_events")
+def _(spark, sf):
+    return (replay.state_version(fx.tool_events(spark, sf), fx.sandboxes(spark, sf))
+            .select("rollout_id", "seq", "name", "version"))
+
+
+@query("tool_replay", REPLAY_SQL + "SELECT rollout_id, seq, name, version, result_id, error FROM replayed",
+       "fx_tool_events")
+def _(spark, sf):
+    return (replay.tool_replay(fx.tool_events(spark, sf), fx.sandboxes(spark, sf))
+            .select("rollout_id", "seq", "name", "version", "result_id", "error"))
+
+
+@query("final_sandbox_state", REPLAY_SQL + """
+SELECT rollout_id, 'version' AS key, CAST(count(result_id) AS VARCHAR) AS value FROM replayed GROUP BY rollout_id
+UNION ALL
+SELECT rollout_id, 'last_' || name, arg_max(result_id, seq) FROM replayed WHERE result_id IS NOT NULL
+GROUP BY rollout_id, name""", "fx_tool_events")
+def _(spark, sf):
+    boxes = fx.sandboxes(spark, sf)
+    return replay.final_sandbox_state(replay.tool_replay(fx.tool_events(spark, sf), boxes), boxes)
+
+
+@query("replay_mismatches", REPLAY_SQL + """
+SELECT r.rollout_id, r.seq, r.name, r.result_id, e.result_id AS want_id, r.error, e.error AS want_error
+FROM reported r JOIN replayed e ON e.rollout_id = r.rollout_id AND e.seq = r.seq
+WHERE r.result_id IS DISTINCT FROM e.result_id OR r.error IS DISTINCT FROM e.error""", "fx_tool_events")
+def _(spark, sf):
+    return replay.replay_mismatches(reported(spark, sf),
+                                    replay.tool_replay(fx.tool_events(spark, sf), fx.sandboxes(spark, sf)))
+
+
+@query("assign_turn_idx", """
+WITH marks AS (
+  SELECT rollout_id, TIMESTAMP '2024-01-01 05:00:00' + to_days(turn_idx * 2) AS moment, 0 AS kind, turn_idx AS seq FROM fx_turns
+  UNION ALL SELECT rollout_id, ts, 1, seq FROM fx_tool_events),
+seen AS (SELECT *, sum(CASE WHEN kind = 0 THEN 1 ELSE 0 END) OVER (
+           PARTITION BY rollout_id ORDER BY moment, kind, seq) AS n FROM marks)
+SELECT rollout_id, seq, CAST(greatest(0, n - 1) AS INT) AS turn_idx FROM seen WHERE kind = 1""",
+       "fx_turns fx_tool_events")
+def _(spark, sf):
+    turns = fx.turns(spark, sf).withColumn("at", F.expr(
+        "timestamp_ntz'2024-01-01 05:00:00' + make_dt_interval(turn_idx * 2)"))
+    events = fx.tool_events(spark, sf).withColumnRenamed("ts", "at")
+    return replay.assign_turn_idx(turns, events)
+
+
+@query("tool_call_stats", """
+WITH named AS (SELECT rollout_id, seq, is_error, 'tool-' || substr(input, 7, 1) AS name FROM fx_tool_events),
+steps AS (SELECT *, LAG(is_error) OVER (PARTITION BY rollout_id, name ORDER BY seq) AS was_error FROM named)
+SELECT name, count(*) AS calls, count(*) FILTER (is_error) AS errors,
+       count(*) FILTER (was_error AND NOT is_error) AS recovered,
+       count(*) FILTER (is_error) * 1.0::DOUBLE / count(*) AS error_share
+FROM steps GROUP BY name""", "fx_tool_events")
+def _(spark, sf):
+    named = fx.tool_events(spark, sf).withColumn("name", F.concat(F.lit("tool-"), F.substring("input", 7, 1)))
+    return replay.tool_call_stats(named)
+
+
+@query("canonical_json", """
+SELECT event_id, '{"event": "' || event_type || '", "props": ' || props || ', "user": ' ||
+       CAST(user_id AS VARCHAR) || '}' AS canonical FROM events""")
+def _(spark, sf):
+    # The raw text has its keys unsorted and no spaces.
+    raw = F.concat(F.lit('{"user":'), F.col("user_id").cast("string"), F.lit(',"event":"'), F.col("event_type"),
+                   F.lit('","props":'), F.col("props"), F.lit("}"))
+    return fx.table(spark, sf, "events").select("event_id", canonical.canonical_json(raw).alias("canonical"))
+
+
+@query("redact_secrets_custom", rf"""
+SELECT doc_id, regexp_replace(text, '{HEX_TOKEN}', '[REDACTED:custom-0]', 'g') AS text FROM documents""")
+def _(spark, sf):
+    return fx.trace_text(spark, sf).select("doc_id", rd.redact_secrets(F.col("text"), [HEX_TOKEN]).alias("text"))
+
+
+@query("redact_email", r"""
+SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<redacted:email>', 'g') AS text
+FROM documents""")
+def _(spark, sf):
+    return fx.trace_text(spark, sf).select("doc_id", rd.redact_pii(F.col("text"), only=["<redacted:email>"]).alias("text"))
+
+
+# Look-arounds have no form in the oracle's regex dialect: checked against a
+# plain-Python twin in the tests.
+@query("redact_pii")
+def _(spark, sf):
+    return fx.trace_text(spark, sf).select("doc_id", rd.redact_pii(F.col("text")).alias("text"))
+
+
+@query("redact_secrets_json", rf"""
+SELECT doc_id, '{{"doc": ' || CAST(doc_id AS VARCHAR) || ', "n": [1, 2.5, null], "k": "' ||
+       COALESCE(regexp_replace(regexp_extract(text, '{HEX_TOKEN}'), '^[0-9a-f]+$', '[REDACTED:custom-0]'), '') || '"}}' AS payload
+FROM documents""")
+def _(spark, sf):
+    token = F.regexp_extract("text", HEX_TOKEN, 0)
+    payload = F.concat(F.lit('{"doc":'), F.col("doc_id").cast("string"), F.lit(',"n":[1,2.5,null],"k":"'),
+                       token, F.lit('"}'))
+    return fx.trace_text(spark, sf).select("doc_id", rd.redact_secrets_json(payload, extra=[HEX_TOKEN]).alias("payload"))
+
+
+@query("redact_pii_json", """
+SELECT event_id, '{"name": "<redacted>", "list": ["' || event_type || '"], "card": ' ||
+       CAST(user_id AS VARCHAR) || ', "props": ' || props || '}' AS payload FROM events""")
+def _(spark, sf):
+    payload = F.concat(F.lit('{"name":"'), F.col("event_type"), F.lit('","list":["'), F.col("event_type"),
+                       F.lit('"],"card":'), F.col("user_id").cast("string"), F.lit(',"props":'), F.col("props"), F.lit("}"))
+    return fx.table(spark, sf, "events").select("event_id", rd.redact_pii_json(payload).alias("payload"))
+
+
+@query("redact_hook", r"""
+SELECT doc_id, upper(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<redacted:email>', 'g')) AS text
+FROM documents WHERE regexp_matches(text, '^[\x00-\x7F]*$')""")
+def _(spark, sf):
+    """ASCII texts, where both engines agree on upper case."""
+    plain = fx.trace_text(spark, sf).filter(F.col("text").rlike(r"^[\x00-\x7F]*$"))
+    return plain.select("doc_id", rd.redact_pii(F.col("text"), rd.text_hook(str.upper), only=["<redacted:email>"]).alias("text"))
+
+
+def traces(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Conversations as traces: headers, turns, tool events."""
+    turns = fx.turns(spark, sf).withColumnRenamed("rollout_id", "trace_id")
+    events = fx.tool_events(spark, sf).withColumnRenamed("rollout_id", "trace_id")
+    headers = (fx.table(spark, sf, "conversations").select(F.col("conv_id").alias("trace_id")).distinct()
+               .withColumn("error", F.when(F.col("trace_id") % 10 == 0, "user complained")))
+    return headers, turns, events
+
+
+@query("redact_trace")
+def _(spark, sf):
+    _, turns, events = traces(spark, sf)
+    clean_turns, clean_events = issues.redact_trace(turns, events)
+    return (clean_turns.select("trace_id", F.lit("turn").alias("part"), F.col("turn_idx").alias("ord"), F.col("content").alias("text"))
+            .unionByName(clean_events.select("trace_id", F.lit("event").alias("part"), F.col("seq").alias("ord"),
+                                             F.col("input").alias("text"))))
+
+
+@query("redact_replies", rf"""
+SELECT rollout_id, 'turn' AS part, turn_idx AS ord, CASE WHEN role = 'agent'
+       THEN regexp_replace(content, '{HEX_TOKEN}', '[REDACTED:custom-0]', 'g') ELSE content END AS text FROM fx_turns
+UNION ALL SELECT rollout_id, 'event', seq, input FROM fx_tool_events""", "fx_turns fx_tool_events")
+def _(spark, sf):
+    turns, events = issues.redact_replies(fx.turns(spark, sf), fx.tool_events(spark, sf), extra=[HEX_TOKEN])
+    return (turns.select("rollout_id", F.lit("turn").alias("part"), F.col("turn_idx").alias("ord"), F.col("content").alias("text"))
+            .unionByName(events.select("rollout_id", F.lit("event").alias("part"), F.col("seq").alias("ord"),
+                                       F.col("input").alias("text"))))
+
+
+@query("refuse_residual_pii")
+def _(spark, sf):
+    """Documents once raw and once redacted: the first may be quarantined."""
+    texts = fx.trace_text(spark, sf).select("doc_id", "text")
+    both = (texts.withColumn("stage", F.lit("raw"))
+            .unionByName(texts.select("doc_id", rd.redact_pii(F.col("text")).alias("text"), F.lit("redacted").alias("stage"))))
+    return issues.refuse_residual_pii(both).select("doc_id", "stage", "verdict")
+
+
+@query("trace_failures", """
+WITH heads AS (SELECT DISTINCT conv_id AS trace_id FROM conversations),
+firsts AS (SELECT rollout_id AS trace_id, arg_min(name, seq) AS failing_tool FROM fx_tool_events
+           WHERE is_error GROUP BY rollout_id)
+SELECT h.trace_id, f.failing_tool,
+       CASE WHEN f.failing_tool IS NOT NULL THEN 'tool_error' ELSE 'reported_error' END AS category
+FROM heads h LEFT JOIN firsts f ON f.trace_id = h.trace_id
+WHERE f.failing_tool IS NOT NULL OR h.trace_id % 10 = 0""", "fx_tool_events")
+def _(spark, sf):
+    headers, _, events = traces(spark, sf)
+    return issues.trace_failures(headers, events).select("trace_id", "failing_tool", "category")
+
+
+@query("trace_to_scenarios")
+def _(spark, sf):
+    return issues.trace_to_scenarios(*traces(spark, sf))
