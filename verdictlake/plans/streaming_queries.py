@@ -1,0 +1,113 @@
+"""Streams over the given tables. Each query writes a derived table in several
+files to the shared folder, reads it as a stream to its end, and returns the
+result, which must equal the batch operator on the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdictlake.plans import bindings as fx
+from verdictlake.plans.registry import query
+from verdictlake.plans.replay_queries import HEX_TOKEN, REPLAY_SQL, reported
+from verdictlake.session import work_path
+from verdictlake.streaming import feeds, stateful
+
+
+def as_stream(rows: DataFrame, session: SparkSession, name: str, files: int = 2) -> DataFrame:
+    """``rows`` written once and opened as a stream of two micro-batches."""
+    path = work_path(session, name)
+    rows.repartition(files).write.parquet(path)
+    return session.readStream.schema(rows.schema).option("maxFilesPerTrigger", (files + 1) // 2).parquet(path)
+
+
+def _timed(rows: DataFrame, column: str = "created_at") -> DataFrame:
+    return rows.withColumn(column, F.col(column).cast("timestamp"))
+
+
+@query("stream_event_feed", """
+SELECT run_id, seq, '    ~ [' || stage || '] ' || message || '  (k=' || json_extract_string(data, '$.k') || ')' AS line
+FROM fx_run_events""", "fx_run_events")
+def _(spark, sf):
+    """Every fifth event is sent twice."""
+    events = _timed(fx.run_events(spark, sf))
+    resent = events.unionByName(events.filter("seq % 5 = 0"))
+    fed = feeds.stream_event_feed(as_stream(resent, spark, "events"), delay="60 days")
+    return spark.read.parquet(feeds.run_available(fed, spark, "event-feed")).drop("created_at")
+
+
+@query("stream_run_status", """
+WITH s AS (SELECT run_id, seq, CASE WHEN stage = 'purchase' AND seq > 60 THEN 'succeeded'
+                  WHEN stage = 'error' AND seq > 62 THEN 'failed' ELSE 'running' END AS status FROM fx_run_events),
+d AS (SELECT run_id, arg_min(status, seq) AS status FROM s WHERE status <> 'running' GROUP BY run_id)
+SELECT r.run_id, COALESCE(d.status, 'running') AS status, max(r.seq) AS last_seq
+FROM s r LEFT JOIN d ON d.run_id = r.run_id GROUP BY r.run_id, d.status""", "fx_run_events")
+def _(spark, sf):
+    out = feeds.run_available(feeds.stream_run_status(as_stream(status_rows(spark, sf), spark, "status")),
+                              spark, "run-status", "update")
+    return feeds.latest_update(spark, out, ["run_id"])
+
+
+def status_rows(spark: SparkSession, sf: str) -> DataFrame:
+    status = (F.when((F.col("stage") == "purchase") & (F.col("seq") > 60), "succeeded")
+              .when((F.col("stage") == "error") & (F.col("seq") > 62), "failed").otherwise("running"))
+    return _timed(fx.run_events(spark, sf)).select("run_id", "seq", status.alias("status"), "created_at")
+
+
+# Which runs time out depends on where the watermark stands, so rows only.
+@query("stream_stalled_runs")
+def _(spark, sf):
+    session = stateful.state_session(spark)
+    flagged = stateful.stream_stalled_runs(as_stream(status_rows(spark, sf), session, "stalled"), 3600)
+    return feeds.latest_update(spark, feeds.run_available(flagged, session, "stalled-runs", "update"), ["run_id"])
+
+
+@query("idempotent_turns", "SELECT rollout_id, turn_idx, role, content FROM fx_turns", "fx_turns")
+def _(spark, sf):
+    turns = fx.turns(spark, sf).withColumn("recorded_at", F.expr(
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, turn_idx)"))
+    resent = turns.unionByName(turns.filter("turn_idx % 2 = 1"))
+    once = feeds.idempotent_turns(as_stream(resent, spark, "turns"), delay="30 days")
+    return spark.read.parquet(feeds.run_available(once, spark, "idempotent-turns")).drop("recorded_at")
+
+
+@query("stream_redaction", rf"""
+SELECT rollout_id, turn_idx, role, regexp_replace(content, '{HEX_TOKEN}', '[REDACTED:custom-0]', 'g') AS content
+FROM fx_turns""", "fx_turns")
+def _(spark, sf):
+    clean = feeds.stream_redaction(as_stream(fx.turns(spark, sf), spark, "live-turns"), [HEX_TOKEN])
+    return spark.read.parquet(feeds.run_available(clean, spark, "stream-redaction"))
+
+
+@query("stream_usage", """
+SELECT epoch_us(time_bucket(INTERVAL 1 DAY, created_at)) AS bucket, count(*) AS requests,
+       count(*) FILTER (status >= 400) AS errors FROM fx_requests GROUP BY 1""", "fx_requests")
+def _(spark, sf):
+    requests = _timed(fx.requests(spark, sf)).select("created_at", "status")
+    out = feeds.run_available(feeds.stream_usage(as_stream(requests, spark, "requests"), "1 day", "60 days"),
+                              spark, "stream-usage", "update")
+    return feeds.latest_update(spark, out, ["bucket"]).withColumn("bucket", F.unix_micros("bucket"))
+
+
+@query("stream_replay_check", REPLAY_SQL + """
+SELECT r.rollout_id, r.seq, r.name, r.result_id, e.result_id AS want_id, r.error, e.error AS want_error
+FROM reported r JOIN replayed e ON e.rollout_id = r.rollout_id AND e.seq = r.seq
+WHERE r.result_id IS DISTINCT FROM e.result_id OR r.error IS DISTINCT FROM e.error""", "fx_tool_events")
+def _(spark, sf):
+    session = stateful.state_session(spark)
+    boxes = fx.sandboxes(spark, sf).select("rollout_id", "seed", F.col("fail_tools").alias("planted"), "version")
+    inputs = fx.tool_events(spark, sf).select("rollout_id", "seq", "input")
+    calls = (reported(spark, sf).join(inputs, ["rollout_id", "seq"]).join(boxes, "rollout_id")
+             .withColumn("external", F.lit(False)))
+    checked = stateful.stream_replay_check(as_stream(calls, session, "calls"))
+    return spark.read.parquet(feeds.run_available(checked, session, "replay-check"))
+
+
+@query("stream_pass_rate", """
+SELECT check_id, count(*) AS evaluated, count(*) FILTER (passed) AS passed,
+       count(*) FILTER (passed) * 1.0::DOUBLE / count(*) AS pass_rate FROM fx_evaluations GROUP BY check_id""",
+       "fx_evaluations")
+def _(spark, sf):
+    verdicts = fx.evaluations(spark, sf).select("check_id", "passed")
+    out = feeds.run_available(feeds.stream_pass_rate(as_stream(verdicts, spark, "verdicts")), spark, "pass-rate", "update")
+    return feeds.latest_update(spark, out, ["check_id"])
