@@ -5,106 +5,97 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sections with their keys, number ranges, defaults.
+# Per section its keys; per key the type, then a number's range.
 SECTIONS = {
-    "": ["version", "agent", "run", "thresholds", "baseline", "telemetry", "output"],
-    "agent": ["entrypoint", "meta"],
-    "run": ["dataset", "max_turns", "concurrency", "repeats", "timeout_minutes"],
-    "thresholds": ["pass_rate", "min_scenarios"],
-    "baseline": ["branch", "max_regression"],
-    "telemetry": ["redact"],
-    "telemetry.redact": ["enabled", "patterns"],
+    "": {"version": ("integer", 1, 1), "agent": ("mapping",), "run": ("mapping",), "thresholds": ("mapping",),
+         "baseline": ("mapping",), "telemetry": ("mapping",), "output": ("text",)},
+    "agent": {"entrypoint": ("text",), "meta": ("mapping",)},
+    "run": {"dataset": ("dataset",), "max_turns": ("integer", 2, 40), "concurrency": ("integer", 1, None),
+            "repeats": ("integer", 1, 5), "timeout_minutes": ("number", 1, None)},
+    "thresholds": {"pass_rate": ("number", 0, 1), "min_scenarios": ("integer", 1, None)},
+    "baseline": {"branch": ("text",), "max_regression": ("number", 0, 1)},
+    "telemetry": {"redact": ("mapping",)},
+    "telemetry.redact": {"enabled": ("boolean",), "patterns": ("texts",)},
 }
-NUMBERS = {  # path: (integer, minimum, maximum)
-    "version": (True, None, None),
-    "run.max_turns": (True, 2, 40),
-    "run.concurrency": (True, 1, None),
-    "run.repeats": (True, 1, 5),
-    "run.timeout_minutes": (False, 1, None),
-    "thresholds.pass_rate": (False, 0, 1),
-    "thresholds.min_scenarios": (True, 1, None),
-    "baseline.max_regression": (False, 0, 1),
-}
-TEXTS = ["agent.entrypoint", "run.dataset", "baseline.branch", "output"]
-MAPPINGS = ["", "agent", "agent.meta", "run", "thresholds", "baseline", "telemetry", "telemetry.redact"]
 DATASET_ID = "^ds_[a-z0-9]+$"
 DEFAULTS = {"max_turns": 12, "concurrency": 4, "repeats": 1, "timeout_minutes": 30.0,
             "min_scenarios": 1, "baseline_branch": "main"}
 
 
-def _kind(path: str) -> Column:
-    """Type of the value at ``path``: NULL where absent or null."""
-    text = F.schema_of_variant(F.variant_get("_config", f"$.{path}" if path else "$", "variant"))
-    kind = F.regexp_extract(text, "^[A-Z]+", 0)
-    return F.when(kind != "VOID", kind)
-
+def _literal_map(items: dict[str, Column]) -> Column:
+    return F.create_map(*[c for key, value in items.items() for c in (F.lit(key), value)])
 
-def _is_number(kind: Column) -> Column:
-    return kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
 
+def _entries_to_check(run_configs: DataFrame) -> DataFrame:
+    """(run, section, key, value) for every key of every section, and a NULL
+    value for each required key that is missing."""
+    entries = "map<string,variant>"
+    root = run_configs.select("run_id", F.from_json("raw_config", entries).alias("root"))
 
-def _issue(path: str, bad: Column, text: str | Column) -> Column:
-    said = F.lit(text) if isinstance(text, str) else text
-    return F.when(F.coalesce(bad, F.lit(False)), F.array(F.struct(F.lit(path).alias("path"), said.alias("issue")))) \
-        .otherwise(F.array().cast("array<struct<path:string,issue:string>>"))
+    def inside(parent: Column, key: str) -> Column:
+        return F.try_variant_get(F.try_element_at(parent, F.lit(key)), "$", entries)
 
+    def absent(parent: Column, key: str) -> Column:
+        known = F.coalesce(F.map_contains_key(parent, key), F.lit(False))
+        return F.when(~known, F.create_map(F.lit(key), F.lit(None).cast("variant")))
 
-def _unknown_keys(section: str, allowed: list[str]) -> Column:
-    whole = F.col("raw_config")
-    part = F.get_json_object(whole, f"$.{section}") if section else whole
-    keys = F.when(_kind(section) == "OBJECT", F.json_object_keys(part))
-    extra = F.array_except(keys, F.array(*[F.lit(k) for k in allowed]))
-    prefix = f"{section}." if section else ""
-    text = f"unknown key (allowed: {', '.join(allowed)})"
-    rows = F.transform(extra, lambda k: F.struct(F.concat(F.lit(prefix), k).alias("path"),
-                                                 F.lit(text).alias("issue")))
-    return F.coalesce(rows, F.array().cast("array<struct<path:string,issue:string>>"))
+    split = root.select("run_id", "root", *[inside(F.col("root"), k).alias(k) for k in SECTIONS if k and "." not in k])
+    split = split.withColumn("redact", inside(F.col("telemetry"), "redact"))
+    parts = {"": "root", **{k: k for k in SECTIONS if k and "." not in k}, "telemetry.redact": "redact"}
+    listed = [(F.lit(section), F.col(column)) for section, column in parts.items()]
+    listed += [(F.lit(""), absent(F.col("root"), "version")), (F.lit("agent"), absent(F.col("agent"), "entrypoint"))]
+    sections = F.array(*[F.struct(name.alias("section"), keys.alias("keys")) for name, keys in listed])
+    return (split.select("run_id", F.inline(sections))
+            .select("run_id", "section", F.explode("keys").alias("key", "value")))
 
 
 def config_violations(run_configs: DataFrame) -> DataFrame:
     """One row per (run, dotted path, issue) of ``raw_config`` (JSON text).
 
-    Unknown keys are fatal at every level. All rules are column expressions over
-    one parsed variant, so a run is checked in one pass without a shuffle.
+    The text is parsed once and opened into one row per key; the rules are a
+    small literal table each row looks itself up in. Unknown keys are fatal at
+    every level. There is no shuffle.
     """
-    found = [_unknown_keys(section, allowed) for section, allowed in SECTIONS.items()]
-    for path in MAPPINGS:
-        found.append(_issue(path, _kind(path) != "OBJECT", "expected a mapping"))
-    for path, (whole, low, high) in NUMBERS.items():
-        kind = _kind(path)
-        value = F.try_variant_get("_config", f"$.{path}", "double")
-        number, fits = _is_number(kind), kind == "BIGINT"
-        found.append(_issue(path, ~number, "expected a number"))
-        sound = number
-        if whole:
-            found.append(_issue(path, number & ~fits, "expected an integer"))
-            sound = fits
-        if low is not None:
-            found.append(_issue(path, sound & (value < low), f"must be >= {low}"))
-        if high is not None:
-            found.append(_issue(path, sound & (value > high), f"must be <= {high}"))
-    version = F.try_variant_get("_config", "$.version", "double")
-    found.append(_issue("version", ~F.coalesce((_kind("version") == "BIGINT") & (version == 1), F.lit(False)),
-                        "must be 1"))
-    for path in TEXTS:
-        value = F.try_variant_get("_config", f"$.{path}", "string")
-        found.append(_issue(path, (_kind(path) != "STRING") | (F.trim(value) == ""), "expected a non-empty string"))
-    dataset = F.try_variant_get("_config", "$.run.dataset", "string")
-    found.append(_issue("run.dataset", (_kind("run.dataset") == "STRING") & (F.trim(dataset) != "")
-                        & ~dataset.rlike(DATASET_ID), "expected a ds_… dataset id"))
-    # An entry point of the wrong type is reported as such and not as missing.
-    found.append(_issue("agent.entrypoint", _kind("agent.entrypoint").isNull(), "required"))
-    patterns = F.variant_get("_config", "$.telemetry.redact.patterns", "variant")
-    texts = F.try_variant_get("_config", "$.telemetry.redact.patterns", "array<variant>")
-    mixed = F.exists(texts, lambda p: ~F.schema_of_variant(p).startswith("STRING"))
-    kind = _kind("telemetry.redact.patterns")
-    found.append(_issue("telemetry.redact.patterns", patterns.isNotNull() & ((kind != "ARRAY") | mixed),
-                        "expected a list of regex strings"))
-    # An explicit null is no boolean either; only an absent key takes the default.
-    stated = F.schema_of_variant(F.variant_get("_config", "$.telemetry.redact.enabled", "variant"))
-    found.append(_issue("telemetry.redact.enabled", stated != "BOOLEAN", "expected true or false"))
-    return (run_configs.select("run_id", "raw_config", F.try_parse_json("raw_config").alias("_config"))
-            .select("run_id", F.inline(F.concat(*found))))
+    rules = {f"{s}.{k}" if s else k: F.struct(
+        F.lit(rule[0]).alias("type"), F.lit(rule[1] if len(rule) > 1 else None).cast("int").alias("low"),
+        F.lit(rule[2] if len(rule) > 2 else None).cast("int").alias("high"))
+        for s, keys in SECTIONS.items() for k, rule in keys.items()}
+    allowed = {s: F.lit(f"unknown key (allowed: {', '.join(keys)})") for s, keys in SECTIONS.items()}
+    path = F.when(F.col("section") == "", F.col("key")).otherwise(F.concat_ws(".", "section", "key"))
+    kind_text = F.substring_index(F.substring_index(F.schema_of_variant("value"), "<", 1), "(", 1)
+    kind = F.col("kind")
+    numeric, whole = kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), kind == "BIGINT"
+    rows = (_entries_to_check(run_configs)
+            .select("run_id", "section", path.alias("path"), "value", kind_text.alias("stated"))
+            .select("*", F.nullif("stated", F.lit("VOID")).alias("kind"),
+                    F.try_element_at(_literal_map(rules), F.col("path")).alias("rule"))
+            # Values are taken out only where their type allows it.
+            .select("*", F.when(numeric, F.try_variant_get("value", "$", "double")).alias("number"),
+                    F.when(kind == "STRING", F.try_variant_get("value", "$", "string")).alias("text"),
+                    F.when(kind == "ARRAY", F.try_variant_get("value", "$", "array<variant>")).alias("items")))
+
+    number, text = F.col("number"), F.col("text")
+    wanted, low, high = F.col("rule.type"), F.col("rule.low"), F.col("rule.high")
+    mixed = F.exists("items", lambda p: F.schema_of_variant(p) != "STRING")
+    # Issue texts. One value has one issue, the first that applies.
+    issue = (F.when(F.col("rule").isNull(), F.try_element_at(_literal_map(allowed), F.col("section")))
+             .when((wanted == "mapping") & (kind != "OBJECT"), "expected a mapping")
+             .when(wanted.isin("integer", "number") & ~numeric, "expected a number")
+             .when((wanted == "integer") & ~whole, "expected an integer")
+             .when((F.col("path") == "version") & ~F.coalesce(number == 1, F.lit(False)), "must be 1")
+             .when(number < low, F.concat(F.lit("must be >= "), low))
+             .when(number > high, F.concat(F.lit("must be <= "), high))
+             .when(wanted.isin("text", "dataset") & ((kind != "STRING") | (F.trim(text) == "")),
+                   "expected a non-empty string")
+             .when((wanted == "dataset") & ~text.rlike(DATASET_ID), "expected a ds_… dataset id")
+             .when((F.col("path") == "agent.entrypoint") & kind.isNull(), "required")
+             .when((wanted == "boolean") & (F.col("stated") != "BOOLEAN"), "expected true or false")
+             .when((wanted == "texts") & ((kind != "ARRAY") | mixed), "expected a list of regex strings"))
+    # A version of the wrong type is, beside that, not 1. The filter is on the
+    # exploded column, where it cannot be pushed down and repeat the rules.
+    second = F.when((F.col("path") == "version") & kind.isNotNull() & ~whole, "must be 1")
+    return (rows.select("run_id", "path", F.explode(F.array(issue, second)).alias("issue"))
+            .filter("issue IS NOT NULL"))
 
 
 def merge_config(rows: DataFrame) -> DataFrame:

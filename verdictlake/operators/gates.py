@@ -128,7 +128,7 @@ def render_summary(gated: DataFrame, weakest: DataFrame) -> DataFrame:
                     F.coalesce(F.col("title"), F.col("scenario_id").cast("string")), family,
                     F.coalesce(F.concat(F.lit("\n         ↳ "), "top_issue"), F.lit("")))
     listed = (weakest.groupBy("check_id")
-              .agg(F.array_sort(F.collect_list(F.struct("place", line.alias("line")))).alias("lines"))
+              .agg(F.sort_array(F.collect_list(F.struct("place", line.alias("line")))).alias("lines"))
               .select("check_id", F.concat_ws("\n", F.lit(""), F.lit("  weakest scenarios:"),
                                               F.col("lines.line")).alias("weak_text")))
     rate, base = round4(F.col("pass_rate")), round4(F.col("baseline_rate"))

@@ -31,7 +31,7 @@ def paged_record(*sections: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
         rows = rows.unionByName(other)
     return (rows.withColumn("page", F.floor(F.col("ord") / page_size))
             .groupBy("id", "section", "page")
-            .agg(F.array_sort(F.collect_list(F.struct("ord", "item"))).alias("items"))
+            .agg(F.sort_array(F.collect_list(F.struct("ord", "item"))).alias("items"))
             .select("id", "section", "page", F.col("items.item").alias("items")))
 
 

@@ -33,12 +33,23 @@ def unjudged_rollouts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
     return rollouts.join(evaluations.select("rollout_id"), "rollout_id", "left_anti")
 
 
-def scenario_scorecard(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """Judged repeats, passes and rate per (check, scenario)."""
+def played_scenarios(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """The common base of scorecard and totals, one row per (check, scenario):
+    rollouts, completed, judged repeats, passes."""
     return (attach_verdicts(rollouts, evaluations)
             .groupBy("check_id", "scenario_id")
-            .agg(F.count("verdict").alias("repeats"), F.count_if("verdict").alias("passed"))
-            .withColumn("pass_rate", rate_of(F.col("passed"), F.col("repeats"), 0.0)))
+            .agg(F.count("*").alias("rollouts"), F.count_if(F.col("status") == "completed").alias("completed"),
+                 F.count("verdict").alias("repeats"), F.count_if("verdict").alias("passed")))
+
+
+def scenario_scorecard(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """Judged repeats, passes and rate per (check, scenario)."""
+    return scorecard_of(played_scenarios(rollouts, evaluations))
+
+
+def scorecard_of(played: DataFrame) -> DataFrame:
+    return played.select("check_id", "scenario_id", "repeats", "passed",
+                         rate_of(F.col("passed"), F.col("repeats"), 0.0).alias("pass_rate"))
 
 
 def attach_scenario_meta(rows: DataFrame, meta: DataFrame) -> DataFrame:
@@ -53,13 +64,18 @@ def attach_scenario_meta(rows: DataFrame, meta: DataFrame) -> DataFrame:
 def suite_totals(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
     """One row per check; every verdict counts, re-judgements included."""
     played = rollouts.groupBy("check_id", "scenario_id").agg(
-        F.count("*").alias("n"), F.count_if(F.col("status") == "completed").alias("done"))
-    played = played.groupBy("check_id").agg(
-        F.count("*").alias("scenarios"), F.sum("n").alias("rollouts"), F.sum("done").alias("completed"))
+        F.count("*").alias("rollouts"), F.count_if(F.col("status") == "completed").alias("completed"))
+    return totals_of(played, evaluations)
+
+
+def totals_of(played: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """Suite totals from rows per (check, scenario), e.g. `played_scenarios`."""
+    suites = played.groupBy("check_id").agg(
+        F.count("*").alias("scenarios"), F.sum("rollouts").alias("rollouts"), F.sum("completed").alias("completed"))
     judged = evaluations.groupBy("check_id").agg(
         F.count("*").alias("evaluated"), F.count_if("passed").alias("passed"))
     zero = F.lit(0).cast("bigint")
-    return (played.join(judged, "check_id", "left")
+    return (suites.join(judged, "check_id", "left")
             .withColumns({c: F.coalesce(c, zero) for c in ("evaluated", "passed")})
             .withColumn("pass_rate", rate_of(F.col("passed"), F.col("evaluated"), 0.0)))
 

@@ -50,10 +50,10 @@ def normal_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def word_set(text: Column) -> Column:
-    """Distinct words in order: equal for texts that differ in case,
-    punctuation, word order or repetition."""
-    return F.array_join(F.array_sort(F.array_distinct(F.split(normal_text(text), " "))), " ")
+def word_set(normal: Column) -> Column:
+    """Distinct words of a normal text in order: equal for texts that differ in
+    case, punctuation, word order or repetition."""
+    return F.array_join(F.sort_array(F.array_distinct(F.split(normal, " "))), " ")
 
 
 def validation_diversity(rows: DataFrame, key: str = "dataset_id") -> DataFrame:
@@ -62,8 +62,9 @@ def validation_diversity(rows: DataFrame, key: str = "dataset_id") -> DataFrame:
     A near-duplicate repeats the word set of an earlier row. Texts are grouped
     by hash, so copies are counted, never paired.
     """
-    hashed = rows.select(key, "task_family", F.sha2(normal_text(F.col("text")), 256).alias("exact"),
-                         F.sha2(word_set(F.col("text")), 256).alias("near"))
+    hashed = (rows.select(key, "task_family", normal_text(F.col("text")).alias("normal"))
+              .select(key, "task_family", F.sha2("normal", 256).alias("exact"),
+                      F.sha2(word_set(F.col("normal")), 256).alias("near")))
     # Two grains in one shuffle each: (near, exact) within the key, then the key.
     texts = (hashed.groupBy(key, "near", "exact").agg(F.count("*").alias("n"))
              .groupBy(key, "near").agg(F.sum("n").alias("n"), F.count("*").alias("exact"))

@@ -75,9 +75,9 @@ def _(spark, sf):
 
 
 @query("tier_scorecard", """
-SELECT l_returnflag AS tier, count(*) AS simulations, sum(l_linenumber) AS goals_met, sum(7) AS goals_total,
-       sum(CASE WHEN l_tax > 0.05 THEN 1 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END) AS violations,
-       sum(CAST(l_quantity AS INT)) AS tool_calls, sum(l_linenumber) * 1.0::DOUBLE / sum(7) AS goal_rate
+SELECT l_returnflag AS tier, count(*) AS simulations, sum(l_linenumber)::BIGINT AS goals_met, sum(7)::BIGINT AS goals_total,
+       sum(CASE WHEN l_tax > 0.05 THEN 1 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END)::BIGINT AS violations,
+       sum(CAST(l_quantity AS INT))::BIGINT AS tool_calls, sum(l_linenumber) * 1.0::DOUBLE / sum(7) AS goal_rate
 FROM lineitem GROUP BY l_returnflag""")
 def _(spark, sf):
     rows = fx.table(spark, sf, "lineitem").selectExpr(
@@ -87,7 +87,7 @@ def _(spark, sf):
 
 
 @query("voice_stats", """
-SELECT o_orderstatus AS status, count(*) AS renders, sum(CAST(floor(o_totalprice) AS BIGINT)) AS duration_ms,
+SELECT o_orderstatus AS status, count(*) AS renders, sum(CAST(floor(o_totalprice) AS BIGINT))::BIGINT AS duration_ms,
        count(*) * 1.0::DOUBLE / (SELECT count(*) FROM orders) AS share,
        sum(o_custkey) * 60000.0::DOUBLE / sum(CAST(floor(o_totalprice) AS BIGINT)) AS wpm
 FROM orders GROUP BY o_orderstatus""")
@@ -285,10 +285,10 @@ def nested_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations in document form, as a producer would write them."""
     turns = fx.table(spark, sf, "conversations").filter("role <> 'system'")
     said = turns.groupBy(F.col("conv_id").cast("string").alias("rollout_id")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", F.when(F.col("role") == "user", "user").otherwise("agent").alias("role"),
+        F.sort_array(F.collect_list(F.struct("turn", F.when(F.col("role") == "user", "user").otherwise("agent").alias("role"),
                                              F.col("text").alias("content")))).alias("t"))
     events = fx.tool_events(spark, sf).groupBy(F.col("rollout_id").cast("string").alias("rollout_id")).agg(
-        F.array_sort(F.collect_list(F.struct("seq", "name", "input", "is_error"))).alias("tool_events"))
+        F.sort_array(F.collect_list(F.struct("seq", "name", "input", "is_error"))).alias("tool_events"))
     return said.join(events, "rollout_id", "full").select(
         "rollout_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("transcript"),
         "tool_events", F.lit("kept out").alias("unknown_field"))

@@ -201,7 +201,7 @@ def _(spark, sf):
     rows = ci_rows(spark, sf)
     meta = F.create_map(*[x for k, c in (("branch", "head_ref"), ("commit_sha", "sha"), ("repo", "repo"),
                                          ("run_id", "ci_run_id"), ("token", "ci_run_id")) for x in (F.lit(k), F.col(c))])
-    kept = F.array_sort(F.map_entries(pv.compact_metadata(meta)))
+    kept = F.sort_array(F.map_entries(pv.compact_metadata(meta)))
     shown = F.array_join(F.transform(kept, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     block = pv.agent_metadata(F.create_map(F.lit("name"), F.lit('"bot"')), F.col("repo"), F.col("head_ref"), F.col("sha"))
     return rows.select("run_id", shown.alias("meta"), F.try_element_at(block, F.lit("ci")).alias("ci_block"))

@@ -88,7 +88,7 @@ WITH marks AS (
   UNION ALL SELECT rollout_id, ts, 1, seq FROM fx_tool_events),
 seen AS (SELECT *, sum(CASE WHEN kind = 0 THEN 1 ELSE 0 END) OVER (
            PARTITION BY rollout_id ORDER BY moment, kind, seq) AS n FROM marks)
-SELECT rollout_id, seq, CAST(greatest(0, n - 1) AS INT) AS turn_idx FROM seen WHERE kind = 1""",
+SELECT rollout_id, CAST(seq AS BIGINT) AS seq, CAST(greatest(0, n - 1) AS INT) AS turn_idx FROM seen WHERE kind = 1""",
        "fx_turns fx_tool_events")
 def _(spark, sf):
     turns = fx.turns(spark, sf).withColumn("at", F.expr(

@@ -70,10 +70,12 @@ SELECT s.check_id, s.scenario_id, s.repeats, s.passed, s.pass_rate, t.evaluated,
        CASE WHEN t.evaluated >= 1 AND t.pass_rate >= 0.8::DOUBLE THEN 'passed' ELSE 'failed' END AS status
 FROM fx_scorecard s JOIN fx_totals t ON s.check_id = t.check_id""", "fx_scorecard fx_totals")
 def flagship(spark, sf):
-    gate = gates.gate(totals(spark, sf), configs(spark, sf).drop("session_id").withColumn(
+    verdicts = fx.evaluations(spark, sf)
+    played = sc.played_scenarios(fx.rollouts(spark, sf), verdicts)
+    gate = gates.gate(sc.totals_of(played, verdicts), configs(spark, sf).drop("session_id").withColumn(
         "max_regression", F.lit(None).cast("double")))
     suite = gate.select("check_id", "evaluated", F.col("pass_rate").alias("suite_rate"), "status")
-    return scorecard(spark, sf).join(suite, "check_id")
+    return sc.scorecard_of(played).join(suite, "check_id")
 
 
 @query("attach_verdicts", """

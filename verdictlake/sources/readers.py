@@ -61,7 +61,7 @@ def chat_messages(turns: DataFrame, page_size: int = 1000) -> DataFrame:
     role = F.when(F.col("role") == "agent", "assistant").otherwise(F.col("role"))
     message = F.struct("turn_idx", role.alias("role"), "content")
     return (turns.withColumn("page", F.floor(F.col("turn_idx") / page_size).cast("int"))
-            .groupBy("rollout_id", "page").agg(F.array_sort(F.collect_list(message)).alias("m"))
+            .groupBy("rollout_id", "page").agg(F.sort_array(F.collect_list(message)).alias("m"))
             .select("rollout_id", "page", F.transform(
                 "m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages")))
 
