@@ -32,17 +32,14 @@ def canonical_json(text: Column) -> Column:
     return _canonical_batch(text)
 
 
-def call_hash(name: Column, tool_input: Column, version: Column, seed: Column) -> Column:
-    """First 8 hex digits of SHA-256 over ``[name, input, version, seed]``."""
-    return call_digest(call_key(name, tool_input), version, seed)
-
-
 def call_key(name: Column, tool_input: Column) -> Column:
     """The part of the hashed text that needs JSON parsing: ``[name, input``."""
     return _call_key_batch(name, tool_input)
 
 
-def call_digest(key: Column, version: Column, seed: Column) -> Column:
-    text = F.concat(key, F.lit(", "), version.cast("string"), F.lit(", "),
+def call_hash(name: Column, tool_input: Column, version: Column, seed: Column) -> Column:
+    """First 8 hex digits of SHA-256 over ``[name, input, version, seed]``. Only
+    the JSON part crosses to Python; hashing stays in the JVM."""
+    text = F.concat(call_key(name, tool_input), F.lit(", "), version.cast("string"), F.lit(", "),
                     seed.cast("string"), F.lit("]"))
     return F.substring(F.sha2(text, 256), 1, 8)

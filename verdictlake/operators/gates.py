@@ -10,20 +10,21 @@ from verdictlake.operators.ordered import carry_last, day_block
 from verdictlake.operators.scorecard import latest_check_summary, latest_per_session, rate_of
 
 
-def baseline_for(runs: DataFrame, checks: DataFrame, totals: DataFrame) -> DataFrame:
+def baseline_for(runs: DataFrame, checks: DataFrame, verdicts: DataFrame) -> DataFrame:
     """As-of join: for each run the newest succeeded check of its session on its
     baseline branch, strictly earlier than the run. The newest is taken first
     and then dropped if nothing was evaluated; older ones are no substitute.
 
     Runs and candidates are merged in time and the last candidate is carried
     forward, so a session with most of the checks is cut by day rather than
-    joined against itself. Candidate totals are attached before the merge, one
+    joined against itself. ``verdicts(check_id, evaluated, passed)`` are
+    attached to candidates before the merge, one
     row per check to one row per check.
     """
     at = F.struct("check_id", "evaluated", "passed")
     candidates = (checks.filter("status = 'succeeded'")
                   .select("check_id", "session_id", "branch", "created_at")
-                  .join(totals.select("check_id", "evaluated", "passed"), "check_id", "left")
+                  .join(verdicts.select("check_id", "evaluated", "passed"), "check_id", "left")
                   .groupBy("session_id", "branch", "created_at")
                   .agg(F.max_by(at, "check_id").alias("candidate"))
                   .select("session_id", "branch", "created_at", F.lit(1).alias("kind"),

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdictlake.functions.canonical import call_digest, call_key
+from verdictlake.functions.canonical import call_hash
 from verdictlake.operators.ordered import carry_last, hour_block, number_block, prefix_sums
 
 
@@ -21,43 +21,57 @@ def _external(events: DataFrame) -> Column:
     return F.coalesce("external", F.lit(False)) if "external" in events.columns else F.lit(False)
 
 
-def first_call_fault(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """Add ``is_fault``: the first call of a rollout to a tool planted to fail.
+def planted_faults(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
+    """Sandboxes with ``faults``, the calls that hit a planted fault: the first
+    call of the rollout to each tool planted to fail.
 
-    Firsts are a partial aggregate, one row per (rollout, tool); they return on
-    (rollout, seq), so a rollout with very many calls stays spread out.
+    Firsts are a partial aggregate, one row per (rollout, tool); the list is
+    never longer than the sandbox's own ``fail_tools``.
     """
-    firsts = events.groupBy("rollout_id", "name").agg(F.min("seq").alias("seq"))
-    faults = (firsts.join(sandboxes.select("rollout_id", "fail_tools"), "rollout_id")
-              .filter("array_contains(fail_tools, name)")
-              .select("rollout_id", "seq", F.lit(True).alias("is_fault")))
-    return (events.join(faults, ["rollout_id", "seq"], "left")
-            .withColumn("is_fault", F.coalesce("is_fault", F.lit(False))))
+    first = F.min(F.struct("seq", _external(events).alias("external"))).alias("first")
+    hits = (events.groupBy("rollout_id", "name").agg(first)
+            .join(sandboxes.select("rollout_id", "fail_tools"), "rollout_id")
+            .filter("array_contains(fail_tools, name)")
+            .groupBy("rollout_id").agg(F.collect_list("first").alias("faults")))
+    none = F.array().cast(hits.schema["faults"].dataType)
+    return (sandboxes.join(hits, "rollout_id", "left")
+            .select("rollout_id", "seed", "version", F.coalesce("faults", none).alias("faults")))
+
+
+def _is_fault() -> Column:
+    return F.exists(F.coalesce("faults", F.array()), lambda f: f["seq"] == F.col("seq"))
+
+
+def first_call_fault(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
+    """Add ``is_fault``: the call hits a planted fault. Each rollout brings one
+    row to the join, so a rollout with very many calls is split by AQE."""
+    return (events.join(planted_faults(events, sandboxes).select("rollout_id", "faults"), "rollout_id", "left")
+            .withColumn("is_fault", F.coalesce(_is_fault(), F.lit(False))).drop("faults"))
 
 
 def state_version(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """Add ``is_fault``, ``seed`` and the state ``version`` each call saw."""
-    flagged = first_call_fault(events, sandboxes)
-    advances = (~F.col("is_fault") & ~_external(events)).cast("bigint")
-    counted = prefix_sums(flagged, ["rollout_id"], ["seq"], number_block("seq"), earlier=advances)
-    start = sandboxes.select("rollout_id", "seed", F.col("version").alias("start"))
+    """Add ``is_fault``, ``seed`` and the state ``version`` each call saw: the
+    start version, plus earlier synthetic calls, less those that were faults."""
+    synthetic = (~_external(events)).cast("bigint")
+    counted = prefix_sums(events, ["rollout_id"], ["seq"], number_block("seq"), earlier=synthetic)
+    start = planted_faults(events, sandboxes).withColumnRenamed("version", "start")
+    failed = F.size(F.filter("faults", lambda f: (f["seq"] < F.col("seq")) & ~f["external"]))
+    version = F.coalesce("start", F.lit(0)) + F.col("earlier") - F.coalesce(failed, F.lit(0))
     return (counted.join(start, "rollout_id", "left")
-            .withColumn("version", F.coalesce("start", F.lit(0)) + F.col("earlier"))
-            .drop("start", "earlier"))
+            .withColumns({"is_fault": F.coalesce(_is_fault(), F.lit(False)), "version": version})
+            .drop("start", "earlier", "faults"))
 
 
 def tool_replay(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
     """Add the expected output of each call: ``result_id`` or ``error``; both
     NULL for external calls, whose output only the agent knows."""
-    # JSON is parsed before the shuffles: the hashed prefix replaces the input.
-    keyed = events.withColumn("_key", call_key(F.col("name"), F.col("input")))
-    seen = state_version(keyed, sandboxes)
+    seen = state_version(events, sandboxes)
     synthetic = ~_external(events)
-    digest = call_digest(F.col("_key"), F.col("version"), F.coalesce("seed", F.lit(0)))
+    digest = call_hash(F.col("name"), F.col("input"), F.col("version"), F.coalesce("seed", F.lit(0)))
     return seen.withColumns({
         "result_id": F.when(synthetic & ~F.col("is_fault"), digest),
         "error": F.when(synthetic & F.col("is_fault"), F.concat("name", F.lit(" is unavailable"))),
-    }).drop("_key")
+    })
 
 
 def final_sandbox_state(replayed: DataFrame, sandboxes: DataFrame) -> DataFrame:

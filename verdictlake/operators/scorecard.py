@@ -72,14 +72,19 @@ def totals_of(played: DataFrame, evaluations: DataFrame) -> DataFrame:
     """Suite totals from rows per (check, scenario), e.g. `played_scenarios`."""
     suites = played.groupBy("check_id").agg(
         F.count("*").alias("scenarios"), F.sum("rollouts").alias("rollouts"), F.sum("completed").alias("completed"))
-    judged = evaluations.groupBy("check_id").agg(
-        F.count("*").alias("evaluated"), F.count_if("passed").alias("passed"))
+    judged = check_verdicts(evaluations)
     zero = F.lit(0).cast("bigint")
     return (suites.join(judged, "check_id", "left")
             .withColumns({c: F.coalesce(c, zero) for c in ("evaluated", "passed")})
             .withColumn("pass_rate", rate_of(F.col("passed"), F.col("evaluated"), 0.0)))
 
 
+def check_verdicts(evaluations: DataFrame) -> DataFrame:
+    """Evaluated and passed per check that has any verdict."""
+    return evaluations.groupBy("check_id").agg(
+        F.count("*").alias("evaluated"), F.count_if("passed").alias("passed"))
+
+
 def pooled_pass_rate(evaluations: DataFrame, by: list[str]) -> DataFrame:
     """Pass rate over all chunks and repeats of a group, NULL when empty."""
     return (evaluations.groupBy(*by)

@@ -281,16 +281,18 @@ def _(spark, sf):
         F.col("seq").alias("call"), "name")
 
 
-def nested_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversations in document form, as a producer would write them."""
-    turns = fx.table(spark, sf, "conversations").filter("role <> 'system'")
-    said = turns.groupBy(F.col("conv_id").cast("string").alias("rollout_id")).agg(
-        F.sort_array(F.collect_list(F.struct("turn", F.when(F.col("role") == "user", "user").otherwise("agent").alias("role"),
-                                             F.col("text").alias("content")))).alias("t"))
-    events = fx.tool_events(spark, sf).groupBy(F.col("rollout_id").cast("string").alias("rollout_id")).agg(
-        F.sort_array(F.collect_list(F.struct("seq", "name", "input", "is_error"))).alias("tool_events"))
-    return said.join(events, "rollout_id", "full").select(
-        "rollout_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("transcript"),
+def nested_documents(spark: SparkSession, sf: str, part: int = 1000) -> DataFrame:
+    """Conversations in document form, as a producer would write them, in parts
+    of at most ``part`` turns or events."""
+    turn = F.struct("turn_idx", "role", "content")
+    said = (fx.turns(spark, sf).withColumn("part", F.floor(F.col("turn_idx") / part))
+            .groupBy("rollout_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("transcript")))
+    call = F.struct("seq", "name", "input", "is_error")
+    called = (fx.tool_events(spark, sf).withColumn("part", F.floor(F.col("seq") / part))
+              .groupBy("rollout_id", "part").agg(F.sort_array(F.collect_list(call)).alias("tool_events")))
+    return said.join(called, ["rollout_id", "part"], "full").select(
+        F.col("rollout_id").cast("string").alias("rollout_id"), (F.col("part") * part).cast("int").alias("first_turn"),
+        F.transform("transcript", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("transcript"),
         "tool_events", F.lit("kept out").alias("unknown_field"))
 
 

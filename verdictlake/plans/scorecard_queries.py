@@ -21,7 +21,7 @@ def totals(spark: SparkSession, sf: str) -> DataFrame:
 def baselines(spark: SparkSession, sf: str) -> DataFrame:
     checks = fx.quality_checks(spark, sf)
     asked = checks.withColumn("baseline_branch", F.lit("main"))
-    return gates.baseline_for(asked, checks, totals(spark, sf))
+    return gates.baseline_for(asked, checks, sc.check_verdicts(fx.evaluations(spark, sf)))
 
 
 def configs(spark: SparkSession, sf: str) -> DataFrame:

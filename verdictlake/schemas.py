@@ -20,7 +20,7 @@ SCHEMAS = {
     "rollouts": "rollout_id string, scenario_id string, dataset_id string, status string, turn int, "
                 "max_turns int, random_seed bigint, end_reason string, agent_meta string, voiced boolean, "
                 "created_at timestamp, completed_at timestamp",
-    "transcripts": f"rollout_id string, transcript array<{TURN}>, tool_events array<{TOOL_EVENT}>",
+    "transcripts": f"rollout_id string, first_turn int, transcript array<{TURN}>, tool_events array<{TOOL_EVENT}>",
     "turns": "rollout_id string, turn_idx int, role string, content string, audio_url string",
     "tool_events": "rollout_id string, seq int, turn_idx int, name string, input string, output string, "
                    "is_error boolean, external boolean",

@@ -27,10 +27,12 @@ def project_known(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def flatten_transcripts(documents: DataFrame) -> DataFrame:
-    """Turns of nested transcripts: dense ``turn_idx`` and a role check."""
-    return (documents.select("rollout_id", F.posexplode("transcript").alias("turn_idx", "t"))
-            .select("rollout_id", "turn_idx", "t.role", "t.content", "t.audio_url",
-                    F.coalesce(F.col("t.role").isin(ROLES), F.lit(False)).alias("role_ok")))
+    """Turns of nested transcripts: dense ``turn_idx`` and a role check. A long
+    conversation may come in parts; ``first_turn`` says where a part begins."""
+    first = F.coalesce("first_turn", F.lit(0)) if "first_turn" in documents.columns else F.lit(0)
+    return (documents.select("rollout_id", first.alias("first"), F.posexplode("transcript").alias("pos", "t"))
+            .select("rollout_id", (F.col("first") + F.col("pos")).alias("turn_idx"), "t.role", "t.content",
+                    "t.audio_url", F.coalesce(F.col("t.role").isin(ROLES), F.lit(False)).alias("role_ok")))
 
 
 def read_transcripts(spark: SparkSession, path: str, fmt: str = "json",
