@@ -76,8 +76,7 @@ merged AS (
 
 
 def merged(spark: SparkSession, sf: str) -> DataFrame:
-    fx.table(spark, sf, "orders").createOrReplaceTempView("_vl_orders")
-    rows = spark.sql(FILES_SQL.replace("FROM orders", "FROM _vl_orders"))
+    rows = spark.sql(FILES_SQL.replace("FROM orders", "FROM {orders}"), orders=fx.table(spark, sf, "orders"))
     rows = rows.withColumns({c: F.col(c).cast("double") for c in ("file_pass_rate", "file_max_regression")})
     return config.merge_config(rows)
 
@@ -156,8 +155,7 @@ FROM orders"""
 
 
 def ci_rows(spark: SparkSession, sf: str) -> DataFrame:
-    fx.table(spark, sf, "orders").createOrReplaceTempView("_vl_orders")
-    return spark.sql(CI_SQL.replace("FROM orders", "FROM _vl_orders"))
+    return spark.sql(CI_SQL.replace("FROM orders", "FROM {orders}"), orders=fx.table(spark, sf, "orders"))
 
 
 @query("ci_provenance", f"""
