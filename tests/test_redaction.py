@@ -132,3 +132,15 @@ def test_file_replies_pass_through(spark):
 def test_canonical_json(spark):
     docs = ['{"b":1,"a":[1.0,1,true,null]}', '"ü\\ud83d\\ude00"', "7"]
     assert column(spark, docs, canonical_json) == [json.dumps(json.loads(d), sort_keys=True) for d in docs]
+
+
+def test_oracle_form_equals_twin():
+    """The SQL the driver compares with, checked on its own."""
+    import duckdb
+    from verdictlake.plans.bindings import pii_sql
+    texts = random_texts(4000)
+    db = duckdb.connect()
+    db.execute("CREATE TABLE t (i INT, x VARCHAR)")
+    db.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    got = [r[0] for r in db.execute(f"SELECT {pii_sql('x')} FROM t ORDER BY i").fetchall()]
+    assert got == [twin_pii(t) for t in texts]

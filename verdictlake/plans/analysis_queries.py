@@ -12,7 +12,7 @@ from verdictlake.operators import issues, judging, runs as run_ops, usage, valid
 from verdictlake.operators.scorecard import attach_verdicts
 from verdictlake.plans import bindings as fx
 from verdictlake.plans.registry import query
-from verdictlake.plans.replay_queries import traces
+from verdictlake.plans.replay_queries import FAILURES_SQL, traces
 from verdictlake.session import work_path
 from verdictlake.sources import readers
 
@@ -446,7 +446,17 @@ def _(spark, sf):
     return shown(issues.rollout_detail(heads, fx.turns(spark, sf), fx.tool_events(spark, sf), judged))
 
 
-@query("issue_detail")
+@query("issue_detail", f"""
+WITH failed AS ({FAILURES_SQL}),
+parts AS (
+  SELECT trace_id AS id, 'failure' AS section, 0::BIGINT AS ord,
+         to_json({{failure_summary: CASE WHEN trace_id % 10 = 0 THEN 'user complained' ELSE failing_tool END,
+                   failure_category: category}})::VARCHAR AS item FROM failed
+  UNION ALL SELECT rollout_id, 'transcript', turn_idx, to_json({{role: role, content: {fx.pii_sql('content')}}})::VARCHAR FROM fx_turns
+  UNION ALL SELECT rollout_id, 'tool_events', seq, to_json({{name: name, input: input, is_error: is_error}})::VARCHAR FROM fx_tool_events
+  UNION ALL SELECT scenario_id % 100, 'scenarios', scenario_id, to_json({{scenario_id: scenario_id, title: title}})::VARCHAR
+  FROM fx_scenarios)
+{PAGES_SQL}""", "fx_tool_events fx_turns fx_scenarios")
 def _(spark, sf):
     headers, turns, events = traces(spark, sf)
     failed = (issues.trace_failures(headers, events)

@@ -257,3 +257,31 @@ def with_views(body: str, *names: str) -> str:
     body = body.strip()
     joiner = ",\n" if body.upper().startswith("WITH ") else "\n"
     return f"WITH {ctes}{joiner}{body[5:] if joiner[0] == ',' else body}"
+
+
+# Marks around maximal digit runs, and a plus sign right behind one.
+_OPEN, _CLOSE, _PLUS = "\ue000", "\ue001", "\ue002"
+_OCTET = rf"{_OPEN}(?:25[0-5]|2[0-4]\d|1?\d?\d){_CLOSE}"
+
+
+def pii_sql(column: str) -> str:
+    """`redact_pii` in the oracle's regex dialect, which has no look-arounds:
+    digit runs are marked first, so that "no digit before or after" becomes
+    "starts at an opening, ends at a closing mark"."""
+    steps = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "<redacted:email>"),
+        (r"(\d+)", rf"{_OPEN}\1{_CLOSE}"),
+        (rf"{_OPEN}\d{{3}}{_CLOSE}-{_OPEN}\d{{2}}{_CLOSE}-{_OPEN}\d{{4}}{_CLOSE}", "<redacted:ssn>"),
+        # A separator behind the last digit goes too, unless a digit follows it.
+        (rf"{_OPEN}(?:\d(?:{_CLOSE}[ -]{_OPEN})?){{12,18}}\d{_CLOSE}(?:[ -]([^{_OPEN}])|[ -]$|)", r"<redacted:card>\1"),
+        (rf"{_CLOSE}\+", f"{_CLOSE}{_PLUS}"),
+        # The last digit may have a separator before it but no plus sign.
+        (rf"\+?{_OPEN}\d(?:(?:{_CLOSE}[\s\x0B.-]?[+{_PLUS}]?{_OPEN})?\d){{8,13}}(?:{_CLOSE}[\s\x0B.-]{_OPEN})?\d{_CLOSE}",
+         "<redacted:phone>"),
+        (rf"{_OCTET}(?:\.{_OCTET}){{3}}", "<redacted:ip>"),
+        (f"[{_OPEN}{_CLOSE}]", ""),
+        (_PLUS, "+"),
+    ]
+    for pattern, label in steps:
+        column = f"regexp_replace({column}, '{pattern}', '{label}', 'gs')"
+    return column

@@ -132,9 +132,7 @@ def _(spark, sf):
     return fx.trace_text(spark, sf).select("doc_id", rd.redact_pii(F.col("text"), only=["<redacted:email>"]).alias("text"))
 
 
-# Look-arounds have no form in the oracle's regex dialect: checked against a
-# plain-Python twin in the tests.
-@query("redact_pii")
+@query("redact_pii", f"SELECT doc_id, {fx.pii_sql('text')} AS text FROM documents")
 def _(spark, sf):
     return fx.trace_text(spark, sf).select("doc_id", rd.redact_pii(F.col("text")).alias("text"))
 
@@ -177,7 +175,9 @@ def traces(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFram
     return headers, turns, events
 
 
-@query("redact_trace")
+@query("redact_trace", f"""
+SELECT rollout_id AS trace_id, 'turn' AS part, turn_idx AS ord, {fx.pii_sql('content')} AS text FROM fx_turns
+UNION ALL SELECT rollout_id, 'event', seq, input FROM fx_tool_events""", "fx_turns fx_tool_events")
 def _(spark, sf):
     _, turns, events = traces(spark, sf)
     clean_turns, clean_events = issues.redact_trace(turns, events)
@@ -197,7 +197,10 @@ def _(spark, sf):
                                        F.col("input").alias("text"))))
 
 
-@query("refuse_residual_pii")
+@query("refuse_residual_pii", f"""
+WITH t AS (SELECT doc_id, text, {fx.pii_sql('text')} AS clean FROM documents)
+SELECT doc_id, 'raw' AS stage, CASE WHEN clean <> text THEN 'quarantined' ELSE 'clean' END AS verdict FROM t
+UNION ALL SELECT doc_id, 'redacted', CASE WHEN {fx.pii_sql('clean')} <> clean THEN 'quarantined' ELSE 'clean' END FROM t""")
 def _(spark, sf):
     """Documents once raw and once redacted: the first may be quarantined."""
     texts = fx.trace_text(spark, sf).select("doc_id", "text")
@@ -206,19 +209,26 @@ def _(spark, sf):
     return issues.refuse_residual_pii(both).select("doc_id", "stage", "verdict")
 
 
-@query("trace_failures", """
+FAILURES_SQL = """
 WITH heads AS (SELECT DISTINCT conv_id AS trace_id FROM conversations),
 firsts AS (SELECT rollout_id AS trace_id, arg_min(name, seq) AS failing_tool FROM fx_tool_events
            WHERE is_error GROUP BY rollout_id)
 SELECT h.trace_id, f.failing_tool,
        CASE WHEN f.failing_tool IS NOT NULL THEN 'tool_error' ELSE 'reported_error' END AS category
 FROM heads h LEFT JOIN firsts f ON f.trace_id = h.trace_id
-WHERE f.failing_tool IS NOT NULL OR h.trace_id % 10 = 0""", "fx_tool_events")
+WHERE f.failing_tool IS NOT NULL OR h.trace_id % 10 = 0"""
+
+
+@query("trace_failures", FAILURES_SQL, "fx_tool_events")
 def _(spark, sf):
     headers, _, events = traces(spark, sf)
     return issues.trace_failures(headers, events).select("trace_id", "failing_tool", "category")
 
 
-@query("trace_to_scenarios")
+@query("trace_to_scenarios", f"""
+SELECT f.trace_id, g.goal, f.failing_tool, f.category, g.goal AS text FROM ({FAILURES_SQL}) f
+JOIN (SELECT rollout_id, {fx.pii_sql('arg_min(content, turn_idx)')} AS goal FROM fx_turns
+      WHERE role = 'user' GROUP BY rollout_id) g ON g.rollout_id = f.trace_id
+WHERE {fx.pii_sql('g.goal')} = g.goal""", "fx_turns fx_tool_events")
 def _(spark, sf):
     return issues.trace_to_scenarios(*traces(spark, sf))

@@ -36,10 +36,13 @@ def _(spark, sf):
     return spark.read.parquet(feeds.run_available(fed, spark, "event-feed")).drop("created_at")
 
 
-@query("stream_run_status", """
-WITH s AS (SELECT run_id, seq, CASE WHEN stage = 'purchase' AND seq > 60 THEN 'succeeded'
+STATUS_SQL = """
+WITH s AS (SELECT run_id, seq, created_at, CASE WHEN stage = 'purchase' AND seq > 60 THEN 'succeeded'
                   WHEN stage = 'error' AND seq > 62 THEN 'failed' ELSE 'running' END AS status FROM fx_run_events),
-d AS (SELECT run_id, arg_min(status, seq) AS status FROM s WHERE status <> 'running' GROUP BY run_id)
+d AS (SELECT run_id, arg_min(status, seq) AS status FROM s WHERE status <> 'running' GROUP BY run_id)"""
+
+
+@query("stream_run_status", STATUS_SQL + """
 SELECT r.run_id, COALESCE(d.status, 'running') AS status, max(r.seq) AS last_seq
 FROM s r LEFT JOIN d ON d.run_id = r.run_id GROUP BY r.run_id, d.status""", "fx_run_events")
 def _(spark, sf):
@@ -54,8 +57,12 @@ def status_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _timed(fx.run_events(spark, sf)).select("run_id", "seq", status.alias("status"), "created_at")
 
 
-# Which runs time out depends on where the watermark stands, so rows only.
-@query("stream_stalled_runs")
+# At the end of the input the watermark stands one minute before the last event.
+@query("stream_stalled_runs", STATUS_SQL + """,
+l AS (SELECT run_id, max(seq) AS last_seq, max(created_at) AS last_at FROM s GROUP BY run_id),
+w AS (SELECT max(created_at) - INTERVAL 1 MINUTE AS mark FROM s)
+SELECT l.run_id, l.last_seq, COALESCE(d.status, CASE WHEN l.last_at + INTERVAL 1 HOUR <= w.mark THEN 'timed_out' ELSE 'running' END) AS status
+FROM l CROSS JOIN w LEFT JOIN d ON d.run_id = l.run_id""", "fx_run_events")
 def _(spark, sf):
     session = stateful.state_session(spark)
     flagged = stateful.stream_stalled_runs(as_stream(status_rows(spark, sf), session, "stalled"), 3600)

@@ -108,33 +108,33 @@ class _StallState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.latest = handle.getValueState("latest", "seq bigint, status string, timer bigint")
+        self.latest = handle.getValueState("latest", "seq bigint, status string, ended bigint, last_ms bigint, timer bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        seq, status, timer = self.latest.get() if self.latest.exists() else (-1, None, 0)
-        last_ms = None
+        seq, status, ended, last_ms, timer = self.latest.get() if self.latest.exists() else (-1, None, None, 0, 0)
         for chunk in rows:
+            last_ms = max(last_ms, int(chunk["created_ms"].max()))
             newest = chunk.loc[chunk["seq"].idxmax()]
-            last_ms = max(last_ms or 0, int(chunk["created_ms"].max()))
-            ended = chunk[chunk["status"].isin(TERMINAL)]
-            if status not in TERMINAL:
-                if len(ended):
-                    status = ended.loc[ended["seq"].idxmin()]["status"]
-                elif int(newest["seq"]) > seq:
-                    status = newest["status"]
+            # The earliest terminal status stays, whenever it arrives.
+            final = chunk[chunk["status"].isin(TERMINAL)]
+            if len(final) and (ended is None or int(final["seq"].min()) < ended):
+                ended = int(final["seq"].min())
+                status = final.loc[final["seq"].idxmin()]["status"]
+            elif ended is None and int(newest["seq"]) > seq:
+                status = newest["status"]
             seq = max(seq, int(newest["seq"]))
         if timer:
             self.handle.deleteTimer(timer)
         timer = 0
-        if status not in TERMINAL:
+        if ended is None:
             timer = last_ms + self.timeout_ms
             self.handle.registerTimer(timer)
-        self.latest.update((seq, status, timer))
+        self.latest.update((seq, status, ended, last_ms, timer))
         yield pd.DataFrame({"run_id": [key[0]], "status": [status], "last_seq": [seq]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        seq, _, _ = self.latest.get()
-        self.latest.update((seq, "timed_out", 0))
+        seq, _, _, last_ms, _ = self.latest.get()
+        self.latest.update((seq, "timed_out", None, last_ms, 0))
         yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq]})
 
     def close(self) -> None:
