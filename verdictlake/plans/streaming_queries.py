@@ -32,7 +32,7 @@ def _(spark, sf):
     """Every fifth event is sent twice."""
     events = _timed(fx.run_events(spark, sf))
     resent = events.unionByName(events.filter("seq % 5 = 0"))
-    fed = feeds.stream_event_feed(as_stream(resent, spark, "events"), delay="60 days")
+    fed = feeds.stream_event_feed(as_stream(resent, stateful.state_session(spark), "events"), delay="60 days")
     return spark.read.parquet(feeds.run_available(fed, spark, "event-feed")).drop("created_at")
 
 
@@ -46,7 +46,7 @@ d AS (SELECT run_id, arg_min(status, seq) AS status FROM s WHERE status <> 'runn
 SELECT r.run_id, COALESCE(d.status, 'running') AS status, max(r.seq) AS last_seq
 FROM s r LEFT JOIN d ON d.run_id = r.run_id GROUP BY r.run_id, d.status""", "fx_run_events")
 def _(spark, sf):
-    out = feeds.run_available(feeds.stream_run_status(as_stream(status_rows(spark, sf), spark, "status")),
+    out = feeds.run_available(feeds.stream_run_status(as_stream(status_rows(spark, sf), stateful.state_session(spark), "status")),
                               spark, "run-status", "update")
     return feeds.latest_update(spark, out, ["run_id"])
 
@@ -74,7 +74,7 @@ def _(spark, sf):
     turns = fx.turns(spark, sf).withColumn("recorded_at", F.expr(
         "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, turn_idx)"))
     resent = turns.unionByName(turns.filter("turn_idx % 2 = 1"))
-    once = feeds.idempotent_turns(as_stream(resent, spark, "turns"), delay="30 days")
+    once = feeds.idempotent_turns(as_stream(resent, stateful.state_session(spark), "turns"), delay="30 days")
     return spark.read.parquet(feeds.run_available(once, spark, "idempotent-turns")).drop("recorded_at")
 
 
@@ -82,7 +82,7 @@ def _(spark, sf):
 SELECT rollout_id, turn_idx, role, regexp_replace(content, '{HEX_TOKEN}', '[REDACTED:custom-0]', 'g') AS content
 FROM fx_turns""", "fx_turns")
 def _(spark, sf):
-    clean = feeds.stream_redaction(as_stream(fx.turns(spark, sf), spark, "live-turns"), [HEX_TOKEN])
+    clean = feeds.stream_redaction(as_stream(fx.turns(spark, sf), stateful.state_session(spark), "live-turns"), [HEX_TOKEN])
     return spark.read.parquet(feeds.run_available(clean, spark, "stream-redaction"))
 
 
@@ -91,7 +91,7 @@ SELECT epoch_us(time_bucket(INTERVAL 1 DAY, created_at)) AS bucket, count(*) AS
        count(*) FILTER (status >= 400) AS errors FROM fx_requests GROUP BY 1""", "fx_requests")
 def _(spark, sf):
     requests = _timed(fx.requests(spark, sf)).select("created_at", "status")
-    out = feeds.run_available(feeds.stream_usage(as_stream(requests, spark, "requests"), "1 day", "60 days"),
+    out = feeds.run_available(feeds.stream_usage(as_stream(requests, stateful.state_session(spark), "requests"), "1 day", "60 days"),
                               spark, "stream-usage", "update")
     return feeds.latest_update(spark, out, ["bucket"]).withColumn("bucket", F.unix_micros("bucket"))
 
@@ -116,5 +116,5 @@ SELECT check_id, count(*) AS evaluated, count(*) FILTER (passed) AS passed,
        "fx_evaluations")
 def _(spark, sf):
     verdicts = fx.evaluations(spark, sf).select("check_id", "passed")
-    out = feeds.run_available(feeds.stream_pass_rate(as_stream(verdicts, spark, "verdicts")), spark, "pass-rate", "update")
+    out = feeds.run_available(feeds.stream_pass_rate(as_stream(verdicts, stateful.state_session(spark), "verdicts")), spark, "pass-rate", "update")
     return feeds.latest_update(spark, out, ["check_id"])

@@ -17,10 +17,15 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def state_session(spark: SparkSession) -> SparkSession:
-    """A sibling session whose streams keep state in RocksDB."""
+    """A sibling session whose streams keep state in RocksDB. The number of
+    state partitions stays with a checkpoint for life, so a cluster uses what the
+    session says; a local session needs no more than it has threads."""
     sibling = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        sibling.conf.set(key, spark.conf.get(key))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        partitions = min(partitions, spark.sparkContext.defaultParallelism)
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     sibling.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return sibling
