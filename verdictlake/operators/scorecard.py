@@ -30,7 +30,9 @@ def attach_verdicts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
 
 
 def unjudged_rollouts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    return rollouts.join(evaluations.select("rollout_id"), "rollout_id", "left_anti")
+    """Rollouts without a verdict. Judged ids are made distinct first, on the map
+    side too, so a rollout judged very often is one row in the join."""
+    return rollouts.join(evaluations.select("rollout_id").distinct(), "rollout_id", "left_anti")
 
 
 def played_scenarios(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
