@@ -9,16 +9,15 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
-from verdictlake.session import build_session, shared_folder  # noqa: E402
+from verdictlake.session import build_session  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", 4)
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", 4, str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
-    shared_folder(session)
     yield session
     session.stop()
 

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def build_session(app_name: str = "verdictlake", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     """A session with the settings the operators are planned for.
 
     ``shuffle_partitions`` stays unset on a cluster, where the deployment sizes
     it; AQE coalesces small partitions and splits skewed join partitions.
+    ``checkpoint_dir`` is for local sessions; a cluster brings its own.
     """
     builder = (SparkSession.builder.appName(app_name)
                .config("spark.sql.session.timeZone", "UTC")
@@ -26,23 +26,16 @@ def build_session(app_name: str = "verdictlake", master: str | None = None,
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local session without the setting falls back to a fresh folder on
-    this machine; a cluster session without it is refused.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or, where
+    it is unset, a folder below the warehouse, which is shared by definition."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="verdictlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_work")
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:
