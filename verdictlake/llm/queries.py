@@ -5,10 +5,12 @@ from verdictlake.llm.mixing import OP8_SQL, op8_mix_sources
 from verdictlake.llm.packing import op3_pack_sequences
 from verdictlake.llm.secrets import OP10_SQL, op10_secret_scan
 from verdictlake.llm.signature_join import op5_jaccard_components
+from verdictlake.llm.substrings import op2_substring_dedup
 from verdictlake.llm.token_files import op1_token_files
 
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_pack_sequences": op3_pack_sequences,
     "op5_jaccard_components": op5_jaccard_components,
     "op8_mix_sources": op8_mix_sources,
