@@ -1,6 +1,7 @@
 """Registered queries of this subpackage and, where SQL can say it, their oracles."""
 
 from verdictlake.llm.common import Query
+from verdictlake.llm.licenses import OP9_SQL, op9_license_scan
 from verdictlake.llm.mixing import OP8_SQL, op8_mix_sources
 from verdictlake.llm.packing import op3_pack_sequences
 from verdictlake.llm.secrets import OP10_SQL, op10_secret_scan
@@ -14,10 +15,12 @@ QUERIES: dict[str, Query] = {
     "op3_pack_sequences": op3_pack_sequences,
     "op5_jaccard_components": op5_jaccard_components,
     "op8_mix_sources": op8_mix_sources,
+    "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
     "op8_mix_sources": OP8_SQL.strip(),
+    "op9_license_scan": OP9_SQL.strip(),
     "op10_secret_scan": OP10_SQL.strip(),
 }
