@@ -77,7 +77,9 @@ def mix(docs: DataFrame, *, size: Column | None = None, doc_id: str = "doc_id",
         F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source))).alias("_s"),
         (word_count("text") if size is None else size).alias("_size"), random_key(doc_id).alias("_key"),
         F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"))
-    targets = source_targets(work, weights, share, max_epochs)
+    # Written first: a row per source, whose size is then known, so that a hot
+    # source's rows are not dealt by source to meet it unless sources abound.
+    targets = written(source_targets(work, weights, share, max_epochs), "mix-targets")
     bits = F.greatest(F.lit(0), F.least(F.lit(KEY_BITS), F.ceil(F.log2(F.col("_rows") / F.lit(BLOCK_ROWS))))).cast("int")
     ranged = work.join(targets, "_s").withColumn("_range_bits", bits)
     summed = prefix_sums(ranged, ["_s"], ["_key", "_id", "_size"],

@@ -1,6 +1,8 @@
 """Registered queries of this subpackage and, where SQL can say it, their oracles."""
 
 from verdictlake.llm.common import Query
+from verdictlake.llm.exact_search import OP4_SQL, op4_exact_top_k
+from verdictlake.llm.forest_search import op6_forest_search
 from verdictlake.llm.licenses import OP9_SQL, op9_license_scan
 from verdictlake.llm.mixing import OP8_SQL, op8_mix_sources
 from verdictlake.llm.packing import op3_pack_sequences
@@ -13,13 +15,16 @@ QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_pack_sequences": op3_pack_sequences,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_jaccard_components": op5_jaccard_components,
+    "op6_forest_search": op6_forest_search,
     "op8_mix_sources": op8_mix_sources,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_exact_top_k": OP4_SQL.strip(),
     "op8_mix_sources": OP8_SQL.strip(),
     "op9_license_scan": OP9_SQL.strip(),
     "op10_secret_scan": OP10_SQL.strip(),
