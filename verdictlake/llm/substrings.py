@@ -31,6 +31,7 @@ PERIOD = 7
 COVER = (0, 1, 3)
 PACK_BYTES = 4 << 20
 BIN_HASHES = 1 << 19
+_COVERED = np.array([k in COVER for k in range(PERIOD)])
 NO_ID = np.iinfo(np.int64).min
 
 PACK = "doc_ids binary, digests binary, lengths binary, words long, payload binary"
@@ -92,10 +93,17 @@ class Pack:
 def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the anchors of one document."""
     all_runs = sequence_hashes(hashes, anchor_length())
-    places = np.flatnonzero(np.isin(np.arange(len(all_runs)) % PERIOD, COVER))
+    places = np.flatnonzero(_COVERED[np.arange(len(all_runs)) % PERIOD])
     return places, all_runs[places]
 
 
+def contained(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted keys."""
+    if not len(keys):
+        return np.zeros(len(values), bool)
+    return keys[np.minimum(np.searchsorted(keys, values), len(keys) - 1)] == values
+
+
 def by_bin(values: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     """The values as bytes per bin, in the order given."""
     order = np.argsort(place, kind="stable")
@@ -225,7 +233,7 @@ def window_rows(row: dict, replies: list, skip: frozenset[int], bits: int, windo
     for n, hashes in pack.runs(WINDOW, skip):
         places, values = anchors(hashes)
         own = ((values >> np.uint64(64 - bits)) << np.uint64(32)) | (values & np.uint64(0x7FFFFFFF))
-        hit = places[np.isin(own, keys)]
+        hit = places[contained(own, keys)]
         if not len(hit):
             continue
         count = len(hashes) - WINDOW + 1
