@@ -3,6 +3,7 @@
 from verdictlake.llm.common import Query
 from verdictlake.llm.exact_search import OP4_SQL, op4_exact_top_k
 from verdictlake.llm.forest_search import op6_forest_search
+from verdictlake.llm.language import op7_language_id
 from verdictlake.llm.licenses import OP9_SQL, op9_license_scan
 from verdictlake.llm.mixing import OP8_SQL, op8_mix_sources
 from verdictlake.llm.packing import op3_pack_sequences
@@ -18,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op4_exact_top_k": op4_exact_top_k,
     "op5_jaccard_components": op5_jaccard_components,
     "op6_forest_search": op6_forest_search,
+    "op7_language_id": op7_language_id,
     "op8_mix_sources": op8_mix_sources,
     "op9_license_scan": op9_license_scan,
     "op10_secret_scan": op10_secret_scan,

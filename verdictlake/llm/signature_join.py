@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdictlake.llm.common import table, written
@@ -308,6 +308,20 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The documents with the least doc_id of each component, whole and in all
+    their columns.
+
+    Rows with one doc_id are one document, which goes if any of its texts is
+    linked to a smaller one; equal rows of it stay once. Texts without words and
+    rows without doc_id stay.
+    """
+    gone = jaccard_components(docs, **options).filter("component_id < doc_id").select("doc_id").distinct()
+    left = docs.join(written(gone, "near-duplicates"), "doc_id", "left_anti")
+    one = Window.partitionBy(F.coalesce(F.col("doc_id"), -1 - F.monotonically_increasing_id()), F.md5(F.col("text").cast("binary"))).orderBy(F.lit(0))
+    return left.withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op5_jaccard_components(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: five words, 80 percent."""
     return jaccard_components(table(spark, sf_dir, "documents"))
