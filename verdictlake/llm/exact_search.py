@@ -36,7 +36,7 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
 def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple:
     """(query number, place, score) of each query's k best in a block of vectors."""
     limit = float(np.abs(vectors).max(initial=0) * np.abs(queries).max(initial=0) * vectors.shape[1])
-    if limit >= EXACT:  # beyond what doubles add exactly: whole numbers of any size
+    if limit >= EXACT:  # beyond what doubles add exactly: whole numbers (a score must fit a long)
         whole = [np.array([[int(x) for x in row] for row in v], object) for v in (queries, vectors)]
         scores = whole[0] @ whole[1].T
         pairs = [(q, p) for q in range(len(queries)) for p in range(len(vectors)) if ids[p] != query_ids[q]]

@@ -133,8 +133,9 @@ def bucket_plan(rows_in: np.ndarray, bucket_rows: int) -> tuple[np.ndarray, np.n
 
 
 def search_bucket(queries: np.ndarray, query_ids: np.ndarray, wanted: list[np.ndarray], vectors: np.ndarray, ids: np.ndarray,
-                  leaf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query number, place, score) of each query's k best among its leaves."""
+                  leaf: np.ndarray, k: int, trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, place, score) of each query's k best among its leaves; a
+    row may lie there once per tree."""
     order = np.argsort(leaf, kind="stable")
     vectors, ids, leaf = vectors[order], ids[order], leaf[order]
     names, starts = np.unique(leaf, return_index=True)
@@ -149,7 +150,7 @@ def search_bucket(queries: np.ndarray, query_ids: np.ndarray, wanted: list[np.nd
             if len(who):
                 scores[who, a:b] = queries[part][who] @ vectors[a:b].T
         scores[query_ids[part, None] == ids[None, :]] = -np.inf
-        q, p = best(scores, k, slack)
+        q, p = best(scores, k * trees, slack)
         exact = np.empty(len(q))
         for s in chunks(len(q), 1 << 16):  # the same sum for a pair wherever it is met
             exact[s] = (queries[part][q[s]] * vectors[p[s]]).sum(axis=1)
@@ -233,7 +234,7 @@ def forest_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, tr
         query_ids, ids = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
         leaves = [np.frombuffer(b, np.int64) for b in left.column("leaves").to_pylist()]
         q, p, scores = search_bucket(matrix(left.column("embedding")), query_ids, leaves, matrix(right.column("embedding")), ids,
-                                     right.column("leaf").to_numpy(), k)
+                                     right.column("leaf").to_numpy(), k, trees)
         return result(query_ids[q], ids[p], scores)
 
     found = asked.groupBy("bucket", "block").cogroup(posted.groupBy("bucket", "block")).applyInArrow(rerank, FOUND.format("double"))

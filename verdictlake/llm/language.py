@@ -27,6 +27,7 @@ PIECE_BYTES = 24
 DOCS_PER_LANGUAGE = 600
 WORDS_PER_DOC = 32
 EPOCHS = 4
+WORDS_READ = 300_000
 BATCH = 256
 RATE = 0.01
 KEPT_WORDS = 600_000
@@ -133,8 +134,9 @@ def byte_rows(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
 
 
-def train(samples: list[tuple[str, list[str]]], languages: list[str], epochs: int = EPOCHS, seed: int = 11) -> Network:
-    """Fit on (language, words) rows; batches hold words of one length. Adam."""
+def train(samples: list[tuple[str, list[str]]], languages: list[str], epochs: int | None = None, seed: int = 11) -> Network:
+    """Fit on (language, words) rows; batches hold words of one length. Adam.
+    A small sample is gone through more often, up to ``WORDS_READ`` words."""
     net = fresh(languages)
     weights = [*net.forward, *net.backward, net.out, net.out_bias]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
@@ -144,6 +146,7 @@ def train(samples: list[tuple[str, list[str]]], languages: list[str], epochs: in
             for piece in pieces(word):
                 by_length[len(piece)].append((piece, languages.index(language)))
     rng, step = np.random.default_rng(seed), 0
+    epochs = epochs or min(40, max(EPOCHS, WORDS_READ // (1 + sum(map(len, by_length.values())))))
     for epoch in range(epochs):
         batches = []
         for length in sorted(by_length):

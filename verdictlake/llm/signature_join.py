@@ -262,7 +262,7 @@ def cluster_parts(classes: DataFrame, part: int) -> DataFrame:
 
 def cluster_links(members: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links between class ids, from one tree per (cluster, part)."""
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("class").reset_index(drop=True)
         sets = [shingle_set(t, words) for t in rows["text"]]
         keep = [i for i, (s, d) in enumerate(zip(sets, rows["digest"])) if digest(s) == bytes(d)]
