@@ -11,7 +11,17 @@ from pyspark.sql.types import StringType
 
 
 def _canonical(text: str | None) -> str | None:
-    return None if text is None else json.dumps(json.loads(text), sort_keys=True)
+    try:
+        return None if text is None else json.dumps(json.loads(text), sort_keys=True)
+    except ValueError:
+        return None
+
+
+def _call_key(name: str, tool_input: str) -> str | None:
+    try:
+        return json.dumps([name, json.loads(tool_input)], sort_keys=True)[:-1]
+    except (TypeError, ValueError):
+        return None
 
 
 @F.pandas_udf(StringType())
@@ -21,17 +31,21 @@ def _canonical_batch(texts: pd.Series) -> pd.Series:
 
 @F.pandas_udf(StringType())
 def _call_key_batch(names: pd.Series, inputs: pd.Series) -> pd.Series:
-    keys = [json.dumps([n, json.loads(i)], sort_keys=True)[:-1]
-            for n, i in zip(names, inputs)]
-    return pd.Series(keys, dtype=object)
+    return pd.Series(list(map(_call_key, names, inputs)), dtype=object)
 
 
 def canonical_json(text: Column) -> Column:
     """Canonical form of JSON text. Spark's ``to_json`` neither sorts keys nor
-    spaces separators, so nested input crosses to Python once per batch."""
+    spaces separators, so nested input crosses to Python once per batch. Text
+    that is no JSON gives NULL; `unparsable_json` tells it from a missing one."""
     return _canonical_batch(text)
 
 
+def unparsable_json(text: Column) -> Column:
+    """Whether a text is there but is no JSON."""
+    return text.isNotNull() & F.try_parse_json(text).isNull()
+
+
 def call_key(name: Column, tool_input: Column) -> Column:
     """The part of the hashed text that needs JSON parsing: ``[name, input``."""
     return _call_key_batch(name, tool_input)

@@ -124,9 +124,10 @@ def _substitute(patterns: Sequence[tuple[str, str]], flags: int = 0) -> Callable
 def _json_batches(walk: Callable, columns: Sequence[Column]) -> Column | list[Column]:
     """Send all JSON columns through one Python crossing; get them back in order."""
     def each(text):
-        if text is None:
+        try:
+            return None if text is None else json.dumps(walk(json.loads(text)), ensure_ascii=False)
+        except ValueError:  # never pass raw text on
             return None
-        return json.dumps(walk(json.loads(text)), ensure_ascii=False)
 
     if len(columns) == 1:
         @F.pandas_udf("string")
@@ -146,8 +147,10 @@ def _json_batches(walk: Callable, columns: Sequence[Column]) -> Column | list[Co
 
 def redact_secrets_json(*columns: Column, extra: Sequence[str] = (),
                         vendor: tuple[str, str] | None = None) -> Column | list[Column]:
-    """Scrub every string of JSON text, object keys included."""
-    scrub = _substitute([(f"[REDACTED:{n}]", p) for n, p in secret_patterns(extra, vendor)])
+    """Scrub every string of JSON text, object keys included. Digits, words and
+    white space in patterns are ASCII, as in `redact_secrets`. Text that is no
+    JSON gives NULL; `canonical.unparsable_json` flags it."""
+    scrub = _substitute([(f"[REDACTED:{n}]", p) for n, p in secret_patterns(extra, vendor)], re.ASCII)
 
     def walk(value):
         match value:
@@ -163,7 +166,7 @@ def redact_secrets_json(*columns: Column, extra: Sequence[str] = (),
 
 def redact_pii_json(*columns: Column, hook: Callable[[str], str] | None = None,
                     strict: bool = False) -> Column | list[Column]:
-    """Mask personal data in JSON text.
+    """Mask personal data in JSON text; text that is no JSON gives NULL.
 
     A string directly under a sensitive key is masked whole; inside a list the
     key no longer counts; numbers and keys stay. ``strict`` closes those gaps:

@@ -17,6 +17,7 @@ SECTIONS = {
     "telemetry": {"redact": ("mapping",)},
     "telemetry.redact": {"enabled": ("boolean",), "patterns": ("texts",)},
 }
+ROOT = "\x00root"  # stands for the whole text among the keys
 DATASET_ID = "^ds_[a-z0-9]+$"
 DEFAULTS = {"max_turns": 12, "concurrency": 4, "repeats": 1, "timeout_minutes": 30.0,
             "min_scenarios": 1, "baseline_branch": "main"}
@@ -30,20 +31,23 @@ def _entries_to_check(run_configs: DataFrame) -> DataFrame:
     """(run, section, key, value) for every key of every section, and a NULL
     value for each required key that is missing."""
     entries = "map<string,variant>"
-    root = run_configs.select("run_id", F.from_json("raw_config", entries).alias("root"))
+    root = run_configs.select("run_id", "raw_config", F.from_json("raw_config", entries).alias("root"))
+    stated = F.col("root").isNull() & F.col("raw_config").isNotNull() & ~F.col("raw_config").rlike(r"^\s*$")
+    readable = F.when(stated, F.try_parse_json("raw_config").isNotNull()).otherwise(True)
 
     def inside(parent: Column, key: str) -> Column:
         return F.try_variant_get(F.try_element_at(parent, F.lit(key)), "$", entries)
 
     def absent(parent: Column, key: str) -> Column:
         known = F.coalesce(F.map_contains_key(parent, key), F.lit(False))
-        return F.when(~known, F.create_map(F.lit(key), F.lit(None).cast("variant")))
+        return F.when(~known & F.col("readable"), F.create_map(F.lit(key), F.lit(None).cast("variant")))
 
-    split = root.select("run_id", "root", *[inside(F.col("root"), k).alias(k) for k in SECTIONS if k and "." not in k])
+    whole = F.when(stated, F.create_map(F.lit(ROOT), F.try_parse_json("raw_config")))
+    split = root.select("run_id", "root", readable.alias("readable"), whole.alias("whole"), *[inside(F.col("root"), k).alias(k) for k in SECTIONS if k and "." not in k])
     split = split.withColumn("redact", inside(F.col("telemetry"), "redact"))
     parts = {"": "root", **{k: k for k in SECTIONS if k and "." not in k}, "telemetry.redact": "redact"}
     listed = [(F.lit(section), F.col(column)) for section, column in parts.items()]
-    listed += [(F.lit(""), absent(F.col("root"), "version")), (F.lit("agent"), absent(F.col("agent"), "entrypoint"))]
+    listed += [(F.lit(""), F.col("whole")), (F.lit(""), absent(F.col("root"), "version")), (F.lit("agent"), absent(F.col("agent"), "entrypoint"))]
     sections = F.array(*[F.struct(name.alias("section"), keys.alias("keys")) for name, keys in listed])
     return (split.select("run_id", F.inline(sections))
             .select("run_id", "section", F.explode("keys").alias("key", "value")))
@@ -54,12 +58,14 @@ def config_violations(run_configs: DataFrame) -> DataFrame:
 
     The text is parsed once and opened into one row per key; the rules are a
     small literal table each row looks itself up in. Unknown keys are fatal at
-    every level. There is no shuffle.
+    every level. A text that cannot be parsed has one issue at the empty path, a
+    root that is no mapping one beside those of its missing keys; a blank text is
+    an empty mapping. There is no shuffle.
     """
     rules = {f"{s}.{k}" if s else k: F.struct(
         F.lit(rule[0]).alias("type"), F.lit(rule[1] if len(rule) > 1 else None).cast("int").alias("low"),
         F.lit(rule[2] if len(rule) > 2 else None).cast("int").alias("high"))
-        for s, keys in SECTIONS.items() for k, rule in keys.items()}
+        for s, keys in {**SECTIONS, "": {**SECTIONS[""], ROOT: ("mapping",)}}.items() for k, rule in keys.items()}
     allowed = {s: F.lit(f"unknown key (allowed: {', '.join(keys)})") for s, keys in SECTIONS.items()}
     path = F.when(F.col("section") == "", F.col("key")).otherwise(F.concat_ws(".", "section", "key"))
     kind_text = F.substring_index(F.substring_index(F.schema_of_variant("value"), "<", 1), "(", 1)
@@ -79,22 +85,24 @@ def config_violations(run_configs: DataFrame) -> DataFrame:
     mixed = F.exists("items", lambda p: F.schema_of_variant(p) != "STRING")
     # Issue texts. One value has one issue, the first that applies.
     issue = (F.when(F.col("rule").isNull(), F.try_element_at(_literal_map(allowed), F.col("section")))
+             .when((F.col("path") == ROOT) & F.col("stated").isNull(), "not a valid document")
              .when((wanted == "mapping") & (kind != "OBJECT"), "expected a mapping")
              .when(wanted.isin("integer", "number") & ~numeric, "expected a number")
              .when((wanted == "integer") & ~whole, "expected an integer")
              .when((F.col("path") == "version") & ~F.coalesce(number == 1, F.lit(False)), "must be 1")
              .when(number < low, F.concat(F.lit("must be >= "), low))
              .when(number > high, F.concat(F.lit("must be <= "), high))
-             .when(wanted.isin("text", "dataset") & ((kind != "STRING") | (F.trim(text) == "")),
+             .when(wanted.isin("text", "dataset") & ((kind != "STRING") | text.rlike(r"^\s*$")),
                    "expected a non-empty string")
              .when((wanted == "dataset") & ~text.rlike(DATASET_ID), "expected a ds_… dataset id")
-             .when((F.col("path") == "agent.entrypoint") & kind.isNull(), "required")
+             .when((F.col("path") == "agent.entrypoint") & kind.isNull(), "required (path to your RolloutAgent module)")
              .when((wanted == "boolean") & (F.col("stated") != "BOOLEAN"), "expected true or false")
              .when((wanted == "texts") & ((kind != "ARRAY") | mixed), "expected a list of regex strings"))
     # A version of the wrong type is, beside that, not 1. The filter is on the
     # exploded column, where it cannot be pushed down and repeat the rules.
     second = F.when((F.col("path") == "version") & kind.isNotNull() & ~whole, "must be 1")
-    return (rows.select("run_id", "path", F.explode(F.array(issue, second)).alias("issue"))
+    shown = F.when(F.col("path") == ROOT, "").otherwise(F.col("path")).alias("path")
+    return (rows.select("run_id", shown, F.explode(F.array(issue, second)).alias("issue"))
             .filter("issue IS NOT NULL"))
 
 

@@ -48,13 +48,17 @@ def gate(totals: DataFrame, configs: DataFrame, baseline: DataFrame | None = Non
 
     ``configs`` has ``check_id, threshold, min_scenarios, max_regression`` (NULL:
     informational). Rates are compared unrounded. ``min_scenarios`` counts
-    evaluated rollouts.
+    evaluated rollouts. Every configured check has a row: one without totals has
+    counts and rate 0 and fails.
     """
+    counts = [c for c in totals.columns if c != "check_id"]
+    known = (configs.join(totals, "check_id", "left")
+             .withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(totals.schema[c].dataType)) for c in counts}))
     if baseline is None:
-        joined = totals.join(configs, "check_id").withColumns(
+        joined = known.withColumns(
             {"baseline_check_id": F.lit(None).cast("bigint"), "baseline_rate": F.lit(None).cast("double")})
     else:
-        joined = (totals.join(configs, "check_id")
+        joined = (known
                   .join(baseline.select("check_id", "baseline_check_id", "baseline_rate"), "check_id", "left"))
     enough = F.col("evaluated") >= F.col("min_scenarios")
     delta = F.col("pass_rate") - F.col("baseline_rate")
@@ -123,6 +127,7 @@ def render_summary(gated: DataFrame, weakest: DataFrame) -> DataFrame:
     """Summary text per check. ``gated`` is `gate` output with ``branch`` and
     ``report_url``; ``weakest`` at most eight rows per check with ``place``,
     ``passed, repeats, title, task_family, top_issue``."""
+    # The texts of the summary lines.
     family = F.coalesce(F.concat(F.lit(" ["), "task_family", F.lit("]")), F.lit(""))
     line = F.concat(F.lit("    "), F.col("passed").cast("string"), F.lit("/"),
                     F.col("repeats").cast("string"), F.lit("  "),

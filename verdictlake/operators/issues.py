@@ -8,11 +8,13 @@ one task. Sections are unioned, so children never multiply each other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdictlake.functions.redaction import has_pii, redact_pii, redact_pii_json, redact_secrets, \
-    redact_secrets_json
+    redact_secrets_json, text_hook
 
 PAGE_SIZE = 1000
 
@@ -75,10 +77,10 @@ def list_issues(representations: DataFrame, generations: DataFrame, datasets: Da
 
 
 def issue_detail(issues: DataFrame, turns: DataFrame, events: DataFrame, scenarios: DataFrame,
-                 issue_id=None) -> DataFrame:
+                 issue_id=None, hook: Callable[[str], str] | None = None) -> DataFrame:
     """The distilled failure, the redacted conversation and its scenarios."""
     clean_turns, clean_events = redact_trace(_only(turns, "issue_id", issue_id),
-                                             _only(events, "issue_id", issue_id))
+                                             _only(events, "issue_id", issue_id), hook)
     return paged_record(
         section(_only(issues, "issue_id", issue_id), "failure", "issue_id", None, "failure_summary", "failure_category"),
         section(clean_turns, "transcript", "issue_id", "turn_idx", "role", "content"),
@@ -86,13 +88,16 @@ def issue_detail(issues: DataFrame, turns: DataFrame, events: DataFrame, scenari
         section(_only(scenarios, "issue_id", issue_id), "scenarios", "issue_id", "ord", "scenario_id", "title"))
 
 
-def redact_trace(turns: DataFrame, events: DataFrame, hook=None) -> tuple[DataFrame, DataFrame]:
-    """Personal data out of turn contents and event payloads; NULL output stays."""
+def redact_trace(turns: DataFrame, events: DataFrame,
+                 hook: Callable[[str], str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Personal data out of turn contents and event payloads; NULL output stays.
+    ``hook`` sees every text after the built-in detectors, those inside payloads
+    too. A payload that is no JSON becomes NULL."""
     def clean(df: DataFrame) -> DataFrame:
         payloads = [c for c in ("input", "output") if c in df.columns]
-        done = redact_pii_json(*[F.col(c) for c in payloads])
+        done = redact_pii_json(*[F.col(c) for c in payloads], hook=hook)
         return df.withColumns(dict(zip(payloads, done if isinstance(done, list) else [done])))
-    return turns.withColumn("content", redact_pii(F.col("content"), hook)), clean(events)
+    return turns.withColumn("content", redact_pii(F.col("content"), text_hook(hook) if hook else None)), clean(events)
 
 
 def redact_replies(turns: DataFrame, events: DataFrame, extra=(), vendor=None) -> tuple[DataFrame, DataFrame]:
@@ -125,15 +130,16 @@ def refuse_residual_pii(texts: DataFrame, column: str = "text") -> DataFrame:
 
 
 def trace_to_scenarios(traces: DataFrame, turns: DataFrame, events: DataFrame,
-                       generate: Column | None = None) -> DataFrame:
+                       generate: Column | None = None, hook: Callable[[str], str] | None = None) -> DataFrame:
     """One reproduction candidate per failing trace: goal (first user turn,
-    redacted), failing tool, category. Candidates whose goal still holds
+    redacted, NULL without one), failing tool, category. ``hook`` sees the goal
+    after the built-in detectors. Candidates whose goal still holds
     personal data are dropped, never repaired. ``generate`` may turn the goal
     into a text; its output is scanned too."""
     goals = (turns.filter("role = 'user'").groupBy("trace_id")
              .agg(F.min_by("content", "turn_idx").alias("goal")))
-    found = (trace_failures(traces, events).join(goals, "trace_id")
-             .withColumn("goal", redact_pii(F.col("goal"))))
+    found = (trace_failures(traces, events).join(goals, "trace_id", "left")
+             .withColumn("goal", redact_pii(F.col("goal"), text_hook(hook) if hook else None)))
     found = refuse_residual_pii(found.withColumn("text", generate if generate is not None else F.col("goal")))
     return found.filter("verdict = 'clean'").select("trace_id", "goal", "failing_tool", "category", "text")
 

@@ -3,7 +3,8 @@
 Tables: ``events(rollout_id, seq, name, input[, external])`` and
 ``sandboxes(rollout_id, seed, fail_tools, version)``, one sandbox per rollout.
 A planted fault fails the first call to its tool; the failed call consumes the
-fault but leaves the state version alone, and so does a reported (external) call.
+fault but leaves the state version alone. A reported (external) call leaves the
+version alone too, and consumes the fault only if it reports a failure.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ def _external(events: DataFrame) -> Column:
 
 
 def planted_faults(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """Sandboxes with ``faults``, the calls that hit a planted fault: the first
-    call of the rollout to each tool planted to fail.
+    """Sandboxes with ``faults``, the calls that hit a planted fault: of each tool
+    planted to fail, the rollout's first call that is synthetic or a failed report.
 
     Firsts are a partial aggregate, one row per (rollout, tool); the list is
     never longer than the sandbox's own ``fail_tools``.
     """
     first = F.min(F.struct("seq", _external(events).alias("external"))).alias("first")
-    hits = (events.groupBy("rollout_id", "name").agg(first)
+    able = ~_external(events) | (F.coalesce("is_error", F.lit(False)) if "is_error" in events.columns else F.lit(True))
+    hits = (events.filter(able).groupBy("rollout_id", "name").agg(first)
             .join(sandboxes.select("rollout_id", "fail_tools"), "rollout_id")
             .filter("array_contains(fail_tools, name)")
             .groupBy("rollout_id").agg(F.collect_list("first").alias("faults")))
@@ -81,18 +83,19 @@ def final_sandbox_state(replayed: DataFrame, sandboxes: DataFrame) -> DataFrame:
     versions = (good.groupBy("rollout_id").agg(F.count("*").alias("n"))
                 .join(sandboxes.select("rollout_id", "version"), "rollout_id", "right")
                 .select("rollout_id", F.lit("version").alias("key"),
-                        (F.coalesce("n", F.lit(0)) + F.col("version")).cast("string").alias("value")))
+                        (F.coalesce("n", F.lit(0)) + F.coalesce("version", F.lit(0))).cast("string").alias("value")))
     lasts = (good.groupBy("rollout_id", "name").agg(F.max_by("result_id", "seq").alias("value"))
              .select("rollout_id", F.concat(F.lit("last_"), "name").alias("key"), "value"))
     return versions.unionByName(lasts)
 
 
 def replay_mismatches(reported: DataFrame, expected: DataFrame) -> DataFrame:
-    """Synthetic calls whose reported ``result_id`` or ``error`` differs."""
+    """Synthetic calls whose reported ``result_id`` or ``error`` differs, or which
+    the replay does not know (both wanted columns NULL)."""
     want = expected.select("rollout_id", "seq", F.col("result_id").alias("want_id"),
-                           F.col("error").alias("want_error"))
-    return (reported.filter(~_external(reported)).join(want, ["rollout_id", "seq"])
-            .filter("NOT (result_id <=> want_id AND error <=> want_error)")
+                           F.col("error").alias("want_error"), F.lit(True).alias("known"))
+    return (reported.filter(~_external(reported)).join(want, ["rollout_id", "seq"], "left")
+            .filter("known IS NULL OR NOT (result_id <=> want_id AND error <=> want_error)")
             .select("rollout_id", "seq", "name", "result_id", "want_id", "error", "want_error"))
 
 

@@ -19,14 +19,15 @@ def rate_of(passed: Column, total: Column, empty: float | None = None) -> Column
 
 
 def latest_verdicts(evaluations: DataFrame) -> DataFrame:
-    """The last verdict of every rollout, by ``eval_seq``."""
-    return (evaluations.groupBy("rollout_id")
+    """The last verdict of every rollout in every check, by ``eval_seq``."""
+    return (evaluations.groupBy("check_id", "rollout_id")
             .agg(F.max_by("passed", "eval_seq").alias("verdict")))
 
 
 def attach_verdicts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """Every rollout with its last verdict, NULL where nobody judged it."""
-    return rollouts.join(latest_verdicts(evaluations), "rollout_id", "left")
+    """Every rollout with its last verdict in its own check, NULL where nobody
+    judged it there; a rollout listed under two checks keeps two verdicts."""
+    return rollouts.join(latest_verdicts(evaluations), ["check_id", "rollout_id"], "left")
 
 
 def unjudged_rollouts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
@@ -63,21 +64,24 @@ def attach_scenario_meta(rows: DataFrame, meta: DataFrame) -> DataFrame:
     return rows.join(meta.select(*on, *known).withColumns(blanks), on, "left")
 
 
-def suite_totals(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """One row per check; every verdict counts, re-judgements included."""
+def suite_totals(rollouts: DataFrame, evaluations: DataFrame, checks: DataFrame | None = None) -> DataFrame:
+    """One row per check; every verdict counts, re-judgements included. With
+    ``checks`` every check has a row, at 0 where nothing was played."""
     played = rollouts.groupBy("check_id", "scenario_id").agg(
         F.count("*").alias("rollouts"), F.count_if(F.col("status") == "completed").alias("completed"))
-    return totals_of(played, evaluations)
+    return totals_of(played, evaluations, checks)
 
 
-def totals_of(played: DataFrame, evaluations: DataFrame) -> DataFrame:
+def totals_of(played: DataFrame, evaluations: DataFrame, checks: DataFrame | None = None) -> DataFrame:
     """Suite totals from rows per (check, scenario), e.g. `played_scenarios`."""
     suites = played.groupBy("check_id").agg(
         F.count("*").alias("scenarios"), F.sum("rollouts").alias("rollouts"), F.sum("completed").alias("completed"))
+    if checks is not None:
+        suites = checks.select("check_id").distinct().join(suites, "check_id", "left")
     judged = check_verdicts(evaluations)
     zero = F.lit(0).cast("bigint")
     return (suites.join(judged, "check_id", "left")
-            .withColumns({c: F.coalesce(c, zero) for c in ("evaluated", "passed")})
+            .withColumns({c: F.coalesce(c, zero) for c in ("scenarios", "rollouts", "completed", "evaluated", "passed")})
             .withColumn("pass_rate", rate_of(F.col("passed"), F.col("evaluated"), 0.0)))
 
 
@@ -181,6 +185,7 @@ def default_dataset(sessions: DataFrame, datasets: DataFrame) -> DataFrame:
         "session_id", F.col("dataset_id").alias("own"))
     newest = datasets.agg(F.max_by("dataset_id", F.struct("created_at", "dataset_id"))).scalar()
     joined = sessions.join(own, "session_id", "left").withColumn("any", newest)
+    # Note texts.
     note = (F.when(F.col("own").isNotNull(), F.lit(None))
             .when(F.col("any").isNotNull(), "no dataset in this session yet; using latest dataset")
             .otherwise("no datasets exist yet; generate one first"))

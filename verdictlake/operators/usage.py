@@ -9,29 +9,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdictlake.operators.ordered import prefix_sums
-
 # Range name: (length, bucket seconds).
 RANGES = {"24h": (timedelta(hours=24), 3600), "7d": (timedelta(days=7), 21600),
           "30d": (timedelta(days=30), 86400)}
+ACCURACY = 10_000
 UNITS = {"requests": "count", "error_rate": "percent", "p95_latency_ms": "ms"}
 
 
 def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:
     """Exact nearest-rank quantile per group: the value at rank ceil(q * n).
 
-    Values are first counted, so a hot group shuffles as (key, value) counts
-    over many tasks, and ranks accumulate block-wise; no task holds a group.
+    A mergeable summary per task brackets the rank first: its error is at most
+    1 / ACCURACY of the group, so the value lies between two of its quantiles,
+    whatever the scale of the values. Below the bracket rows are only counted;
+    inside, a few ten-thousandths of the group, values are counted and ranked.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = prefix_sums(counts, keys, [value], F.floor(value), _before=F.col("_n"))
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    slack = 3 / ACCURACY
+    rows = df.filter(F.col(value).isNotNull())
+    bracket = rows.groupBy(*keys).agg(
+        F.percentile_approx(value, [max(0.0, q - slack), min(1.0, q + slack)], ACCURACY).alias("_ends"), F.count("*").alias("_size"))
+    placed = rows.select(*keys, value).join(bracket, list(keys))
+    inside = F.col(value).between(F.col("_ends")[0], F.col("_ends")[1])
+    # Values below the bracket are one row: NULL sorts first.
+    counts = (placed.filter(F.col(value) <= F.col("_ends")[1])
+              .groupBy(*keys, F.when(inside, F.col(value)).alias(value)).agg(F.count("*").alias("_n"), F.first("_size").alias("_size")))
+    through = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_first()))
     rank = F.ceil(F.lit(q) * F.col("_size"))
-    return (ranked.join(sizes, list(keys))
-            .filter((F.col("_before") < rank) & (rank <= F.col("_before") + F.col("_n")))
+    return (counts.withColumn("_through", through).filter(F.col(value).isNotNull())
+            .filter((F.col("_through") - F.col("_n") < rank) & (rank <= F.col("_through")))
             .select(*keys, F.col(value).alias(out)))
 
 
@@ -94,6 +102,7 @@ def usage_key_series(requests: DataFrame, range_name: str, now: datetime) -> Dat
     length, seconds = RANGES[range_name]
     start = now - length
     inside = requests.filter((F.col("created_at") >= F.lit(start)) & (F.col("created_at") < F.lit(now)))
+    inside = inside.withColumn("api_key_id", F.coalesce("api_key_id", F.lit("")))
     return (inside.withColumn("bucket", bucket_start(F.col("created_at"), start, seconds))
             .groupBy("api_key_id", "bucket").agg(F.count("*").alias("requests")))
 

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdictlake.operators.ordered import prefix_sums
 from verdictlake.operators.scorecard import rate_of
 
 
@@ -114,11 +113,13 @@ def calibration_weights(rows: DataFrame) -> DataFrame:
 
 def family_quotas(pool: DataFrame, weights: DataFrame, count: int) -> DataFrame:
     """How many of ``count`` rows each family gets: largest remainder on the
-    weights, never more than the family has."""
+    weights, never more than the family has. A family without a weight weighs 0
+    and is drawn from only where the others do not suffice."""
     sizes = pool.groupBy("task_family").agg(F.count("*").alias("size"))
-    shares = sizes.join(weights, "task_family").withColumn("scope", F.lit(0))
+    shares = (sizes.join(weights, "task_family", "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
+              .withColumn("scope", F.lit(0)))
     whole = Window.partitionBy("scope")  # one row per family
-    exact = F.lit(float(count)) * F.col("weight") / F.sum("weight").over(whole)
+    exact = F.coalesce(F.lit(float(count)) * F.col("weight") / F.nullif(F.sum("weight").over(whole), F.lit(0.0)), F.lit(0.0))
     parts = shares.withColumn("exact", exact).withColumn("base", F.floor("exact"))
     rank = F.row_number().over(whole.orderBy(F.desc(F.col("exact") - F.col("base")), "task_family"))
     left = F.lit(count) - F.sum("base").over(whole)
@@ -141,10 +142,10 @@ def hash_order(scenario_id: Column, seed: int) -> Column:
 
 def sample_scenarios(pool: DataFrame, weights: DataFrame, count: int, seed: int) -> DataFrame:
     """Exactly ``count`` scenarios (or the whole pool), stratified by family and
-    the same for the same seed. Ranks within a family accumulate over 2**16
-    hash ranges, so the largest family is ranked by many tasks."""
+    the same for the same seed. Each task keeps at most ``count`` rows of a family
+    before the shuffle (window group limit)."""
     keyed = pool.withColumn("_key", hash_order(F.col("scenario_id"), seed))
-    ranked = prefix_sums(keyed, ["task_family"], ["_key", "scenario_id"],
-                         F.shiftright("_key", 24), _rank=F.lit(1).cast("bigint"))
+    order = Window.partitionBy("task_family").orderBy("_key", "scenario_id")
+    ranked = keyed.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= count)
     return (ranked.join(family_quotas(pool, weights, count), "task_family")
-            .filter(F.col("_rank") < F.col("quota")).drop("_key", "_rank", "quota"))
+            .filter(F.col("_rank") <= F.col("quota")).drop("_key", "_rank", "quota"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdictlake.operators import issues, judging, runs as run_ops, usage, validation
+from verdictlake.operators.ordered import number_block, positions
 from verdictlake.operators.scorecard import attach_verdicts
 from verdictlake.plans import bindings as fx
 from verdictlake.plans.registry import query
@@ -227,7 +228,7 @@ def simple_rollouts(spark: SparkSession, sf: str) -> DataFrame:
 WITH r AS (SELECT rollout_id, count(*) AS n FROM fx_turns GROUP BY rollout_id),
 c AS (SELECT rollout_id, bool_or(failed) AS unrecovered FROM (
         SELECT rollout_id, name, arg_max(is_error, seq) AS failed
-        FROM (SELECT rollout_id, seq, is_error, substr(input, 7, 1) AS name FROM fx_tool_events) e
+        FROM (SELECT rollout_id, seq, is_error, json_extract_string(input, '$.k') AS name FROM fx_tool_events) e
         GROUP BY rollout_id, name) z GROUP BY rollout_id),
 s AS (SELECT rollout_id, bool_or(role = 'agent' AND trim(content) = '') AS empty_reply,
              bool_or(role = 'agent' AND regexp_matches(content, '(?i)\b(?:than|der|les)\b')) AS claims
@@ -239,7 +240,7 @@ f AS (SELECT r.rollout_id, concat_ws('|', CASE WHEN c.unrecovered THEN 'tool err
       FROM r LEFT JOIN c ON c.rollout_id = r.rollout_id LEFT JOIN s ON s.rollout_id = r.rollout_id)
 SELECT rollout_id, issues = '' AS passed, issues FROM f""", "fx_turns fx_tool_events")
 def _(spark, sf):
-    events = fx.tool_events(spark, sf).withColumn("name", F.substring("input", 7, 1))
+    events = fx.tool_events(spark, sf).withColumn("name", F.get_json_object("input", "$.k"))
     judged = judging.judge_rollouts(simple_rollouts(spark, sf), fx.turns(spark, sf), events, claims=r"(?i)\b(?:than|der|les)\b")
     return judged.withColumn("issues", F.array_join("issues", "|"))
 
@@ -297,7 +298,7 @@ def nested_documents(spark: SparkSession, sf: str, part: int = 1000) -> DataFram
 
 
 @query("read_transcripts", """
-SELECT CAST(rollout_id AS VARCHAR) AS rollout_id, turn_idx, role, content, TRUE AS role_ok FROM fx_turns""", "fx_turns")
+SELECT CAST(rollout_id AS VARCHAR) AS rollout_id, turn_idx, role, content, role IN ('user', 'agent') AS role_ok FROM fx_turns""", "fx_turns")
 def _(spark, sf):
     """Nested documents written as JSON to the shared folder and read back."""
     path = work_path(spark, "transcripts")
@@ -419,14 +420,14 @@ FROM parts GROUP BY id, section, ord // 1000"""
 WITH parts AS (
   SELECT check_id AS id, 'header' AS section, 0::BIGINT AS ord,
          to_json({{type: 'quality_check', status: status, session_id: session_id}})::VARCHAR AS item FROM fx_quality_checks
-  UNION ALL SELECT check_id, 'evaluations', rollout_id * 100 + eval_seq, to_json({{rollout_id: rollout_id, passed: passed}})::VARCHAR
+  UNION ALL SELECT check_id, 'evaluations', row_number() OVER (PARTITION BY check_id ORDER BY rollout_id, eval_seq) - 1, to_json({{rollout_id: rollout_id, passed: passed}})::VARCHAR
   FROM fx_evaluations
   UNION ALL SELECT run_id, 'events', seq, to_json({{seq: seq, stage: stage, message: message}})::VARCHAR FROM fx_run_events)
 {PAGES_SQL}""", "fx_quality_checks fx_evaluations fx_run_events")
 def _(spark, sf):
     header = fx.quality_checks(spark, sf).selectExpr("check_id AS run_id", "'quality_check' AS type", "status", "session_id")
-    judged = fx.evaluations(spark, sf, dense=True).selectExpr(
-        "check_id AS run_id", "rollout_id", "passed", "rollout_id * 100 + eval_seq AS ord")
+    judged = positions(fx.evaluations(spark, sf).selectExpr("check_id AS run_id", "rollout_id", "eval_seq", "passed"),
+                       ["run_id"], ["rollout_id", "eval_seq"], number_block("rollout_id"), "ord")
     return shown(issues.run_detail(header, judged, fx.run_events(spark, sf)))
 
 

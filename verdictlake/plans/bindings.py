@@ -17,10 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spoken = table(spark, sf_dir, "conversations").filter("role <> 'system'")
+    spoken = table(spark, sf_dir, "conversations")
     return (positions(spoken, ["conv_id"], ["turn"], number_block("turn"), "pos")
             .select(F.col("conv_id").alias("rollout_id"), F.col("pos").cast("int").alias("turn_idx"),
-                    F.when(F.col("role") == "user", "user").otherwise("agent").alias("role"),
+                    F.when(F.col("role").isin("user", "system"), F.col("role")).otherwise("agent").alias("role"),
                     F.col("text").alias("content")))
 
 
@@ -106,7 +106,7 @@ def trace_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One part brand's customers: a customer is a dataset header."""
     return table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey AS dataset_id", "c_custkey % 25 AS session_id",
+        "c_custkey AS dataset_id", "c_custkey % 20 AS session_id",
         "concat('um-', c_custkey % 7) AS user_model_id",
         "cast(c_nationkey * 5 AS int) AS row_count",
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(c_custkey % 365 AS int)) AS created_at")
@@ -122,7 +122,7 @@ def dataset_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").selectExpr(
-        "s_suppkey AS user_model_id", "s_suppkey % 30 AS session_id", "s_name AS persona",
+        "s_suppkey AS user_model_id", "s_suppkey % 15 * 2 AS session_id", "s_name AS persona",
         "concat('Brand#', s_nationkey + 1) AS representation_id",
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(s_suppkey % 50 AS int)) AS created_at")
 
@@ -146,8 +146,8 @@ VIEWS = {
     "fx_turns": """
 SELECT conv_id AS rollout_id,
        CAST(ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS turn_idx,
-       CASE WHEN role = 'user' THEN 'user' ELSE 'agent' END AS role, text AS content
-FROM conversations WHERE role <> 'system'""",
+       CASE WHEN role IN ('user', 'system') THEN role ELSE 'agent' END AS role, text AS content
+FROM conversations""",
     "fx_quality_checks": """
 SELECT o_orderkey AS check_id, o_custkey % 20 AS session_id,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'main' WHEN '2-HIGH' THEN 'release'
@@ -190,7 +190,7 @@ SELECT event_id, '/v1/' || event_type AS route,
        value AS latency_ms, ts AS created_at
 FROM events""",
     "fx_datasets": """
-SELECT c_custkey AS dataset_id, c_custkey % 25 AS session_id,
+SELECT c_custkey AS dataset_id, c_custkey % 20 AS session_id,
        'um-' || CAST(c_custkey % 7 AS VARCHAR) AS user_model_id,
        CAST(c_nationkey * 5 AS INT) AS row_count,
        TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(c_custkey % 365 AS INT)) AS created_at
@@ -199,7 +199,7 @@ FROM customer""",
 SELECT DISTINCT o_custkey AS dataset_id, l_partkey AS scenario_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_user_models": """
-SELECT s_suppkey AS user_model_id, s_suppkey % 30 AS session_id, s_name AS persona,
+SELECT s_suppkey AS user_model_id, s_suppkey % 15 * 2 AS session_id, s_name AS persona,
        'Brand#' || CAST(s_nationkey + 1 AS VARCHAR) AS representation_id,
        TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey % 50 AS INT)) AS created_at
 FROM supplier""",
@@ -212,7 +212,7 @@ FROM fx_tool_events""",
     # Last verdict of every judged rollout.
     "fx_latest": """
 SELECT check_id, rollout_id, passed FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY rollout_id ORDER BY eval_seq DESC) AS rn
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY check_id, rollout_id ORDER BY eval_seq DESC) AS rn
   FROM fx_evaluations) e WHERE rn = 1""",
     # Suite totals of every check.
     "fx_totals": """
@@ -230,7 +230,7 @@ SELECT r.check_id, r.scenario_id, count(l.passed) AS repeats,
        count(*) FILTER (l.passed) AS passed,
        CASE WHEN count(l.passed) = 0 THEN 0.0::DOUBLE
             ELSE count(*) FILTER (l.passed) * 1.0::DOUBLE / count(l.passed) END AS pass_rate
-FROM fx_rollouts r LEFT JOIN fx_latest l ON r.rollout_id = l.rollout_id
+FROM fx_rollouts r LEFT JOIN fx_latest l ON r.rollout_id = l.rollout_id AND r.check_id = l.check_id
 GROUP BY r.check_id, r.scenario_id""",
 }
 

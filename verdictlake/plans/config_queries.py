@@ -118,10 +118,10 @@ def _(spark, sf):
 
 @query("apply_policy", f"""
 WITH {MERGED_SQL},
-p AS (SELECT session_id, CASE WHEN session_id % 3 = 0 THEN 0.75::DOUBLE END AS lowest,
+p AS (SELECT session_id + 5 AS session_id, CASE WHEN session_id % 3 = 0 THEN 0.75::DOUBLE END AS lowest,
              CASE WHEN session_id % 2 = 0 THEN 6 END AS cap,
              CASE WHEN session_id % 4 <> 1 THEN 0.7::DOUBLE END AS fallback
-      FROM fx_sessions WHERE session_id < 15),
+      FROM fx_sessions),
 j AS (SELECT m.*, p.lowest, p.cap, p.fallback, COALESCE(m.pass_rate, p.fallback) AS stated
       FROM merged m LEFT JOIN p ON p.session_id = m.session_id)
 SELECT run_id, CASE WHEN stated IS NOT NULL THEN greatest(stated, lowest) END AS pass_rate,
@@ -133,8 +133,8 @@ SELECT run_id, CASE WHEN stated IS NOT NULL THEN greatest(stated, lowest) END AS
        CASE WHEN stated IS NULL THEN 'thresholds.pass_rate: required (0..1)' END AS config_error
 FROM j""", "fx_sessions")
 def _(spark, sf):
-    policy = fx.sessions(spark, sf).filter("session_id < 15").selectExpr(
-        "session_id", "CASE WHEN session_id % 3 = 0 THEN 0.75D END AS pass_rate_floor",
+    policy = fx.sessions(spark, sf).selectExpr(
+        "session_id + 5 AS session_id", "CASE WHEN session_id % 3 = 0 THEN 0.75D END AS pass_rate_floor",
         "CASE WHEN session_id % 2 = 0 THEN 6 END AS max_concurrency",
         "CASE WHEN session_id % 4 <> 1 THEN 0.7D END AS default_pass_rate")
     applied = config.apply_policy(merged(spark, sf), policy)

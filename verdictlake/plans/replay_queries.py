@@ -75,7 +75,7 @@ def _(spark, sf):
 
 @query("replay_mismatches", REPLAY_SQL + """
 SELECT r.rollout_id, r.seq, r.name, r.result_id, e.result_id AS want_id, r.error, e.error AS want_error
-FROM reported r JOIN replayed e ON e.rollout_id = r.rollout_id AND e.seq = r.seq
+FROM reported r LEFT JOIN replayed e ON e.rollout_id = r.rollout_id AND e.seq = r.seq
 WHERE r.result_id IS DISTINCT FROM e.result_id OR r.error IS DISTINCT FROM e.error""", "fx_tool_events")
 def _(spark, sf):
     return replay.replay_mismatches(reported(spark, sf),
@@ -98,14 +98,14 @@ def _(spark, sf):
 
 
 @query("tool_call_stats", """
-WITH named AS (SELECT rollout_id, seq, is_error, 'tool-' || substr(input, 7, 1) AS name FROM fx_tool_events),
+WITH named AS (SELECT rollout_id, seq, is_error, 'tool-' || json_extract_string(input, '$.k') AS name FROM fx_tool_events),
 steps AS (SELECT *, LAG(is_error) OVER (PARTITION BY rollout_id, name ORDER BY seq) AS was_error FROM named)
 SELECT name, count(*) AS calls, count(*) FILTER (is_error) AS errors,
        count(*) FILTER (was_error AND NOT is_error) AS recovered,
        count(*) FILTER (is_error) * 1.0::DOUBLE / count(*) AS error_share
 FROM steps GROUP BY name""", "fx_tool_events")
 def _(spark, sf):
-    named = fx.tool_events(spark, sf).withColumn("name", F.concat(F.lit("tool-"), F.substring("input", 7, 1)))
+    named = fx.tool_events(spark, sf).withColumn("name", F.concat(F.lit("tool-"), F.get_json_object("input", "$.k")))
     return replay.tool_call_stats(named)
 
 
@@ -138,14 +138,12 @@ def _(spark, sf):
 
 
 @query("redact_secrets_json", rf"""
-SELECT doc_id, '{{"doc": ' || CAST(doc_id AS VARCHAR) || ', "n": [1, 2.5, null], "k": "' ||
-       COALESCE(regexp_replace(regexp_extract(text, '{HEX_TOKEN}'), '^[0-9a-f]+$', '[REDACTED:custom-0]'), '') || '"}}' AS payload
-FROM documents""")
+SELECT doc_id, regexp_replace(text, '{HEX_TOKEN}', '[REDACTED:custom-0]', 'g') AS text, '[1,2.5,null]' AS n FROM documents""")
 def _(spark, sf):
-    token = F.regexp_extract("text", HEX_TOKEN, 0)
-    payload = F.concat(F.lit('{"doc":'), F.col("doc_id").cast("string"), F.lit(',"n":[1,2.5,null],"k":"'),
-                       token, F.lit('"}'))
-    return fx.trace_text(spark, sf).select("doc_id", rd.redact_secrets_json(payload, extra=[HEX_TOKEN]).alias("payload"))
+    """Whole texts as a string inside a payload, taken out again."""
+    payload = F.concat(F.lit('{"n":[1,2.5,null],"k":{"text":'), F.to_json(F.array("text")), F.lit("}}"))
+    done = fx.trace_text(spark, sf).select("doc_id", rd.redact_secrets_json(payload, extra=[HEX_TOKEN]).alias("payload"))
+    return done.select("doc_id", F.get_json_object("payload", "$.k.text[0]").alias("text"), F.get_json_object("payload", "$.n").alias("n"))
 
 
 @query("redact_pii_json", """
@@ -158,12 +156,11 @@ def _(spark, sf):
 
 
 @query("redact_hook", r"""
-SELECT doc_id, upper(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<redacted:email>', 'g')) AS text
-FROM documents WHERE regexp_matches(text, '^[\x00-\x7F]*$')""")
+SELECT doc_id, replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<redacted:email>', 'g'), 'the', '<name>') AS text
+FROM documents""")
 def _(spark, sf):
-    """ASCII texts, where both engines agree on upper case."""
-    plain = fx.trace_text(spark, sf).filter(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return plain.select("doc_id", rd.redact_pii(F.col("text"), rd.text_hook(str.upper), only=["<redacted:email>"]).alias("text"))
+    named = rd.text_hook(lambda text: text.replace("the", "<name>"))
+    return fx.trace_text(spark, sf).select("doc_id", rd.redact_pii(F.col("text"), named, only=["<redacted:email>"]).alias("text"))
 
 
 def traces(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -227,8 +224,8 @@ def _(spark, sf):
 
 @query("trace_to_scenarios", f"""
 SELECT f.trace_id, g.goal, f.failing_tool, f.category, g.goal AS text FROM ({FAILURES_SQL}) f
-JOIN (SELECT rollout_id, {fx.pii_sql('arg_min(content, turn_idx)')} AS goal FROM fx_turns
+LEFT JOIN (SELECT rollout_id, {fx.pii_sql('arg_min(content, turn_idx)')} AS goal FROM fx_turns
       WHERE role = 'user' GROUP BY rollout_id) g ON g.rollout_id = f.trace_id
-WHERE {fx.pii_sql('g.goal')} = g.goal""", "fx_turns fx_tool_events")
+WHERE g.goal IS NULL OR {fx.pii_sql('g.goal')} = g.goal""", "fx_turns fx_tool_events")
 def _(spark, sf):
     return issues.trace_to_scenarios(*traces(spark, sf))

@@ -240,8 +240,8 @@ def _(spark, sf):
 WITH own AS (
   SELECT session_id, dataset_id FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY created_at DESC, dataset_id DESC) AS rn
-    FROM fx_datasets WHERE session_id < 20) d WHERE rn = 1),
-newest AS (SELECT dataset_id FROM fx_datasets WHERE session_id < 20
+    FROM fx_datasets) d WHERE rn = 1),
+newest AS (SELECT dataset_id FROM fx_datasets
            ORDER BY created_at DESC, dataset_id DESC LIMIT 1)
 SELECT s.session_id, COALESCE(o.dataset_id, n.dataset_id) AS dataset_id,
        CASE WHEN o.dataset_id IS NULL
@@ -250,13 +250,11 @@ SELECT s.session_id, COALESCE(o.dataset_id, n.dataset_id) AS dataset_id,
 FROM fx_sessions s LEFT JOIN own o ON o.session_id = s.session_id CROSS JOIN newest n""",
        "fx_sessions fx_datasets")
 def _(spark, sf):
-    return sc.default_dataset(fx.sessions(spark, sf), fx.datasets(spark, sf).filter("session_id < 20"))
+    return sc.default_dataset(fx.sessions(spark, sf), fx.datasets(spark, sf))
 
 
 @query("compose_dataset", """
-WITH asked AS (SELECT s_suppkey AS user_model_id, p_partkey AS scenario_id FROM supplier
-               JOIN part ON p_partkey % 100 = s_suppkey % 100 AND (s_suppkey % 2 = 0
-                    OR p_brand = 'Brand#' || CAST(s_nationkey + 1 AS VARCHAR))),
+WITH asked AS (SELECT DISTINCT l_suppkey AS user_model_id, l_partkey AS scenario_id FROM lineitem),
 checked AS (
   SELECT a.*, COALESCE(s.representation_id = m.representation_id, FALSE) AS belongs
   FROM asked a JOIN fx_user_models m ON m.user_model_id = a.user_model_id
@@ -265,11 +263,7 @@ SELECT c.user_model_id, c.scenario_id, c.belongs, v.accepted FROM checked c
 JOIN (SELECT user_model_id, bool_and(belongs) AS accepted FROM checked GROUP BY user_model_id) v
   ON v.user_model_id = c.user_model_id""", "fx_user_models fx_scenarios")
 def _(spark, sf):
-    models, parts = fx.table(spark, sf, "supplier"), fx.table(spark, sf, "part")
-    asked = (models.withColumn("k", F.col("s_suppkey") % 100)
-             .join(parts.withColumn("k", F.col("p_partkey") % 100), "k")
-             .filter("s_suppkey % 2 = 0 OR p_brand = concat('Brand#', s_nationkey + 1)")
-             .selectExpr("s_suppkey AS user_model_id", "p_partkey AS scenario_id"))
+    asked = fx.table(spark, sf, "lineitem").selectExpr("l_suppkey AS user_model_id", "l_partkey AS scenario_id").distinct()
     return sc.compose_dataset(asked, fx.user_models(spark, sf), fx.scenarios(spark, sf))
 
 
@@ -349,8 +343,8 @@ WITH latest AS ({LATEST_SUMMARY_SQL}),
 newest AS (
   SELECT session_id, dataset_id, row_count FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY session_id ORDER BY created_at DESC, dataset_id DESC) AS rn
-    FROM fx_datasets WHERE session_id % 6 <> 5) d WHERE rn = 1),
-people AS (SELECT DISTINCT session_id FROM fx_user_models WHERE session_id % 4 <> 1),
+    FROM fx_datasets) d WHERE rn = 1),
+people AS (SELECT DISTINCT session_id FROM fx_user_models),
 rows AS (
   SELECT s.session_id, n.dataset_id, n.row_count, l.check_id, p.session_id IS NOT NULL AS has_model,
          CASE WHEN l.total > 0 THEN l.passed * 1.0::DOUBLE / l.total END AS rate,
@@ -382,8 +376,8 @@ FROM steps""", "fx_quality_checks fx_evaluations fx_datasets fx_user_models fx_s
 def _(spark, sf):
     return gates.reuse_decision(
         fx.sessions(spark, sf).select("session_id", (F.col("session_id") % 9 == 8).alias("reprobe")),
-        fx.datasets(spark, sf).filter("session_id % 6 <> 5"), fx.quality_checks(spark, sf),
-        fx.evaluations(spark, sf), fx.user_models(spark, sf).filter("session_id % 4 <> 1"), count=60)
+        fx.datasets(spark, sf), fx.quality_checks(spark, sf),
+        fx.evaluations(spark, sf), fx.user_models(spark, sf), count=60)
 
 
 
