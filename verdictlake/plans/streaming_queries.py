@@ -14,11 +14,28 @@ from verdictlake.session import work_path
 from verdictlake.streaming import feeds, stateful
 
 
-def as_stream(rows: DataFrame, session: SparkSession, name: str, files: int = 2) -> DataFrame:
-    """``rows`` written once and opened as a stream of two micro-batches."""
+BATCHES = 3
+
+
+def as_stream(rows: DataFrame, session: SparkSession, name: str, time: str | None = None, batches: int = BATCHES) -> DataFrame:
+    """``rows`` written to the shared folder and opened as a stream of several
+    micro-batches. With ``time`` they are written one stretch of time after the
+    other, as a live feed arrives; every stretch by as many tasks as it has."""
     path = work_path(session, name)
-    rows.repartition(files).write.parquet(path)
-    return session.readStream.schema(rows.schema).option("maxFilesPerTrigger", (files + 1) // 2).parquet(path)
+    if time is None:
+        rows.write.parquet(path)
+    else:
+        micros = F.unix_micros(F.col(time).cast("timestamp"))
+        kept = f"{path}-rows"
+        rows.withColumn("_at", micros).write.parquet(kept)
+        kept_rows = rows.sparkSession.read.parquet(kept)
+        cuts = kept_rows.agg(F.percentile_approx("_at", [n / batches for n in range(1, batches)], 1000)).first()[0] or []
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            part = kept_rows if low is None else kept_rows.filter(F.col("_at") > low)
+            part = part if high is None else part.filter(F.col("_at") <= high)
+            part.drop("_at").write.mode("append").parquet(path)
+    files = len(rows.sparkSession.read.parquet(path).inputFiles())
+    return session.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(path)
 
 
 def _timed(rows: DataFrame, column: str = "created_at") -> DataFrame:
@@ -32,7 +49,7 @@ def _(spark, sf):
     """Every fifth event is sent twice."""
     events = _timed(fx.run_events(spark, sf))
     resent = events.unionByName(events.filter("seq % 5 = 0"))
-    fed = feeds.stream_event_feed(as_stream(resent, stateful.state_session(spark), "events"), delay="60 days")
+    fed = feeds.stream_event_feed(as_stream(resent, stateful.state_session(spark), "events", "created_at"), delay="1 day")
     return spark.read.parquet(feeds.run_available(fed, spark, "event-feed")).drop("created_at")
 
 
@@ -46,7 +63,7 @@ d AS (SELECT run_id, arg_min(status, seq) AS status FROM s WHERE status <> 'runn
 SELECT r.run_id, COALESCE(d.status, 'running') AS status, max(r.seq) AS last_seq
 FROM s r LEFT JOIN d ON d.run_id = r.run_id GROUP BY r.run_id, d.status""", "fx_run_events")
 def _(spark, sf):
-    out = feeds.run_available(feeds.stream_run_status(as_stream(status_rows(spark, sf), stateful.state_session(spark), "status")),
+    out = feeds.run_available(feeds.stream_run_status(as_stream(status_rows(spark, sf), stateful.state_session(spark), "status", "created_at")),
                               spark, "run-status", "update")
     return feeds.latest_update(spark, out, ["run_id"])
 
@@ -65,7 +82,7 @@ SELECT l.run_id, l.last_seq, COALESCE(d.status, CASE WHEN l.last_at + INTERVAL 1
 FROM l CROSS JOIN w LEFT JOIN d ON d.run_id = l.run_id""", "fx_run_events")
 def _(spark, sf):
     session = stateful.state_session(spark)
-    flagged = stateful.stream_stalled_runs(as_stream(status_rows(spark, sf), session, "stalled"), 3600)
+    flagged = stateful.stream_stalled_runs(as_stream(status_rows(spark, sf), session, "stalled", "created_at"), 3600)
     return feeds.latest_update(spark, feeds.run_available(flagged, session, "stalled-runs", "update"), ["run_id"])
 
 
@@ -74,7 +91,7 @@ def _(spark, sf):
     turns = fx.turns(spark, sf).withColumn("recorded_at", F.expr(
         "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, turn_idx)"))
     resent = turns.unionByName(turns.filter("turn_idx % 2 = 1"))
-    once = feeds.idempotent_turns(as_stream(resent, stateful.state_session(spark), "turns"), delay="30 days")
+    once = feeds.idempotent_turns(as_stream(resent, stateful.state_session(spark), "turns", "recorded_at"), delay="1 hour")
     return spark.read.parquet(feeds.run_available(once, spark, "idempotent-turns")).drop("recorded_at")
 
 
@@ -91,7 +108,7 @@ SELECT epoch_us(time_bucket(INTERVAL 1 DAY, created_at)) AS bucket, count(*) AS
        count(*) FILTER (status >= 400) AS errors FROM fx_requests GROUP BY 1""", "fx_requests")
 def _(spark, sf):
     requests = _timed(fx.requests(spark, sf)).select("created_at", "status")
-    out = feeds.run_available(feeds.stream_usage(as_stream(requests, stateful.state_session(spark), "requests"), "1 day", "60 days"),
+    out = feeds.run_available(feeds.stream_usage(as_stream(requests, stateful.state_session(spark), "requests", "created_at"), "1 day", "1 hour"),
                               spark, "stream-usage", "update")
     return feeds.latest_update(spark, out, ["bucket"]).withColumn("bucket", F.unix_micros("bucket"))
 
@@ -103,11 +120,11 @@ WHERE r.result_id IS DISTINCT FROM e.result_id OR r.error IS DISTINCT FROM e.err
 def _(spark, sf):
     session = stateful.state_session(spark)
     boxes = fx.sandboxes(spark, sf).select("rollout_id", "seed", F.col("fail_tools").alias("planted"), "version")
-    inputs = fx.tool_events(spark, sf).select("rollout_id", "seq", "input")
+    inputs = fx.tool_events(spark, sf).select("rollout_id", "seq", "input", F.col("ts").cast("timestamp").alias("at"))
     calls = (reported(spark, sf).join(inputs, ["rollout_id", "seq"]).join(boxes, "rollout_id")
              .withColumn("external", F.lit(False)))
-    checked = stateful.stream_replay_check(as_stream(calls, session, "calls"))
-    return spark.read.parquet(feeds.run_available(checked, session, "replay-check"))
+    checked = stateful.stream_replay_check(as_stream(calls, session, "calls", "at"), wait_seconds=400 * 86400)
+    return spark.read.parquet(feeds.run_available(checked, session, "replay-check")).drop("after_gap")
 
 
 @query("stream_pass_rate", """

@@ -31,25 +31,35 @@ def state_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+REPLAYED = ["rollout_id", "seq", "name", "result_id", "want_id", "error", "want_error", "after_gap"]
+
+
 class _ReplayState(StatefulProcessor):
     """Replays a rollout's calls in ``seq`` order. Calls that arrive ahead of a
-    gap wait in map state; re-sent ones are dropped."""
+    gap wait in map state; re-sent ones are dropped. A timer behind the latest
+    call releases what still waits, in order and marked, and ends the state."""
+
+    def __init__(self, wait_ms: int):
+        self.wait_ms = wait_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.progress = handle.getValueState("progress", "next_seq int, version bigint, failed array<string>")
+        self.handle = handle
+        self.progress = handle.getValueState("progress", "next_seq int, version bigint, failed array<string>, timer bigint")
         self.waiting = handle.getMapState(
             "waiting", "seq int", "name string, call string, seed bigint, planted array<string>, "
-            "external boolean, result_id string, error string")
+            "external boolean, result_id string, error string, version bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.progress.get() if self.progress.exists() else None
         next_seq, version = (stored[0], stored[1]) if stored else (0, None)
-        failed = set(stored[2]) if stored else set()
+        failed, timer = (set(stored[2]), stored[3]) if stored else (set(), 0)
+        latest = 0
         for chunk in rows:
             found = []
+            latest = max(latest, int(chunk["at_ms"].max()))
             for row in chunk.sort_values("seq").itertuples(index=False):
                 fields = (row.name, row.call, int(row.seed), list(row.planted), bool(row.external),
-                          row.result_id, row.error)
+                          row.result_id, row.error, int(row.version))
                 if row.seq > next_seq:
                     self.waiting.updateValue((int(row.seq),), fields)
                     continue
@@ -58,13 +68,27 @@ class _ReplayState(StatefulProcessor):
                 version = int(row.version) if version is None else version
                 while fields is not None:
                     outcome, version = self._step(fields, version, failed)
-                    found.append((key[0], next_seq, *outcome))
+                    found.append((key[0], next_seq, *outcome, False))
                     next_seq += 1
                     fields = self._take(next_seq)
-            yield pd.DataFrame(found, columns=["rollout_id", "seq", "name", "result_id", "want_id",
-                                               "error", "want_error"])
-        if version is not None:
-            self.progress.update((next_seq, version, sorted(failed)))
+            yield pd.DataFrame(found, columns=REPLAYED)
+        if latest + self.wait_ms > timer:
+            if timer:
+                self.handle.deleteTimer(timer)
+            timer = latest + self.wait_ms
+            self.handle.registerTimer(timer)
+        self.progress.update((next_seq, version, sorted(failed), timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        _, version, failed, _ = self.progress.get()
+        failed, found = set(failed), []
+        for (seq,), fields in sorted((tuple(k), tuple(v)) for k, v in self.waiting.iterator()):
+            version = fields[-1] if version is None else version
+            outcome, version = self._step(fields, version, failed)
+            found.append((key[0], seq, *outcome, True))
+        self.waiting.clear()
+        self.progress.clear()
+        yield pd.DataFrame(found, columns=REPLAYED)
 
     def _take(self, seq: int):
         if not self.waiting.containsKey((seq,)):
@@ -75,8 +99,9 @@ class _ReplayState(StatefulProcessor):
 
     @staticmethod
     def _step(fields, version, failed):
-        name, call, seed, planted, external, result_id, error = fields
-        faulted = name in planted and name not in failed
+        name, call, seed, planted, external, result_id, error, _ = fields
+        # A report that succeeded does not consume a planted fault.
+        faulted = name in planted and name not in failed and (not external or error is not None)
         if faulted:
             failed.add(name)
         if external:
@@ -90,18 +115,22 @@ class _ReplayState(StatefulProcessor):
         pass
 
 
-def stream_replay_check(events: DataFrame) -> DataFrame:
+def stream_replay_check(events: DataFrame, wait_seconds: int = 3600, delay: str = "1 minute") -> DataFrame:
     """Calls whose reported output differs from the replayed one, live.
 
     ``events(rollout_id, seq, name, input, seed, planted, version, external,
-    result_id, error)``: events joined with their sandbox (a stream-static
-    join). ``seq`` starts at 0 in every rollout.
+    result_id, error, at)``: events joined with their sandbox (a stream-static
+    join). ``seq`` starts at 0 in every rollout. Calls behind a missing ``seq``
+    are held until the watermark passes the rollout's latest call by
+    ``wait_seconds``, then compared as if it had never been, with ``after_gap``;
+    the rollout's state ends there too.
     """
     key = events.schema["rollout_id"].dataType.simpleString()
-    called = events.withColumn("call", call_key(F.col("name"), F.col("input"))).drop("input")
+    called = (events.withWatermark("at", delay).withColumn("at_ms", F.unix_millis("at"))
+              .withColumn("call", call_key(F.col("name"), F.col("input"))).drop("input"))
     replayed = called.groupBy("rollout_id").transformWithStateInPandas(
-        _ReplayState(), f"rollout_id {key}, seq int, name string, result_id string, want_id string, "
-        "error string, want_error string", outputMode="Append", timeMode="None")
+        _ReplayState(wait_seconds * 1000), f"rollout_id {key}, seq int, name string, result_id string, want_id string, "
+        "error string, want_error string, after_gap boolean", outputMode="Append", timeMode="EventTime")
     return replayed.filter("NOT (result_id <=> want_id AND error <=> want_error)")
 
 
@@ -130,17 +159,19 @@ class _StallState(StatefulProcessor):
             seq = max(seq, int(newest["seq"]))
         if timer:
             self.handle.deleteTimer(timer)
-        timer = 0
-        if ended is None:
-            timer = last_ms + self.timeout_ms
-            self.handle.registerTimer(timer)
+        timer = last_ms + self.timeout_ms
+        self.handle.registerTimer(timer)
         self.latest.update((seq, status, ended, last_ms, timer))
         yield pd.DataFrame({"run_id": [key[0]], "status": [status], "last_seq": [seq]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        seq, _, _, last_ms, _ = self.latest.get()
-        self.latest.update((seq, "timed_out", None, last_ms, 0))
-        yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq]})
+        seq, _, ended, last_ms, _ = self.latest.get()
+        if ended is not None:  # a finished run's state ends
+            self.latest.clear()
+            yield pd.DataFrame({"run_id": [], "status": [], "last_seq": []})
+        else:
+            self.latest.update((seq, "timed_out", None, last_ms, 0))
+            yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq]})
 
     def close(self) -> None:
         pass
