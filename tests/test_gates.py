@@ -126,11 +126,11 @@ def test_report_sink_refuses_other_columns(spark, tmp_path):
 
 CONFIG_ROWS = [
     ('{"version": 1, "agent": {"entrypoint": "a.py"}}', set()),
-    ("{}", {("version", "must be 1"), ("agent.entrypoint", "required")}),
+    ("{}", {("version", "must be 1"), ("agent.entrypoint", "required (path to your RolloutAgent module)")}),
     ('{"version": "1", "agent": {"entrypoint": " "}}',
      {("version", "expected a number"), ("version", "must be 1"), ("agent.entrypoint", "expected a non-empty string")}),
     ('{"version": 1.5, "agent": []}', {("version", "expected an integer"), ("version", "must be 1"),
-                                       ("agent", "expected a mapping"), ("agent.entrypoint", "required")}),
+                                       ("agent", "expected a mapping"), ("agent.entrypoint", "required (path to your RolloutAgent module)")}),
     ('{"version": 1, "agent": {"entrypoint": "a", "meta": {"x": {}}, "model": 1}}',
      {("agent.model", "unknown key (allowed: entrypoint, meta)")}),
     ('{"version": 1, "agent": {"entrypoint": "a"}, "run": {"max_turns": 1, "repeats": 6, "concurrency": true, '
