@@ -188,11 +188,12 @@ def write_blocks(ids: DataFrame, path: str, lengths: np.ndarray, kind: str,
 def read_documents(spark: SparkSession, path: str, lengths: np.ndarray, every: int = CHECKPOINT_IDS,
                    blocks_at_once: int = 16) -> DataFrame:
     """(doc_id, start, n_tokens, ids) read back from blocks; ``start`` counts the
-    ids of all documents before. Only sums per shard meet in one window."""
+    ids of all documents before. Only sums per shard, a row each, meet in one
+    window; they are written, so that the files meet a table of known size."""
     files = spark.read.schema(BLOCK).parquet(path)
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = (files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-             .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    bases = written(files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+                    .select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "shard-bases")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = decoding_table(lengths)
