@@ -243,7 +243,7 @@ class SignatureTree:
         return int((both[1:] == both[:-1]).sum()) >= least_overlap(len(a), len(b), self.percent)
 
 
-def cluster_parts(classes: DataFrame, part: int) -> DataFrame:
+def cluster_parts(classes: DataFrame, part: int, percent: int = PERCENT) -> DataFrame:
     """Add ``part``: clusters above ``part`` classes are cut along their sizes,
     and each class goes to every pair of parts whose sizes can match, once."""
     key = ["cluster"]
@@ -255,7 +255,7 @@ def cluster_parts(classes: DataFrame, part: int) -> DataFrame:
     ranges = large.groupBy("cluster", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = ranges.select("cluster", F.col("own").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     met = (ranges.join(other, "cluster")
-           .filter(f"{PERCENT} * low <= 100 * high2 AND {PERCENT} * low2 <= 100 * high")
+           .filter(f"{percent} * low <= 100 * high2 AND {percent} * low2 <= 100 * high")
            .select("cluster", "own", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part")))
     return small.select(*classes.columns, "part").unionByName(large.join(met, ["cluster", "own"]).select(*classes.columns, "part"))
 
@@ -297,7 +297,7 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
 
     keyed = classes.withColumn("node", F.expr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) AS long)"))
     inside = keyed.join(near, "node").select("class", "n", "digest", F.col("component").alias("cluster"))
-    placed = cluster_parts(inside, part)
+    placed = cluster_parts(inside, part, percent)
     members = placed.join(bare.withColumnRenamed("doc_id", "class"), "class")
     links = components(cluster_links(members, words, percent), "links")
 

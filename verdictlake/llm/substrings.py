@@ -200,7 +200,9 @@ def with_replies(packs: DataFrame, replies: DataFrame, copies: DataFrame, run, s
 
 def document_copies(packs: DataFrame) -> DataFrame:
     """Per pack, as an answer with bin -1, the numbers of its documents whose
-    whole word sequence a document with a smaller id has."""
+    whole word sequence a document with a smaller id has. The least ids are
+    written first: a side of known size, beside which Spark can split a digest
+    that very many documents have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -211,7 +213,8 @@ def document_copies(packs: DataFrame) -> DataFrame:
                     ["pack", "number", "doc_id", "digest"])
 
     facts = packs.select("pack", "doc_ids", "digests").mapInArrow(run, "pack long, number long, doc_id long, digest binary")
-    least = facts.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    least = written(facts.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("rows"))
+                    .filter("rows > 1").drop("rows"), "least-copies")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
