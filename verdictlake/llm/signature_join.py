@@ -25,11 +25,11 @@ from verdictlake.llm.shingles import SHINGLE_WORDS, digest, mixed, shingle_set
 from verdictlake.operators.ordered import number_block, positions
 
 PERCENT = 80
-SKETCH_BITS = 16
+SKETCH_BITS = 20
 BIN_TOKENS = 1 << 19
 CLUSTER_PART = 4096
 SIGNATURE_BYTES = 1024
-LEAF = 8
+LEAF = 32
 
 SETS = "doc_id long, n int, digest binary, slot int, count long"
 
@@ -73,8 +73,8 @@ def sketch_of(described: DataFrame, sketch_bits: int = SKETCH_BITS) -> np.ndarra
     """Counts by slot: 2**sketch_bits numbers, whatever the size of the corpus.
     They only order tokens (rare ones first); any order gives the same links."""
     counts = np.zeros(1 << sketch_bits, np.int64)
-    for row in described.filter("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).collect():
-        counts[row.slot] = row["count"]
+    sums = described.filter("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
+    counts[sums.column("slot").to_numpy()] = sums.column("count").to_numpy()
     return counts
 
 
@@ -172,7 +172,7 @@ def prefix_edges(docs: DataFrame, counts: np.ndarray, bins: int, words: int, per
 # ---- signature trees
 
 class SignatureTree:
-    """Sets in leaves of eight, nodes of eight; ``bits`` are OR-combined bitmaps,
+    """Sets in leaves of ``LEAF``, as many nodes to a node; ``bits`` are OR-combined bitmaps,
     ``low``/``high`` the sizes and ``few`` the least number of bits of a member."""
 
     def __init__(self, sets: list[np.ndarray], percent: int = PERCENT, width: int = SIGNATURE_BYTES):
