@@ -162,16 +162,16 @@ class _StallState(StatefulProcessor):
         timer = last_ms + self.timeout_ms
         self.handle.registerTimer(timer)
         self.latest.update((seq, status, ended, last_ms, timer))
-        yield pd.DataFrame({"run_id": [key[0]], "status": [status], "last_seq": [seq]})
+        yield pd.DataFrame({"run_id": [key[0]], "status": [status], "last_seq": [seq]}, dtype=object)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         seq, _, ended, last_ms, _ = self.latest.get()
         if ended is not None:  # a finished run's state ends
             self.latest.clear()
-            yield pd.DataFrame({"run_id": [], "status": [], "last_seq": []})
+            yield pd.DataFrame({"run_id": [], "status": [], "last_seq": []}, dtype=object)
         else:
             self.latest.update((seq, "timed_out", None, last_ms, 0))
-            yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq]})
+            yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq]}, dtype=object)
 
     def close(self) -> None:
         pass
