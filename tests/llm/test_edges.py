@@ -303,3 +303,20 @@ def test_planted_templates(spark):
     got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [got[i].labels for i in range(5)] == ["mit", "cc-by-nc", "reserved", "", "mit"] and got[4].base_labels == "mit"
     assert hashlib.sha256(b"").hexdigest() and got[0].score < 1 and got[4].score == 1
+
+
+def test_wrapped_templates(spark):
+    wrapped = {
+        1: ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"),
+        2: ("gpl", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free"),
+        3: ("bsd", " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following"),
+        4: ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public\r\nLicense, v. 2.0. If a copy"),
+        5: ("mit", "\n".join("Permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files".split())),
+        6: ("reserved", "All rights\nreserved"),
+        7: ("", "licensed under\ncc by 4 0"), 8: ("", "released under\nthe bsd license"),  # the naming word is missing
+        9: ("", ("redistribution and use in source and binary " + "filler " * 30 + "\n") + "forms with or without modification are permitted"),
+        10: ("bsd", "filler words\n" * 3000 + "Redistribution and use in source and\nbinary forms, with or without\nmodification, are permitted\n" + "more\n" * 3000)}
+    rows = [(i, text) for i, (_, text) in wrapped.items()]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.labels for i, r in got.items()} == {i: label for i, (label, _) in wrapped.items()}
+    assert got[4].score == 1 and got[3].score == 1 and got[1].score == 1 and got[7].score == 0

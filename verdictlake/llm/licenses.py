@@ -2,7 +2,12 @@
 templates. DataFrame functions only.
 
 A block is a line of a text, a set of words; it matches a template when it holds
-at least 80 percent of the template's words. Words are ordered by their global
+at least 80 percent of the template's words. So does any run of words at most
+twice as long as the template, wherever lines break (templates under 8 words must
+be whole there, as the word that names the license may be the missing one); only
+texts that hold enough of the template's words are searched for such runs.
+
+Of the lines: words are ordered by their global
 document frequency, rarest first. Only the first words of a template in that
 order (prefix filter) bring blocks to it, a block needs enough template words
 (length filter), and what stands behind the shared word must suffice
@@ -32,6 +37,7 @@ TEMPLATES = (
     ("reserved", "all rights reserved"),
 )
 PERCENT = 80
+WHOLE_BELOW = 8
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -43,6 +49,34 @@ def template_sets(percent: int = PERCENT) -> list[tuple[int, str, list[str], int
     return [(n, label, words, -(-percent * len(words) // 100)) for n, label, words in sets]
 
 
+def runs(known: Column, low: Column, percent: int) -> Column:
+    """(template, label, overlap, share) of each template that a run of at most
+    twice its words reaches, with the largest overlap. ``known``: the template
+    words that the lower-cased text holds; without enough of them it is not cut."""
+    sets = [(n, label, words, len(words) if len(words) < WHOLE_BELOW else least, 2 * len(TEMPLATES[n][1].split()))
+            for n, label, words, least in template_sets(percent)]
+    templates = F.array(*[F.struct(F.lit(n).alias("template"), F.lit(label).alias("label"), F.array(*map(F.lit, words)).alias("words"),
+                                   F.lit(least).alias("least"), F.lit(width).alias("width")) for n, label, words, least, width in sets])
+    likely = F.filter(templates, lambda t: F.size(F.array_intersect(known, t["words"])) >= t["least"])
+    marks = F.filter(F.transform(F.split(F.trim(F.regexp_replace(low, SEPARATORS, " ")), " "), lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+                     lambda m: F.array_contains(known, m["word"]))
+
+    def overlap(own: Column, t: Column) -> Column:
+        def of(mark: Column, i: Column) -> Column:
+            near = F.filter(F.slice(own, i + 1, t["width"]), lambda m: m["at"] < mark["at"] + t["width"])
+            return F.size(F.array_distinct(F.transform(near, lambda m: m["word"])))
+        return F.array_max(F.transform(own, of))
+
+    def searched(texts: Column) -> Column:  # one element: the marks of the text
+        return F.flatten(F.transform(texts, lambda all_: F.transform(likely, lambda t: F.struct(
+            t["template"].alias("template"), t["label"].alias("label"), t["least"].alias("least"), F.size(t["words"]).alias("size"),
+            overlap(F.filter(all_, lambda m: F.array_contains(t["words"], m["word"])), t).alias("overlap")))))
+
+    found = F.filter(F.when(F.size(likely) > 0, searched(F.array(marks))), lambda r: r["overlap"] >= r["least"])
+    return F.transform(found, lambda r: F.struct(r["template"].alias("template"), r["label"].alias("label"), r["overlap"].alias("overlap"),
+                                                 (r["overlap"] / r["size"]).alias("share")))
+
+
 def spaced(text: Column) -> Column:
     """The words of a lower-cased text, one space before, between and behind."""
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, SEPARATORS, " ")), F.lit(" "))
@@ -69,20 +103,23 @@ def phrase_places(words: Column) -> dict[str, Column]:
 
 
 def described(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document, with a row number of its own: phrase results and,
-    of each block, the distinct template words, for blocks with enough of them."""
+    """One row per document, with a row number of its own: phrase results; of each
+    block, the distinct template words, for blocks with enough of them; and the
+    templates that ``runs`` finds."""
     vocabulary = sorted({w for _, _, words, _ in template_sets(percent) for w in words})
     shortest = min(least for *_, least in template_sets(percent))
     text = F.coalesce(F.col("text"), F.lit(""))
     low = lower_ascii(text)
     known = F.array(*map(F.lit, vocabulary))
-    blocks = F.filter(F.transform(F.split(low, "\n"), lambda line: F.array_intersect(F.split(line, SEPARATORS), known)),
-                      lambda words: F.size(words) >= shortest)
+    lines = F.transform(F.split(low, "\n"), lambda line: F.array_intersect(F.split(line, SEPARATORS), known))
     hint = F.lower(text).contains("license")
     words = F.when(hint, spaced(low)).otherwise(F.lit("  "))
     n_words = F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("bigint")
-    rows = docs.select("doc_id", n_words.alias("n_words"), words.alias("_words"), blocks.alias("blocks"))
-    rows = rows.select("doc_id", "n_words", *[c.alias(n) for n, c in phrase_places(F.col("_words")).items()], "blocks")
+    rows = docs.select("doc_id", n_words.alias("n_words"), words.alias("_words"), low.alias("_low"), lines.alias("_lines"))
+    rows = rows.withColumn("_known", F.array_distinct(F.flatten("_lines")))
+    rows = rows.select("doc_id", "n_words", *[c.alias(n) for n, c in phrase_places(F.col("_words")).items()],
+                       F.filter("_lines", lambda words: F.size(words) >= shortest).alias("blocks"),
+                       runs(F.col("_known"), F.col("_low"), percent).alias("runs"))
     return written(rows.withColumn("row", F.monotonically_increasing_id()), "license-blocks")
 
 
@@ -132,12 +169,14 @@ def scan_licenses(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     A null text counts as empty: no words, no labels, null places. Repeated rows
     and null ids are rows of their own; an empty table gives no rows; blocks are
-    whole lines of any length; other columns are not read.
+    whole lines of any length, runs of words do not depend on line breaks; other
+    columns are not read. OP9_SQL knows the lines only.
     """
     rows = described(docs, percent)
-    found = matches(rows, percent).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    across = rows.select("row", F.inline("runs")).select("row", "label", "share")
+    found = matches(rows, percent).select("row", "label", "share").union(across).groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     base = F.size("base_labels") > 0
-    return (rows.drop("blocks").join(found, "row", "left")
+    return (rows.drop("blocks", "runs").join(found, "row", "left")
             .select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join(F.array_sort("base_labels"), ",").alias("base_labels"),
                     F.array_join(F.array_sort(F.array_distinct(F.concat("base_labels", F.coalesce("more", F.array().cast("array<string>"))))), ",").alias("labels"),
                     F.when(base, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score")))
