@@ -320,3 +320,23 @@ def test_wrapped_templates(spark):
     got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i: r.labels for i, r in got.items()} == {i: label for i, (label, _) in wrapped.items()}
     assert got[4].score == 1 and got[3].score == 1 and got[1].score == 1 and got[7].score == 0
+
+
+@pytest.mark.parametrize("search,scale", [(exact_search.exact_top_k, 64), (exact_search.exact_top_k, 2 ** 30), (forest_search.forest_top_k, None)])
+def test_vector_searches_with_repeats(spark, search, scale):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 16).astype(np.float32)]) for i in range(200)]
+    often = [(7, [float(x) for x in (np.array(rows[7][1]) * 3 + rng.normal(0, 0.01, 16)).astype(np.float32)]) for _ in range(300)]
+    rows = rows * 2 + often + [(7, rows[7][1])] * 300 + [(20, rows[3][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = defaultdict(list)
+    for r in (search(frame, scale=scale) if scale else search(frame)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    ids = np.array([i for i, _ in rows])
+    values = np.array([e for _, e in rows])
+    values = np.floor(scale * values) if scale else values
+    assert set(got) == set(range(0, 200, 20))
+    for q, found in got.items():
+        scores = (values[ids == q] @ values.T).max(axis=0)
+        want = sorted((-float(scores[ids == i].max()), i) for i in range(200) if i != q)[:20]
+        assert [i for i, _ in found] == [i for _, i in want] and np.allclose([s for _, s in found], [-s for s, _ in want], rtol=1e-12)

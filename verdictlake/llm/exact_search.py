@@ -9,6 +9,8 @@ best score are dropped from coarse to fine, the rest is computed exactly.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,31 +36,35 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
 
 
 def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple:
-    """(query number, place, score) of each query's k best in a block of vectors."""
+    """(query number, place, score) of each query's k best ids in a block of
+    vectors, by an id's best vector."""
     limit = float(np.abs(vectors).max(initial=0) * np.abs(queries).max(initial=0) * vectors.shape[1])
     if limit >= EXACT:  # beyond what doubles add exactly: whole numbers (a score must fit a long)
         whole = [np.array([[int(x) for x in row] for row in v], object) for v in (queries, vectors)]
-        scores = whole[0] @ whole[1].T
-        pairs = [(q, p) for q in range(len(queries)) for p in range(len(vectors)) if ids[p] != query_ids[q]]
-        pairs.sort(key=lambda t: (t[0], -scores[t], ids[t[1]]))
-        rows, places, seen = [], [], {}
-        for q, p in pairs:
-            seen[q] = seen.get(q, 0) + 1
-            if seen[q] <= k:
-                rows.append(q), places.append(p)
-        return np.array(rows, np.int64), np.array(places, np.int64), np.array([scores[q, p] for q, p in zip(rows, places)], np.int64)
+        rows, places, kept = [], [], []
+        for q, query in enumerate(whole[0]):  # one query's scores at a time
+            scores, top = whole[1] @ query, {}
+            for p in np.flatnonzero(ids != query_ids[q]).tolist():
+                if ids[p] not in top or scores[p] > scores[top[ids[p]]]:
+                    top[ids[p]] = p
+            for p in heapq.nsmallest(k, top.values(), key=lambda p: (-scores[p], ids[p])):
+                rows.append(q), places.append(p), kept.append(scores[p])
+        return np.array(rows, np.int64), np.array(places, np.int64), np.array(kept, np.int64)
 
     slack = 1e-9 * (1 + limit)
     levels = [s for s in LEVELS if s < vectors.shape[1]] or [1]
     stats = [(statistics(queries, s), statistics(vectors, s)) for s in levels]
+    firsts = np.unique(ids, return_index=True)[1]  # one place per id
+    repeats = ids if len(firsts) < len(ids) else None
     found = []
     for part in chunks(len(queries), 128):
         own = query_ids[part, None] == ids[None, :]
         bound = stats[0][0][part] @ stats[0][1].T
         bound[own] = -np.inf
-        # The k most promising of each query give a score that the k-th best reaches.
-        first = min(k, bound.shape[1])
-        likely = np.argpartition(bound, bound.shape[1] - first, axis=1)[:, -first:]
+        # The k most promising ids of each query give a score that the k-th best reaches.
+        first = min(k, len(firsts))
+        likely = np.argpartition(bound if repeats is None else bound[:, firsts], len(firsts) - first, axis=1)[:, -first:]
+        likely = likely if repeats is None else firsts[likely]
         scored = np.einsum("qd,qkd->qk", queries[part], vectors[likely])
         scored[np.take_along_axis(own, likely, axis=1)] = -np.inf
         least = scored.min(axis=1) if first == k else np.full(len(bound), -np.inf)
@@ -79,7 +85,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
             q, p = np.nonzero(alive)
             for s in chunks(len(q), 1 << 18):
                 scores[q[s], p[s]] = np.einsum("nd,nd->n", queries[part][q[s]], vectors[p[s]])
-        q, p = best(scores, k)
+        q, p = best(scores, k, ids=repeats)
         keep = cut(q, ids[p], scores[q, p], k)
         found.append((q[keep] + part.start, p[keep], scores[q[keep], p[keep]]))
     rows, places, scores = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
@@ -95,14 +101,15 @@ def exact_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, sca
 
     Rows with a null id, a null or empty vector or a null or non-finite component
     take no part; vectors meet only those of their length; of rows that repeat a
-    vec_id a list holds the best one; an empty table gives no rows; other columns
+    vec_id a list holds the best one, as candidate and as query, and the others
+    take no place (OP4_SQL lists them all); an empty table gives no rows; other columns
     are not read.
     """
     rows = usable(vectors, zero=True).withColumn("dim", F.size("embedding"))
     query = F.col("vec_id") % step == 0
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count(F.when(query, 1))).first()
     across, down = -(-n_queries // QUERY_BLOCK) or 1, -(-n // CANDIDATE_BLOCK) or 1
-    spread = F.xxhash64("vec_id")
+    spread = F.xxhash64("vec_id", "embedding")  # an id with many vectors is dealt out, too
     queries = rows.filter(query).withColumns({"q": F.pmod(spread, F.lit(across)), "c": F.explode(F.sequence(F.lit(0), F.lit(down - 1)).cast("array<long>"))})
     candidates = rows.withColumns({"c": F.pmod(spread, F.lit(down)), "q": F.explode(F.sequence(F.lit(0), F.lit(across - 1)).cast("array<long>"))})
 

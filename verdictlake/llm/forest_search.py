@@ -141,6 +141,8 @@ def search_bucket(queries: np.ndarray, query_ids: np.ndarray, wanted: list[np.nd
     names, starts = np.unique(leaf, return_index=True)
     ends = np.append(starts[1:], len(leaf))
     slack = 1e-12 * float(np.abs(vectors).max() * np.abs(queries).max() * vectors.shape[1])
+    most = int(np.unique(ids, return_counts=True)[1].max())
+    repeats = ids if most > trees else None  # of ids with several vectors each takes one place
     found = []
     for part in chunks(len(queries), 128):
         scores = np.full((part.stop - part.start, len(ids)), -np.inf)
@@ -150,7 +152,7 @@ def search_bucket(queries: np.ndarray, query_ids: np.ndarray, wanted: list[np.nd
             if len(who):
                 scores[who, a:b] = queries[part][who] @ vectors[a:b].T
         scores[query_ids[part, None] == ids[None, :]] = -np.inf
-        q, p = best(scores, k * trees, slack)
+        q, p = best(scores, k * trees, slack) if repeats is None else best(scores, k, slack, repeats)
         exact = np.empty(len(q))
         for s in chunks(len(q), 1 << 16):  # the same sum for a pair wherever it is met
             exact[s] = (queries[part][q[s]] * vectors[p[s]]).sum(axis=1)
@@ -166,7 +168,7 @@ def forest_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, tr
 
     Queries are the rows whose vec_id is divisible by ``step``, candidates all
     rows but those with the query's vec_id. The forest is fitted on at most
-    ``sample_rows`` rows (least hashes of vec_id); all rows are indexed. A query
+    ``sample_rows`` rows (least hashes of vec_id and vector); all rows are indexed. A query
     takes leaves until they hold ``visit_share`` times as many rows as the table,
     counted per tree, and at least ``visit_rows``. Vectors without any structure
     need that much for a recall of 0.9; clustered ones far less.
@@ -186,7 +188,8 @@ def forest_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, tr
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.filter(F.size("embedding") == shape.dim)
     norm = float(np.sqrt(shape.norm2))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("embedding").toArrow()
+    rows = rows.withColumn("spread", F.xxhash64("vec_id", "embedding"))
+    sample = rows.orderBy("spread", "vec_id").limit(sample_rows).select("embedding").toArrow()
     forest = fit(matrix(sample.column(0)), norm, trees, leaf_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,9 +208,9 @@ def forest_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, tr
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = matrix(batch.column(1))
-            ids = batch.column(0).to_numpy()
+            spread = batch.column(2).to_numpy()
             for leaf in leaves_of(forest, values).T:
-                bucket = first[leaf] + (ids * 0x9E3779B1 >> 7) % many[leaf]
+                bucket = first[leaf] + (spread >> 7) % many[leaf]
                 yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(leaf), batch.column(0), batch.column(1)], ["bucket", "leaf", "vec_id", "embedding"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,9 +225,9 @@ def forest_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, tr
                     [pa.array(used), pa.array([np.unique(named[buckets == b]).tobytes() for b in used], pa.binary()),
                      *[c.take(pa.array(np.full(len(used), n))) for c in batch.columns]], ["bucket", "leaves", "vec_id", "embedding"])
 
-    asked = (rows.filter(F.col("vec_id") % step == 0).repartition("vec_id")
+    asked = (rows.filter(F.col("vec_id") % step == 0).select("vec_id", "embedding").repartition("vec_id", "embedding")
              .mapInArrow(ask, "bucket long, leaves binary, vec_id long, embedding array<double>")
-             .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(across))))
+             .withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(across))))
     posted = (rows.mapInArrow(index, "bucket long, leaf long, vec_id long, embedding array<double>")
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(across - 1)).cast("array<long>"))))
 
