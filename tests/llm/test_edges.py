@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,3 +341,25 @@ def test_vector_searches_with_repeats(spark, search, scale):
         scores = (values[ids == q] @ values.T).max(axis=0)
         want = sorted((-float(scores[ids == i].max()), i) for i in range(200) if i != q)[:20]
         assert [i for i, _ in found] == [i for _, i in want] and np.allclose([s for _, s in found], [-s for s, _ in want], rtol=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["unstructured", "clustered"])
+def test_forest_recall(spark, kind):
+    n, dim = 20_000, 64  # visit_rows and visit_share ask for a quarter of the postings: leaves are skipped
+    rng = np.random.default_rng(6)
+    values = rng.normal(0, 1, (n, dim))
+    if kind == "clustered":
+        values = rng.normal(0, 1, (200, dim))[rng.integers(200, size=n)] + 0.3 * values
+    values = values.astype(np.float32)
+    frame = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(values), pa.list_(pa.float32()))})).repartition(8)
+    found = defaultdict(set)
+    for r in forest_search.forest_top_k(frame, step=100).collect():
+        found[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, n, 100):
+        scores = values.astype(np.float64) @ values[q].astype(np.float64)
+        scores[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-scores)[:20].tolist()))
+    recall = hits / (20 * (n // 100))
+    print(kind, "recall", recall)
+    assert recall >= 0.9
