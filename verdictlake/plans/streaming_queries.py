@@ -20,7 +20,8 @@ BATCHES = 3
 def as_stream(rows: DataFrame, session: SparkSession, name: str, time: str | None = None, batches: int = BATCHES) -> DataFrame:
     """``rows`` written to the shared folder and opened as a stream of several
     micro-batches. With ``time`` they are written one stretch of time after the
-    other, as a live feed arrives; every stretch by as many tasks as it has."""
+    other, as a live feed arrives; every stretch by as many tasks as it has. Rows
+    without a time are in the first stretch."""
     path = work_path(session, name)
     if time is None:
         rows.write.parquet(path)
@@ -32,7 +33,8 @@ def as_stream(rows: DataFrame, session: SparkSession, name: str, time: str | Non
         cuts = kept_rows.agg(F.percentile_approx("_at", [n / batches for n in range(1, batches)], 1000)).first()[0] or []
         for low, high in zip([None, *cuts], [*cuts, None]):
             part = kept_rows if low is None else kept_rows.filter(F.col("_at") > low)
-            part = part if high is None else part.filter(F.col("_at") <= high)
+            reached = F.col("_at") <= high
+            part = part if high is None else part.filter(reached | F.col("_at").isNull() if low is None else reached)
             part.drop("_at").write.mode("append").parquet(path)
     files = len(rows.sparkSession.read.parquet(path).inputFiles())
     return session.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(path)
