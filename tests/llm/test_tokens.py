@@ -5,23 +5,35 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from verdictlake.llm import token_files as files
-from verdictlake.llm.tokens import Encoder, encoded, tokenizer_path
+from verdictlake.llm.packing import op3_pack_sequences
+from verdictlake.llm.tokens import byte_slices, encoded, file_encoder, tokenizer_path
 
 TOKENIZERS = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 ODD = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "it's  'll I'M\tx", "a\x1cb \x1d c", "x y  z", "été ́x",
-       "ΟΔΟΣ ΟΔΟΣ", "<|endoftext|> a<|endoftext|>", "123 4567  89", "日本語 テスト", "a" * 5000, "\r\n\r\n x", "😀 😀😀", "a\u0085b \u0085 c"]
+       "ΟΔΟΣ ΟΔΟΣ", "<|endoftext|> a<|endoftext|>", "x<|startoftext|>  y <|endoftext|>", "nul\x00 x \x00", "a\x1f\x1eb", "123 4567  89", "日本語 テスト", "a" * 5000, "\r\n\r\n x", "😀 😀😀", "a\u0085b \u0085 c"]
+
+
+def plain(name):
+    """The library's own encoding, with the file as it is."""
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("name", TOKENIZERS)
-def test_pieces_join_to_the_whole(spark, sf_dir, name):
-    encoder = Encoder(tokenizer_path(name), cached=50)
+@pytest.mark.parametrize("kept", [50, 400_000])
+def test_pieces_join_to_the_whole(spark, sf_dir, name, kept):
+    encoder, whole = file_encoder(tokenizer_path(name), kept=kept), plain(name)
     texts = ODD + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
-    for text in texts:
-        assert encoder.encode(text) == encoder.whole(text), repr(text[:60])
+    for part in (texts[:7], texts[7:60], texts[60:]):
+        ids, ends = encoder.encode(pa.array([*part, None]))
+        for text, a, b in zip([*part, ""], [0, *ends], ends):
+            assert ids[a:b].tolist() == whole(text), repr(text[:60])
 
 
 def test_code_lengths_are_optimal_and_limited():
@@ -49,11 +61,12 @@ def round_trip(spark, docs, path):
 
 
 def test_files_equal_plain_encoding(spark, sf_dir, tmp_path):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(10 ** 9, "a <|endoftext|> b<|startoftext|>"), (10 ** 9 + 1, None)], docs.schema))
     back = {r.doc_id: r for r in round_trip(spark, docs, str(tmp_path / "f")).collect()}
-    encoder, start = Encoder(tokenizer_path(TOKENIZERS[0])), 0
+    whole, start = plain(TOKENIZERS[0]), 0
     for row in docs.select("doc_id", "text").orderBy("doc_id").collect():
-        ids = np.append(np.frombuffer(encoder.whole(row.text), "<u2"), 1).astype("<u4")
+        ids = np.array([*whole(row.text or ""), 1], "<u4")
         got = back[row.doc_id]
         assert (got.start, got.n_tokens, zlib.crc32(bytes(got.ids))) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
@@ -67,3 +80,31 @@ def test_nulls_ties_and_empty_tables(spark, tmp_path):
     assert [r.doc_id for r in rows] == [None, 1, 1, 1, 2] and rows[-1].n_tokens == 1
     assert round_trip(spark, docs.filter(F.lit(False)), str(tmp_path / "b")).count() == 0
     assert encoded(docs, TOKENIZERS[1]).count() == 5
+
+
+def test_slices_hold_every_row():
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * n if n else None for n in (0, 5, 30, 0, 9, 2, 0)])], ["t"])
+    for size in (1, 8, 1000):
+        parts = list(byte_slices(batch, 0, size))
+        assert pa.Table.from_batches(parts).column(0).to_pylist() == batch.column(0).to_pylist()
+    assert list(byte_slices(batch.slice(0, 0), 0)) == []
+
+
+def test_query_digests_equal_plain_python(spark, sf_dir):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    whole, start = plain(TOKENIZERS[0]), 0
+    got = {r.doc_id: tuple(r) for r in files.op1_token_files(spark, sf_dir).collect()}
+    for name in sorted(docs):
+        ids = np.array([*whole(docs[name]), 1], "<u4")
+        assert got.pop(name) == (name, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert not got
+    whole = plain(TOKENIZERS[1])
+    placed = op3_pack_sequences(spark, sf_dir).toPandas()
+    for name, own in placed.sort_values(["doc_id", "start"]).groupby("doc_id"):
+        ids, at = np.array([*whole(docs[name]), 1], "<u4"), 0
+        for r in own.itertuples():
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    assert sorted(set(placed.doc_id)) == sorted(docs)

@@ -1,27 +1,33 @@
 """Whole texts to token ids, with a public tokenizer file, in Arrow batches.
 
-Encoding one text is slow and words repeat, so texts are cut where the tokenizer
-cuts them anyway, and each task keeps the ids of the pieces it has met. The cuts
-are chosen so that the pieces' ids, joined, are exactly the ids of the text.
+Words repeat, so texts are cut into pieces where the tokenizer cuts them anyway,
+the pieces of a batch are dictionary-encoded by Arrow, only pieces not met before
+are encoded, and the ids of the texts are gathered by offsets with numpy. The
+cuts are chosen so that the pieces' ids, joined, are exactly the ids of the text.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-CACHED_PIECES = 600_000
 END = 1
+KEPT_PIECES = 400_000
+KEPT_IDS = 4_000_000
+BATCH_BYTES = 8 << 20
 
-# Code points that Python takes for white space and the tokenizers do not.
-_ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
+_CUT = "\x00"
 _TOUCHING = re.compile(r"\s\s")
 _BEFORE_SPACED_WORD = re.compile(r"(?<=\S)(?= \S)")
 
+Ids = list[np.ndarray]
+
 
 def tokenizer_path(name: str) -> str:
     """Where a public tokenizer file lies on this machine."""
@@ -29,65 +35,110 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def drops_space(tokenizer) -> bool:
-    """Whether white space only separates words (ids do not depend on it)."""
-    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("a b", "a  \n b", " a b ")]
-    return ids[0] == ids[1] == ids[2]
+def byte_slices(batch: pa.RecordBatch, column: int, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` in runs whose values in ``column`` have about
+    ``size`` bytes together; a longer value is a run by itself."""
+    if not batch.num_rows:
+        return
+    length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(length, dtype=np.int64) // size
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The integers of several ranges, one range after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+def binary_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """One binary value per end: the bytes of ``data`` up to it."""
+    offsets = np.concatenate([[0], ends])
+    if len(data) >= 1 << 31:
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
 class Encoder:
-    """``encode(text)``: the little-endian ids of a text as bytes.
+    """``encode(texts)``: the ids of all texts, and where each text's ids end.
 
-    Two kinds of tokenizer are cut in pieces: one that drops white space, at any
-    of it; a byte-level one whose words take a single space before them along,
-    before each such space. Strings of special tokens are ordinary text.
+    ``whole(text)`` gives the ids of any text; ``new(pieces)`` those of pieces.
+    ``specials`` are strings with ids of their own: texts that hold one are
+    encoded whole. What pieces give is kept up to a number of pieces and of ids;
+    beyond it everything kept is dropped.
     """
 
-    def __init__(self, path: str, cached: int = CACHED_PIECES):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cached = cached
-        outer = self
-
-        class Known(dict):
-            def __missing__(self, piece: str) -> bytes:
-                if len(self) >= outer.cached:
-                    self.clear()
-                ids = self[piece] = outer.whole(piece)
-                return ids
-
-        class KnownAfterSpace(Known):
-            def __missing__(self, piece: str) -> bytes:
-                if len(self) >= outer.cached:
-                    self.clear()
-                ids = self[piece] = outer.whole(" " + piece)
-                return ids
-
-        self.first, self.later = Known(), KnownAfterSpace()
-        self.encode = self._without_space if drops_space(self.tokenizer) else self._with_space
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _without_space(self, text: str) -> bytes:
-        if any(c in text for c in _ODD):
-            return self.whole(text)
-        return b"".join(map(self.first.__getitem__, text.split()))
-
-    def _with_space(self, text: str) -> bytes:
-        if _TOUCHING.search(text):
-            return b"".join(map(self.first.__getitem__, _BEFORE_SPACED_WORD.split(text)))
-        head, *tail = text.split(" ")
-        return self.first[head] + b"".join(map(self.later.__getitem__, tail))
-
-
-def per_worker(make: Callable, *key, _kept: dict = {}):  # noqa: B006
-    """One instance per Python worker: workers are reused between tasks."""
-    if (make, key) not in _kept:
-        _kept[make, key] = make(*key)
-    return _kept[make, key]
+    def __init__(self, whole: Callable[[str], np.ndarray], new: Callable[[list[str]], Ids], specials: list[str],
+                 kept: int = KEPT_PIECES, kept_ids: int = KEPT_IDS):
+        self.whole, self.new, self.specials = whole, new, [*specials, _CUT]
+        self.kept, self.kept_ids = kept, kept_ids
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, pieces: list[str]) -> np.ndarray:
+        """The places of pieces; those not met before are encoded."""
+        if len(self.place) > self.kept or len(self.flat) > self.kept_ids:
+            self.clear()
+        missing = [p for p in pieces if p not in self.place]
+        if missing:
+            self.place.update(zip(missing, range(len(self.place), len(self.place) + len(missing))))
+            self.add(self.new(missing))
+        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+
+    def add(self, ids: Ids) -> None:
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, *ids]).astype(np.uint32, copy=False)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        odd = np.zeros(len(texts), bool)
+        for special in self.specials:
+            odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
+        cut = pc.replace_substring(texts, " ", _CUT + " ")
+        plain = texts.to_pylist()
+        touching = np.array([bool(_TOUCHING.search(t)) for t in plain], bool) & ~odd
+        again = [_BEFORE_SPACED_WORD.sub(_CUT, plain[i]) for i in np.flatnonzero(touching)]
+        cut = pc.replace_with_mask(cut, pa.array(touching), pa.array(again, cut.type))
+        cut = pc.replace_with_mask(cut, pa.array(odd), pa.array([""] * int(odd.sum()), cut.type))
+        lists = pc.split_pattern(cut, _CUT)
+        coded = lists.flatten().dictionary_encode()
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        places = self.learn(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        flat, starts, lengths = self.flat, self.starts[places], self.lengths[places]
+        if odd.any():  # one empty piece stands for each of these texts
+            own = [self.whole(plain[i]) for i in np.flatnonzero(odd)]
+            size = np.array([len(ids) for ids in own])
+            at = (np.cumsum(counts) - counts)[odd]
+            starts[at], lengths[at] = len(flat) + np.cumsum(size) - size, size
+            flat = np.concatenate([flat, *own]).astype(np.uint32, copy=False)
+        ends = np.cumsum(lengths)[np.cumsum(counts) - 1] if len(counts) else np.zeros(0, np.int64)
+        return flat[ranges(starts, lengths)], ends
+
+
+def file_encoder(path: str, **kept: int) -> Encoder:
+    """The encoder of a tokenizer file, for files whose words take a single space
+    before them along, or that drop white space. Strings of added tokens get
+    those tokens' ids, as the file says; truncation and padding stay unused."""
+    from tokenizers import Tokenizer
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the cores
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+
+    def whole(text: str) -> np.ndarray:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def new(pieces: list[str]) -> Ids:
+        return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    return Encoder(whole, new, [t.content for t in tokenizer.get_added_tokens_decoder().values()], **kept)
 
 
 def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text",
@@ -98,13 +149,17 @@ def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text:
     A null text counts as empty and gives the end id alone. Ids of documents may
     be null or repeat; each row is encoded by itself. Other columns are not read.
     """
+    kind = id_dtype(tokenizer_file)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_worker(Encoder, tokenizer_path(tokenizer_file))
-        tail = b"" if end is None else np.array([end], encoder.kind).tobytes()
+        encoder = file_encoder(tokenizer_path(tokenizer_file))
         for batch in batches:
-            for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
-                ids = [encoder.encode(t or "") + tail for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part in byte_slices(batch, 1):
+                ids, ends = encoder.encode(part.column(1))
+                if end is not None:
+                    ids, ends = np.insert(ids, ends, end), ends + np.arange(1, len(ends) + 1)
+                raw = binary_array(ids.astype(kind).view(np.uint8), ends * np.dtype(kind).itemsize)
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), raw.cast(pa.binary())], ["doc_id", "ids"])
 
     return docs.select(doc_id, text).mapInArrow(run, "doc_id long, ids binary")
 
