@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from verdictlake.operators.ordered import carry_last, number_block, positions, prefix_sums
+from verdictlake.operators.ordered import as_number, carry_last, equal_blocks, number_block, positions, prefix_sums, segmented_sums
 from verdictlake.operators.usage import nearest_rank
 
 
@@ -51,6 +51,68 @@ def test_prefix_sums(frame, rows, bits):
     assert got == want
 
 
+@pytest.mark.parametrize("bits", [2, 5, 30])
+def test_segmented_sums(frame, rows, bits):
+    got = {(r.key, r.ord): (r.one, r.two) for r in segmented_sums(
+        frame, ["key"], ["ord"], number_block("ord", bits), F.col("tag") == "a", one=F.col("n"), two=F.lit(1)).collect()}
+    want = {}
+    for key, members in groups(rows).items():
+        total = count = 0
+        for _, order, n, tag in members:
+            if tag == "a":
+                total = count = 0
+            want[key, order] = (total, count)
+            total, count = total + n, count + 1
+    assert got == want
+
+
+def test_restart_carries_over_blocks_without_marks(spark):
+    marked = {0, 700, 4000}
+    frame = spark.range(5000).select(F.lit(1).alias("key"), F.col("id").alias("ord"), F.col("id").isin(*marked).alias("mark"))
+    got = segmented_sums(frame, ["key"], ["ord"], number_block("ord", 4), F.col("mark"), before=F.lit(1)).collect()
+    assert {r.ord: r.before for r in got} == {i: i - max(m for m in marked if m <= i) for i in range(5000)}
+
+
+def hot_day(spark):
+    """One session with most rows, within one day, a third of them at one instant."""
+    at = F.expr("timestamp'2024-03-05 09:00:00' + make_dt_interval(0, 0, 0, case when id % 3 = 0 then 7200 else id % 20000 end)")
+    hot = spark.range(20_000).select(F.lit("hot").alias("key"), at.alias("at"), F.col("id"))
+    return hot.unionByName(spark.range(300).select(F.concat(F.lit("k"), F.col("id") % 30).alias("key"), at.alias("at"), F.col("id")))
+
+
+def test_one_hot_day_has_many_equal_blocks(spark):
+    blocked = equal_blocks(hot_day(spark), ["key"], ["at", "id"], rows=500)
+    sizes = {}
+    for r in blocked.groupBy("key", "_block").count().collect():
+        sizes.setdefault(r.key, []).append(r["count"])
+    assert len(sizes["hot"]) > 300 and max(sizes["hot"]) <= 500
+    assert all(len(blocks) == 1 for key, blocks in sizes.items() if key != "hot")
+
+
+def test_equal_blocks_follow_the_order(spark):
+    blocked = equal_blocks(hot_day(spark), ["key"], ["at", "id"], rows=500)
+    got = {(r.key, r.at, r.id): r.pos for r in positions(blocked, ["key"], ["at", "id"], F.col("_block"), "pos").collect()}
+    assert len(got) == 20_300
+    for key, members in groups([(*k, p) for k, p in got.items()]).items():
+        assert [m[3] for m in sorted(members)] == list(range(len(members))), key
+
+
+def test_equal_blocks_with_nulls_and_without_rows(spark):
+    rows = [("a", None, i) for i in range(40)] + [("a", i, 0) for i in range(40)]
+    frame = spark.createDataFrame(rows, "key string, at long, id long")
+    blocked = equal_blocks(frame, ["key"], ["at", "id"], rows=10)
+    assert blocked.filter("at IS NULL").agg(F.max("_block")).first()[0] <= blocked.filter("at IS NOT NULL").agg(F.min("_block")).first()[0]
+    assert equal_blocks(frame.filter("key = 'z'"), ["key"], ["at"], rows=10).collect() == []
+
+
+def test_numbers_follow_texts(spark):
+    texts = ["", "a", "aa", "ab", "abcdefg", "abcdefgh", "b", "é", "日本", "\U0001f600", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.n for r in frame.select("t", as_number(frame, "t").alias("n")).collect()}
+    ordered = [got[t] for t in sorted(t for t in texts if t is not None)]
+    assert ordered == sorted(ordered) and got[None] is None and len(set(ordered)) >= 9
+
+
 @pytest.mark.parametrize("bits", [2, 30])
 def test_carry_last(frame, rows, bits):
     got = {(r.key, r.ord): r.prev for r in carry_last(

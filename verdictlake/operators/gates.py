@@ -6,41 +6,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdictlake.functions.formatting import percent, points, round4, whole_percent
-from verdictlake.operators.ordered import carry_last, day_block
+from verdictlake.operators.ordered import BLOCK_ROWS, carry_last, equal_blocks
 from verdictlake.operators.scorecard import latest_check_summary, latest_per_session, rate_of
 
 
-def baseline_for(runs: DataFrame, checks: DataFrame, verdicts: DataFrame) -> DataFrame:
+def baseline_for(runs: DataFrame, checks: DataFrame, verdicts: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """As-of join: for each run the newest succeeded check of its session on its
     baseline branch, strictly earlier than the run. The newest is taken first
     and then dropped if nothing was evaluated; older ones are no substitute.
 
-    Runs and candidates are merged in time and the last candidate is carried
-    forward, so a session with most of the checks is cut by day rather than
-    joined against itself. ``verdicts(check_id, evaluated, passed)`` are
-    attached to candidates before the merge, one
-    row per check to one row per check.
+    Runs and candidates shrink to one row per (session, branch, instant): runs of
+    one instant share their answer. The last candidate is carried forward over
+    instants, in blocks of ``block_rows`` where a branch has more, and the runs
+    look their instant up. ``verdicts(check_id, evaluated, passed)`` are attached
+    to candidates first, one row per check to one row per check.
     """
-    at = F.struct("check_id", "evaluated", "passed")
-    candidates = (checks.filter("status = 'succeeded'")
-                  .select("check_id", "session_id", "branch", "created_at")
-                  .join(verdicts.select("check_id", "evaluated", "passed"), "check_id", "left")
-                  .groupBy("session_id", "branch", "created_at")
-                  .agg(F.max_by(at, "check_id").alias("candidate"))
-                  .select("session_id", "branch", "created_at", F.lit(1).alias("kind"),
-                          F.col("candidate.check_id").alias("run"), "candidate"))
-    asked = runs.select("session_id", F.col("baseline_branch").alias("branch"), "created_at",
-                        F.lit(0).alias("kind"), F.col("check_id").alias("run"),
-                        F.lit(None).cast(candidates.schema["candidate"].dataType).alias("candidate"))
-    found = carry_last(asked.unionByName(candidates), ["session_id", "branch"],
-                       ["created_at", "kind", "run"], day_block("created_at"),
-                       F.col("candidate"), "baseline")
-    return (found.filter("kind = 0 AND baseline.evaluated > 0")
-            .select(F.col("run").alias("check_id"), F.col("baseline.check_id").alias("baseline_check_id"),
-                    F.col("branch").alias("baseline_branch"),
-                    F.col("baseline.passed").alias("baseline_passed"),
-                    F.col("baseline.evaluated").alias("baseline_evaluated"),
-                    rate_of(F.col("baseline.passed"), F.col("baseline.evaluated")).alias("baseline_rate")))
+    candidate = F.struct("check_id", "evaluated", "passed")
+    at = ["session_id", "branch", "created_at"]
+    known = (checks.filter("status = 'succeeded'").select("check_id", *at)
+             .join(verdicts.select("check_id", "evaluated", "passed"), "check_id", "left")
+             .select(*at, candidate.alias("candidate")))
+    asked = runs.select("check_id", "session_id", F.col("baseline_branch").alias("branch"), "created_at")
+    instants = (known.unionByName(asked.select(*at), allowMissingColumns=True)
+                .groupBy(*at).agg(F.max_by("candidate", "candidate.check_id").alias("candidate")))
+    blocked = equal_blocks(instants, at[:2], at[2:], block_rows)
+    found = (carry_last(blocked, at[:2], at[2:], F.col("_block"), F.col("candidate"), "baseline")
+             .filter("baseline.evaluated > 0").select(*at, "baseline"))
+    return asked.join(found, at).select(
+        "check_id", F.col("baseline.check_id").alias("baseline_check_id"), F.col("branch").alias("baseline_branch"),
+        F.col("baseline.passed").alias("baseline_passed"), F.col("baseline.evaluated").alias("baseline_evaluated"),
+        rate_of(F.col("baseline.passed"), F.col("baseline.evaluated")).alias("baseline_rate"))
 
 
 def gate(totals: DataFrame, configs: DataFrame, baseline: DataFrame | None = None) -> DataFrame:

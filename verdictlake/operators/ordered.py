@@ -7,6 +7,9 @@ inside a block; one small row per block, partially aggregated before its
 shuffle, carries the state from block to block; both meet again on
 (keys, block), which spreads a hot group over as many tasks as it has blocks.
 
+Blocks are ranges of consecutive integers where the order is one, or of equal
+numbers of rows (`equal_blocks`), cut only in groups that need it.
+
 Rules for callers: keys are never NULL, ``order`` is a total order within the
 group, and ``block`` never decreases along it.
 """
@@ -17,8 +20,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 BEFORE = (Window.unboundedPreceding, -1)
+BLOCK_ROWS = 1 << 18
+SIDE = 16
+CUTS = SIDE * SIDE
 
 
 def number_block(column: str | Column, bits: int = 12) -> Column:
@@ -26,14 +33,52 @@ def number_block(column: str | Column, bits: int = 12) -> Column:
     return F.shiftright(F.col(column) if isinstance(column, str) else column, bits)
 
 
-def day_block(column: str) -> Column:
-    """Calendar days since the epoch, for timestamps with or without a zone."""
-    return F.unix_date(F.to_date(column)).cast("bigint")
-
-
-def hour_block(column: str) -> Column:
-    """Clock hours since the epoch, for timestamps with or without a zone."""
-    return day_block(column) * 24 + F.hour(column)
+def as_number(df: DataFrame, column: str) -> Column:
+    """A number that never decreases as the column grows: times in microseconds,
+    texts by their first bytes."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return F.unix_micros(value.cast("timestamp"))
+    if isinstance(kind, StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
+    return value
+
+
+def _block_of(place: Column, cuts: Column) -> Column:
+    """Even at a cut point, odd between two, 0 for NULL or without cuts. Cuts come as
+    ``SIDE`` rows of ``SIDE`` ascending points, so two short scans find the place."""
+    row = F.size(F.filter(cuts, lambda points: F.element_at(points, -1) < place))
+    points = F.get(cuts, row)
+    below = row * SIDE + F.coalesce(F.size(F.filter(points, lambda point: point < place)), F.lit(0))
+    found = below * 2 + F.coalesce(F.array_contains(points, place), F.lit(False)).cast("int")
+    return F.when(cuts.isNull() | place.isNull(), 0).otherwise(found + 1).cast("bigint")
+
+
+def equal_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_block``: ranges of about equally many rows in groups of more than
+    ``rows`` rows, 0 in all others.
+
+    ``order`` names the first columns of the group's order, NULLs first. A
+    mergeable quantile summary per group gives the cut points of the first one; a
+    cut point is a block by itself, so a value that very many rows share stands
+    alone and is cut by the next column. Only hot groups have cut points: they are
+    few, and all others meet an empty side.
+    """
+    work, by, fixed = df.withColumn("_block", F.lit(0).cast("bigint")), list(keys), None
+    for step, place in enumerate(order):
+        work = work.withColumn("_place", as_number(df, place))
+        hot = F.count("*") > rows
+        if fixed is not None:  # blocks of one value of the number before
+            hot &= F.min(fixed).eqNullSafe(F.max(fixed))
+        summary = (work.groupBy(*by).agg(F.percentile_approx("_place", [n / CUTS for n in range(1, CUTS)], 20 * CUTS).alias("_points"), hot.alias("_hot"))
+                   .filter("_hot").select(*by, F.array_distinct("_points").alias("_points")))
+        table = F.filter(F.transform(F.sequence(F.lit(0), F.lit(SIDE - 1)), lambda i: F.slice(F.col("_points"), i * SIDE + 1, F.lit(SIDE))),
+                         lambda points: F.size(points) > 0)
+        found = work.join(summary.select(*by, table.alias("_cuts")), by, "left")
+        work = (found.withColumn("_block", F.col("_block") * (4 * CUTS) + _block_of(F.col("_place"), F.col("_cuts")))
+                .withColumn(f"_fixed{step}", F.col("_place")).select(*df.columns, "_block", f"_fixed{step}"))
+        by, fixed = [*keys, "_block"], f"_fixed{step}"
+    return work.select(*df.columns, "_block")
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -60,6 +105,39 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .select(*df.columns, *values))
 
 
+def segmented_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column,
+                   restart: Column, **values: Column) -> DataFrame:
+    """Add, per named value, its sum over the *earlier* rows of the group back to
+    the last row where ``restart`` holds, that row included; at such a row 0.
+
+    Inside a block the marks number its segments. A block hands on the sum behind
+    its last mark; a run of blocks without marks adds up until the next one with.
+    """
+    cut = [*keys, "_block"]
+    work = df.withColumns({"_block": block, "_mark": F.coalesce(restart, F.lit(False)).cast("int"),
+                           **{f"_v_{n}": c for n, c in values.items()}})
+    numbered = work.withColumn("_segment", F.sum("_mark").over(
+        Window.partitionBy(*cut).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    inside = Window.partitionBy(*cut, "_segment").orderBy(*order).rowsBetween(*BEFORE)
+    local = numbered.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(inside) for n in values})
+
+    last = F.struct(*[F.sum(f"_v_{n}").alias(n) for n in values])
+    tails = (numbered.groupBy(*cut, "_segment").agg(last.alias("_sums"))
+             .groupBy(*cut).agg(F.max("_segment").alias("_marks"), F.max_by("_sums", "_segment").alias("_sums")))
+    along = Window.partitionBy(*keys).orderBy("_block")
+    stretch = Window.partitionBy(*keys, "_stretch").orderBy("_block")
+    handed = (tails.withColumn("_stretch", F.count_if(F.col("_marks") > 0).over(along))
+              .withColumns({f"_s_{n}": F.sum(F.col("_sums")[n]).over(stretch) for n in values})
+              .select(*cut, F.lag("_block").over(along).alias("_earlier"),
+                      *[F.lag(f"_s_{n}").over(along).alias(f"_c_{n}") for n in values])
+              .filter("_earlier IS NOT NULL").drop("_earlier"))
+    zero = F.lit(0)
+    carried = {n: F.when(F.col("_segment") == 0, F.coalesce(F.col(f"_c_{n}"), zero)).otherwise(zero) for n in values}
+    return (local.join(handed, cut, "left")
+            .withColumns({n: F.coalesce(F.col(f"_l_{n}"), zero) + carried[n] for n in values})
+            .select(*df.columns, *values))
+
+
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               block: Column, out: str) -> DataFrame:
     """Add the dense position of each row in its group, from 0."""

@@ -1,10 +1,15 @@
 """Deterministic tool replay: planted faults, state versions, expected outputs.
 
-Tables: ``events(rollout_id, seq, name, input[, external])`` and
-``sandboxes(rollout_id, seed, fail_tools, version)``, one sandbox per rollout.
-A planted fault fails the first call to its tool; the failed call consumes the
-fault but leaves the state version alone. A reported (external) call leaves the
-version alone too, and consumes the fault only if it reports a failure.
+Tables: ``events(rollout_id, seq, name, input[, turn_idx, external, is_error])``
+and ``sandboxes(rollout_id, seed, fail_tools, version | state[, turn_idx])``.
+``state`` is a JSON object that holds ``version`` among other keys.
+
+A sandbox row is what its rollout runs on from turn ``turn_idx`` on: state and
+planted faults are set anew there, whatever happened before. The calls from one
+sandbox row to the next are a *segment*. A planted fault fails the segment's first
+call to its tool; the failed call consumes the fault but leaves the state version
+alone. A reported (external) call leaves the version alone too, and consumes the
+fault only if it reports a failure.
 """
 
 from __future__ import annotations
@@ -15,53 +20,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdictlake.functions.canonical import call_hash
-from verdictlake.operators.ordered import carry_last, hour_block, number_block, prefix_sums
+from verdictlake.operators.ordered import BLOCK_ROWS, carry_last, equal_blocks, number_block, prefix_sums
 
 
 def _external(events: DataFrame) -> Column:
     return F.coalesce("external", F.lit(False)) if "external" in events.columns else F.lit(False)
 
 
-def planted_faults(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """Sandboxes with ``faults``, the calls that hit a planted fault: of each tool
-    planted to fail, the rollout's first call that is synthetic or a failed report.
+def _turn(rows: DataFrame) -> Column:
+    return F.coalesce("turn_idx", F.lit(0)) if "turn_idx" in rows.columns else F.lit(0)
 
-    Firsts are a partial aggregate, one row per (rollout, tool); the list is
-    never longer than the sandbox's own ``fail_tools``.
-    """
-    first = F.min(F.struct("seq", _external(events).alias("external"))).alias("first")
-    able = ~_external(events) | (F.coalesce("is_error", F.lit(False)) if "is_error" in events.columns else F.lit(True))
-    hits = (events.filter(able).groupBy("rollout_id", "name").agg(first)
-            .join(sandboxes.select("rollout_id", "fail_tools"), "rollout_id")
-            .filter("array_contains(fail_tools, name)")
-            .groupBy("rollout_id").agg(F.collect_list("first").alias("faults")))
-    none = F.array().cast(hits.schema["faults"].dataType)
-    return (sandboxes.join(hits, "rollout_id", "left")
-            .select("rollout_id", "seed", "version", F.coalesce("faults", none).alias("faults")))
+
+def _version(sandboxes: DataFrame) -> Column:
+    if "state" in sandboxes.columns:
+        return F.coalesce(F.get_json_object("state", "$.version").cast("bigint"), F.lit(0))
+    return F.coalesce("version", F.lit(0)).cast("bigint")
+
+
+def sandbox_plans(sandboxes: DataFrame) -> DataFrame:
+    """(rollout_id, plans): a rollout's sandbox rows in order of turn, at most one
+    per turn of a conversation, which the contract limits to 40."""
+    return (sandboxes.select("rollout_id", F.struct(_turn(sandboxes).alias("segment"), "seed", "fail_tools",
+                                                    _version(sandboxes).alias("start")).alias("plan"))
+            .groupBy("rollout_id").agg(F.sort_array(F.collect_list("plan")).alias("plans")))
+
+
+def _in_segments(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
+    """Events with ``plan``, the sandbox row their turn runs on: the last one up
+    to it (NULL before the first). Each rollout brings one row to the join, so a
+    rollout with very many calls is split by AQE."""
+    reached = F.filter("plans", lambda p: p["segment"] <= _turn(events))
+    return (events.join(sandbox_plans(sandboxes), "rollout_id", "left")
+            .withColumn("plan", F.get(reached, F.size(reached) - 1)).drop("plans"))
+
+
+SEGMENT = ["rollout_id", "segment"]
+
+
+def _faults(planned: DataFrame) -> DataFrame:
+    """(rollout_id, segment, faults): the calls that hit a planted fault, of each
+    tool planted to fail the segment's first call that is synthetic or a failed
+    report. Firsts are a partial aggregate, one row per (segment, tool); the list
+    is never longer than the sandbox row's own ``fail_tools``."""
+    able = ~_external(planned) | (F.coalesce("is_error", F.lit(False)) if "is_error" in planned.columns else F.lit(True))
+    first = F.min(F.struct("seq", _external(planned).alias("external"))).alias("first")
+    return (planned.filter(able & F.array_contains("plan.fail_tools", F.col("name")))
+            .groupBy("rollout_id", F.col("plan.segment").alias("segment"), "name").agg(first)
+            .groupBy(*SEGMENT).agg(F.collect_list("first").alias("faults")))
 
 
 def _is_fault() -> Column:
-    return F.exists(F.coalesce("faults", F.array()), lambda f: f["seq"] == F.col("seq"))
+    return F.coalesce(F.exists("faults", lambda f: f["seq"] == F.col("seq")), F.lit(False))
 
 
 def first_call_fault(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """Add ``is_fault``: the call hits a planted fault. Each rollout brings one
-    row to the join, so a rollout with very many calls is split by AQE."""
-    return (events.join(planted_faults(events, sandboxes).select("rollout_id", "faults"), "rollout_id", "left")
-            .withColumn("is_fault", F.coalesce(_is_fault(), F.lit(False))).drop("faults"))
+    """Add ``is_fault``: the call hits a planted fault."""
+    planned = _in_segments(events, sandboxes)
+    return (planned.withColumn("segment", F.col("plan.segment")).join(_faults(planned), SEGMENT, "left")
+            .withColumn("is_fault", _is_fault()).select(*events.columns, "is_fault"))
 
 
 def state_version(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """Add ``is_fault``, ``seed`` and the state ``version`` each call saw: the
-    start version, plus earlier synthetic calls, less those that were faults."""
-    synthetic = (~_external(events)).cast("bigint")
-    counted = prefix_sums(events, ["rollout_id"], ["seq"], number_block("seq"), earlier=synthetic)
-    start = planted_faults(events, sandboxes).withColumnRenamed("version", "start")
+    """Add ``is_fault``, ``seed``, ``segment`` and the state ``version`` each call
+    saw: what its sandbox row starts with, plus the segment's earlier synthetic
+    calls, less those that were faults. Sums restart with each segment and run
+    over blocks of calls, so that no rollout is one task."""
+    planned = _in_segments(events, sandboxes)
+    marked = planned.select(*events.columns, F.coalesce("plan.segment", F.lit(-1)).alias("segment"),
+                            F.coalesce("plan.seed", F.lit(0)).alias("seed"), F.coalesce("plan.start", F.lit(0)).alias("start"))
+    counted = prefix_sums(marked, SEGMENT, ["seq"], number_block("seq"), earlier=(~_external(events)).cast("bigint"))
     failed = F.size(F.filter("faults", lambda f: (f["seq"] < F.col("seq")) & ~f["external"]))
-    version = F.coalesce("start", F.lit(0)) + F.col("earlier") - F.coalesce(failed, F.lit(0))
-    return (counted.join(start, "rollout_id", "left")
-            .withColumns({"is_fault": F.coalesce(_is_fault(), F.lit(False)), "version": version})
-            .drop("start", "earlier", "faults"))
+    version = F.col("start") + F.col("earlier") - F.when(F.col("faults").isNull(), 0).otherwise(failed)
+    return (counted.join(_faults(planned), SEGMENT, "left")
+            .withColumns({"is_fault": _is_fault(), "version": version})
+            .select(*events.columns, "is_fault", "seed", "segment", "version"))
 
 
 def tool_replay(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
@@ -69,7 +101,7 @@ def tool_replay(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
     NULL for external calls, whose output only the agent knows."""
     seen = state_version(events, sandboxes)
     synthetic = ~_external(events)
-    digest = call_hash(F.col("name"), F.col("input"), F.col("version"), F.coalesce("seed", F.lit(0)))
+    digest = call_hash(F.col("name"), F.col("input"), F.col("version"), F.col("seed"))
     return seen.withColumns({
         "result_id": F.when(synthetic & ~F.col("is_fault"), digest),
         "error": F.when(synthetic & F.col("is_fault"), F.concat("name", F.lit(" is unavailable"))),
@@ -77,16 +109,35 @@ def tool_replay(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
 
 
 def final_sandbox_state(replayed: DataFrame, sandboxes: DataFrame) -> DataFrame:
-    """State map after the last call, one (key, value) row per entry: ``version``
-    and ``last_<tool>`` for every tool that succeeded."""
-    good = replayed.filter("result_id IS NOT NULL")
-    versions = (good.groupBy("rollout_id").agg(F.count("*").alias("n"))
-                .join(sandboxes.select("rollout_id", "version"), "rollout_id", "right")
-                .select("rollout_id", F.lit("version").alias("key"),
-                        (F.coalesce("n", F.lit(0)) + F.coalesce("version", F.lit(0))).cast("string").alias("value")))
-    lasts = (good.groupBy("rollout_id", "name").agg(F.max_by("result_id", "seq").alias("value"))
-             .select("rollout_id", F.concat(F.lit("last_"), "name").alias("key"), "value"))
-    return versions.unionByName(lasts)
+    """State map after the last call, one (rollout, key, value) row per entry:
+    the entries of the rollout's last sandbox row, ``version`` moved on by the
+    segment's successes and ``last_<tool>`` of every tool that succeeded in it.
+    Values are texts; JSON values other than texts are written as JSON.
+
+    A success per (segment, tool) and each entry of a sandbox row meet in one
+    aggregate per (rollout, key): later segments win, within one the calls do.
+    """
+    kept = "state" in sandboxes.columns
+    entries = F.map_entries(F.coalesce(F.from_json("state", "map<string,variant>"), F.create_map().cast("map<string,variant>"))) if kept else F.array()
+    text = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), F.coalesce(
+        F.try_variant_get(e["value"], "$", "string"), F.to_json(e["value"])).alias("value"))) if kept else F.array().cast("array<struct<key:string,value:string>>")
+    own = F.concat(F.filter(text, lambda e: e["key"] != "version"),
+                   F.array(F.struct(F.lit("version").alias("key"), _version(sandboxes).cast("string").alias("value"))))
+    start = (sandboxes.select("rollout_id", _turn(sandboxes).alias("segment"), F.explode(own).alias("e"))
+             .select("rollout_id", "segment", F.lit(0).alias("step"), "e.key", "e.value", F.lit(0).cast("bigint").alias("n")))
+    good = (replayed.filter("result_id IS NOT NULL").groupBy(*SEGMENT, "name")
+            .agg(F.max_by("result_id", "seq").alias("value"), F.count("*").alias("n")))
+    moved = F.array(F.struct(F.concat(F.lit("last_"), "name").alias("key"), F.col("value").alias("value"), F.lit(0).cast("bigint").alias("n")),
+                    F.struct(F.lit("version").alias("key"), F.lit(None).cast("string").alias("value"), F.col("n").alias("n")))
+    calls = good.select(*SEGMENT, F.lit(1).alias("step"), F.inline(moved))
+    # Per key what each segment leaves; then only the rollout's last segment counts.
+    place = F.struct("segment", "step")
+    by_segment = (start.unionByName(calls.select(*start.columns))
+                  .groupBy("rollout_id", "key", "segment").agg(F.max_by("value", F.when(F.col("value").isNotNull(), place)).alias("value"), F.sum("n").alias("n")))
+    last = sandboxes.groupBy("rollout_id").agg(F.max(_turn(sandboxes)).alias("segment"))
+    moved_on = (F.col("value").cast("bigint") + F.col("n")).cast("string")
+    return (by_segment.join(last, SEGMENT)
+            .select("rollout_id", "key", F.when(F.col("key") == "version", moved_on).otherwise(F.col("value")).alias("value")))
 
 
 def replay_mismatches(reported: DataFrame, expected: DataFrame) -> DataFrame:
@@ -99,19 +150,21 @@ def replay_mismatches(reported: DataFrame, expected: DataFrame) -> DataFrame:
             .select("rollout_id", "seq", "name", "result_id", "want_id", "error", "want_error"))
 
 
-def assign_turn_idx(turns: DataFrame, events: DataFrame) -> DataFrame:
+def assign_turn_idx(turns: DataFrame, events: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Give each event the latest turn recorded before it, at least 0.
 
     Both tables carry ``rollout_id`` and ``at``; events also ``seq``. A turn and
-    an event of the same instant count as turn first.
+    an event of the same instant count as turn first. A rollout of more than
+    ``block_rows`` rows is cut at its quantiles, however close in time they lie.
     """
-    marks = turns.select("rollout_id", "at", F.lit(0).alias("kind"),
-                         F.col("turn_idx").cast("bigint").alias("seq"))
-    calls = events.select("rollout_id", "at", F.lit(1).alias("kind"), F.col("seq").cast("bigint").alias("seq"))
-    seen = prefix_sums(marks.unionByName(calls), ["rollout_id"], ["at", "kind", "seq"],
-                       hour_block("at"), turns_before=(F.col("kind") == 0).cast("bigint"))
-    return (seen.filter("kind = 1")
-            .select("rollout_id", "seq",
+    first_event = 1 << 62  # turns of an instant are numbered below its events
+    marks = turns.select("rollout_id", "at", F.col("turn_idx").cast("bigint").alias("place"))
+    calls = events.select("rollout_id", "at", (F.lit(first_event) + F.col("seq").cast("bigint")).alias("place"))
+    rows, order = marks.unionByName(calls), ["at", "place"]
+    seen = prefix_sums(equal_blocks(rows, ["rollout_id"], order, block_rows), ["rollout_id"], order,
+                       F.col("_block"), turns_before=(F.col("place") < first_event).cast("bigint"))
+    return (seen.filter(F.col("place") >= first_event)
+            .select("rollout_id", (F.col("place") - first_event).alias("seq"),
                     F.greatest(F.lit(0), F.col("turns_before") - 1).cast("int").alias("turn_idx")))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdictlake.operators.ordered import carry_last, day_block, number_block, positions
+from verdictlake.operators.ordered import BLOCK_ROWS, carry_last, equal_blocks, number_block, positions
 
 CHUNK = 500  # fixed value: rollouts judged together
 
@@ -42,11 +42,13 @@ def session_rollup(sessions: DataFrame, runs: DataFrame, rollouts: DataFrame) ->
                     F.coalesce("rollouts", zero).alias("rollouts"), "last_activity"))
 
 
-def pass_rate_trend(checks: DataFrame) -> DataFrame:
-    """Change of each check against the one before it on its branch."""
-    seen = carry_last(checks, ["session_id", "branch"], ["created_at", "check_id"],
-                      day_block("created_at"), F.col("pass_rate"), "previous_rate")
-    return seen.withColumn("delta", F.col("pass_rate") - F.col("previous_rate"))
+def pass_rate_trend(checks: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Change of each check against the one before it on its branch. A branch of
+    more than ``block_rows`` checks is cut at its quantiles."""
+    branch, order = ["session_id", "branch"], ["created_at", "check_id"]
+    seen = carry_last(equal_blocks(checks, branch, order, block_rows), branch, order, F.col("_block"),
+                      F.col("pass_rate"), "previous_rate")
+    return seen.drop("_block").withColumn("delta", F.col("pass_rate") - F.col("previous_rate"))
 
 
 def judge_chunks(rollouts: DataFrame, by: Sequence[str], label: Column, size: int = CHUNK,

@@ -288,7 +288,7 @@ def nested_documents(spark: SparkSession, sf: str, part: int = 1000) -> DataFram
     turn = F.struct("turn_idx", "role", "content")
     said = (fx.turns(spark, sf).withColumn("part", F.floor(F.col("turn_idx") / part))
             .groupBy("rollout_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("transcript")))
-    call = F.struct("seq", "name", "input", "is_error")
+    call = F.struct("seq", "name", "input", "is_error", "external")
     called = (fx.tool_events(spark, sf).withColumn("part", F.floor(F.col("seq") / part))
               .groupBy("rollout_id", "part").agg(F.sort_array(F.collect_list(call)).alias("tool_events")))
     return said.join(called, ["rollout_id", "part"], "full").select(
@@ -307,7 +307,7 @@ def _(spark, sf):
 
 
 @query("read_tool_events", """
-SELECT CAST(rollout_id AS VARCHAR) AS rollout_id, seq, name, input, is_error, FALSE AS external FROM fx_tool_events""",
+SELECT CAST(rollout_id AS VARCHAR) AS rollout_id, seq, name, input, is_error, external FROM fx_tool_events""",
        "fx_tool_events")
 def _(spark, sf):
     path = work_path(spark, "tool-events")
@@ -357,7 +357,7 @@ def _(spark, sf):
 SELECT e.run_id, e.seq, e.stage, e.message FROM fx_run_events e
 WHERE e.seq > CASE WHEN e.run_id % 2 = 0 THEN e.run_id % 40 ELSE 0 END""", "fx_run_events")
 def _(spark, sf):
-    cursors = fx.sandboxes(spark, sf).filter("rollout_id % 2 = 0").selectExpr("rollout_id AS run_id", "rollout_id % 40 AS after")
+    cursors = fx.table(spark, sf, "events").selectExpr("user_id AS rollout_id").distinct().filter("rollout_id % 2 = 0").selectExpr("rollout_id AS run_id", "rollout_id % 40 AS after")
     return run_ops.event_feed(fx.run_events(spark, sf), cursors).select("run_id", "seq", "stage", "message")
 
 

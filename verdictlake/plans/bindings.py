@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdictlake.operators.ordered import day_block, hour_block, number_block, positions
+from verdictlake.operators.ordered import equal_blocks, number_block, positions
+from verdictlake.session import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +44,8 @@ def evaluations(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFr
     itself as a struct, which needs no window; with ``dense`` an integer."""
     items = table(spark, sf_dir, "lineitem")
     if dense:
-        items = positions(items, ["l_orderkey", "l_linenumber"], JUDGING_ORDER,
-                          day_block("l_shipdate"), "pos")
+        rollout = ["l_orderkey", "l_linenumber"]
+        items = positions(equal_blocks(items, rollout, JUDGING_ORDER[:1]), rollout, JUDGING_ORDER, F.col("_block"), "pos")
         seq = (F.col("pos") + 1).cast("int")
     else:
         seq = F.struct(*JUDGING_ORDER)
@@ -77,19 +78,27 @@ def scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tool_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return (positions(events, ["user_id"], ["ts", "event_id"], hour_block("ts"), "pos")
-            .select(F.col("user_id").alias("rollout_id"), F.col("pos").cast("int").alias("seq"),
-                    F.col("event_type").alias("name"), F.col("props").alias("input"),
-                    (F.col("event_type") == "error").alias("is_error"), "ts"))
-
-
-def sandboxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (table(spark, sf_dir, "events").select(F.col("user_id").alias("rollout_id")).distinct()
-            .selectExpr("rollout_id", "rollout_id AS seed",
-                        "CASE WHEN rollout_id % 2 = 0 THEN array('purchase') "
-                        "ELSE cast(array() AS array<string>) END AS fail_tools",
-                        "cast(0 AS bigint) AS version"))
+    """Tool calls with dense ``seq`` and four calls a turn; every seventh is a
+    report of the agent's own tool. Numbered once and written: the operators read
+    their events several times."""
+    events, order = table(spark, sf_dir, "events"), ["ts", "event_id"]
+    numbered = positions(equal_blocks(events, ["user_id"], order[:1]), ["user_id"], order, F.col("_block"), "pos")
+    return written(numbered.select(
+        F.col("user_id").alias("rollout_id"), F.col("pos").cast("int").alias("seq"), F.floor(F.col("pos") / 4).cast("int").alias("turn_idx"),
+        F.col("event_type").alias("name"), F.col("props").alias("input"), (F.col("event_type") == "error").alias("is_error"),
+        (F.col("event_id") % 7 == 0).alias("external"), "ts"), "tool-events")
+
+
+def sandboxes(events: DataFrame) -> DataFrame:
+    """Sandbox rows of numbered tool calls: one for turn 0, one for each turn at
+    which the server sent a new state."""
+    turns = events.select("rollout_id", "turn_idx").distinct().filter("turn_idx = 0 OR (turn_idx + rollout_id) % 5 = 0")
+    version = "CASE WHEN turn_idx = 0 THEN 0 ELSE rollout_id % 4 + turn_idx END"
+    return turns.selectExpr(
+        "rollout_id", "turn_idx", "rollout_id + turn_idx AS seed",
+        "CASE WHEN turn_idx > 0 THEN array('error', 'click') WHEN rollout_id % 2 = 0 THEN array('purchase') "
+        "ELSE cast(array() AS array<string>) END AS fail_tools",
+        f"""concat('{{"city": "c', rollout_id % 5, '", "version": ', {version}, ', "last_view": "kept", "open": [1, true]}}') AS state""")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,10 +188,15 @@ SELECT p_partkey AS scenario_id, p_name AS title, p_type AS task_family,
        p_brand AS representation_id, p_size AS difficulty
 FROM part""",
     "fx_tool_events": """
-SELECT user_id AS rollout_id,
-       CAST(ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS seq,
-       event_type AS name, props AS input, event_type = 'error' AS is_error, ts
-FROM events""",
+SELECT user_id AS rollout_id, CAST(pos AS INT) AS seq, CAST(pos // 4 AS INT) AS turn_idx,
+       event_type AS name, props AS input, event_type = 'error' AS is_error, event_id % 7 = 0 AS external, ts
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events) e""",
+    "fx_sandboxes": """
+SELECT *, '{"city": "c' || CAST(rollout_id % 5 AS VARCHAR) || '", "version": ' || CAST(version AS VARCHAR) || ', "last_view": "kept", "open": [1, true]}' AS state
+FROM (SELECT rollout_id, turn_idx, rollout_id + turn_idx AS seed,
+             CASE WHEN turn_idx > 0 THEN ['error', 'click'] WHEN rollout_id % 2 = 0 THEN ['purchase'] ELSE [] END AS fail_tools,
+             CASE WHEN turn_idx = 0 THEN 0 ELSE rollout_id % 4 + turn_idx END AS version
+      FROM (SELECT DISTINCT rollout_id, turn_idx FROM fx_tool_events) t WHERE turn_idx = 0 OR (turn_idx + rollout_id) % 5 = 0) s""",
     "fx_requests": """
 SELECT event_id, '/v1/' || event_type AS route,
        'key-' || CAST(user_id % 10 AS VARCHAR(10)) AS api_key_id,
@@ -234,7 +248,7 @@ FROM fx_rollouts r LEFT JOIN fx_latest l ON r.rollout_id = l.rollout_id AND r.ch
 GROUP BY r.check_id, r.scenario_id""",
 }
 
-NEEDS = {"fx_run_events": ["fx_tool_events"], "fx_latest": ["fx_evaluations"],
+NEEDS = {"fx_run_events": ["fx_tool_events"], "fx_sandboxes": ["fx_tool_events"], "fx_latest": ["fx_evaluations"],
          "fx_totals": ["fx_rollouts", "fx_evaluations"],
          "fx_scorecard": ["fx_rollouts", "fx_latest"]}
 

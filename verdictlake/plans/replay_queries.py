@@ -12,74 +12,90 @@ from verdictlake.plans.registry import query
 
 HEX_TOKEN = r"\b[0-9a-f]{40}\b"
 
-REPLAY_SQL = """
-WITH faults AS (
-  SELECT f.*, f.rollout_id % 2 = 0 AND f.name = 'purchase'
-         AND ROW_NUMBER() OVER (PARTITION BY f.rollout_id, f.name ORDER BY f.seq) = 1 AS is_fault
-  FROM fx_tool_events f),
+def replay_sql(source: str = "fx_tool_events") -> str:
+    """Replay of the calls in ``source``: windows over the calls between two
+    sandbox rows, as each turn with a row has calls."""
+    return f"""
+WITH tagged AS (
+  SELECT f.*, max(s.turn_idx) OVER (PARTITION BY f.rollout_id ORDER BY f.seq) AS segment
+  FROM {source} f LEFT JOIN fx_sandboxes s ON s.rollout_id = f.rollout_id AND s.turn_idx = f.turn_idx),
+faults AS (
+  SELECT t.*, s.seed, s.version AS start, list_contains(s.fail_tools, t.name) AND (NOT t.external OR t.is_error)
+         AND ROW_NUMBER() OVER (PARTITION BY t.rollout_id, t.segment, t.name, NOT t.external OR t.is_error ORDER BY t.seq) = 1 AS is_fault
+  FROM tagged t JOIN fx_sandboxes s ON s.rollout_id = t.rollout_id AND s.turn_idx = t.segment),
 versions AS (
-  SELECT *, CAST(COALESCE(sum(CASE WHEN is_fault THEN 0 ELSE 1 END) OVER (
-           PARTITION BY rollout_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS version
+  SELECT *, CAST(start + COALESCE(sum(CASE WHEN is_fault OR external THEN 0 ELSE 1 END) OVER (
+           PARTITION BY rollout_id, segment ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS version
   FROM faults),
 replayed AS (
-  SELECT *, CASE WHEN NOT is_fault THEN substr(sha256('["' || name || '", ' || input || ', ' ||
-              CAST(version AS VARCHAR) || ', ' || CAST(rollout_id AS VARCHAR) || ']'), 1, 8) END AS result_id,
-         CASE WHEN is_fault THEN name || ' is unavailable' END AS error
+  SELECT *, CASE WHEN NOT is_fault AND NOT external THEN substr(sha256('["' || name || '", ' || input || ', ' ||
+              CAST(version AS VARCHAR) || ', ' || CAST(seed AS VARCHAR) || ']'), 1, 8) END AS result_id,
+         CASE WHEN is_fault AND NOT external THEN name || ' is unavailable' END AS error
   FROM versions),
 reported AS (
-  SELECT rollout_id, seq, name, CASE WHEN NOT is_error THEN substr(sha256('["' || name || '", ' || input || ', ' ||
+  SELECT rollout_id, seq, name, external, CASE WHEN NOT is_error THEN substr(sha256('["' || name || '", ' || input || ', ' ||
            CAST(seq AS VARCHAR) || ', ' || CAST(rollout_id AS VARCHAR) || ']'), 1, 8) END AS result_id,
          CASE WHEN is_error THEN name || ' is unavailable' END AS error
-  FROM fx_tool_events)
+  FROM {source})
 """
 
 
-def reported(spark: SparkSession, sf: str) -> DataFrame:
-    """Outputs as a client would report them that counts faulted calls too."""
-    events = fx.tool_events(spark, sf)
+REPLAY_SQL, REPLAY_VIEWS = replay_sql(), "fx_tool_events fx_sandboxes"
+
+
+def reported(events: DataFrame) -> DataFrame:
+    """Outputs as a client would report them that neither knows faults nor takes
+    the state that the server sends."""
     return events.select(
-        "rollout_id", "seq", "name",
+        "rollout_id", "seq", "name", "external",
         F.when(~F.col("is_error"), canonical.call_hash(F.col("name"), F.col("input"), F.col("seq"),
                                                        F.col("rollout_id"))).alias("result_id"),
         F.when(F.col("is_error"), F.concat("name", F.lit(" is unavailable"))).alias("error"))
 
 
-@query("first_call_fault", REPLAY_SQL + "SELECT rollout_id, seq, name, is_fault FROM faults", "fx_tool_events")
+@query("first_call_fault", REPLAY_SQL + "SELECT rollout_id, seq, name, is_fault FROM faults", REPLAY_VIEWS)
 def _(spark, sf):
-    return (replay.first_call_fault(fx.tool_events(spark, sf), fx.sandboxes(spark, sf))
-            .select("rollout_id", "seq", "name", "is_fault"))
+    events = fx.tool_events(spark, sf)
+    return replay.first_call_fault(events, fx.sandboxes(events)).select("rollout_id", "seq", "name", "is_fault")
 
 
-@query("tool_version", REPLAY_SQL + "SELECT rollout_id, seq, name, version FROM versions", "fx_tool_events")
+@query("tool_version", REPLAY_SQL + "SELECT rollout_id, seq, name, segment, version FROM versions", REPLAY_VIEWS)
 def _(spark, sf):
-    return (replay.state_version(fx.tool_events(spark, sf), fx.sandboxes(spark, sf))
-            .select("rollout_id", "seq", "name", "version"))
+    events = fx.tool_events(spark, sf)
+    return replay.state_version(events, fx.sandboxes(events)).select("rollout_id", "seq", "name", "segment", "version")
 
 
-@query("tool_replay", REPLAY_SQL + "SELECT rollout_id, seq, name, version, result_id, error FROM replayed",
-       "fx_tool_events")
+@query("tool_replay", REPLAY_SQL + "SELECT rollout_id, seq, name, version, result_id, error FROM replayed", REPLAY_VIEWS)
 def _(spark, sf):
-    return (replay.tool_replay(fx.tool_events(spark, sf), fx.sandboxes(spark, sf))
+    events = fx.tool_events(spark, sf)
+    return (replay.tool_replay(events, fx.sandboxes(events))
             .select("rollout_id", "seq", "name", "version", "result_id", "error"))
 
 
-@query("final_sandbox_state", REPLAY_SQL + """
-SELECT rollout_id, 'version' AS key, CAST(count(result_id) AS VARCHAR) AS value FROM replayed GROUP BY rollout_id
-UNION ALL
-SELECT rollout_id, 'last_' || name, arg_max(result_id, seq) FROM replayed WHERE result_id IS NOT NULL
-GROUP BY rollout_id, name""", "fx_tool_events")
+@query("final_sandbox_state", REPLAY_SQL + """,
+ends AS (SELECT rollout_id, max(turn_idx) AS segment FROM fx_sandboxes GROUP BY rollout_id),
+own AS (SELECT r.* FROM replayed r JOIN ends e ON e.rollout_id = r.rollout_id AND e.segment = r.segment WHERE r.result_id IS NOT NULL),
+lasts AS (SELECT rollout_id, 'last_' || name AS key, arg_max(result_id, seq) AS value FROM own GROUP BY rollout_id, name),
+base AS (SELECT s.rollout_id, k.key, CASE k.key WHEN 'open' THEN '[1,true]' ELSE json_extract_string(s.state, '$.' || k.key) END AS value
+         FROM fx_sandboxes s JOIN ends e ON e.rollout_id = s.rollout_id AND e.segment = s.turn_idx,
+              (SELECT unnest(['city', 'last_view', 'open']) AS key) k)
+SELECT rollout_id, key, value FROM lasts
+UNION ALL SELECT b.* FROM base b WHERE NOT EXISTS (SELECT 1 FROM lasts l WHERE l.rollout_id = b.rollout_id AND l.key = b.key)
+UNION ALL SELECT s.rollout_id, 'version', CAST(s.version + (SELECT count(*) FROM own o WHERE o.rollout_id = s.rollout_id) AS VARCHAR)
+FROM fx_sandboxes s JOIN ends e ON e.rollout_id = s.rollout_id AND e.segment = s.turn_idx""", REPLAY_VIEWS)
 def _(spark, sf):
-    boxes = fx.sandboxes(spark, sf)
-    return replay.final_sandbox_state(replay.tool_replay(fx.tool_events(spark, sf), boxes), boxes)
+    events = fx.tool_events(spark, sf)
+    boxes = fx.sandboxes(events)
+    return replay.final_sandbox_state(replay.tool_replay(events, boxes), boxes)
 
 
 @query("replay_mismatches", REPLAY_SQL + """
 SELECT r.rollout_id, r.seq, r.name, r.result_id, e.result_id AS want_id, r.error, e.error AS want_error
 FROM reported r LEFT JOIN replayed e ON e.rollout_id = r.rollout_id AND e.seq = r.seq
-WHERE r.result_id IS DISTINCT FROM e.result_id OR r.error IS DISTINCT FROM e.error""", "fx_tool_events")
+WHERE NOT r.external AND (r.result_id IS DISTINCT FROM e.result_id OR r.error IS DISTINCT FROM e.error)""", REPLAY_VIEWS)
 def _(spark, sf):
-    return replay.replay_mismatches(reported(spark, sf),
-                                    replay.tool_replay(fx.tool_events(spark, sf), fx.sandboxes(spark, sf)))
+    events = fx.tool_events(spark, sf)
+    return replay.replay_mismatches(reported(events), replay.tool_replay(events, fx.sandboxes(events)))
 
 
 @query("assign_turn_idx", """

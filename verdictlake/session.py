@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "verdictlake", master: str | None = None,
@@ -33,7 +33,7 @@ def build_session(app_name: str = "verdictlake", master: str | None = None,
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, or, where
-    it is unset, a folder below the warehouse, which is shared by definition."""
+    it is unset, a folder below the warehouse, which a cluster shares as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     return configured or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_work")
 
@@ -41,3 +41,11 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A new path for one run of one job below the shared folder."""
     return os.path.join(shared_folder(spark), f"{purpose}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder, computed once for all its readers;
+    it outlives lost executors and cuts the lineage."""
+    path = work_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
