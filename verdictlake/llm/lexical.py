@@ -31,7 +31,7 @@ BUCKET = 2048
 BLOCK_ROWS = 65_536
 BLOCK_IMPACTS = 8_000_000
 BLOCK_TERMS = 200_000
-SEEDS = 2048
+SEEDS = 512
 LOST = 1 << 62
 
 _KEPT = string.digits + string.ascii_letters
@@ -79,23 +79,25 @@ def item_block(rows: list) -> Items:
 
 
 def term_rows(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """(doc_id, n, terms, tfs): a row per document with a term, whole texts: all
-    its terms counted in ``n``, the vocabulary's terms listed with their counts."""
+    """(doc_id, n, terms, tfs, reach): a row per document with a term, whole texts:
+    all its terms counted in ``n``, the vocabulary's terms listed with their
+    counts; ``reach`` grows with the length of its vector (squared, at mean size)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = vocabulary.get
         for batch in batches:
             for part in byte_slices(batch, 1):
-                names, sizes, terms, counts = [], [], [], []
+                names, sizes, terms, counts, reach = [], [], [], [], []
                 for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if found := terms_of(text or ""):
                         own = np.array([t for t in map(number, found) if t is not None], np.int64)
                         distinct, tf = np.unique(own, return_counts=True)
                         names.append(name), sizes.append(len(found)), terms.append(distinct), counts.append(tf)
+                        reach.append(float(((tf / (tf + 0.8)) ** 2).sum()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "terms", "tfs"])
+                    [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64())),
+                     pa.array(reach, pa.float64())], ["doc_id", "n", "terms", "tfs", "reach"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<long>, reach double")
 
 
 def collection_counts(rows: DataFrame, size: int) -> tuple[int, int, np.ndarray]:
@@ -257,8 +259,7 @@ def searched(rows: DataFrame, items: Items, weight: np.ndarray, documents: int,
 def seed_scores(rows: DataFrame, items: Items, weight: np.ndarray, documents: int, length: int, top: int, seeds: int = SEEDS) -> np.ndarray:
     """Each item's lowest place among a bounded number of long vectors: no score
     below it can be among the item's best of all documents."""
-    norm = F.aggregate(F.col("tfs"), F.lit(0.0), lambda a, tf: a + F.pow(tf / (tf + 0.008 * (10 + 90 * F.col("n") * documents / max(length, 1))), 2))
-    first = rows.filter(F.size("terms") > 0).orderBy(norm.desc(), "doc_id").limit(seeds)
+    first = rows.filter(F.size("terms") > 0).orderBy(F.desc("reach"), "doc_id").limit(seeds)
     floor = np.zeros(len(items.ids), np.int64)
     best: dict[int | None, list[int]] = {}
     for r in searched(first, items, weight, documents, length, floor, top).collect():
