@@ -9,7 +9,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from verdictlake.operators.ordered import as_number, carry_last, equal_blocks, number_block, positions, prefix_sums, segmented_sums
+from verdictlake.operators.ordered import carry_last, equal_blocks, number_block, positions, prefix_sums, segmented_sums
 from verdictlake.operators.usage import nearest_rank
 
 
@@ -85,8 +85,8 @@ def test_one_hot_day_has_many_equal_blocks(spark):
     sizes = {}
     for r in blocked.groupBy("key", "_block").count().collect():
         sizes.setdefault(r.key, []).append(r["count"])
-    assert len(sizes["hot"]) > 300 and max(sizes["hot"]) <= 500
-    assert all(len(blocks) == 1 for key, blocks in sizes.items() if key != "hot")
+    assert 20 <= len(sizes["hot"]) <= 80 and max(sizes["hot"]) <= 1500 and sum(sizes["hot"]) == 20_000
+    assert all(len(blocks) <= 1 for key, blocks in sizes.items() if key != "hot")
 
 
 def test_equal_blocks_follow_the_order(spark):
@@ -97,22 +97,15 @@ def test_equal_blocks_follow_the_order(spark):
         assert [m[3] for m in sorted(members)] == list(range(len(members))), key
 
 
-def test_equal_blocks_with_nulls_and_without_rows(spark):
-    rows = [("a", None, i) for i in range(40)] + [("a", i, 0) for i in range(40)]
-    frame = spark.createDataFrame(rows, "key string, at long, id long")
-    blocked = equal_blocks(frame, ["key"], ["at", "id"], rows=10)
-    assert blocked.filter("at IS NULL").agg(F.max("_block")).first()[0] <= blocked.filter("at IS NOT NULL").agg(F.min("_block")).first()[0]
+def test_equal_blocks_with_nulls_texts_and_without_rows(spark):
+    rows = [("a", None, f"t{i:03}") for i in range(400)] + [("a", i, "é") for i in range(400)]
+    frame = spark.createDataFrame(rows, "key string, at long, name string").repartition(3)
+    blocked = equal_blocks(frame, ["key"], ["at", "name"], rows=20).collect()
+    in_order = sorted(blocked, key=lambda r: (r.at is not None, r.at or 0, r.name))
+    assert [r["_block"] for r in in_order] == sorted(r["_block"] for r in blocked) and len({r["_block"] for r in blocked}) > 20
     assert equal_blocks(frame.filter("key = 'z'"), ["key"], ["at"], rows=10).collect() == []
 
 
-def test_numbers_follow_texts(spark):
-    texts = ["", "a", "aa", "ab", "abcdefg", "abcdefgh", "b", "é", "日本", "\U0001f600", None]
-    frame = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = {r.t: r.n for r in frame.select("t", as_number(frame, "t").alias("n")).collect()}
-    ordered = [got[t] for t in sorted(t for t in texts if t is not None)]
-    assert ordered == sorted(ordered) and got[None] is None and len(set(ordered)) >= 9
-
-
 @pytest.mark.parametrize("bits", [2, 30])
 def test_carry_last(frame, rows, bits):
     got = {(r.key, r.ord): r.prev for r in carry_last(

@@ -20,12 +20,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 BEFORE = (Window.unboundedPreceding, -1)
 BLOCK_ROWS = 1 << 18
 SIDE = 16
 CUTS = SIDE * SIDE
+POINTS = 16
 
 
 def number_block(column: str | Column, bits: int = 12) -> Column:
@@ -33,52 +33,35 @@ def number_block(column: str | Column, bits: int = 12) -> Column:
     return F.shiftright(F.col(column) if isinstance(column, str) else column, bits)
 
 
-def as_number(df: DataFrame, column: str) -> Column:
-    """A number that never decreases as the column grows: times in microseconds,
-    texts by their first bytes."""
-    kind, value = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
-        return F.unix_micros(value.cast("timestamp"))
-    if isinstance(kind, StringType):
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("bigint")
-    return value
-
-
 def _block_of(place: Column, cuts: Column) -> Column:
-    """Even at a cut point, odd between two, 0 for NULL or without cuts. Cuts come as
-    ``SIDE`` rows of ``SIDE`` ascending points, so two short scans find the place."""
-    row = F.size(F.filter(cuts, lambda points: F.element_at(points, -1) < place))
-    points = F.get(cuts, row)
-    below = row * SIDE + F.coalesce(F.size(F.filter(points, lambda point: point < place)), F.lit(0))
-    found = below * 2 + F.coalesce(F.array_contains(points, place), F.lit(False)).cast("int")
-    return F.when(cuts.isNull() | place.isNull(), 0).otherwise(found + 1).cast("bigint")
+    """Number of cut points up to ``place``. They come as ``SIDE`` rows of ``SIDE``
+    ascending points, so two short scans find the place."""
+    row = F.size(F.filter(cuts, lambda points: F.element_at(points, -1) <= place))
+    inside = F.size(F.filter(F.get(cuts, row), lambda point: point <= place))
+    found = row * SIDE + F.when(F.get(cuts, row).isNull(), 0).otherwise(inside)
+    return F.when(cuts.isNull(), 0).otherwise(found).cast("bigint")
 
 
 def equal_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``_block``: ranges of about equally many rows in groups of more than
-    ``rows`` rows, 0 in all others.
-
-    ``order`` names the first columns of the group's order, NULLs first. A
-    mergeable quantile summary per group gives the cut points of the first one; a
-    cut point is a block by itself, so a value that very many rows share stands
-    alone and is cut by the next column. Only hot groups have cut points: they are
-    few, and all others meet an empty side.
+    """Add ``_block``: ranges of about ``rows`` rows of the group's order (at most
+    ``CUTS`` of them) in larger groups, 0 in all others.
+
+    The rows that a hash of their place picks, one in ``rows`` / ``POINTS``, are a
+    quantile summary of every group at once: few in all, none in most small
+    groups. Every so many of a group's picked places is a cut point. As a place
+    is the whole ``order``, rows that share its first columns are cut as well.
     """
-    work, by, fixed = df.withColumn("_block", F.lit(0).cast("bigint")), list(keys), None
-    for step, place in enumerate(order):
-        work = work.withColumn("_place", as_number(df, place))
-        hot = F.count("*") > rows
-        if fixed is not None:  # blocks of one value of the number before
-            hot &= F.min(fixed).eqNullSafe(F.max(fixed))
-        summary = (work.groupBy(*by).agg(F.percentile_approx("_place", [n / CUTS for n in range(1, CUTS)], 20 * CUTS).alias("_points"), hot.alias("_hot"))
-                   .filter("_hot").select(*by, F.array_distinct("_points").alias("_points")))
-        table = F.filter(F.transform(F.sequence(F.lit(0), F.lit(SIDE - 1)), lambda i: F.slice(F.col("_points"), i * SIDE + 1, F.lit(SIDE))),
-                         lambda points: F.size(points) > 0)
-        found = work.join(summary.select(*by, table.alias("_cuts")), by, "left")
-        work = (found.withColumn("_block", F.col("_block") * (4 * CUTS) + _block_of(F.col("_place"), F.col("_cuts")))
-                .withColumn(f"_fixed{step}", F.col("_place")).select(*df.columns, "_block", f"_fixed{step}"))
-        by, fixed = [*keys, "_block"], f"_fixed{step}"
-    return work.select(*df.columns, "_block")
+    place, picked = F.struct(*order), max(1, rows // POINTS)
+    group = Window.partitionBy(*keys)
+    points = df.filter(F.xxhash64(*keys, *order) % picked == 0).select(*keys, place.alias("_place"))
+    nth = points.withColumns({"_nth": F.row_number().over(group.orderBy("_place")), "_of": F.count("*").over(group)})
+    step = F.greatest(F.lit(POINTS), F.ceil(F.col("_of") / CUTS))
+    cuts = (nth.filter(F.col("_nth") % step == 0).groupBy(*keys)
+            .agg(F.sort_array(F.collect_list("_place")).alias("_points")))
+    table = F.filter(F.transform(F.sequence(F.lit(0), F.lit(SIDE - 1)), lambda i: F.slice(F.col("_points"), i * SIDE + 1, F.lit(SIDE))),
+                     lambda part: F.size(part) > 0)
+    return (df.join(cuts.select(*keys, table.alias("_cuts")), list(keys), "left")
+            .select(*df.columns, _block_of(place, F.col("_cuts")).alias("_block")))
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -45,7 +45,7 @@ def evaluations(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFr
     items = table(spark, sf_dir, "lineitem")
     if dense:
         rollout = ["l_orderkey", "l_linenumber"]
-        items = positions(equal_blocks(items, rollout, JUDGING_ORDER[:1]), rollout, JUDGING_ORDER, F.col("_block"), "pos")
+        items = positions(equal_blocks(items, rollout, JUDGING_ORDER), rollout, JUDGING_ORDER, F.col("_block"), "pos")
         seq = (F.col("pos") + 1).cast("int")
     else:
         seq = F.struct(*JUDGING_ORDER)
@@ -82,7 +82,7 @@ def tool_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     report of the agent's own tool. Numbered once and written: the operators read
     their events several times."""
     events, order = table(spark, sf_dir, "events"), ["ts", "event_id"]
-    numbered = positions(equal_blocks(events, ["user_id"], order[:1]), ["user_id"], order, F.col("_block"), "pos")
+    numbered = positions(equal_blocks(events, ["user_id"], order), ["user_id"], order, F.col("_block"), "pos")
     return written(numbered.select(
         F.col("user_id").alias("rollout_id"), F.col("pos").cast("int").alias("seq"), F.floor(F.col("pos") / 4).cast("int").alias("turn_idx"),
         F.col("event_type").alias("name"), F.col("props").alias("input"), (F.col("event_type") == "error").alias("is_error"),
