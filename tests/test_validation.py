@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -49,6 +50,64 @@ def test_diversity(spark):
     assert (row.scenarios, row.distinct_share, row.family_entropy, row.near_duplicate_share) == (4, 0.75, 1.0, 0.5)
 
 
+def edited_texts(seed=2, bases=30, copies=8):
+    """(set id, words): texts of 30 to 200 words with copies of a few changed words."""
+    rng, rows = random.Random(seed), []
+    for b in range(bases):
+        words = [f"b{b}w{i}" for i in range(rng.randrange(30, 200))]
+        rows.append((f"{b:03}-0", words))
+        for c in range(1, copies):
+            changed = list(words)
+            for i in rng.sample(range(len(words)), rng.choice([1, 1, 2, len(words) // 12, len(words) // 5, len(words) // 2])):
+                changed[i] = f"x{b}c{c}i{i}"
+            rows.append((f"{b:03}-{c}", changed))
+    return [(i, sorted(set(w))) for i, w in rows]
+
+
+def test_near_links(spark):
+    rows = edited_texts()
+    bags = {i: set(w) for i, w in rows}
+    frame = spark.createDataFrame([("d", i, w) for i, w in rows], "dataset_id string, set_id string, words array<string>").repartition(4)
+    links = {(r.set_id, r.earlier) for r in v.near_links(frame, ["dataset_id"]).collect()}
+
+    def alike(a, b):
+        return len(bags[a] & bags[b]) / len(bags[a] | bags[b])
+    assert all(b < a and alike(a, b) >= 0.8 for a, b in links)
+    found = {a for a, _ in links}
+    near = {a for a in bags for b in bags if b < a and alike(a, b) >= 0.8}
+    assert found <= near and len(found) >= 0.97 * len(near) > 50
+    # A text with one changed word is always found.
+    assert {a for a in bags if a[-1] != "0" and len(bags[a] ^ bags[a[:3] + "-0"]) == 2} <= found
+
+
+def test_signatures_estimate_jaccard(spark):
+    rows = edited_texts(seed=5)
+    frame = spark.createDataFrame(rows, "set_id string, words array<string>")
+    signs = {r.set_id: set(r.s) for r in v.min_hashes(frame, "words", "s").collect()}
+    bags, errors = {i: set(w) for i, w in rows}, []
+    for i in bags:
+        base = i[:3] + "-0"
+        bins = len({m[0] + "0123456789abcdef"[int(m[1], 16) // 4] for m in signs[i] | signs[base]})
+        errors.append(len(signs[i] & signs[base]) / bins - len(bags[i] & bags[base]) / len(bags[i] | bags[base]))
+    # 64 bins: a standard error of at most 0.0625.
+    assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.0625 and abs(sum(errors) / len(errors)) < 0.02
+
+
+def test_planted_edits_count_as_near(spark):
+    base = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(10)]
+    edits = [t.replace("w7", "changed").upper() + "!" for t in base]
+    rows = spark.createDataFrame([("d", "f", t) for t in base + edits + base[:2]] + [("e", "f", t) for t in base], "dataset_id string, task_family string, text string")
+    got = {r.dataset_id: r for r in v.validation_diversity(rows).collect()}
+    assert got["d"].near_duplicate_share == 12 / 22 and got["d"].distinct_share == 20 / 22 and got["e"].near_duplicate_share == 0
+
+
+def test_copies_make_no_pairs(spark):
+    rows = spark.range(3000).select(F.lit("d").alias("dataset_id"), F.lit("f").alias("task_family"),
+                                    F.when(F.col("id") % 3 > 0, "one very common text").otherwise(F.concat(F.lit("own text "), F.col("id"))).alias("text"))
+    row = v.validation_diversity(rows).first()
+    assert row.scenarios == 3000 and row.near_duplicate_share >= 1999 / 3000
+
+
 def test_fidelity(spark):
     rows = spark.createDataFrame([("d", "f"), ("d", "f")], "dataset_id string, fam string")
     other = spark.createDataFrame([("d", "g")], "dataset_id string, fam string")
