@@ -12,6 +12,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdictlake.session import written
+
 # Range name: (length, bucket seconds).
 RANGES = {"24h": (timedelta(hours=24), 3600), "7d": (timedelta(days=7), 21600),
           "30d": (timedelta(days=30), 86400)}
@@ -53,24 +55,99 @@ def bucket_start(moment: Column, start: datetime, seconds: int) -> Column:
     return F.floor(F.timestamp_diff("SECOND", F.lit(start), moment) / seconds)
 
 
-def usage_summary(requests: DataFrame, range_name: str, now: datetime) -> DataFrame:
-    """Per metric: value of the range and of the equally long range before it."""
-    length, _ = RANGES[range_name]
-    recent = requests.filter((F.col("created_at") >= F.lit(now - 2 * length)) & (F.col("created_at") < F.lit(now)))
-    recent = recent.withColumn("period", F.when(F.col("created_at") >= F.lit(now - length), "value")
-                               .otherwise("previous"))
-    table = (_counts(recent, ["period"])
-             .join(nearest_rank(recent, ["period"], "latency_ms", 0.95, "p95"), "period", "left"))
-    metric = F.stack(F.lit(3), F.lit("requests"), F.col("requests").cast("double"),
+SKETCH_K = 800
+# Ranks of such a sketch are off by less than this, in nearly all cases.
+SKETCH_SLACK = 0.01
+
+
+def usage_sketches(requests: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, requests, errors, latencies): counts and a mergeable quantile sketch
+    of ``latency_ms`` (KLL) per group, partial in each task. Kept per bucket, they
+    give any longer range by `roll_up` without reading requests again."""
+    return requests.groupBy(*keys).agg(
+        F.count("*").alias("requests"), F.count_if(F.col("status") >= 400).alias("errors"),
+        F.count("latency_ms").alias("timed"), F.kll_sketch_agg_double("latency_ms", SKETCH_K).alias("latencies"))
+
+
+def roll_up(sketches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sketches of buckets merged to the groups of ``keys``."""
+    return sketches.groupBy(*keys).agg(
+        F.sum("requests").alias("requests"), F.sum("errors").alias("errors"), F.sum("timed").alias("timed"),
+        F.kll_merge_agg_double("latencies").alias("latencies"))
+
+
+def exact_from_sketch(rows: DataFrame, sketches: DataFrame, keys: Sequence[str], value: str, q: float, out: str) -> DataFrame:
+    """Exact nearest-rank quantile of every group that has a sketch.
+
+    The sketch brackets the rank; below the bracket rows are only counted, inside
+    values are counted and ranked. A sketch may err by more than its bracket: the
+    counts show that, and such a group goes through `nearest_rank` instead.
+    """
+    known = sketches.filter("timed > 0")
+    ends = [F.kll_sketch_get_quantile_double("latencies", F.lit(min(1.0, max(0.0, q + d)))) for d in (-SKETCH_SLACK, SKETCH_SLACK)]
+    bracket = known.select(*keys, ends[0].alias("_low"), ends[1].alias("_high"), F.col("timed").alias("_size"))
+    rows = rows.filter(F.col(value).isNotNull())
+    inside = F.when(F.col(value) >= F.col("_low"), F.col(value))
+    counts = (rows.select(*keys, value).join(bracket, list(keys)).filter(F.col(value) <= F.col("_high"))
+              .groupBy(*keys, inside.alias(value)).agg(F.count("*").alias("_n"), F.first("_size").alias("_size")))
+    through = F.sum("_n").over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_first()))
+    rank = F.ceil(F.lit(q) * F.col("_size"))
+    found = (counts.withColumn("_through", through).filter(F.col(value).isNotNull())
+             .filter((F.col("_through") - F.col("_n") < rank) & (rank <= F.col("_through"))).select(*keys, F.col(value).alias(out)))
+    missed = known.select(*keys).join(found, list(keys), "left_anti")
+    return found.unionByName(nearest_rank(rows.join(missed, list(keys), "left_semi"), keys, value, q, out))
+
+
+def usage_metrics(requests: DataFrame, range_name: str, now: datetime, keys: Sequence[str] = ()) -> DataFrame:
+    """Per group and metric: ``value`` over the range, ``previous`` over the
+    equally long range before it, and the range's ``series`` of (t, v) points.
+
+    Requests are counted in every bucket of the range, 0 included; error rates and
+    latencies have points where there were (timed) requests. Sketches per bucket
+    are written once; buckets, range and previous range take their brackets from
+    them and one pass over the requests makes the quantiles exact. A series has
+    at most 30 points. NULL keys count as the empty text.
+    """
+    length, seconds = RANGES[range_name]
+    start, by = now - length, list(keys)
+    recent = (requests.filter((F.col("created_at") >= F.lit(start - length)) & (F.col("created_at") < F.lit(now)))
+              .select(*[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(k) for k in by], "status", F.col("latency_ms").cast("double").alias("latency_ms"),
+                      bucket_start(F.col("created_at"), start, seconds).alias("bucket")))
+    sketches = written(usage_sketches(recent, [*by, "bucket"]), "usage-sketches")
+    period = F.when(F.col("bucket") >= 0, "value").otherwise("previous")
+    whole = F.lit(-1).cast("bigint")
+    scope = [*by, "part", "bucket"]
+    scopes = (sketches.filter("bucket >= 0").withColumn("part", F.lit("point"))
+              .unionByName(roll_up(sketches.withColumns({"part": period, "bucket": whole}), scope)))
+    memberships = F.array_compact(F.array(F.struct(period.alias("part"), whole.alias("bucket")),
+                                          F.when(F.col("bucket") >= 0, F.struct(F.lit("point").alias("part"), F.col("bucket").alias("bucket")))))
+    placed = recent.select(*by, "latency_ms", F.explode(memberships).alias("in")).select(*by, "latency_ms", "in.*")
+    slow = exact_from_sketch(placed, scopes, scope, "latency_ms", 0.95, "p95")
+    counted = scopes.drop("latencies").join(slow, scope, "left")
+
+    groups = sketches.select(*by).distinct() if by else requests.sparkSession.range(1).select()
+    frame = groups.select(*by, F.explode(F.sequence(F.lit(0), F.lit(int(length.total_seconds()) // seconds - 1))).alias("bucket"))
+    points = frame.withColumns({"part": F.lit("point"), "bucket": F.col("bucket").cast("bigint")})
+    table = points.join(counted.filter("part = 'point'"), scope, "left").unionByName(counted.filter("part <> 'point'"))
+    metric = F.stack(F.lit(3), F.lit("requests"), F.coalesce("requests", F.lit(0)).cast("double"),
                      F.lit("error_rate"), F.col("errors").cast("double") / F.col("requests"),
-                     F.lit("p95_latency_ms"), F.col("p95").cast("double")).alias("metric", "v")
+                     F.lit("p95_latency_ms"), F.col("p95")).alias("metric", "v")
+    rows = table.select(*scope, metric)
     unit = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
-    return (table.select("period", metric).groupBy("metric")
-            .agg(F.max(F.when(F.col("period") == "value", F.col("v"))).alias("value"),
-                 F.max(F.when(F.col("period") == "previous", F.col("v"))).alias("previous"))
+    moment = F.timestamp_add("SECOND", F.col("bucket") * seconds, F.lit(start))
+    point = F.when((F.col("part") == "point") & F.col("v").isNotNull(), F.struct(moment.alias("t"), F.col("v").alias("v")))
+    return (rows.groupBy(*by, "metric")
+            .agg(F.max(F.when(F.col("part") == "value", F.col("v"))).alias("value"),
+                 F.max(F.when(F.col("part") == "previous", F.col("v"))).alias("previous"),
+                 F.sort_array(F.collect_list(point)).alias("series"))
             .withColumn("unit", unit[F.col("metric")]))
 
 
+def usage_summary(requests: DataFrame, range_name: str, now: datetime) -> DataFrame:
+    """Per metric: value of the range and of the equally long range before it."""
+    return usage_metrics(requests, range_name, now).select("metric", "value", "previous", "unit")
+
+
 def usage_series(requests: DataFrame, range_name: str, now: datetime) -> DataFrame:
     """Requests and errors per bucket of the range, empty buckets at 0."""
     length, seconds = RANGES[range_name]

@@ -47,6 +47,43 @@ def _(spark, sf):
     return usage.usage_summary(fx.requests(spark, sf), "7d", NOW)
 
 
+def metrics_sql(key: str) -> str:
+    """All metrics of each value of ``key``: value, previous and points."""
+    return f"""
+WITH r AS (SELECT *, {key} AS k, floor(epoch(created_at - TIMESTAMP '2024-01-23') / 21600) AS b
+           FROM fx_requests WHERE created_at >= TIMESTAMP '2024-01-16' AND created_at < TIMESTAMP '2024-01-30'),
+s AS (SELECT k, CASE WHEN b >= 0 THEN 'value' ELSE 'previous' END AS part, -1 AS bucket, status, latency_ms FROM r
+      UNION ALL SELECT k, 'point', CAST(b AS BIGINT), status, latency_ms FROM r WHERE b >= 0),
+n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k, part, bucket ORDER BY latency_ms) AS rn, count(*) OVER (PARTITION BY k, part, bucket) AS n FROM s),
+c AS (SELECT k, part, bucket, count(*) * 1.0::DOUBLE AS requests, count(*) FILTER (status >= 400) * 1.0::DOUBLE / count(*) AS error_rate,
+             max(latency_ms) FILTER (rn = ceil(0.95::DOUBLE * n)) AS p95 FROM n GROUP BY k, part, bucket),
+f AS (SELECT k, 'point' AS part, unnest(range(28)) AS bucket FROM (SELECT DISTINCT k FROM r) g),
+m AS (SELECT k, 'requests' AS metric, part, bucket, requests AS v FROM c
+      UNION ALL SELECT k, 'requests', part, bucket, 0 FROM f WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.k = f.k AND c.part = f.part AND c.bucket = f.bucket)
+      UNION ALL SELECT k, 'error_rate', part, bucket, error_rate FROM c
+      UNION ALL SELECT k, 'p95_latency_ms', part, bucket, p95 FROM c)
+SELECT k, metric, CASE metric WHEN 'requests' THEN 'count' WHEN 'error_rate' THEN 'percent' ELSE 'ms' END AS unit, part,
+       CASE WHEN bucket >= 0 THEN epoch_us(TIMESTAMP '2024-01-23' + to_hours(CAST(bucket * 6 AS INT))) END AS t, v FROM m"""
+
+
+def flat_metrics(metrics: DataFrame, key: str) -> DataFrame:
+    """A row per value, previous value and point."""
+    whole = [F.struct(F.lit(p).alias("part"), F.lit(None).cast("bigint").alias("t"), F.col(p).alias("v")) for p in ("value", "previous")]
+    points = F.transform("series", lambda p: F.struct(F.lit("point").alias("part"), F.unix_micros(p["t"].cast("timestamp")).alias("t"), p["v"].alias("v")))
+    rows = F.filter(F.concat(F.array(*whole), points), lambda p: p["v"].isNotNull())
+    return metrics.select(F.expr(key).alias("k"), "metric", "unit", F.inline(rows))
+
+
+@query("usage_metrics", metrics_sql("'all'"), "fx_requests")
+def _(spark, sf):
+    return flat_metrics(usage.usage_metrics(fx.requests(spark, sf), "7d", NOW), "'all'")
+
+
+@query("usage_key_metrics", metrics_sql("api_key_id"), "fx_requests")
+def _(spark, sf):
+    return flat_metrics(usage.usage_metrics(fx.requests(spark, sf), "7d", NOW, ["api_key_id"]), "api_key_id")
+
+
 @query("usage_buckets", """
 SELECT b.bucket, count(r.event_id) AS requests, count(*) FILTER (r.status >= 400) AS errors
 FROM (SELECT unnest(range(28)) AS bucket) b
