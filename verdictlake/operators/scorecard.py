@@ -7,9 +7,13 @@ or session holding most of the data costs one small row per task in the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdictlake.functions.judge import AGENT_KEYS, agent_columns, agent_label, findings, first_finding
+
 
 def rate_of(passed: Column, total: Column, empty: float | None = None) -> Column:
     """passed / total as a double; ``empty`` (default NULL) when total is 0."""
@@ -17,7 +21,6 @@ def rate_of(passed: Column, total: Column, empty: float | None = None) -> Column
     return value if empty is None else value.otherwise(empty)
 
 
-
 def latest_verdicts(evaluations: DataFrame) -> DataFrame:
     """The last verdict of every rollout in every check, by ``eval_seq``."""
     return (evaluations.groupBy("check_id", "rollout_id")
@@ -31,9 +34,11 @@ def attach_verdicts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
 
 
 def unjudged_rollouts(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """Rollouts without a verdict. Judged ids are made distinct first, on the map
-    side too, so a rollout judged very often is one row in the join."""
-    return rollouts.join(evaluations.select("rollout_id").distinct(), "rollout_id", "left_anti")
+    """Rollouts without a verdict in their own check. Judged ids are made distinct
+    first, on the map side too, so a rollout judged very often is one row in the
+    join."""
+    grain = ["check_id", "rollout_id"]
+    return rollouts.join(evaluations.select(*grain).distinct(), grain, "left_anti")
 
 
 def played_scenarios(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
@@ -118,21 +123,28 @@ def weakest_scenarios(scorecard: DataFrame, n: int = 8) -> DataFrame:
             .withColumn("place", F.row_number().over(weakest)).filter(F.col("place") <= n))
 
 
-def fold_scenario_meta(rows: DataFrame, redact: Column | None = None) -> DataFrame:
+def fold_scenario_meta(rows: DataFrame, redact: Callable[[Column], Column] | None = None) -> DataFrame:
     """Fold evaluation rows of a scenario, in ``ord``: last non-blank title and
-    family, first finding of a failed row, scrubbed and then cut to 160."""
+    family, and of the failed rows the first finding, scrubbed by ``redact`` and
+    then cut to 160. A row's finding is the first issue its ``judge`` JSON lists,
+    or the column ``issue`` where there is no ``judge``."""
     def last_filled(name: str) -> Column:
         return F.max_by(name, F.when(F.col(name) != "", F.col("ord"))).alias(name)
 
-    shown = redact if redact is not None else F.col("issue")
-    failed = ~F.coalesce("passed", F.lit(False)) & F.col("issue").isNotNull()
+    issue = first_finding(F.col("judge")) if "judge" in rows.columns else F.col("issue")
+    found = rows.withColumn("_issue", F.when(~F.coalesce("passed", F.lit(False)), nullif_blank(issue)))
     # The winner is picked on the raw finding; only winners are scrubbed.
-    folded = rows.groupBy("check_id", "scenario_id").agg(
+    folded = found.groupBy("check_id", "scenario_id").agg(
         last_filled("title"), last_filled("task_family"),
-        F.min_by("issue", F.when(failed, F.col("ord"))).alias("issue"))
+        F.min_by("_issue", F.when(F.col("_issue").isNotNull(), F.col("ord"))).alias("issue"))
+    shown = redact(F.col("issue")) if redact else F.col("issue")
     return folded.withColumn("top_issue", F.substring(shown, 1, 160)).drop("issue")
 
 
+def nullif_blank(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
+
+
 def latest_per_session(rows: DataFrame, id_column: str) -> DataFrame:
     """The newest row of every session, by (created_at, id)."""
     place = F.struct("created_at", id_column)
@@ -187,7 +199,8 @@ def default_dataset(sessions: DataFrame, datasets: DataFrame) -> DataFrame:
     joined = sessions.join(own, "session_id", "left").withColumn("any", newest)
     # Note texts.
     note = (F.when(F.col("own").isNotNull(), F.lit(None))
-            .when(F.col("any").isNotNull(), "no dataset in this session yet; using latest dataset")
+            .when(F.col("any").isNotNull(), F.concat(F.lit("no dataset in this session yet; using latest dataset "),
+                                                     F.col("any").cast("string")))
             .otherwise("no datasets exist yet; generate one first"))
     return joined.select("session_id", F.coalesce("own", "any").alias("dataset_id"),
                          note.alias("note"),
@@ -196,9 +209,10 @@ def default_dataset(sessions: DataFrame, datasets: DataFrame) -> DataFrame:
 
 def compose_dataset(requested: DataFrame, models: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Bridge rows for requested (model, scenario) pairs. A model's dataset is
-    accepted only when every scenario belongs to its representation; offenders
-    are returned beside the rows, flagged."""
-    asked = requested.join(models.select("user_model_id", "representation_id"), "user_model_id")
+    accepted only when every scenario belongs to its representation; offenders,
+    all scenarios asked for an unknown model among them, are returned beside the
+    rows, flagged."""
+    asked = requested.join(models.select("user_model_id", "representation_id"), "user_model_id", "left")
     owned = scenarios.select("scenario_id", F.col("representation_id").alias("owner"))
     checked = (asked.join(owned, "scenario_id", "left")
                .withColumn("belongs", F.coalesce(F.col("owner") == F.col("representation_id"), F.lit(False))))
@@ -220,14 +234,46 @@ def dataset_diff(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
     return both.select("dataset_a", "dataset_b", "scenario_id", change.alias("change"))
 
 
-def agent_version_compare(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
-    """Rollouts, judged, passed and rate by agent version."""
-    return (attach_verdicts(rollouts, evaluations).groupBy("agent_version")
+def _judged_rates(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    return (rows.groupBy(*by)
             .agg(F.count("*").alias("rollouts"), F.count("verdict").alias("judged"),
                  F.count_if("verdict").alias("passed"))
             .withColumn("pass_rate", rate_of(F.col("passed"), F.col("judged"))))
 
 
+def agent_version_compare(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """Rollouts, judged, passed and rate by agent version."""
+    return _judged_rates(attach_verdicts(rollouts, evaluations), ["agent_version"])
+
+
+def agent_compare(rollouts: DataFrame, evaluations: DataFrame) -> DataFrame:
+    """The same by agent name, version and model, read from ``agent_meta`` JSON;
+    agents that declare nothing are one row of NULLs."""
+    named = attach_verdicts(rollouts, evaluations).withColumns(agent_columns(F.col("agent_meta")))
+    return _judged_rates(named, [f"agent_{key}" for key in AGENT_KEYS])
+
+
+OTHER_AGENTS = "other agents"
+
+
+def agents_side_by_side(rollouts: DataFrame, evaluations: DataFrame, by: Sequence[str] = ("scenario_id",),
+                        most: int = 20) -> DataFrame:
+    """Pass rates per ``by``, one column per agent (``name@version (model)``).
+
+    The ``most`` agents with most rollouts get a column each, named by what is
+    found: one row per agent, at most ``most``, reaches the driver. All others
+    share the column ``other agents``, so no rollout is left out. A cell is NULL
+    where the agent has no verdict.
+    """
+    named = rollouts.withColumns(agent_columns(F.col("agent_meta"))).withColumn("agent", agent_label())
+    sizes = named.groupBy("agent").agg(F.count("*").alias("n"))
+    labels = [r.agent for r in sizes.orderBy(F.desc("n"), "agent").limit(most).collect()]
+    shown = F.when(F.col("agent").isin(labels), F.col("agent")).otherwise(OTHER_AGENTS)
+    # Verdicts are counted per (group, agent) before they are spread over columns.
+    return (attach_verdicts(named.withColumn("agent", shown), evaluations)
+            .groupBy(*by).pivot("agent", [*sorted(labels), OTHER_AGENTS]).agg(F.avg(F.col("verdict").cast("double"))))
+
+
 def family_scorecard(rollouts: DataFrame, evaluations: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Rates by (family, scenario), by family and overall. Verdicts are first
     reduced to one row per scenario, so the rollup expands only that."""
@@ -239,9 +285,12 @@ def family_scorecard(rollouts: DataFrame, evaluations: DataFrame, scenarios: Dat
             .withColumn("pass_rate", rate_of(F.col("passed"), F.col("judged"))))
 
 
-def issue_frequency(findings: DataFrame) -> DataFrame:
-    """Findings counted with their affected scenarios; distinct counting goes
-    through (issue, scenario) rows, so one frequent issue spreads over tasks."""
-    return (findings.filter("issue IS NOT NULL")
+def issue_frequency(rows: DataFrame) -> DataFrame:
+    """Findings counted with their affected scenarios: every text that a row's
+    ``judge`` JSON lists, or its column ``issue`` where there is no ``judge``.
+    Distinct counting goes through (issue, scenario) rows, so one frequent issue
+    spreads over tasks."""
+    issue = F.explode(findings(F.col("judge"))) if "judge" in rows.columns else F.col("issue")
+    return (rows.select("scenario_id", issue.alias("issue")).filter(nullif_blank(F.col("issue")).isNotNull())
             .groupBy("issue", "scenario_id").agg(F.count("*").alias("n"))
             .groupBy("issue").agg(F.sum("n").alias("findings"), F.count("*").alias("scenarios")))
