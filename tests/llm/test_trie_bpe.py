@@ -7,7 +7,6 @@ import json
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -36,7 +35,9 @@ def test_random_texts(library, trie):
     encoder, decoder = trie.encoder(kept=500), trie_bpe.Decoder(trie.vocabulary)
     for k in range(0, len(texts), 100):
         part = texts[k:k + 100]
-        ids, ends = encoder.encode(pa.array([*part, None]))
+        raw = encoder.encode([*part, None])
+        ends = np.cumsum([len(r) // 4 for r in raw])
+        ids = np.frombuffer(b"".join(raw), "<u4")
         back = decoder.decode(ids, ends).to_pylist()
         for n, text in enumerate(part):
             want = library.encode(text, add_special_tokens=False).ids
@@ -51,6 +52,13 @@ def test_random_words_and_one_very_long(library, trie):
     assert all(got[w.encode()] == library.encode(w).ids for w in words)
 
 
+def test_shared_lengths():
+    rng = random.Random(3)
+    words = sorted({bytes(rng.choice(b"a\x00b") for _ in range(rng.choice([0, 1, 3, 31, 32, 33, 70]))) for _ in range(3000)} | {b"a" * n for n in range(80)})
+    want = [0, *(next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in zip(words, words[1:]))]
+    assert trie_bpe.shared_lengths(words) == want and trie_bpe.shared_lengths([]) == []
+
+
 def test_each_prefix_is_computed_once(trie, monkeypatch):
     class Counted(dict):
         seen: list = []

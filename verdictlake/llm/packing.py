@@ -28,8 +28,7 @@ PIECE = 512
 GROUP_WINDOWS = 256
 GROUP_FILL = 0.995
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
-PACKED = PIECES + ", sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -70,24 +69,25 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
         windows += 1
 
 
-def pieces(ids: DataFrame, kind: str, piece: int = PIECE) -> DataFrame:
-    """Cut each document's ids into pieces of ``piece`` ids and what is left."""
+def pieces(ids: DataFrame, kind: str, piece: int = PIECE, with_ids: bool = True) -> DataFrame:
+    """Cut each document's ids into pieces of ``piece`` ids and what is left;
+    without ``with_ids`` a piece is its place, length and checksum alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = value.as_buffer()
-                values = np.frombuffer(raw, kind)
+                values = np.frombuffer(value.as_buffer(), kind)
                 wide, count = memoryview(values.astype("<u4").tobytes()), -(-len(values) // piece)
                 for k in range(count):
                     a, b = piece * k, min(piece * (k + 1), len(values))
-                    for column, v in zip(columns, (name, a, b - a, zlib.crc32(wide[4 * a:4 * b]), len(values),
-                                                   values[a:b].tobytes())):
+                    for column, v in zip(columns, (name, a, b - a, zlib.crc32(wide[4 * a:4 * b]), len(values))):
                         column.append(v)
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.binary())],
-                                             ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
+                    if with_ids:
+                        columns[5].append(values[a:b].tobytes())
+            arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + ([pa.array(columns[5], pa.binary())] if with_ids else [])
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][:len(arrays)])
 
-    return ids.select("doc_id", "ids").mapInArrow(run, PIECES)
+    return ids.select("doc_id", "ids").mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
 
 
 def packed(cut: DataFrame, capacity: int = CAPACITY, group_windows: int = GROUP_WINDOWS) -> DataFrame:
@@ -134,21 +134,25 @@ def packed(cut: DataFrame, capacity: int = CAPACITY, group_windows: int = GROUP_
         if held:
             yield close()
 
-    return cut.repartition("doc_id", "start").mapInArrow(run, PACKED)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
+    return cut.repartition("doc_id", "start").mapInArrow(run, schema + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, piece: int = PIECE) -> DataFrame:
-    """Pack all documents; a row per piece with its ids and its place.
+def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, piece: int = PIECE,
+                   with_ids: bool = True) -> DataFrame:
+    """Pack all documents; a row per piece with its ids and its place. Without
+    ``with_ids`` no ids are moved: place and checksum say which ids are meant.
 
     A null text counts as empty: one piece of the end id. Repeated rows and rows
     with null or equal document ids are packed each by itself; an empty table
-    gives no rows; other columns are not read. A window's pieces lie gapless from
+    gives no rows; texts of any length are cut into as many pieces as they need;
+    other columns are not read, whatever their names. A window's pieces lie gapless from
     0; windows are padded to ``capacity`` by the reader.
     """
     ids = encoded(docs, tokenizer_file)
-    return written(packed(pieces(ids, id_dtype(tokenizer_file), piece), capacity), "packed")
+    return written(packed(pieces(ids, id_dtype(tokenizer_file), piece, with_ids), capacity), "packed")
 
 
 def op3_pack_sequences(spark, sf_dir: str) -> DataFrame:
     """Every piece of every document, in sequences of at most 2048 ids."""
-    return pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json").drop("ids")
+    return pack_documents(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", with_ids=False)

@@ -1,16 +1,18 @@
 """Whole texts to token ids, with a public tokenizer file, in Arrow batches.
 
 Words repeat, so texts are cut into pieces where the tokenizer cuts them anyway,
-the pieces of a batch are dictionary-encoded by Arrow, only pieces not met before
-are encoded, and the ids of the texts are gathered by offsets with numpy. The
-cuts are chosen so that the pieces' ids, joined, are exactly the ids of the text.
+each task keeps the ids of the pieces it has met, and only new pieces of a batch
+are encoded. The cuts are chosen so that the pieces' ids, joined, are exactly the
+ids of the text.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+import sys
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 END = 1
-KEPT_PIECES = 400_000
-KEPT_IDS = 4_000_000
-BATCH_BYTES = 8 << 20
+KEPT_PIECES = 600_000
+BATCH_BYTES = 4 << 20
 
-_CUT = "\x00"
+_CUT = b"\x00"
+# ASCII letters and the punctuation behind them are always two words.
+_CLOSING = re.compile(rb"(?<=[A-Za-z])(?=[.,;:!?])")
 _TOUCHING = re.compile(r"\s\s")
 _BEFORE_SPACED_WORD = re.compile(r"(?<=\S)(?= \S)")
 
-Ids = list[np.ndarray]
+Ids = Iterable[Sequence[int]]
 
 
 def tokenizer_path(name: str) -> str:
@@ -61,68 +64,56 @@ def binary_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
 
 
+def spaced_pieces(text: str) -> list[bytes]:
+    """Pieces for tokenizers whose words take a single space before them along: a
+    cut before each such space, unless it touches other white space."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if _TOUCHING.search(text):
+        return [p.encode("utf-8", "surrogatepass") for p in _BEFORE_SPACED_WORD.split(text)]
+    return _CLOSING.sub(_CUT, raw).replace(b" ", _CUT + b" ").split(_CUT)
+
+
+def bare_pieces(text: str) -> list[bytes]:
+    """Pieces for tokenizers to which white space only separates words."""
+    return _CLOSING.sub(b" ", text.encode("utf-8", "surrogatepass")).split()
+
+
+def folded_pieces(text: str) -> list[bytes]:
+    """The same for tokenizers that also lower-case: A-Z are lower-cased here."""
+    return _CLOSING.sub(b" ", text.encode("utf-8", "surrogatepass").lower()).split()
+
+
 class Encoder:
-    """``encode(texts)``: the ids of all texts, and where each text's ids end.
+    """``encode(texts)``: the ids of each text, as bytes of type ``kind``.
 
-    ``whole(text)`` gives the ids of any text; ``new(pieces)`` those of pieces.
-    ``specials`` are strings with ids of their own: texts that hold one are
-    encoded whole. What pieces give is kept up to a number of pieces and of ids;
-    beyond it everything kept is dropped.
+    ``whole(text)`` gives the ids of any text, ``new(pieces)`` those of pieces and
+    ``cut(text)`` the pieces of a text. ``specials`` are strings with ids of their
+    own: texts that hold one are encoded whole. What pieces give is kept, up to
+    ``kept`` pieces; beyond it everything kept is dropped.
     """
 
-    def __init__(self, whole: Callable[[str], np.ndarray], new: Callable[[list[str]], Ids], specials: list[str],
-                 kept: int = KEPT_PIECES, kept_ids: int = KEPT_IDS):
-        self.whole, self.new, self.specials = whole, new, [*specials, _CUT]
-        self.kept, self.kept_ids = kept, kept_ids
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, pieces: list[str]) -> np.ndarray:
-        """The places of pieces; those not met before are encoded."""
-        if len(self.place) > self.kept or len(self.flat) > self.kept_ids:
-            self.clear()
-        missing = [p for p in pieces if p not in self.place]
-        if missing:
-            self.place.update(zip(missing, range(len(self.place), len(self.place) + len(missing))))
-            self.add(self.new(missing))
-        return np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
-
-    def add(self, ids: Ids) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, *ids]).astype(np.uint32, copy=False)
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        texts = pc.fill_null(texts, "")
-        odd = np.zeros(len(texts), bool)
-        for special in self.specials:
-            odd |= pc.match_substring(texts, special).to_numpy(zero_copy_only=False)
-        cut = pc.replace_substring(texts, " ", _CUT + " ")
-        plain = texts.to_pylist()
-        touching = np.array([bool(_TOUCHING.search(t)) for t in plain], bool) & ~odd
-        again = [_BEFORE_SPACED_WORD.sub(_CUT, plain[i]) for i in np.flatnonzero(touching)]
-        cut = pc.replace_with_mask(cut, pa.array(touching), pa.array(again, cut.type))
-        cut = pc.replace_with_mask(cut, pa.array(odd), pa.array([""] * int(odd.sum()), cut.type))
-        lists = pc.split_pattern(cut, _CUT)
-        coded = lists.flatten().dictionary_encode()
-        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        places = self.learn(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-        flat, starts, lengths = self.flat, self.starts[places], self.lengths[places]
-        if odd.any():  # one empty piece stands for each of these texts
-            own = [self.whole(plain[i]) for i in np.flatnonzero(odd)]
-            size = np.array([len(ids) for ids in own])
-            at = (np.cumsum(counts) - counts)[odd]
-            starts[at], lengths[at] = len(flat) + np.cumsum(size) - size, size
-            flat = np.concatenate([flat, *own]).astype(np.uint32, copy=False)
-        ends = np.cumsum(lengths)[np.cumsum(counts) - 1] if len(counts) else np.zeros(0, np.int64)
-        return flat[ranges(starts, lengths)], ends
-
-
-def file_encoder(path: str, **kept: int) -> Encoder:
+    def __init__(self, whole: Callable[[str], Sequence[int]], new: Callable[[list[str]], Ids], cut: Callable[[str], list[bytes]],
+                 specials: list[str], kind: str = "<u4", kept: int = KEPT_PIECES):
+        self.whole, self.new, self.cut, self.kind, self.kept = whole, new, cut, kind, kept
+        self.specials = [*specials, _CUT.decode()]
+        self.known: dict[bytes, bytes] = {}
+
+    def bytes_of(self, ids: Sequence[int]) -> bytes:
+        out = array("H" if self.kind == "<u2" else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        cut = [None if any(s in t for s in self.specials) else self.cut(t) for t in (t or "" for t in texts)]
+        if len(self.known) > self.kept:
+            self.known.clear()
+        missing = list(set().union(*(p for p in cut if p is not None)).difference(self.known))
+        self.known.update(zip(missing, map(self.bytes_of, self.new([p.decode("utf-8", "surrogatepass") for p in missing]))))
+        return [self.bytes_of(self.whole(t)) if p is None else b"".join(map(self.known.__getitem__, p)) for t, p in zip(texts, cut)]
+
+
+def file_encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
     """The encoder of a tokenizer file, for files whose words take a single space
     before them along, or that drop white space. Strings of added tokens get
     those tokens' ids, as the file says; truncation and padding stay unused."""
@@ -132,13 +123,20 @@ def file_encoder(path: str, **kept: int) -> Encoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def whole(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def whole(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    def new(pieces: list[str]) -> Iterator[list[int]]:
+        for start in range(0, len(pieces), 4096):
+            for found in tokenizer.encode_batch_fast(pieces[start:start + 4096], add_special_tokens=False):
+                yield found.ids
 
-    def new(pieces: list[str]) -> Ids:
-        return [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def same(*texts: str) -> bool:
+        return all(whole(texts[0]) == whole(t) for t in texts)
 
-    return Encoder(whole, new, [t.content for t in tokenizer.get_added_tokens_decoder().values()], **kept)
+    cut = spaced_pieces if not same("a b", "a  \n b", " a b ") else folded_pieces if same("ab", "AB", "aB") else bare_pieces
+    return Encoder(whole, new, cut, [t.content for t in tokenizer.get_added_tokens_decoder().values()],
+                   "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4", kept)
 
 
 def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text",
@@ -149,17 +147,13 @@ def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text:
     A null text counts as empty and gives the end id alone. Ids of documents may
     be null or repeat; each row is encoded by itself. Other columns are not read.
     """
-    kind = id_dtype(tokenizer_file)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = file_encoder(tokenizer_path(tokenizer_file))
+        tail = b"" if end is None else encoder.bytes_of([end])
         for batch in batches:
             for part in byte_slices(batch, 1):
-                ids, ends = encoder.encode(part.column(1))
-                if end is not None:
-                    ids, ends = np.insert(ids, ends, end), ends + np.arange(1, len(ends) + 1)
-                raw = binary_array(ids.astype(kind).view(np.uint8), ends * np.dtype(kind).itemsize)
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), raw.cast(pa.binary())], ["doc_id", "ids"])
+                ids = [value + tail for value in encoder.encode(part.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select(doc_id, text).mapInArrow(run, "doc_id long, ids binary")
 

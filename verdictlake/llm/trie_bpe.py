@@ -18,13 +18,12 @@ from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdictlake.llm.common import table
-from verdictlake.llm.tokens import Encoder, Ids, binary_array, byte_slices, ranges, tokenizer_path
+from verdictlake.llm.tokens import Encoder, binary_array, byte_slices, ranges, spaced_pieces, tokenizer_path
 
 # Fixed values of the public byte-level format: the cutting pattern, and which
 # bytes are written as the character of the same number.
@@ -102,6 +101,21 @@ class Vocabulary:
         return True
 
 
+SHORT = 32
+
+
+def shared_lengths(words: list[bytes]) -> list[int]:
+    """How many bytes each of the sorted, distinct words shares with the one
+    before it: the depth at which its path leaves the last one's."""
+    if not words:
+        return []
+    heads = np.array([w[:SHORT] for w in words], f"S{SHORT}").view(np.uint8).reshape(len(words), SHORT)
+    same = heads[1:] == heads[:-1]
+    first = np.where(same.all(axis=1), SHORT, same.argmin(axis=1)).tolist()
+    return [0, *(min(n, len(a), len(b)) if n < SHORT and a[n:n + 1] != b[n:n + 1] else len(commonprefix((a, b)))
+                 for n, a, b in zip(first, words, words[1:]))]
+
+
 class TrieEncoder:
     """Ids of words and of texts; agreements of pairs are kept, up to a number."""
 
@@ -115,7 +129,9 @@ class TrieEncoder:
     def words(self, piece: str) -> list[str]:
         """A text without added tokens, cut into words. Letters and digits newer
         than this Python's character tables are left to the library's own cut."""
-        if piece.isascii() or all(category(c) != "Cn" for c in piece):
+        if piece.isascii():
+            return [piece] if piece.isalpha() or piece[:1] == " " and piece[1:].isalpha() else self.cut(piece)
+        if all(category(c) != "Cn" for c in piece):
             return self.cut(piece)
         if self.own is None:
             from tokenizers import Tokenizer
@@ -129,9 +145,9 @@ class TrieEncoder:
         if len(pairs) > KEPT_PAIRS:
             pairs.clear()
         depth = max(map(len, words), default=0) + 1
-        last, reach, before = [0] * depth, [0] * depth, b""  # per depth: last token, longest suffix that starts a token
-        for word in sorted(words):
-            shared = len(commonprefix((before, word)))
+        last, reach = [0] * depth, [0] * depth  # per depth: last token, longest suffix that starts a token
+        words = sorted(words)
+        for word, shared in zip(words, shared_lengths(words)):
             for at in range(shared + 1, len(word) + 1):
                 size = reach[at - 1] + 1
                 token = prefix.get(word[at - size:at])
@@ -158,25 +174,24 @@ class TrieEncoder:
                 at -= len(spelled[last[at]])
             ids.reverse()
             out[word] = ids
-            before = word
         return out
 
-    def pieces(self, pieces: list[str]) -> Ids:
+    def pieces(self, pieces: list[str]) -> list[list[int]]:
         """The ids of each piece, all their distinct words in one trie."""
         cut = [[w.encode() for w in self.words(p)] for p in pieces]
         known = self.encode(list({w for words in cut for w in words}))
-        return [np.array(known[words[0]] if len(words) == 1 else [i for w in words for i in known[w]], np.uint32) for words in cut]
+        return [known[words[0]] if len(words) == 1 else [i for w in words for i in known[w]] for words in cut]
 
-    def whole(self, text: str) -> np.ndarray:
+    def whole(self, text: str) -> list[int]:
         """The ids of any text; strings of added tokens get their ids."""
         out, at = [], 0
         for m in self.added.finditer(text) if self.added else ():
-            out += [*self.pieces([text[at:m.start()]]), [self.vocabulary.added[m.group()]]]
+            out += [*self.pieces([text[at:m.start()]])[0], self.vocabulary.added[m.group()]]
             at = m.end()
-        return np.concatenate([*out, *self.pieces([text[at:]])]).astype(np.uint32)
+        return out + self.pieces([text[at:]])[0]
 
     def encoder(self, **kept: int) -> Encoder:
-        return Encoder(self.whole, self.pieces, list(self.vocabulary.added), **kept)
+        return Encoder(self.whole, self.pieces, spaced_pieces, list(self.vocabulary.added), **kept)
 
 
 class Decoder:
@@ -212,11 +227,11 @@ def encode_and_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
         encoder, decoder = trie.encoder(), Decoder(trie.vocabulary)
         for batch in batches:
             for part in byte_slices(batch, 1):
-                ids, ends = encoder.encode(part.column(1))
-                raw = binary_array(ids.astype("<u4").view(np.uint8), ends * 4)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), pa.array(np.diff(ends, prepend=0)), raw.cast(pa.binary()), decoder.decode(ids, ends)],
-                    ["doc_id", "n_tokens", "ids", "decoded"])
+                raw = encoder.encode(part.column(1).to_pylist())
+                sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+                decoded = decoder.decode(np.frombuffer(b"".join(raw), "<u4"), np.cumsum(sizes))
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(sizes), pa.array(raw, pa.binary()), decoded],
+                                                 ["doc_id", "n_tokens", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
 
