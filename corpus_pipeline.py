@@ -44,7 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix, packed: a row per piece. A document that the mix
     repeats has pieces of each of its rows."""
-    return pack_documents(docs, TOKENIZER).drop("ids")
+    return pack_documents(docs, TOKENIZER, with_ids=False)
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("secret_scan", secret_scan),
