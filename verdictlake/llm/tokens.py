@@ -1,8 +1,8 @@
 """Whole texts to token ids, with a public tokenizer file, in Arrow batches.
 
 Words repeat, so texts are cut into pieces where the tokenizer cuts them anyway,
-each task keeps the ids of the pieces it has met, and only new pieces of a batch
-are encoded. The cuts are chosen so that the pieces' ids, joined, are exactly the
+each worker keeps the ids of the pieces it has met, and only new pieces of a
+batch are encoded. The cuts are chosen so that the pieces' ids, joined, are exactly the
 ids of the text.
 """
 
@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 END = 1
-KEPT_PIECES = 600_000
+KEPT_PIECES = 1_200_000
 BATCH_BYTES = 4 << 20
 
 _CUT = b"\x00"
@@ -139,6 +139,20 @@ def file_encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
                    "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4", kept)
 
 
+_KEPT: dict[tuple, Encoder] = {}  # the last encoder, for all tasks of a Python worker
+
+
+def worker_encoder(path: str, make: Callable[[str], Encoder] = file_encoder) -> Encoder:
+    """A file's encoder with the pieces that this worker's tasks have met: texts
+    of one corpus share most of their words. One encoder is kept at a time, with
+    at most ``KEPT_PIECES`` pieces of some 150 bytes."""
+    key = (path, make.__module__, make.__qualname__)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make(path)
+    return _KEPT[key]
+
+
 def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text",
             end: int | None = END) -> DataFrame:
     """(doc_id, ids): each document's ids with the ``end`` id, as little-endian
@@ -148,7 +162,7 @@ def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text:
     be null or repeat; each row is encoded by itself. Other columns are not read.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = file_encoder(tokenizer_path(tokenizer_file))
+        encoder = worker_encoder(tokenizer_path(tokenizer_file))
         tail = b"" if end is None else encoder.bytes_of([end])
         for batch in batches:
             for part in byte_slices(batch, 1):

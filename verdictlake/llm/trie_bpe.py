@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdictlake.llm.common import table
-from verdictlake.llm.tokens import Encoder, binary_array, byte_slices, ranges, spaced_pieces, tokenizer_path
+from verdictlake.llm.tokens import Encoder, binary_array, byte_slices, ranges, spaced_pieces, tokenizer_path, worker_encoder
 
 # Fixed values of the public byte-level format: the cutting pattern, and which
 # bytes are written as the character of the same number.
@@ -31,7 +31,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 NEVER = 1 << 40
-KEPT_PAIRS = 2_000_000
+KEPT_PAIRS = 500_000
 
 
 def byte_of_character() -> dict[str, int]:
@@ -194,6 +194,14 @@ class TrieEncoder:
         return Encoder(self.whole, self.pieces, spaced_pieces, list(self.vocabulary.added), **kept)
 
 
+def trie_encoder(path: str) -> Encoder:
+    """An encoder by tries, with its ``decoder`` beside it."""
+    trie = TrieEncoder(path)
+    encoder = trie.encoder()
+    encoder.decoder = Decoder(trie.vocabulary)
+    return encoder
+
+
 class Decoder:
     """Texts of ids: the tokens' bytes, joined; broken UTF-8 becomes U+FFFD."""
 
@@ -223,13 +231,12 @@ def encode_and_decode(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     table gives no rows; other columns are not read, whatever their names.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = TrieEncoder(tokenizer_path(tokenizer_file))
-        encoder, decoder = trie.encoder(), Decoder(trie.vocabulary)
+        encoder = worker_encoder(tokenizer_path(tokenizer_file), trie_encoder)
         for batch in batches:
             for part in byte_slices(batch, 1):
                 raw = encoder.encode(part.column(1).to_pylist())
                 sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-                decoded = decoder.decode(np.frombuffer(b"".join(raw), "<u4"), np.cumsum(sizes))
+                decoded = encoder.decoder.decode(np.frombuffer(b"".join(raw), "<u4"), np.cumsum(sizes))
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(sizes), pa.array(raw, pa.binary()), decoded],
                                                  ["doc_id", "n_tokens", "ids", "decoded"])
 
