@@ -2,11 +2,76 @@
 
 from __future__ import annotations
 
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from verdictlake.operators import replay
 from verdictlake.plans.streaming_queries import as_stream
-from verdictlake.streaming import feeds
+from verdictlake.streaming import feeds, stateful
 
 
 def test_rows_without_a_time_enter_the_stream(spark):
     rows = spark.range(40).selectExpr("id", "CASE WHEN id % 4 > 0 THEN timestamp_seconds(id) END AS at")
     out = feeds.run_available(as_stream(rows, spark, "null-times", "at"), spark, "null-times-out")
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
+
+
+@pytest.mark.parametrize("files", [1, 2, 6])
+def test_late_requests_are_counted(spark, files):
+    session = stateful.state_session(spark)
+    rows = [(0, 10 * i, 200) for i in range(12)] + [(1, 7200 + i, 500) for i in range(12)] + [(2, 5, 200), (2, 6, 500)] + [(2, 7300 + i, 200) for i in range(10)]
+    frame = spark.createDataFrame(rows, "stretch int, at long, status int").withColumn("created_at", F.timestamp_seconds("at")).drop("at")
+    counted = stateful.stream_usage(as_stream(frame, session, "late-usage", stretch="stretch", files=files), 3600, "1 minute")
+    got = feeds.summed(spark, feeds.run_available(counted, session, "late-usage-out"), ["bucket_ms"]).collect()
+    # The first hour is over when the third stretch comes: its two rows are late.
+    assert {r.bucket_ms: (r.requests, r.errors, r.late) for r in got} == {0: (12, 0, 2), 7_200_000: (22, 12, 0)}
+
+
+@pytest.mark.parametrize("files", [1, 6])
+def test_resent_and_late_verdicts(spark, files):
+    session = stateful.state_session(spark)
+    first = [(0, 1, r, 0, r % 2 == 0, 100 + r) for r in range(10)]
+    again = [(1, *v[1:]) for v in first[:4]] + [(1, 1, 50 + r, 0, True, 5000 + r) for r in range(6)]
+    much_later = [(2, *v[1:]) for v in first[:3]] + [(2, 1, 50, 0, True, 5000), (2, 1, 50, 1, False, 5001), (2, 2, 7, 0, None, 9000)]
+    frame = spark.createDataFrame(first + again + much_later, "stretch int, check_id int, rollout_id int, eval_seq int, passed boolean, s long").withColumn("at", F.timestamp_seconds("s"))
+    counted = stateful.stream_pass_rate(as_stream(frame.drop("s"), session, "resent", stretch="stretch", files=files), wait_seconds=3600)
+    got = feeds.summed(spark, feeds.run_available(counted, session, "resent-out"), ["check_id"]).collect()
+    assert {r.check_id: (r.evaluated, r.passed, r.resent, r.late) for r in got} == {1: (17, 11, 5, 3), 2: (1, 0, 0, 0)}
+
+
+@pytest.mark.parametrize("files", [1, 6])
+def test_calls_behind_a_gap_are_released(spark, files):
+    session = stateful.state_session(spark)
+
+    def call(rollout, seq, at, **more):
+        row = {"rollout_id": rollout, "seq": seq, "name": "n", "input": '{"k": 1}', "segment": 0, "seed": 7, "planted": ["n"], "start": 0, "external": False,
+               "result_id": "wrong", "error": None, "s": at}
+        return {**row, **more}
+    rows = [call(1, s, 100 + s) for s in (0, 1, 3, 4)] + [call(2, s, 100 + s, segment=s // 2, start=9 * (s // 2)) for s in range(4)] + [call(3, 0, 9000), call(3, 2, 9001)]
+    frame = spark.createDataFrame(rows, "rollout_id int, seq int, name string, input string, segment int, seed long, planted array<string>, start long, external boolean, "
+                                        "result_id string, error string, s long").withColumn("at", F.timestamp_seconds("s")).drop("s")
+    checked = stateful.stream_replay_check(as_stream(frame, session, "gaps", "at", files=files))
+    got = {(r.rollout_id, r.seq): (r.want_id, r.want_error, r.after_gap) for r in spark.read.parquet(feeds.run_available(checked, session, "gaps-out")).collect()}
+    calls = frame.select("rollout_id", "seq", F.col("segment").alias("turn_idx"), "name", "input")
+    boxes = spark.createDataFrame([(r, t, 7, ["n"], json.dumps({"version": 9 * t})) for r in (1, 2, 3) for t in (0, 1)], "rollout_id int, turn_idx int, seed long, fail_tools array<string>, state string")
+    want = {(r.rollout_id, r.seq): (r.result_id, r.error) for r in replay.tool_replay(calls, boxes).collect()}
+    # Nothing is later than rollout 3, so what waits there still waits.
+    assert {k: v[:2] for k, v in got.items()} == {k: v for k, v in want.items() if k != (3, 2)}
+    assert {k for k, v in got.items() if v[2]} == {(1, 3), (1, 4)}
+
+
+def test_status_of_a_quiet_run_ends(spark):
+    session = stateful.state_session(spark)
+    rows = [(0, 1, 1, "running", 10), (0, 2, 1, "succeeded", 10), (0, 2, 2, "running", 11), (1, 3, 1, "running", 99_999), (2, 1, 2, "running", 100_000), (2, 3, 2, "failed", 100_001)]
+    frame = spark.createDataFrame(rows, "stretch int, run_id int, seq long, status string, s long").withColumn("created_at", F.timestamp_seconds("s")).drop("s")
+    out = feeds.run_available(stateful.stream_run_status(as_stream(frame, session, "quiet", stretch="stretch", files=1), keep_seconds=3600), session, "quiet-out", "update")
+    got = {r.run_id: (r.status, r.last_seq) for r in feeds.latest_update(spark, out, ["run_id"]).collect()}
+    assert got == {1: ("running", 2), 2: ("succeeded", 2), 3: ("failed", 2)}
+
+
+def test_two_rows_of_one_batch_are_ordered(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "running", 0, 0), ("a", "timed_out", 1, 0), ("b", "x", 0, 1), ("b", "y", 0, 0)], "run_id string, status string, step int, batch int")
+    rows.write.partitionBy("batch").parquet(str(tmp_path / "o"))
+    assert {r.run_id: r.status for r in feeds.latest_update(spark, str(tmp_path / "o"), ["run_id"], ["step"]).collect()} == {"a": "timed_out", "b": "x"}

@@ -54,6 +54,15 @@ def _in_segments(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
             .withColumn("plan", F.get(reached, F.size(reached) - 1)).drop("plans"))
 
 
+def on_sandboxes(events: DataFrame, sandboxes: DataFrame) -> DataFrame:
+    """Events with what their turn runs on: ``segment``, ``seed``, ``planted`` and
+    ``start`` (the version), as `stream_replay_check` wants them."""
+    none = F.array().cast("array<string>")
+    return _in_segments(events, sandboxes).select(
+        *events.columns, F.coalesce("plan.segment", F.lit(-1)).alias("segment"), F.coalesce("plan.seed", F.lit(0)).alias("seed"),
+        F.coalesce("plan.fail_tools", none).alias("planted"), F.coalesce("plan.start", F.lit(0)).alias("start"))
+
+
 SEGMENT = ["rollout_id", "segment"]
 
 

@@ -8,12 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdictlake.operators import issues, judging, runs as run_ops, usage, validation
+from verdictlake.operators import issues, judging, replay, runs as run_ops, scorecard, usage, validation
 from verdictlake.operators.ordered import number_block, positions
 from verdictlake.operators.scorecard import attach_verdicts
 from verdictlake.plans import bindings as fx
 from verdictlake.plans.registry import query
-from verdictlake.plans.replay_queries import FAILURES_SQL, traces
+from verdictlake.plans.replay_queries import FAILURES_SQL, REPLAY_SQL, REPLAY_VIEWS, traces
 from verdictlake.session import work_path
 from verdictlake.sources import readers
 
@@ -378,6 +378,72 @@ def _(spark, sf):
     return readers.project_known(rows, known)
 
 
+# A newer producer: one more field, totals as texts, statuses as texts where the
+# schema wants numbers.
+@query("project_rescued", """
+SELECT CAST(o_orderkey AS VARCHAR) AS check_id, CAST(o_custkey AS BIGINT) AS total, TRY_CAST(code AS INT) AS status,
+       '{"newer_field":' || CAST(o_custkey % 3 AS VARCHAR) || CASE WHEN TRY_CAST(code AS INT) IS NULL THEN ',"status":"' || code || '"' ELSE '' END || '}' AS rescued
+FROM (SELECT *, CASE WHEN o_orderstatus = 'F' THEN '1' ELSE o_orderstatus END AS code FROM orders) o""")
+def _(spark, sf):
+    from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+    known = StructType([StructField("check_id", StringType()), StructField("total", LongType()), StructField("status", IntegerType())])
+    rows = fx.table(spark, sf, "orders").selectExpr("o_orderkey AS check_id", "cast(o_custkey AS string) AS total", "o_custkey % 3 AS newer_field",
+                                                    "CASE WHEN o_orderstatus = 'F' THEN '1' ELSE o_orderstatus END AS status")
+    return readers.project_known(rows, known, "rescued")
+
+
+@query("read_rescued", """
+SELECT CAST(run_id AS VARCHAR) AS run_id, CASE WHEN seq % 9 <> 4 THEN seq END AS seq, stage,
+       CASE WHEN seq % 9 = 4 AND seq % 7 = 3 THEN '{"seq":"x' || CAST(seq AS VARCHAR) || '","newer":{"a":[1,2.5]}}'
+            WHEN seq % 9 = 4 THEN '{"seq":"x' || CAST(seq AS VARCHAR) || '"}'
+            WHEN seq % 7 = 3 THEN '{"newer":{"a":[1,2.5]}}' END AS rescued
+FROM fx_run_events WHERE seq % 11 <> 5
+UNION ALL SELECT NULL, NULL, NULL, '{"_line":"no json ' || CAST(seq AS VARCHAR) || '"}' FROM fx_run_events WHERE seq % 11 = 5""", "fx_run_events")
+def _(spark, sf):
+    """Events as lines: some with a new field, some with a bad number, some broken."""
+    seq = F.col("seq").cast("string")
+    number = F.when(F.col("seq") % 9 == 4, F.concat(F.lit('"x'), seq, F.lit('"'))).otherwise(seq)
+    line = F.concat(F.lit('{"run_id": "'), F.col("run_id").cast("string"), F.lit('", "seq": '), number, F.lit(', "stage": "'), F.col("stage"), F.lit('"'),
+                    F.when(F.col("seq") % 7 == 3, F.lit(', "newer": {"a": [1, 2.5]}')).otherwise(""), F.lit("}"))
+    path = work_path(spark, "event-lines")
+    fx.run_events(spark, sf).select(F.when(F.col("seq") % 11 == 5, F.concat(F.lit("no json "), seq)).otherwise(line).alias("value")).write.text(path)
+    return readers.read_rescued(spark, "run_events", path, "rescued").select("run_id", "seq", "stage", "rescued")
+
+
+def contract_table(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows written as JSON lines, as a client sends them, and read back with the
+    contract's schema."""
+    path = work_path(spark, f"contract-{name}")
+    rows.write.json(path)
+    return readers.read_table(spark, name, path, "json")
+
+
+def as_text(*names: str) -> list:
+    return [F.col(n).cast("string").alias(n) for n in names]
+
+
+@query("contract_scorecard", """
+SELECT CAST(check_id AS VARCHAR) AS check_id, CAST(scenario_id AS VARCHAR) AS scenario_id, repeats, passed, pass_rate FROM fx_scorecard""", "fx_scorecard")
+def _(spark, sf):
+    played = contract_table(spark, fx.declared(spark, sf).select(*as_text("rollout_id", "check_id", "scenario_id"), "status", "agent_meta"), "rollouts")
+    judged = contract_table(spark, fx.judged(spark, sf).select(*as_text("check_id", "rollout_id"), "eval_seq", "passed", "judge"), "evaluations")
+    return scorecard.scenario_scorecard(played, judged)
+
+
+@query("contract_replay", REPLAY_SQL + "SELECT CAST(rollout_id AS VARCHAR) AS rollout_id, seq, version, is_fault, result_id, error FROM replayed", REPLAY_VIEWS)
+def _(spark, sf):
+    events = fx.tool_events(spark, sf)
+    calls = contract_table(spark, events.select(*as_text("rollout_id"), "seq", "turn_idx", "name", "input", "is_error", "external"), "tool_events")
+    boxes = contract_table(spark, fx.sandboxes(events).select(*as_text("rollout_id"), "turn_idx", "seed", "fail_tools", "state"), "sandboxes")
+    return replay.tool_replay(calls, boxes).select("rollout_id", "seq", "version", "is_fault", "result_id", "error")
+
+
+@query("contract_usage", metrics_sql("api_key_id"), "fx_requests")
+def _(spark, sf):
+    sent = contract_table(spark, fx.requests(spark, sf).withColumn("created_at", F.col("created_at").cast("timestamp")), "requests")
+    return flat_metrics(usage.usage_metrics(sent, "7d", NOW, ["api_key_id"]), "api_key_id")
+
+
 @query("turn_chat_roles", """
 SELECT rollout_id, 0 AS page, string_agg(CASE role WHEN 'agent' THEN 'assistant' ELSE role END || ': ' || content,
        chr(10) ORDER BY turn_idx) AS chat FROM fx_turns GROUP BY rollout_id""", "fx_turns")

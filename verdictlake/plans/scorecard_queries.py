@@ -10,6 +10,7 @@ from verdictlake.operators import gates, runs as run_ops, scorecard as sc
 from verdictlake.plans import bindings as fx
 from verdictlake.plans.registry import query
 from verdictlake.session import work_path
+from verdictlake.sources.grains import store_by_grain
 from verdictlake.sources.sinks import report_pages, report_rows, scenario_pages, write_report
 
 
@@ -88,6 +89,16 @@ def _(spark, sf):
     return sc.attach_verdicts(fx.rollouts(spark, sf), fx.evaluations(spark, sf)).drop("agent_version")
 
 
+@query("attach_verdicts_stored", """
+SELECT r.check_id, r.rollout_id, r.scenario_id, r.status, l.passed AS verdict FROM fx_rollouts r
+LEFT JOIN fx_latest l ON l.check_id = r.check_id AND l.rollout_id = r.rollout_id""", "fx_rollouts fx_latest")
+def _(spark, sf):
+    """Both tables stored by their grain once; the join itself moves no rows."""
+    played = store_by_grain(fx.rollouts(spark, sf).drop("agent_version"), "rollouts", buckets=8)
+    judged = store_by_grain(fx.evaluations(spark, sf).select("check_id", "rollout_id", "eval_seq", "passed"), "verdicts", buckets=8)
+    return sc.attach_verdicts(played, judged)
+
+
 @query("attach_scenario_meta", """
 SELECT s.*, p.title, p.task_family FROM fx_scorecard s
 LEFT JOIN fx_scenarios p ON s.scenario_id = p.scenario_id""", "fx_scorecard fx_scenarios")

@@ -17,14 +17,14 @@ SCHEMAS = {
     "datasets": "dataset_id string, generation_id string, user_model_id string, row_count int, "
                 "session_id string, label string, created_at timestamp",
     "dataset_rows": "dataset_id string, scenario_id string, random_seed bigint",
-    "rollouts": "rollout_id string, scenario_id string, dataset_id string, status string, turn int, "
+    "rollouts": "rollout_id string, check_id string, scenario_id string, dataset_id string, status string, turn int, "
                 "max_turns int, random_seed bigint, end_reason string, agent_meta string, voiced boolean, "
                 "created_at timestamp, completed_at timestamp",
     "transcripts": f"rollout_id string, first_turn int, transcript array<{TURN}>, tool_events array<{TOOL_EVENT}>",
     "turns": "rollout_id string, turn_idx int, role string, content string, audio_url string",
     "tool_events": "rollout_id string, seq int, turn_idx int, name string, input string, output string, "
                    "is_error boolean, external boolean",
-    "sandboxes": "rollout_id string, seed bigint, fail_tools array<string>, state string",
+    "sandboxes": "rollout_id string, turn_idx int, seed bigint, fail_tools array<string>, state string",
     "quality_checks": "check_id string, session_id string, label string, branch string, status string, "
                       "created_at timestamp, error string, effective_config string",
     "evaluations": "check_id string, rollout_id string, eval_seq int, passed boolean, states array<string>, "
@@ -32,7 +32,7 @@ SCHEMAS = {
     "validations": "validation_id string, dataset_id string, scenario_id string, passed boolean, judge string",
     "run_events": "run_id string, seq bigint, event_id string, stage string, message string, data string, "
                   "created_at timestamp",
-    "requests": "route string, method string, status int, api_key_id string, latency_ms double, "
+    "requests": "event_id bigint, route string, method string, status int, api_key_id string, latency_ms double, "
                 "created_at timestamp",
     "issues": "issue_id string, created_at timestamp, source string, failure_summary string, "
               "failure_category string, tools_involved array<string>, generation_id string, status string",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from verdictlake.schemas import SCHEMAS
 
@@ -20,10 +20,51 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet")
     return spark.read.schema(SCHEMAS[name]).format(fmt).load(path)
 
 
-def project_known(df: DataFrame, schema: StructType) -> DataFrame:
+def _rescued(entries: list[Column]) -> Column:
+    """JSON of the entries that hold something, NULL without any."""
+    text = F.to_json(F.struct(*entries)) if entries else F.lit(None).cast("string")
+    return F.nullif(text, F.lit("{}"))
+
+
+def project_known(df: DataFrame, schema: StructType, rescued: str | None = None) -> DataFrame:
     """Keep the columns a schema knows, in its order, and drop the rest, so
-    tables written by newer producers stay readable."""
-    return df.select([F.col(f.name) for f in schema.fields if f.name in df.columns])
+    tables written by newer producers stay readable.
+
+    With ``rescued`` nothing goes unseen: values are cast to the schema's types,
+    and a column of that name holds, as JSON, the fields the schema does not know
+    and the values that do not fit their type.
+    """
+    if rescued is None:
+        return df.select([F.col(f.name) for f in schema.fields if f.name in df.columns])
+    given, known, kept = {f.name: f.dataType for f in df.schema.fields}, {f.name for f in schema.fields}, []
+    entries = [F.col(f"`{name}`").alias(name) for name in given if name not in known]
+    for field in schema.fields:
+        if field.name not in given:
+            continue
+        value = F.col(f"`{field.name}`")
+        if given[field.name] == field.dataType:
+            kept.append(value)
+            continue
+        simple = not any(isinstance(t, (ArrayType, MapType, StructType, VariantType)) for t in (given[field.name], field.dataType))
+        fitted = value.try_cast(field.dataType) if simple else F.lit(None).cast(field.dataType)
+        kept.append(fitted.alias(field.name))
+        entries.append(F.when(fitted.isNull(), value).alias(field.name))
+    return df.select(*kept, _rescued(entries).alias(rescued))
+
+
+def read_rescued(spark: SparkSession, name: str, path: str, rescued: str = "_rescued") -> DataFrame:
+    """A contract table of JSON lines with its declared schema, and what it does
+    not hold: unknown fields, values of another type, and whole lines that are no
+    JSON object (under ``_line``), as JSON in the column ``rescued``."""
+    schema = StructType.fromDDL(SCHEMAS[name])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", schema).alias("row"), F.from_json("value", "map<string,variant>").alias("given"))
+    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    filled = F.array(*[F.when(F.col(f"row.{f.name}").isNotNull(), F.lit(f.name)) for f in schema.fields])
+    left = F.map_filter("given", lambda k, v: ~F.is_variant_null(v) & ~(F.array_contains(known, k) & F.coalesce(F.array_contains(filled, k), F.lit(False))))
+    whole = F.to_json(F.struct(F.col("value").alias("_line")))
+    shown = F.when(F.col("given").isNull(), whole).when(F.size(left) > 0, F.to_json(left))
+    return parsed.select(*[F.col(f"row.{f.name}").alias(f.name) for f in schema.fields], shown.alias(rescued))
 
 
 def flatten_transcripts(documents: DataFrame) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdictlake.functions.redaction import redact_pii, redact_secrets
+from verdictlake.functions.redaction import redact_pii, redact_pii_json, redact_secrets, redact_secrets_json
 from verdictlake.operators.runs import event_line
 from verdictlake.session import work_path
 
@@ -33,27 +33,15 @@ def stream_redaction(turns: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return turns.withColumn("content", redact_pii(redact_secrets(F.col("content"), extra)))
 
 
-def stream_run_status(events: DataFrame) -> DataFrame:
-    """Latest status per run. A terminal status outranks later events."""
-    place = F.struct(F.col("status").isin(TERMINAL).alias("done"), F.when(
-        F.col("status").isin(TERMINAL), -F.col("seq")).otherwise(F.col("seq")).alias("at"))
-    return events.groupBy("run_id").agg(F.max_by("status", place).alias("status"),
-                                        F.max("seq").alias("last_seq"))
+def stream_event_redaction(events: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """The same for the payloads of live tool events: secrets first, keys too,
+    then personal data. A payload that is no JSON becomes NULL, never raw text."""
+    payloads = [c for c in ("input", "output") if c in events.columns]
 
-
-def stream_usage(requests: DataFrame, bucket: str, delay: str) -> DataFrame:
-    """Requests and errors per time bucket; rows later than ``delay`` are late."""
-    return (requests.withWatermark("created_at", delay)
-            .groupBy(F.window("created_at", bucket).alias("w"))
-            .agg(F.count("*").alias("requests"), F.count_if(F.col("status") >= 400).alias("errors"))
-            .select(F.col("w.start").alias("bucket"), "requests", "errors"))
-
-
-def stream_pass_rate(evaluations: DataFrame) -> DataFrame:
-    """Running totals per check as verdicts land."""
-    return (evaluations.groupBy("check_id")
-            .agg(F.count("*").alias("evaluated"), F.count_if("passed").alias("passed"))
-            .withColumn("pass_rate", F.col("passed").cast("double") / F.col("evaluated")))
+    def listed(done: Column | list[Column]) -> list[Column]:
+        return done if isinstance(done, list) else [done]
+    scrubbed = events.withColumns(dict(zip(payloads, listed(redact_secrets_json(*[F.col(c) for c in payloads], extra=extra)))))
+    return scrubbed.withColumns(dict(zip(payloads, listed(redact_pii_json(*[F.col(c) for c in payloads])))))
 
 
 def run_available(stream: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> str:
@@ -76,9 +64,17 @@ def run_available(stream: DataFrame, spark: SparkSession, name: str, mode: str =
     return out
 
 
-def latest_update(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
-    """Last value of every key of an update stream's result folder."""
+def latest_update(spark: SparkSession, out: str, keys: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """Last value of every key of an update stream's result folder; ``within``
+    orders the rows that one micro-batch may have of a key."""
     rows = spark.read.parquet(out)
     others = [c for c in rows.columns if c not in (*keys, "batch")]
-    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch").alias("row"))
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct("batch", *within)).alias("row"))
             .select(*keys, "row.*"))
+
+
+def summed(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
+    """Totals per key of a stream that hands out counts as they come in."""
+    rows = spark.read.parquet(out)
+    counts = [c for c, kind in rows.dtypes if kind == "bigint" and c not in keys]
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])

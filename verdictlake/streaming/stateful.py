@@ -1,4 +1,9 @@
-"""Stateful streaming with timers and ordered per-rollout state."""
+"""Stateful streaming: timers, ordered per-rollout state, counted late rows.
+
+Rows behind the watermark are not dropped unseen here: the operators get them and
+say what became of them. The watermark is kept on a column that the operator does
+not see, so that Spark passes such rows on.
+"""
 
 from __future__ import annotations
 
@@ -18,13 +23,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def state_session(spark: SparkSession) -> SparkSession:
     """A sibling session whose streams keep state in RocksDB. The number of
-    state partitions stays with a checkpoint for life, so a cluster uses what the
-    session says; a local session needs no more than it has threads."""
+    state partitions stays with a checkpoint for life: it is what the session says."""
     sibling = spark.newSession()
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if spark.sparkContext.master.startswith("local"):
-        partitions = min(partitions, spark.sparkContext.defaultParallelism)
-    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     sibling.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     sibling.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -44,30 +45,27 @@ class _ReplayState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.progress = handle.getValueState("progress", "next_seq int, version bigint, failed array<string>, timer bigint")
+        self.progress = handle.getValueState("progress", "next_seq int, segment int, version bigint, failed array<string>, timer bigint")
         self.waiting = handle.getMapState(
             "waiting", "seq int", "name string, call string, seed bigint, planted array<string>, "
-            "external boolean, result_id string, error string, version bigint")
+            "external boolean, result_id string, error string, segment int, start bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.progress.get() if self.progress.exists() else None
-        next_seq, version = (stored[0], stored[1]) if stored else (0, None)
-        failed, timer = (set(stored[2]), stored[3]) if stored else (set(), 0)
-        latest = 0
+        next_seq, segment, version, failed, timer = self.progress.get() if self.progress.exists() else (0, None, 0, [], 0)
+        state, latest = (segment, version, set(failed)), 0
         for chunk in rows:
             found = []
             latest = max(latest, int(chunk["at_ms"].max()))
             for row in chunk.sort_values("seq").itertuples(index=False):
                 fields = (row.name, row.call, int(row.seed), list(row.planted), bool(row.external),
-                          row.result_id, row.error, int(row.version))
+                          row.result_id, row.error, int(row.segment), int(row.start))
                 if row.seq > next_seq:
                     self.waiting.updateValue((int(row.seq),), fields)
                     continue
                 if row.seq < next_seq:
                     continue
-                version = int(row.version) if version is None else version
                 while fields is not None:
-                    outcome, version = self._step(fields, version, failed)
+                    outcome, state = self._step(fields, state)
                     found.append((key[0], next_seq, *outcome, False))
                     next_seq += 1
                     fields = self._take(next_seq)
@@ -77,14 +75,13 @@ class _ReplayState(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             timer = latest + self.wait_ms
             self.handle.registerTimer(timer)
-        self.progress.update((next_seq, version, sorted(failed), timer))
+        self.progress.update((next_seq, state[0], state[1], sorted(state[2]), timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        _, version, failed, _ = self.progress.get()
-        failed, found = set(failed), []
+        _, segment, version, failed, _ = self.progress.get()
+        state, found = (segment, version, set(failed)), []
         for (seq,), fields in sorted((tuple(k), tuple(v)) for k, v in self.waiting.iterator()):
-            version = fields[-1] if version is None else version
-            outcome, version = self._step(fields, version, failed)
+            outcome, state = self._step(fields, state)
             found.append((key[0], seq, *outcome, True))
         self.waiting.clear()
         self.progress.clear()
@@ -98,18 +95,20 @@ class _ReplayState(StatefulProcessor):
         return tuple(fields)
 
     @staticmethod
-    def _step(fields, version, failed):
-        name, call, seed, planted, external, result_id, error, _ = fields
+    def _step(fields, state):
+        name, call, seed, planted, external, result_id, error, segment, start = fields
+        if segment != state[0]:  # the server sent a new sandbox
+            state = (segment, start, set())
+        _, version, failed = state
         # A report that succeeded does not consume a planted fault.
         faulted = name in planted and name not in failed and (not external or error is not None)
-        if faulted:
-            failed.add(name)
+        after = (segment, version, failed | {name} if faulted else failed)
         if external:
-            return (name, result_id, result_id, error, error), version
+            return (name, result_id, result_id, error, error), after
         if faulted:
-            return (name, result_id, None, error, f"{name} is unavailable"), version
+            return (name, result_id, None, error, f"{name} is unavailable"), after
         text = f"{call}, {version}, {seed}]"
-        return (name, result_id, hashlib.sha256(text.encode()).hexdigest()[:8], error, None), version + 1
+        return (name, result_id, hashlib.sha256(text.encode()).hexdigest()[:8], error, None), (segment, version + 1, after[2])
 
     def close(self) -> None:
         pass
@@ -118,27 +117,29 @@ class _ReplayState(StatefulProcessor):
 def stream_replay_check(events: DataFrame, wait_seconds: int = 3600, delay: str = "1 minute") -> DataFrame:
     """Calls whose reported output differs from the replayed one, live.
 
-    ``events(rollout_id, seq, name, input, seed, planted, version, external,
-    result_id, error, at)``: events joined with their sandbox (a stream-static
-    join). ``seq`` starts at 0 in every rollout. Calls behind a missing ``seq``
+    ``events(rollout_id, seq, name, input, segment, seed, planted, start, external,
+    result_id, error, at)``: events joined with the sandbox their turn runs on (a
+    stream-static join); a new ``segment`` sets state and faults anew. ``seq``
+    starts at 0 in every rollout. Calls behind a missing ``seq``
     are held until the watermark passes the rollout's latest call by
     ``wait_seconds``, then compared as if it had never been, with ``after_gap``;
     the rollout's state ends there too.
     """
     key = events.schema["rollout_id"].dataType.simpleString()
     called = (events.withWatermark("at", delay).withColumn("at_ms", F.unix_millis("at"))
-              .withColumn("call", call_key(F.col("name"), F.col("input"))).drop("input"))
+              .withColumn("call", call_key(F.col("name"), F.col("input"))).drop("input", "at"))
     replayed = called.groupBy("rollout_id").transformWithStateInPandas(
         _ReplayState(wait_seconds * 1000), f"rollout_id {key}, seq int, name string, result_id string, want_id string, "
         "error string, want_error string, after_gap boolean", outputMode="Append", timeMode="EventTime")
     return replayed.filter("NOT (result_id <=> want_id AND error <=> want_error)")
 
 
-class _StallState(StatefulProcessor):
-    """Latest status of a run; an event-time timer flags one that goes quiet."""
+class _StatusState(StatefulProcessor):
+    """Latest status of a run; an event-time timer ends the state of a run that
+    goes quiet, and flags it first if it has not finished and ``flag`` is set."""
 
-    def __init__(self, timeout_ms: int):
-        self.timeout_ms = timeout_ms
+    def __init__(self, timeout_ms: int, flag: bool):
+        self.timeout_ms, self.flag = timeout_ms, flag
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -162,27 +163,135 @@ class _StallState(StatefulProcessor):
         timer = last_ms + self.timeout_ms
         self.handle.registerTimer(timer)
         self.latest.update((seq, status, ended, last_ms, timer))
-        yield pd.DataFrame({"run_id": [key[0]], "status": [status], "last_seq": [seq]}, dtype=object)
+        yield pd.DataFrame({"run_id": [key[0]], "status": [status], "last_seq": [seq], "step": [0]}, dtype=object)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         seq, _, ended, last_ms, _ = self.latest.get()
-        if ended is not None:  # a finished run's state ends
+        if ended is not None or not self.flag:
             self.latest.clear()
-            yield pd.DataFrame({"run_id": [], "status": [], "last_seq": []}, dtype=object)
+            yield pd.DataFrame({"run_id": [], "status": [], "last_seq": [], "step": []}, dtype=object)
         else:
             self.latest.update((seq, "timed_out", None, last_ms, 0))
-            yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq]}, dtype=object)
+            yield pd.DataFrame({"run_id": [key[0]], "status": ["timed_out"], "last_seq": [seq], "step": [1]}, dtype=object)
 
     def close(self) -> None:
         pass
 
 
-def stream_stalled_runs(events: DataFrame, timeout_seconds: int, delay: str = "1 minute") -> DataFrame:
-    """Run status with ``timed_out`` once the watermark passes the last event of
-    an unfinished run by ``timeout_seconds``."""
+def _statuses(events: DataFrame, quiet_seconds: int, flag: bool, delay: str) -> DataFrame:
     key = events.schema["run_id"].dataType.simpleString()
-    marked = (events.withWatermark("created_at", delay)
-              .withColumn("created_ms", F.unix_millis("created_at")))
+    marked = events.withWatermark("created_at", delay).withColumn("created_ms", F.unix_millis("created_at"))
     return marked.groupBy("run_id").transformWithStateInPandas(
-        _StallState(timeout_seconds * 1000), f"run_id {key}, status string, last_seq bigint",
+        _StatusState(quiet_seconds * 1000, flag), f"run_id {key}, status string, last_seq bigint, step int",
         outputMode="Update", timeMode="EventTime")
+
+
+def stream_run_status(events: DataFrame, keep_seconds: int = 7 * 86400, delay: str = "1 minute") -> DataFrame:
+    """Latest status per run; the first terminal status outranks later events. A
+    run that is quiet for ``keep_seconds`` of event time is over: its last row
+    stands, and its state goes."""
+    return _statuses(events, keep_seconds, False, delay).drop("step")
+
+
+def stream_stalled_runs(events: DataFrame, timeout_seconds: int, delay: str = "1 minute") -> DataFrame:
+    """Run status with ``timed_out`` once the watermark passes the last event of
+    an unfinished run by ``timeout_seconds``. ``step`` orders the two rows that a
+    run may have in one micro-batch."""
+    return _statuses(events, timeout_seconds, True, delay)
+
+
+class _UsageCounts(StatefulProcessor):
+    """Counts a bucket's requests as they come in; once the watermark has passed
+    the bucket's end, they are late."""
+
+    def __init__(self, bucket_ms: int):
+        self.bucket_ms = bucket_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        late = key[0] + self.bucket_ms <= timerValues.getCurrentWatermarkInMs()
+        requests = errors = 0
+        for chunk in rows:
+            requests += len(chunk)
+            errors += int((chunk["status"] >= 400).sum())
+        on_time = (requests, errors, 0) if not late else (0, 0, requests)
+        yield pd.DataFrame([(key[0], *on_time)], columns=["bucket_ms", "requests", "errors", "late"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_usage(requests: DataFrame, bucket_seconds: int, delay: str, shards: int = 16) -> DataFrame:
+    """Counts per time bucket, handed out as they come in (`feeds.summed` adds
+    them up): ``requests`` and ``errors`` in time, ``late`` the requests that
+    arrive when the watermark has passed their bucket's end. None is lost, and no
+    state is kept. A busy bucket is spread over ``shards`` keys."""
+    bucket = F.floor(F.unix_millis("created_at") / (bucket_seconds * 1000)) * (bucket_seconds * 1000)
+    counted = (requests.withWatermark("created_at", delay)
+               .select(bucket.alias("bucket_ms"), F.pmod(F.xxhash64("created_at", "status"), F.lit(shards)).alias("shard"), "status"))
+    return counted.groupBy("bucket_ms", "shard").transformWithStateInPandas(
+        _UsageCounts(bucket_seconds * 1000), "bucket_ms bigint, requests bigint, errors bigint, late bigint",
+        outputMode="Append", timeMode="EventTime")
+
+
+class _Verdicts(StatefulProcessor):
+    """Counts each verdict of a check once. Verdicts are remembered until the
+    watermark passes them by the waiting time; older ones are late, whether they
+    were sent before or not."""
+
+    def __init__(self, wait_ms: int):
+        self.wait_ms = wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getMapState("seen", "verdict string", "at_ms bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        counts, latest = [0, 0, 0, 0], []
+        for chunk in rows:
+            for verdict, passed, at_ms in zip(chunk["verdict"], chunk["passed"], chunk["at_ms"]):
+                if at_ms + self.wait_ms <= mark:
+                    counts[3] += 1
+                elif self.seen.containsKey((verdict,)):
+                    counts[2] += 1
+                else:
+                    self.seen.updateValue((verdict,), (int(at_ms),))
+                    latest.append(int(at_ms))
+                    counts[0] += 1
+                    counts[1] += bool(passed)
+        if latest:
+            self.handle.registerTimer(min(latest) + self.wait_ms)
+        yield pd.DataFrame([(key[0], *counts)], columns=["check_id", "evaluated", "passed", "resent", "late"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        kept = [(tuple(k), v[0]) for k, v in self.seen.iterator()]
+        for verdict, at_ms in kept:
+            if at_ms + self.wait_ms <= mark:
+                self.seen.removeKey(verdict)
+        left = [at_ms for _, at_ms in kept if at_ms + self.wait_ms > mark]
+        if left:
+            self.handle.registerTimer(min(left) + self.wait_ms)
+        yield pd.DataFrame([], columns=["check_id", "evaluated", "passed", "resent", "late"])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_pass_rate(evaluations: DataFrame, wait_seconds: int = 86400, delay: str = "1 minute", shards: int = 16) -> DataFrame:
+    """Verdicts per check as they land, handed out as counts (`feeds.summed` adds
+    them up): ``evaluated`` and ``passed`` of verdicts that came for the first
+    time, ``resent`` repeats, ``late`` those that come when the watermark has
+    passed them by ``wait_seconds``. A verdict is (check_id, rollout_id, eval_seq);
+    a check's verdicts are spread over ``shards`` keys by rollout."""
+    key = evaluations.schema["check_id"].dataType.simpleString()
+    verdict = F.concat_ws(":", F.col("rollout_id").cast("string"), F.col("eval_seq").cast("string"))
+    sent = (evaluations.withWatermark("at", delay)
+            .select("check_id", F.pmod(F.xxhash64("rollout_id"), F.lit(shards)).alias("shard"), verdict.alias("verdict"), "passed",
+                    (F.unix_millis("at") + 0).alias("at_ms")))
+    return sent.groupBy("check_id", "shard").transformWithStateInPandas(
+        _Verdicts(wait_seconds * 1000), f"check_id {key}, evaluated bigint, passed bigint, resent bigint, late bigint",
+        outputMode="Append", timeMode="EventTime")
