@@ -17,7 +17,8 @@ from verdictlake.llm import exact_search, forest_search, language, licenses, mix
 from verdictlake.session import work_path
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, size int, taken int, n int, digest string, a long, b long, "
-          "row string, words string, pack long, `_row` string, `_s` string, `_mix2` string, component string, hashes string, ids string")
+          "row string, words string, pack long, `_row` string, `_s` string, `_mix2` string, component string, hashes string, ids string, "
+          "`_key` string, `_rules` string, `_spans` string, `_copy` string, `_lang` string, `_epoch` string, `_mix` string, `_whole` string, place string")
 PROSE = "the quick brown fox jumps over the lazy dog and then walks home along the river to see who is there tonight "
 LONG = " ".join(f"word{i}" for i in range(30_000))
 
@@ -31,7 +32,7 @@ def documents():
         (13, "Released under the MIT License.\nAll rights reserved.", "en", "s2"), (14, "mit license mit license apache license", "en", "s2"),
         (None, PROSE, "en", "s1"), (9, "short text", None, "s1"), (15, "été ÉTÉ straße 日本語", "fr", "s4"), (16, "a b c d", "en", "s4"),
         (17, "a b c d", "en", "s4"), (18, "A B C D", "en", "s4"), (19, "\x00 \x1c � x", "en", "s4")]
-    return [(i, t, lang, s, len(t or ""), *[None] * 15) for i, t, lang, s in rows]
+    return [(i, t, lang, s, len(t or ""), *[None] * 15, *"abcdefghi") for i, t, lang, s in rows]
 
 
 @pytest.fixture(scope="module")
@@ -73,6 +74,7 @@ def test_stages_on_edges(spark, docs, empty, name, stage):
     if name != "packing":
         assert out.columns == docs.columns
         kept = [r.doc_id for r in out.select(*plain).collect()]
+        assert {tuple(r[-9:]) for r in out.collect()} <= {tuple("abcdefghi")}
         if name == "language_id":
             assert set(kept) == {d[0] for d in documents()} - {4, 5, 6, 12}
         if name == "near_duplicates":
@@ -248,6 +250,36 @@ def test_network_gradients():
             assert abs((up - down) / 2e-3 - g[at]) < 2e-3
 
 
+def test_long_words_are_read_in_chunks():
+    net = language.fresh(["a", "b"], 5)
+    words = language.byte_rows([bytes(range(32, 132)), bytes(range(132, 232))])
+    whole = np.log(language.positions(net, words) + 1e-6).sum(axis=0)
+    for chunk in (1, 7, 50, 99, 100, 1000):
+        assert np.allclose(language.log_sums(net, words, chunk), whole, atol=1e-3)
+
+
+def test_pooling_equals_plain_reading(spark, sf_dir):
+    docs = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(40).collect()] + ["x" * 3000 + " ab", "²½ 12", "", None, "a"]
+    net = language.fresh(["a", "b", "c"], 6)
+    got = language.Reader(net, kept=50).pool(docs)
+    for text, chance in zip(docs, got):
+        total, n = np.zeros(3), 0
+        for w in (text or "").lower().split():
+            if any(c.isalpha() for c in w):
+                raw = np.frombuffer(w.encode(), np.uint8)[None]
+                total += np.log(language.positions(net, raw) + 1e-6).sum(axis=(0, 1))
+                n += raw.shape[1]
+        want = np.exp((total - total.max()) / np.sqrt(n)) if n else np.zeros(3)
+        assert np.allclose(chance, want / want.sum() if n else want, atol=1e-3)
+
+
+def test_language_query_edges(spark):
+    rows = [(i, t) for i, t in enumerate(["²", "½ 3", "x²", None, "", "été"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("fr"))
+    got = {r.doc_id: r["_lang"] for r in language.identify(frame, language.fit(frame)).collect()}
+    assert [got[i].pred for i in range(6)] == ["und", "und", "fr", "und", "und", "fr"] and got[0].score == 0
+
+
 def test_held_out_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = language.identify(docs, language.fit(docs)).filter((language.fold() == 2) & F.col("lang").isNotNull()).collect()

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Hashable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,38 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[Hashable, Any] = {}
+
+
+def worker_keeps(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept in this Python worker for all its tasks, until a
+    task asks for something else: a worker holds one cache at a time, whichever
+    stages have run in it."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def fresh_name(columns: Sequence[str], name: str) -> str:
+    """``name``, with underscores until no column has it, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def boxed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns an operator needs, and the whole row as ``_whole``: so columns
+    of any name pass through it without meeting its own."""
+    return docs.select(*[F.col(f"`{c}`") for c in needed], F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole"))
+
+
+def unboxed(rows: DataFrame, columns: Sequence[str], **replaced: Column) -> DataFrame:
+    """The whole rows again, some columns replaced."""
+    return rows.select(*[replaced.get(c, F.col("_whole").getField(c)).alias(c) for c in columns])
+
+
 def word_count(text: str | Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

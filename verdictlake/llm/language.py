@@ -2,39 +2,40 @@
 
 The network reads a word's UTF-8 bytes from both ends and labels every position
 with language probabilities; a document's probabilities pool those of all its
-positions. Its state starts anew at each word, so what a word contributes is the
-same wherever it stands: a task computes it once per distinct word it meets and
-whole texts are read at the cost of looking words up. Training is numpy
-backpropagation through time on the driver, over a bounded sample.
+positions. Its state starts anew at each word (a run without white space, of any
+length, is one word), so what a word contributes is the same wherever it stands: a
+worker computes it once per distinct word it meets and whole texts are read at the
+cost of looking words up. Training is numpy backpropagation through time on the
+driver, over all words of a bounded sample of labelled rows.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import table
+from verdictlake.llm.common import fresh_name, table, worker_keeps
 
 HIDDEN = 20
-PIECE_BYTES = 24
-DOCS_PER_LANGUAGE = 600
-WORDS_PER_DOC = 32
-EPOCHS = 4
-WORDS_READ = 300_000
+CHUNK = 1024
+TRAINED_BYTES = 48
+DOCS_PER_LANGUAGE = 100
+MOST_LANGUAGES = 500
+EPOCHS = 5
 BATCH = 256
 RATE = 0.01
 KEPT_WORDS = 600_000
 UNKNOWN = "und"
 REJECT_BELOW = 0.4
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 class Direction(NamedTuple):
@@ -68,10 +69,11 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def read(d: Direction, words: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
-    """States after each byte, (position, word, hidden), of equally long words."""
+def read(d: Direction, words: np.ndarray, keep: bool = False, state: np.ndarray | None = None) -> tuple[np.ndarray, list]:
+    """States after each byte, (position, word, hidden), of equally long words;
+    ``state`` is what an earlier part of the words left."""
     hidden = d.state.shape[0]
-    state = np.zeros((len(words), hidden), np.float32)
+    state = np.zeros((len(words), hidden), np.float32) if state is None else state
     states, steps = np.empty((words.shape[1], len(words), hidden), np.float32), []
     for t in range(words.shape[1]):
         given, back = d.bytes[words[:, t]] + d.bias, state @ d.state
@@ -85,15 +87,38 @@ def read(d: Direction, words: np.ndarray, keep: bool = False) -> tuple[np.ndarra
     return states, steps
 
 
-def positions(net: Network, words: np.ndarray) -> np.ndarray:
-    """Language probabilities of every position, (position, word, language)."""
-    ahead, _ = read(net.forward, words)
-    behind, _ = read(net.backward, words[:, ::-1])
-    logits = np.concatenate([ahead, behind[::-1]], axis=2) @ net.out + net.out_bias
+def labelled(net: Network, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Language probabilities from the states of both directions."""
+    logits = np.concatenate([ahead, behind], axis=2) @ net.out + net.out_bias
     logits = np.exp(logits - logits.max(axis=2, keepdims=True))
     return logits / logits.sum(axis=2, keepdims=True)
 
 
+def positions(net: Network, words: np.ndarray) -> np.ndarray:
+    """Language probabilities of every position, (position, word, language)."""
+    return labelled(net, read(net.forward, words)[0], read(net.backward, words[:, ::-1])[0][::-1])
+
+
+def log_sums(net: Network, words: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+    """Per word the sum of its positions' log-probabilities, (word, language).
+    Long words are read in chunks that hand their states on, forward once for the
+    states at the chunks' starts and then chunk by chunk from the end, so that
+    memory does not grow with their length."""
+    starts, state = range(0, words.shape[1], chunk), None
+    before = []
+    for a in starts:
+        before.append(state)
+        if a + chunk < words.shape[1]:
+            state = read(net.forward, words[:, a:a + chunk], state=state)[0][-1]
+    total, state = 0, None
+    for a, first in zip(reversed(starts), reversed(before)):
+        part = words[:, a:a + chunk]
+        behind = read(net.backward, part[:, ::-1], state=state)[0]
+        total = total + np.log(labelled(net, read(net.forward, part, state=first)[0], behind[::-1]) + 1e-6).sum(axis=0)
+        state = behind[-1]
+    return total
+
+
 def back_through(d: Direction, words: np.ndarray, steps: list, slopes: np.ndarray) -> Direction:
     """Gradients of one direction from the slopes at its states."""
     hidden = d.state.shape[0]
@@ -134,19 +159,21 @@ def byte_rows(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(words), np.uint8).reshape(len(words), -1)
 
 
-def train(samples: list[tuple[str, list[str]]], languages: list[str], epochs: int | None = None, seed: int = 11) -> Network:
-    """Fit on (language, words) rows; batches hold words of one length. Adam.
-    A small sample is gone through more often, up to ``WORDS_READ`` words."""
+def train(samples: list[tuple[str, list[str]]], languages: list[str], epochs: int = EPOCHS, seed: int = 11) -> Network:
+    """Fit on (language, words) rows; batches hold words of one length. Adam. A
+    word counts as often as it occurs; of words beyond ``TRAINED_BYTES`` each
+    stretch of that many bytes is a sample (truncated backpropagation)."""
     net = fresh(languages)
     weights = [*net.forward, *net.backward, net.out, net.out_bias]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     by_length: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
     for language, words in samples:
         for word in words:
-            for piece in pieces(word):
-                by_length[len(piece)].append((piece, languages.index(language)))
+            raw = spelled(word)
+            for a in range(0, len(raw), TRAINED_BYTES):
+                part = raw[a:a + TRAINED_BYTES]
+                by_length[len(part)].append((part, languages.index(language)))
     rng, step = np.random.default_rng(seed), 0
-    epochs = epochs or min(40, max(EPOCHS, WORDS_READ // (1 + sum(map(len, by_length.values())))))
     for epoch in range(epochs):
         batches = []
         for length in sorted(by_length):
@@ -164,9 +191,8 @@ def train(samples: list[tuple[str, list[str]]], languages: list[str], epochs: in
     return net
 
 
-def pieces(word: str) -> list[bytes]:
-    raw = word.encode("utf-8", "surrogatepass")
-    return [raw[i:i + PIECE_BYTES] for i in range(0, len(raw), PIECE_BYTES)]
+def spelled(word: str) -> bytes:
+    return word.encode("utf-8", "surrogatepass")
 
 
 class Reader:
@@ -180,22 +206,21 @@ class Reader:
 
     def learn(self, words: list[str]) -> None:
         """Add what the words contribute; words without letters add nothing."""
-        spelled = [w for w in words if _LETTER.search(w)]
         for w in words:
             self.place[w] = len(self.place)
         while len(self.sums) < len(self.place):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
         by_length: dict[int, list[tuple[bytes, int]]] = defaultdict(list)
-        for w in spelled:
-            for piece in pieces(w):
-                by_length[len(piece)].append((piece, self.place[w]))
+        for w in words:
+            if _LETTER.search(w):
+                by_length[len(raw := spelled(w))].append((raw, self.place[w]))
         for length, rows in by_length.items():
-            for a in range(0, len(rows), 4096):
-                part = rows[a:a + 4096]
-                logs = np.log(positions(self.net, byte_rows([p for p, _ in part])) + 1e-6).sum(axis=0)
-                where = np.array([k for _, k in part])
-                np.add.at(self.sums, (where[:, None], np.arange(logs.shape[1])), logs)
-                np.add.at(self.sums, (where, logs.shape[1]), np.float32(length))
+            at_once = max(1, min(4096, (1 << 18) // length))
+            for a in range(0, len(rows), at_once):
+                part = rows[a:a + at_once]
+                where = [k for _, k in part]
+                self.sums[where, :-1] = log_sums(self.net, byte_rows([w for w, _ in part]))
+                self.sums[where, -1] = length
 
     def pool(self, texts: list[str | None]) -> np.ndarray:
         """Per text the probability of each language; zeros without letters."""
@@ -217,76 +242,69 @@ class Reader:
         return out
 
 
-_READERS: dict[int, Reader] = {}  # the last network's reader, for all tasks of a Python worker
-
-
 def fold(doc_id: str = "doc_id") -> Column:
     """The remainder that keeps a document out of training where it is 2."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4
 
 
-def training_words(docs: DataFrame, docs_per_language: int, words_per_doc: int) -> list[tuple[str, list[str]]]:
-    """(language, words): words spread over the whole texts of the labelled
-    documents with the least id hashes, so many per language at most."""
+def training_words(docs: DataFrame, docs_per_language: int, most_languages: int) -> list[tuple[str, list[str]]]:
+    """(language, words): all words of a sample of the labelled documents, about
+    ``docs_per_language`` of each of the ``most_languages`` languages with most
+    documents. A hash of a row below its language's share picks it, so no
+    language's rows meet in one task."""
     able = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 2)).select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (able.select("doc_id", "lang").withColumn("n", F.row_number().over(order))
-              .filter(F.col("n") <= docs_per_language).select("doc_id").distinct())
+    sizes = able.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages)
+    part = 1 << 30
+    shares = sizes.select("lang", (docs_per_language * part / F.col("n")).alias("share"))
+    chosen = able.withColumn("place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(part))).join(shares, "lang").filter("place < share").select("lang", "text")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                words = [w for w in text.lower().split() if _LETTER.search(w)]
-                rows.append([words[len(words) * i // words_per_doc] for i in range(min(words_per_doc, len(words)))]
-                            if len(words) > words_per_doc else words)
+            rows = [[w for w in text.lower().split() if _LETTER.search(w)] for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.string()))], ["lang", "words"])
 
-    found = able.join(F.broadcast(chosen), "doc_id").select("lang", "text").mapInArrow(spread, "lang string, words array<string>")
-    return sorted((r.lang, r.words) for r in found.collect())
+    return sorted((r.lang, r.words) for r in chosen.mapInArrow(spread, "lang string, words array<string>").collect())
 
 
-def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, words_per_doc: int = WORDS_PER_DOC) -> Network | None:
+def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES) -> Network | None:
     """A network from the documents outside the held-out fold; None without any.
-    The sample is bounded: ``docs_per_language`` times ``words_per_doc`` words."""
-    samples = [s for s in training_words(docs, docs_per_language, words_per_doc) if s[1]]
+    The sample is bounded in rows: about ``docs_per_language`` of each language."""
+    samples = [s for s in training_words(docs, docs_per_language, most_languages) if s[1]]
     return train(samples, sorted({language for language, _ in samples})) if samples else None
 
 
-def identify(docs: DataFrame, net: Network | None) -> DataFrame:
-    """Add ``_lang``: struct(pred, score) to every row; the text alone decides.
+def identify(docs: DataFrame, net: Network | None, out: str = "_lang") -> DataFrame:
+    """Add ``out``: struct(pred, score) to every row; the text alone decides.
 
     A null text, or one without letters, is ``und`` with score 0, and so is every
     text if there was nothing to learn from. Whole texts of any length are read;
-    repeated rows get equal results; an empty table stays empty. Other columns
-    pass through; an input column ``_lang`` is replaced.
+    repeated rows get equal results; an empty table stays empty. All other
+    columns stay as they are, whatever their names; one named ``out`` is replaced.
     """
-    columns = [c for c in docs.columns if c != "_lang"]
     mark = hash(tuple(w.tobytes() for w in (*net.forward, *net.backward, net.out, net.out_bias))) if net else 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if net and mark not in _READERS:
-            _READERS.clear()
-            _READERS[mark] = Reader(net)
-        reader = _READERS[mark] if net else None
-        for batch in batches:
-            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                chance = reader.pool(part.column(0).to_pylist()) if reader else np.zeros((part.num_rows, 1))
-                names = [net.languages[k] if c else UNKNOWN for k, c in zip(chance.argmax(axis=1), chance.max(axis=1))] if net else [UNKNOWN] * part.num_rows
-                found = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(chance.max(axis=1))], ["pred", "score"])
-                yield pa.RecordBatch.from_arrays([found, part.column(1)], ["_lang", "_row"])
+    @F.arrow_udf("struct<pred:string,score:double>")
+    def label(texts: pa.Array) -> pa.Array:
+        names, scores = [], []
+        reader = worker_keeps(("language", mark), lambda: Reader(net)) if net else None
+        for part in (texts.slice(i, 256) for i in range(0, len(texts), 256)):
+            chance = reader.pool(part.to_pylist()) if reader else np.zeros((len(part), 1))
+            scores += chance.max(axis=1).tolist()
+            names += [net.languages[k] if c else UNKNOWN for k, c in zip(chance.argmax(axis=1), chance.max(axis=1))] if net else [UNKNOWN] * len(part)
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["pred", "score"])
 
-    row = F.struct(*[F.col(f"`{c}`") for c in columns])
-    bare = docs.select(F.col("text").alias("_text"), row.alias("_row"))
-    kind = bare.schema["_row"].dataType.simpleString()
-    return bare.mapInArrow(run, f"_lang struct<pred:string,score:double>, _row {kind}").select("_row.*", "_lang")
+    # Non-deterministic to the planner: it must not be computed again by a filter.
+    return docs.withColumn(out, label.asNondeterministic()(F.col("text")))
 
 
 def recognised(docs: DataFrame, reject_below: float = REJECT_BELOW) -> DataFrame:
-    """The documents whose language is recognised: a text without letters, or one
-    whose best language stays below ``reject_below``, goes. Columns stay."""
-    known = identify(docs, fit(docs))
-    return known.filter((F.col("_lang.pred") != UNKNOWN) & (F.col("_lang.score") >= reject_below)).drop("_lang")
+    """The documents whose language is recognised: a text without letters (null,
+    empty, white space), or one whose best language stays below ``reject_below``,
+    goes. Texts of any length are read whole, equal rows fare alike, an empty
+    table stays empty, and all columns stay as they are, whatever their names."""
+    out = fresh_name(docs.columns, "_lang")
+    known = identify(docs, fit(docs), out)
+    return known.filter((F.col(f"{out}.pred") != UNKNOWN) & (F.col(f"{out}.score") >= reject_below)).drop(out)
 
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:

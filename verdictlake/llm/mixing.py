@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import WORD, table, word_count, written
+from verdictlake.llm.common import WORD, boxed, table, unboxed, word_count, written
 from verdictlake.operators.ordered import prefix_sums
 
 WEIGHTS = (3, 1, 2)
@@ -98,19 +98,22 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A document that the cut epoch reaches in part is shortened there to its first
     words, joined by one space, and ``n_chars`` follows. Documents that take no
-    word are left out, which includes those without any.
+    word are left out, which includes those without any (null and empty texts).
+    Texts of any length are cut whole words apart; repeated rows are mixed each by
+    itself; an empty table stays empty. All other columns stay as they are,
+    whatever their names.
     """
-    mixed = mix(docs, **options)
+    mixed = mix(boxed(docs, "doc_id", "source", "text"), **options)
     size, taken = F.col("_mix.size"), F.col("_mix.taken")
     again = mixed.filter(taken > 0).withColumn(
         "_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((taken - 1) / size).cast("bigint"))))
     words = F.least(size, taken - F.col("_epoch") * size)
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
     again = again.withColumn("text", F.when(words < size, cut).otherwise(F.col("text")))
+    replaced = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        again = again.withColumn("n_chars", F.when(words < size, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
+        replaced["n_chars"] = F.when(words < size, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_whole").getField("n_chars"))
+    return unboxed(again, docs.columns, **replaced)
 
 
 def op8_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import table, written
+from verdictlake.llm.common import boxed, table, unboxed, written
 
 
 class Rule(NamedTuple):
@@ -120,14 +120,14 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     A null text counts as empty and has no spans; repeated rows and null ids are
     found alike (documents of one id are candidates together, each is verified
-    by itself); an empty table stays empty. Other columns pass through; input
-    columns ``_spans``, ``_key`` and ``_rules`` are replaced. The input is read
-    twice, for the index and for verification.
+    by itself); an empty table stays empty; texts of any length are searched
+    whole. Other columns pass through, whatever their names; an input column
+    ``_spans`` is replaced. The input is read twice, for the index and for
+    verification.
     """
     wanted = sorted({t for rule in rules for need in trigram_query(rule) for t in need})
-    columns = [c for c in docs.columns if c not in ("_spans", "_key", "_rules")]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in columns],
-                        F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key"))
+    columns = [c for c in docs.columns if c != "_spans"]
+    keyed = boxed(docs, "doc_id", "text").withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     posted = written(postings(keyed.select("_key", "text"), wanted, "_key"), "trigram-postings")
     able = candidates(posted, rules, wanted, "_key")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -136,7 +136,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     none = F.expr("cast(array() AS array<struct<start:int, number:int, end:int>>)")
     return (keyed.join(able, "_key", "left")
             .withColumn("_spans", F.array_sort(F.concat(*[F.coalesce(c, none) for c in per_rule])))
-            .select(*[F.col(f"`{c}`") for c in columns], "_spans"))
+            .select(*[F.col("_whole").getField(c).alias(c) for c in columns], "_spans"))
 
 
 def rendered(spans: Column, rules: Sequence[Rule] = RULES) -> Column:
@@ -148,8 +148,13 @@ def rendered(spans: Column, rules: Sequence[Rule] = RULES) -> Column:
 
 def redacted(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The documents with every span replaced by ``<secret>``; spans that touch
-    or overlap give one mark, and ``n_chars`` follows. Clean texts stay as they are."""
-    found = scan(docs, rules)
+    or overlap give one mark, and ``n_chars`` follows. Clean texts stay as they are.
+
+    Null texts stay null and empty ones empty; texts of any length are searched
+    whole; every row stays, repeated ones and those without an id too; an empty
+    table stays empty. All other columns stay as they are, whatever their names.
+    """
+    found = scan(boxed(docs, "doc_id", "text"), rules)
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     walked = F.aggregate("_spans", start, lambda state, s: F.struct(
@@ -158,10 +163,9 @@ def redacted(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         .otherwise(F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit("<secret>"))).alias("out")),
         lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
     hit = F.size("_spans") > 0
-    out = found.withColumn("text", F.when(hit, walked).otherwise(text))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    clean = found.withColumn("text", F.when(hit, walked).otherwise(text))
+    size = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else F.lit(None)
+    return unboxed(clean, docs.columns, text=F.col("text"), n_chars=F.when(hit, size).otherwise(F.col("_whole").getField("n_chars")) if "n_chars" in docs.columns else size)
 
 
 def op10_secret_scan(spark, sf_dir: str) -> DataFrame:

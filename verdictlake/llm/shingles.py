@@ -7,6 +7,8 @@ import hashlib
 import numpy as np
 import xxhash
 
+from verdictlake.llm.common import worker_keeps
+
 SHINGLE_WORDS = 5
 KEPT_WORDS = 600_000
 
@@ -23,12 +25,9 @@ class _Words(dict):
         return value
 
 
-_WORDS = _Words()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit hash per word."""
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(worker_keeps("words", _Words).__getitem__, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import table, written
+from verdictlake.llm.common import boxed, table, unboxed, written
 from verdictlake.llm.components import components
 from verdictlake.llm.shingles import SHINGLE_WORDS, digest, mixed, shingle_set
 from verdictlake.operators.ordered import number_block, positions
@@ -313,13 +313,16 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     their columns.
 
     Rows with one doc_id are one document, which goes if any of its texts is
-    linked to a smaller one; equal rows of it stay once. Texts without words and
-    rows without doc_id stay.
+    linked to a smaller one; of rows with equal id and text one stays. Texts
+    without words (null and empty ones) and rows without doc_id stay; texts of any
+    length are compared whole; an empty table stays empty. All columns stay as
+    they are, whatever their names.
     """
-    gone = jaccard_components(docs, **options).filter("component_id < doc_id").select("doc_id").distinct()
-    left = docs.join(written(gone, "near-duplicates"), "doc_id", "left_anti")
-    one = Window.partitionBy(F.coalesce(F.col("doc_id"), -1 - F.monotonically_increasing_id()), F.md5(F.col("text").cast("binary"))).orderBy(F.lit(0))
-    return left.withColumn("_copy", F.row_number().over(one)).filter("_copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = jaccard_components(docs.select("doc_id", "text"), **options).filter("component_id < doc_id").select("doc_id").distinct()
+    kept = boxed(docs, "doc_id", "text").join(written(gone, "near-duplicates"), "doc_id", "left_anti")
+    one = Window.partitionBy("doc_id", F.md5(F.col("text").cast("binary"))).orderBy(F.lit(0))
+    once = kept.filter("doc_id IS NOT NULL").withColumn("place", F.row_number().over(one)).filter("place = 1").select("_whole")
+    return unboxed(once.unionByName(kept.filter("doc_id IS NULL").select("_whole")), docs.columns)
 
 
 def op5_jaccard_components(spark, sf_dir: str) -> DataFrame:

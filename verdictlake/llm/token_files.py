@@ -130,11 +130,10 @@ def id_counts(ids: DataFrame, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                counts = np.bincount(np.frombuffer(value.as_buffer(), kind))
-                if len(counts) > len(total):
-                    total = np.pad(total, (0, len(counts) - len(total)))
-                total[: len(counts)] += counts
+            counts = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
+            if len(counts) > len(total):
+                total = np.pad(total, (0, len(counts) - len(total)))
+            total[: len(counts)] += counts
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["id", "n"])
 
@@ -186,7 +185,7 @@ def write_blocks(ids: DataFrame, path: str, lengths: np.ndarray, kind: str,
 
 
 def read_documents(spark: SparkSession, path: str, lengths: np.ndarray, every: int = CHECKPOINT_IDS,
-                   blocks_at_once: int = 16) -> DataFrame:
+                   blocks_at_once: int = 64) -> DataFrame:
     """(doc_id, start, n_tokens, ids) read back from blocks; ``start`` counts the
     ids of all documents before. Only sums per shard, a row each, meet in one
     window; they are written, so that the files meet a table of known size."""

@@ -19,6 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from verdictlake.llm.common import worker_keeps
+
 END = 1
 KEPT_PIECES = 1_200_000
 BATCH_BYTES = 4 << 20
@@ -105,7 +107,8 @@ class Encoder:
         return out.tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [None if any(s in t for s in self.specials) else self.cut(t) for t in (t or "" for t in texts)]
+        texts = [t or "" for t in texts]
+        cut = [None if any([s in t for s in self.specials]) else self.cut(t) for t in texts]
         if len(self.known) > self.kept:
             self.known.clear()
         missing = list(set().union(*(p for p in cut if p is not None)).difference(self.known))
@@ -139,18 +142,11 @@ def file_encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
                    "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4", kept)
 
 
-_KEPT: dict[tuple, Encoder] = {}  # the last encoder, for all tasks of a Python worker
-
-
 def worker_encoder(path: str, make: Callable[[str], Encoder] = file_encoder) -> Encoder:
     """A file's encoder with the pieces that this worker's tasks have met: texts
-    of one corpus share most of their words. One encoder is kept at a time, with
-    at most ``KEPT_PIECES`` pieces of some 150 bytes."""
-    key = (path, make.__module__, make.__qualname__)
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = make(path)
-    return _KEPT[key]
+    of one corpus share most of their words. At most ``KEPT_PIECES`` pieces of some
+    150 bytes are kept."""
+    return worker_keeps((path, make.__module__, make.__qualname__), lambda: make(path))
 
 
 def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text",
