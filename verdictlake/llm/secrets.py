@@ -1,7 +1,7 @@
 """Secret scans over a trigram inverted index, with DataFrame functions only.
 
-Each rule's regex yields a Boolean query over trigrams that every match must
-hold, in lower case. Postings (trigram, document) are written for the trigrams
+From each rule's regex a Boolean query over trigrams is derived that every match
+must hold, in lower case. Postings (trigram, document) are written for the trigrams
 the rules ask for, intersected per rule, and only candidates are verified with
 the rule's regex. A rule without mandatory trigrams scans every text.
 """
@@ -16,15 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verdictlake.llm.common import boxed, table, unboxed, written
+from verdictlake.llm.trigrams import trigram_query
 
 
 class Rule(NamedTuple):
-    """``literals``: alternatives of which every match holds one (its fixed
-    parts in lower case, several per alternative allowed); none: no such part.
-    ``group``/``least``: the group whose length must reach ``least``."""
+    """``group``/``least``: the group whose length must reach ``least``."""
     kind: str
     regex: str
-    literals: tuple[tuple[str, ...], ...]
     group: int
     least: int
 
@@ -35,31 +33,23 @@ class Rule(NamedTuple):
 ASSIGN = (r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
           r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 BASE_RULES = (
-    Rule("assign", ASSIGN, (("password",), ("passwd",), ("secret",), ("token",), ("api_key",), ("apikey",)), 2, 12),
-    Rule("access", r"AKIA[A-Z0-9]{14,}", (("akia",),), 0, 18),
-    Rule("hex", r"[0-9a-f]{16,}", (), 0, 16),
+    Rule("assign", ASSIGN, 2, 12),
+    Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
-# Further shapes, whose spans are added to the base ones.
+# Published token formats, whose spans are added to the base ones.
+# Key files (RFC 7468), web tokens (RFC 7519: two JSON objects and a signature of at
+# least 256 bits, base64url), prefixes of GitHub and Slack, bearer tokens (RFC 6750).
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", (("-----begin ", "private key-----"),), 0, 1),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (("eyj",),), 0, 1),
-    Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36}", (("ghp_",), ("gho_",), ("ghu_",), ("ghs_",), ("ghr_",)), 0, 1),
-    Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", (("xoxa-",), ("xoxb-",), ("xoxp-",), ("xoxr-",), ("xoxs-",)), 0, 1),
-    Rule("bearer", r"[Bb]earer [A-Za-z0-9+/_.=-]{20,}", (("bearer ",),), 0, 1),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]{43,}", 0, 1),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}", 0, 1),
+    Rule("slack", r"xox[baprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    Rule("bearer", r"[Bb]earer [A-Za-z0-9+/_.=-]{20,}", 0, 1),
 )
 RULES = BASE_RULES + MORE_RULES
 
 
-def trigrams(literal: str) -> list[str]:
-    return [literal[i:i + 3] for i in range(len(literal) - 2)]
-
-
-def trigram_query(rule: Rule) -> list[frozenset[str]]:
-    """The rule's Boolean query: any of these sets of trigrams, each whole.
-    Empty: the rule has no mandatory trigrams and scans every text."""
-    return [frozenset(t for part in parts for t in trigrams(part)) for parts in rule.literals]
-
-
 def postings(docs: DataFrame, wanted: Sequence[str], key: str) -> DataFrame:
     """(trigram number, key): a row for each wanted trigram that a text holds."""
     low = F.lower("text")
@@ -88,7 +78,7 @@ def candidates(posted: DataFrame, rules: Sequence[Rule], wanted: Sequence[str],
         return reduce(lambda a, b: a & b, tests)
 
     fits = [F.when(reduce(lambda a, b: a | b, map(whole, q)), F.lit(n))
-            for n, q in enumerate(map(trigram_query, rules)) if q]
+            for n, q in enumerate(trigram_query(rule.regex) for rule in rules) if q]
     return masks.select(key, F.array_compact(F.array(*fits)).alias("_rules")).filter(F.size("_rules") > 0)
 
 
@@ -125,13 +115,13 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     ``_spans`` is replaced. The input is read twice, for the index and for
     verification.
     """
-    wanted = sorted({t for rule in rules for need in trigram_query(rule) for t in need})
+    wanted = sorted({t for rule in rules for need in trigram_query(rule.regex) for t in need})
     columns = [c for c in docs.columns if c != "_spans"]
     keyed = boxed(docs, "doc_id", "text").withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     posted = written(postings(keyed.select("_key", "text"), wanted, "_key"), "trigram-postings")
     able = candidates(posted, rules, wanted, "_key")
     text = F.coalesce(F.col("text"), F.lit(""))
-    per_rule = [F.when(F.array_contains("_rules", n), spans_of(text, n, rule)) if trigram_query(rule)
+    per_rule = [F.when(F.array_contains("_rules", n), spans_of(text, n, rule)) if trigram_query(rule.regex)
                 else spans_of(text, n, rule) for n, rule in enumerate(rules)]
     none = F.expr("cast(array() AS array<struct<start:int, number:int, end:int>>)")
     return (keyed.join(able, "_key", "left")
