@@ -43,6 +43,13 @@ def test_duplicates_within_a_representation(spark):
     assert got == {1: False, 2: True, 3: False, 4: False}
 
 
+def test_duplicates_of_one_id(spark):
+    rows = spark.createDataFrame([(1, "a", "x y"), (2, "a", "X, y!"), (2, "a", "other"), (2, "a", None), (None, "a", "x y"), (3, None, "x y"), (4, None, "x y")],
+                                 "scenario_id int, representation_id string, text string")
+    got = sorted((str(r.scenario_id), str(r.text), r.is_duplicate) for r in v.mark_duplicate_scenarios(rows).collect())
+    assert got == [("1", "x y", False), ("2", "None", False), ("2", "X, y!", True), ("2", "other", False), ("3", "x y", False), ("4", "x y", False), ("None", "x y", False)]
+
+
 def test_diversity(spark):
     rows = spark.createDataFrame([("d", "f", "a b"), ("d", "f", "B a"), ("d", "g", "a b!"), ("d", "g", "c")],
                                  "dataset_id string, task_family string, text string")

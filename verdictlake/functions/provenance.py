@@ -31,9 +31,13 @@ def ci_provenance(runs: DataFrame) -> DataFrame:
                              "run_url": F.when(known, url)})
 
 
+# Fixed value: where the slug of a remote stands.
+SLUG = r"[/:]([^/:]+/[^/]+?)(?:\.git)?$"
+
+
 def repo_slug(url: Column) -> Column:
     """``owner/repo`` of an https or ssh remote, else NULL."""
-    return filled(F.regexp_extract(url, r"[/:]([^/:]+/[^/]+?)(?:\.git)?$", 1))
+    return filled(F.regexp_extract(url, SLUG, 1))
 
 
 def session_name(repo: Column, fallback: Column, suffix: Column) -> Column:

@@ -40,6 +40,7 @@ PII_PATTERNS = [
 SECRET_HINT = r"sk-|gh[pousr]_|github_pat_|AKIA|ASIA|eyJ|xox[baprs]-"
 NINE_DIGITS_HINT = r"\d(?:\D{0,2}\d){8}"
 IP_HINT = r"\d\.\d"
+# Parts of sensitive keys, and what replaces their texts.
 SENSITIVE_KEY = "email|phone|ssn|dob|birth|address|name|card|account|token|secret|password"
 MASK = "<redacted>"
 

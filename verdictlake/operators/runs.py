@@ -95,6 +95,7 @@ def next_cursors(fed: DataFrame) -> DataFrame:
 
 def event_line(stage: Column, message: Column, data: Column) -> Column:
     """``[stage] message  (k=v ...)`` for an event with JSON ``data``."""
+    # The texts of an event line.
     pairs = F.map_entries(F.from_json(data, "map<string,variant>"))
 
     def shown(value: Column) -> Column:

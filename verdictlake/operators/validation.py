@@ -148,15 +148,16 @@ def validation_verdict(report: DataFrame, min_validity: float = 0.9, max_distanc
 
 def mark_duplicate_scenarios(rows: DataFrame) -> DataFrame:
     """Flag every later copy of a scenario text within its representation; rows
-    are all kept. The first copy is a partial aggregate (a minimum per hash),
-    joined back only for texts that occur more than once."""
-    hashed = rows.withColumn("_hash", F.sha2(normal_text(F.col("text")), 256))
-    firsts = (hashed.groupBy("representation_id", "_hash")
-              .agg(F.min("scenario_id").alias("_first"), F.count("*").alias("_n"))
-              .filter("_n > 1").drop("_n"))
-    return (hashed.join(firsts, ["representation_id", "_hash"], "left")
-            .withColumn("is_duplicate", F.coalesce(F.col("scenario_id") > F.col("_first"), F.lit(False)))
-            .drop("_hash", "_first"))
+    are all kept. Texts are normalised once: ids and hashes are written, the first
+    copy is a partial aggregate over them, and only later copies, if there are
+    any, are looked up for the rows."""
+    place = ["representation_id", "scenario_id", "_text"]
+    hashed = written(rows.select(*place[:2], F.xxhash64("text").alias("_text"), F.sha2(normal_text(F.col("text")), 256).alias("_hash")), "scenario-hashes")
+    copies = ["representation_id", "_hash"]
+    firsts = hashed.groupBy(*copies).agg(F.min("scenario_id").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    later = hashed.join(firsts, copies).filter("scenario_id > _first").select(*place).distinct().withColumn("_later", F.lit(True))
+    return (rows.withColumn("_text", F.xxhash64("text")).join(later, place, "left")
+            .select(*rows.columns, F.coalesce("_later", F.lit(False)).alias("is_duplicate")))
 
 
 def calibration_weights(rows: DataFrame) -> DataFrame:
