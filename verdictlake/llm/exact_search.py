@@ -102,8 +102,9 @@ def exact_top_k(vectors: DataFrame, *, k: int = TOP, step: int = QUERY_STEP, sca
     Rows with a null id, a null or empty vector or a null or non-finite component
     take no part; vectors meet only those of their length; of rows that repeat a
     vec_id a list holds the best one, as candidate and as query, and the others
-    take no place (OP4_SQL lists them all); an empty table gives no rows; other columns
-    are not read.
+    take no place; an empty table gives no rows; other columns are not read. A
+    score must fit a long: |scale * x| below 2**31 does at 2 components or fewer,
+    below 2**26 at up to 2,048.
     """
     rows = usable(vectors, zero=True).withColumn("dim", F.size("embedding"))
     query = F.col("vec_id") % step == 0
@@ -134,7 +135,7 @@ def op4_exact_top_k(spark, sf_dir: str) -> DataFrame:
 OP4_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+s AS (SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_inner_product(q.e, c.e) AS BIGINT)) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0 GROUP BY q.vec_id, c.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) r WHERE rank <= 20"""

@@ -31,7 +31,7 @@ MOST_LANGUAGES = 500
 EPOCHS = 5
 BATCH = 256
 RATE = 0.01
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 UNKNOWN = "und"
 REJECT_BELOW = 0.4
 

@@ -10,7 +10,7 @@ import xxhash
 from verdictlake.llm.common import worker_keeps
 
 SHINGLE_WORDS = 5
-KEPT_WORDS = 600_000
+KEPT_WORDS = 100_000
 
 # Odd multipliers, one per place in a sequence, from a fixed generator.
 _PLACES = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from verdictlake.llm.common import worker_keeps
 
 END = 1
-KEPT_PIECES = 1_200_000
-BATCH_BYTES = 4 << 20
+KEPT_PIECES = 500_000
+BATCH_BYTES = 2 << 20
 
 _CUT = b"\x00"
 # ASCII letters and the punctuation behind them are always two words.
