@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Hashable, Sequence
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ def worker_keeps(key: Hashable, make: Callable[[], Any]) -> Any:
     stages have run in it."""
     if key not in _KEPT:
         _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _KEPT[key] = make()
     return _KEPT[key]
 

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from verdictlake.llm.common import worker_keeps
 
 END = 1
-KEPT_PIECES = 500_000
-BATCH_BYTES = 2 << 20
+KEPT_PIECES = 200_000
+BATCH_BYTES = 1 << 20
 
 _CUT = b"\x00"
 # ASCII letters and the punctuation behind them are always two words.
@@ -145,7 +145,7 @@ def file_encoder(path: str, kept: int = KEPT_PIECES) -> Encoder:
 def worker_encoder(path: str, make: Callable[[str], Encoder] = file_encoder) -> Encoder:
     """A file's encoder with the pieces that this worker's tasks have met: texts
     of one corpus share most of their words. At most ``KEPT_PIECES`` pieces of some
-    150 bytes are kept."""
+    250 bytes are kept."""
     return worker_keeps((path, make.__module__, make.__qualname__), lambda: make(path))
 
 
