@@ -9,7 +9,7 @@ from verdictlake.functions.redaction import redact_secrets
 from verdictlake.operators import gates, runs as run_ops, scorecard as sc
 from verdictlake.plans import bindings as fx
 from verdictlake.plans.registry import query
-from verdictlake.session import work_path
+from verdictlake.session import work_path, written
 from verdictlake.sources.grains import store_by_grain
 from verdictlake.sources.sinks import report_pages, report_rows, scenario_pages, write_report
 
@@ -22,10 +22,10 @@ def totals(spark: SparkSession, sf: str) -> DataFrame:
     return sc.suite_totals(fx.rollouts(spark, sf), fx.evaluations(spark, sf))
 
 
-def baselines(spark: SparkSession, sf: str) -> DataFrame:
+def baselines(spark: SparkSession, sf: str, verdicts: DataFrame | None = None) -> DataFrame:
     checks = fx.quality_checks(spark, sf)
     asked = checks.withColumn("baseline_branch", F.lit("main"))
-    return gates.baseline_for(asked, checks, sc.check_verdicts(fx.evaluations(spark, sf)))
+    return gates.baseline_for(asked, checks, sc.check_verdicts(fx.evaluations(spark, sf)) if verdicts is None else verdicts)
 
 
 def configs(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,7 +35,10 @@ def configs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gated(spark: SparkSession, sf: str) -> DataFrame:
-    return gates.gate(totals(spark, sf), configs(spark, sf).drop("session_id"), baselines(spark, sf))
+    """Verdicts are counted once: the totals, a row per check, are written and
+    read as totals and as what baselines stand on."""
+    suites = written(totals(spark, sf), "suite-totals")
+    return gates.gate(suites, configs(spark, sf).drop("session_id"), baselines(spark, sf, suites))
 
 
 GATE_SQL = """
