@@ -30,6 +30,8 @@ BIN_TOKENS = 1 << 19
 CLUSTER_PART = 4096
 SIGNATURE_BYTES = 1024
 LEAF = 32
+STRETCH_PAIRS = 400_000
+SLOT_ROWS = 1 << 16
 
 SETS = "doc_id long, n int, digest binary, slot int, count long"
 
@@ -61,10 +63,11 @@ def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS)
             gap = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
                                               gap, gap.cast(pa.int64())], ["doc_id", "n", "digest", "slot", "count"])
-        slots = np.flatnonzero(counts)
-        gap = pa.nulls(len(slots), pa.int32())
-        yield pa.RecordBatch.from_arrays([gap.cast(pa.int64()), gap, pa.nulls(len(slots), pa.binary()), pa.array(slots.astype(np.int32)), pa.array(counts[slots])],
-                                         ["doc_id", "n", "digest", "slot", "count"])
+        used = np.flatnonzero(counts)
+        for slots in (used[a:a + SLOT_ROWS] for a in range(0, len(used), SLOT_ROWS)):
+            gap = pa.nulls(len(slots), pa.int32())
+            yield pa.RecordBatch.from_arrays([gap.cast(pa.int64()), gap, pa.nulls(len(slots), pa.binary()), pa.array(slots.astype(np.int32)), pa.array(counts[slots])],
+                                             ["doc_id", "n", "digest", "slot", "count"])
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
@@ -140,7 +143,7 @@ def prefix_edges(docs: DataFrame, counts: np.ndarray, bins: int, words: int, per
                 rarest = tokens[np.lexsort((tokens, rank))[:length]]
                 held.append(np.column_stack([rarest, np.full(length, key, np.int64).view(np.uint64)]))
                 load += length
-            if load > 1_500_000:
+            if load > STRETCH_PAIRS:
                 yield close()
                 held, load = [], 0
         if held:
