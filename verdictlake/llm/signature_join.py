@@ -11,6 +11,7 @@ looked for, and none is when both sides are connected already.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +32,9 @@ CLUSTER_PART = 4096
 SIGNATURE_BYTES = 1024
 LEAF = 32
 STRETCH_PAIRS = 400_000
-SLOT_ROWS = 1 << 16
+STRETCH_SLOTS = 1 << 16
 
-SETS = "doc_id long, n int, digest binary, slot int, count long"
+SETS = "doc_id long, n int, digest binary, slots int, counts binary"
 
 
 def least_overlap(a, b, percent: int = PERCENT):
@@ -50,10 +51,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 # ---- sets and the sketch of token frequencies
 
 def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """A row per document (n, digest of its set) and, from each task, rows (slot,
-    count): how often its sets hold a token whose hash falls into the slot."""
+    """A row per document (n, digest of its set) and, from each task, rows (slots,
+    counts): for a stretch of slots, packed, how often its sets hold a token whose
+    hash falls into each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << sketch_bits, np.int64)
+        counts, names = np.zeros(1 << sketch_bits, np.int64), ["doc_id", "n", "digest", "slots", "counts"]
         for batch in batches:
             sizes, digests = [], []
             for text in batch.column(1):
@@ -62,12 +64,12 @@ def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS)
                 sizes.append(len(tokens)), digests.append(digest(tokens))
             gap = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-                                              gap, gap.cast(pa.int64())], ["doc_id", "n", "digest", "slot", "count"])
-        used = np.flatnonzero(counts)
-        for slots in (used[a:a + SLOT_ROWS] for a in range(0, len(used), SLOT_ROWS)):
-            gap = pa.nulls(len(slots), pa.int32())
-            yield pa.RecordBatch.from_arrays([gap.cast(pa.int64()), gap, pa.nulls(len(slots), pa.binary()), pa.array(slots.astype(np.int32)), pa.array(counts[slots])],
-                                             ["doc_id", "n", "digest", "slot", "count"])
+                                              gap, pa.nulls(len(sizes), pa.binary())], names)
+        for first in range(0, len(counts), STRETCH_SLOTS):
+            own = counts[first:first + STRETCH_SLOTS]
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([first], pa.int32()),
+                                                  pa.array([zlib.compress(own.astype("<i8").tobytes(), 1)], pa.binary())], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
@@ -75,9 +77,21 @@ def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS)
 def sketch_of(described: DataFrame, sketch_bits: int = SKETCH_BITS) -> np.ndarray:
     """Counts by slot: 2**sketch_bits numbers, whatever the size of the corpus.
     They only order tokens (rare ones first); any order gives the same links."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for first, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                own = np.frombuffer(zlib.decompress(packed.as_py()), "<i8")
+                sums[first] = sums[first] + own if first in sums else own
+        for first, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([own.astype("<i8").tobytes()], pa.binary())], ["slots", "counts"])
+
     counts = np.zeros(1 << sketch_bits, np.int64)
-    sums = described.filter("slot IS NOT NULL").groupBy("slot").agg(F.sum("count").alias("count")).toArrow()
-    counts[sums.column("slot").to_numpy()] = sums.column("count").to_numpy()
+    stretches = -(-len(counts) // STRETCH_SLOTS)
+    packed = described.filter("slots IS NOT NULL").select("slots", "counts")
+    for r in packed.repartition(stretches, "slots").mapInArrow(add, "slots int, counts binary").collect():
+        own = np.frombuffer(r.counts, "<i8")
+        counts[r.slots:r.slots + len(own)] += own
     return counts
 
 
@@ -291,7 +305,7 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = written(described_sets(bare, words), "shingle-sets")
     counts = sketch_of(described)
-    rows = described.filter("slot IS NULL").select("doc_id", "n", "digest")
+    rows = described.filter("slots IS NULL").select("doc_id", "n", "digest")
     classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class"), F.first("n").alias("n")),
                       "shingle-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
