@@ -75,3 +75,15 @@ def test_two_rows_of_one_batch_are_ordered(spark, tmp_path):
     rows = spark.createDataFrame([("a", "running", 0, 0), ("a", "timed_out", 1, 0), ("b", "x", 0, 1), ("b", "y", 0, 0)], "run_id string, status string, step int, batch int")
     rows.write.partitionBy("batch").parquet(str(tmp_path / "o"))
     assert {r.run_id: r.status for r in feeds.latest_update(spark, str(tmp_path / "o"), ["run_id"], ["step"]).collect()} == {"a": "timed_out", "b": "x"}
+
+
+def test_verdicts_are_counted_many_checks_at_a_time(spark):
+    """Late verdicts that never came before are late, verdicts without a time are not."""
+    session = stateful.state_session(spark)
+    first = spark.range(2_000).selectExpr("0 AS stretch", "id AS check_id", "id * 10 AS rollout_id", "0 AS eval_seq", "id % 2 = 0 AS passed", "timestamp_seconds(100 + id % 7) AS at")
+    odd = spark.sql("""SELECT * FROM VALUES (1, 1L, 10L, 0, false, timestamp_seconds(101)), (1, 1L, 11L, 0, true, timestamp_seconds(9000)), (2, 1L, 12L, 0, true, timestamp_seconds(105)),
+                       (2, 2L, 20L, 0, true, timestamp_seconds(102)), (2, 3L, NULL, 0, true, NULL), (2, NULL, 7L, 0, NULL, timestamp_seconds(9000)) AS t(stretch, check_id, rollout_id, eval_seq, passed, at)""")
+    counted = stateful.stream_pass_rate(as_stream(first.unionByName(odd), session, "many", stretch="stretch", files=1), wait_seconds=3600)
+    got = {r.check_id: (r.evaluated, r.passed, r.resent, r.late) for r in feeds.summed(spark, feeds.run_available(counted, session, "many-out"), ["check_id"]).collect()}
+    assert len(got) == 2_001 and got[0] == (1, 1, 0, 0) and got[9] == (1, 0, 0, 0)
+    assert got[1] == (2, 1, 1, 1) and got[2] == (1, 1, 0, 1) and got[3] == (2, 1, 0, 0) and got[None] == (1, 0, 0, 0)
