@@ -103,3 +103,14 @@ def test_traces_without_failure_or_with_residual_data_make_no_scenario(spark):
     got = {r.trace_id: (r.goal, r.failing_tool, r.category) for r in
            issues.trace_to_scenarios(traces, turns, events, generated).collect()}
     assert got == {1: ("help 1 <redacted:email>", "pay", "tool_error"), 3: ("help 3 <redacted:email>", None, "reported_error")}
+
+
+def test_reports_are_written_compressed(spark, tmp_path):
+    from verdictlake.sources import sinks
+    sinks.write_report(spark.createDataFrame([(1, 5)], "version int, session_id int"), str(tmp_path))
+    assert [f.name.endswith(".json.gz") for f in tmp_path.glob("reports/session_id=5/*.json*")] == [True]
+
+
+def test_buckets_grow_with_rows(spark):
+    from verdictlake.sources.grains import buckets_for
+    assert buckets_for(spark.range(10), rows=100) == 8 and buckets_for(spark.range(900), spark.range(101), rows=100) == 11

@@ -85,7 +85,7 @@ def report_pages(report: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Write report records as JSON by session. A session that is reported again
+    """Write report records as gzipped JSON lines by session. A session that is reported again
     is replaced whole; sessions without a record in ``report`` keep theirs. Any
     column outside the allowlist is refused."""
     scenarios = report.schema["scenarios"].dataType.elementType.fieldNames() if "scenarios" in report.columns else []
@@ -93,4 +93,4 @@ def write_report(report: DataFrame, path: str) -> None:
     if extra:
         raise ValueError(f"not allowed in a report: {sorted(extra)}")
     (report.write.partitionBy("session_id").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").json(f"{path}/reports"))
+     .option("partitionOverwriteMode", "dynamic").option("compression", "gzip").json(f"{path}/reports"))
