@@ -411,10 +411,10 @@ def _(spark, sf):
 
 
 def contract_table(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """Rows written as JSON lines, as a client sends them, and read back with the
-    contract's schema."""
+    """Rows written as gzipped JSON lines, as a client sends them, and read back
+    with the contract's schema."""
     path = work_path(spark, f"contract-{name}")
-    rows.write.json(path)
+    rows.write.option("compression", "gzip").json(path)
     return readers.read_table(spark, name, path, "json")
 
 
