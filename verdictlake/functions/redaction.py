@@ -14,6 +14,7 @@ import re
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -122,28 +123,35 @@ def _substitute(patterns: Sequence[tuple[str, str]], flags: int = 0) -> Callable
     return run
 
 
+SLICE = 256
+
+
 def _json_batches(walk: Callable, columns: Sequence[Column]) -> Column | list[Column]:
-    """Send all JSON columns through one Python crossing; get them back in order."""
+    """Send all JSON columns through one Python crossing; get them back in order.
+    Of a batch only ``SLICE`` texts at a time are Python objects."""
     def each(text):
         try:
             return None if text is None else json.dumps(walk(json.loads(text)), ensure_ascii=False)
         except ValueError:  # never pass raw text on
             return None
 
+    def scrubbed(texts: pa.Array) -> pa.Array:
+        parts = [pa.array([each(t) for t in texts.slice(at, SLICE).to_pylist()], pa.string()) for at in range(0, len(texts), SLICE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
     if len(columns) == 1:
-        @F.pandas_udf("string")
-        def one(texts: pd.Series) -> pd.Series:
-            return texts.map(each, na_action="ignore")
+        @F.arrow_udf("string")
+        def one(texts: pa.Array) -> pa.Array:
+            return scrubbed(texts)
         return one(columns[0])
 
-    fields = ", ".join(f"c{i} string" for i in range(len(columns)))
+    names = [f"c{i}" for i in range(len(columns))]
 
-    @F.pandas_udf(f"struct<{fields}>")
-    def many(*series: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({f"c{i}": s.map(each, na_action="ignore")
-                             for i, s in enumerate(series)})
+    @F.arrow_udf(f"struct<{', '.join(f'{n} string' for n in names)}>")
+    def many(*arrays: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays([scrubbed(a) for a in arrays], names)
     out = many(*columns)
-    return [out.getField(f"c{i}") for i in range(len(columns))]
+    return [out.getField(n) for n in names]
 
 
 def redact_secrets_json(*columns: Column, extra: Sequence[str] = (),
