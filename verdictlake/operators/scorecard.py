@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdictlake.functions.judge import AGENT_KEYS, agent_columns, agent_label, findings, first_finding
+from verdictlake.session import written
 
 
 def rate_of(passed: Column, total: Column, empty: float | None = None) -> Column:
@@ -221,13 +222,25 @@ def compose_dataset(requested: DataFrame, models: DataFrame, scenarios: DataFram
             .select("user_model_id", "scenario_id", "belongs", "accepted"))
 
 
+DIFF_ROWS = 1_000_000
+
+
 def dataset_diff(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Per pair (dataset_a, dataset_b): each scenario added, removed or shared."""
-    left = (pairs.join(bridge.withColumnRenamed("dataset_id", "dataset_a"), "dataset_a")
-            .select("dataset_a", "dataset_b", "scenario_id", F.lit(1).alias("a"), F.lit(0).alias("b")))
-    right = (pairs.join(bridge.withColumnRenamed("dataset_id", "dataset_b"), "dataset_b")
-             .select("dataset_a", "dataset_b", "scenario_id", F.lit(0).alias("a"), F.lit(1).alias("b")))
-    both = left.unionByName(right).groupBy("dataset_a", "dataset_b", "scenario_id").agg(
+    """Per pair (dataset_a, dataset_b): each scenario added, removed or shared.
+
+    Memberships are narrow and compress well, so tasks sized by their bytes would
+    hold very many: the memberships are written once and counted, and dealt out by
+    scenario into tasks of about ``DIFF_ROWS``.
+    """
+    bridge = written(bridge.select("dataset_id", "scenario_id"), "diff-bridge")
+    tasks = max(8, -(-2 * bridge.count() // DIFF_ROWS))
+
+    def side(name: str, a: int, b: int) -> DataFrame:
+        return (pairs.join(bridge.withColumnRenamed("dataset_id", name), name)
+                .select("dataset_a", "dataset_b", "scenario_id", F.lit(a).alias("a"), F.lit(b).alias("b")))
+
+    grain = ["dataset_a", "dataset_b", "scenario_id"]
+    both = side("dataset_a", 1, 0).unionByName(side("dataset_b", 0, 1)).repartition(tasks, *grain).groupBy(*grain).agg(
         F.max("a").alias("a"), F.max("b").alias("b"))
     change = (F.when(F.col("a") + F.col("b") == 2, "shared")
               .when(F.col("a") == 1, "removed").otherwise("added"))
