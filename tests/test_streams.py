@@ -87,3 +87,12 @@ def test_verdicts_are_counted_many_checks_at_a_time(spark):
     got = {r.check_id: (r.evaluated, r.passed, r.resent, r.late) for r in feeds.summed(spark, feeds.run_available(counted, session, "many-out"), ["check_id"]).collect()}
     assert len(got) == 2_001 and got[0] == (1, 1, 0, 0) and got[9] == (1, 0, 0, 0)
     assert got[1] == (2, 1, 1, 1) and got[2] == (1, 1, 0, 1) and got[3] == (2, 1, 0, 0) and got[None] == (1, 0, 0, 0)
+
+
+def test_events_without_a_run_stay_apart(spark):
+    session = stateful.state_session(spark)
+    frame = spark.sql("SELECT 0 AS stretch, CASE WHEN id % 3 > 0 THEN id % 3 END AS run_id, id AS seq, CASE WHEN id = 57 THEN 'failed' ELSE 'running' END AS status, "
+                      "timestamp_seconds(100 + id) AS created_at FROM range(60)")
+    out = feeds.run_available(stateful.stream_run_status(as_stream(frame, session, "no-run", stretch="stretch", files=1), keep_seconds=3600), session, "no-run-out", "update")
+    got = {r.run_id: (r.status, r.last_seq) for r in feeds.latest_update(spark, out, ["run_id"]).collect()}
+    assert got == {None: ("failed", 57), 1: ("running", 58), 2: ("running", 59)}
