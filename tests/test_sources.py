@@ -108,7 +108,7 @@ def test_traces_without_failure_or_with_residual_data_make_no_scenario(spark):
 def test_reports_are_written_compressed(spark, tmp_path):
     from verdictlake.sources import sinks
     sinks.write_report(spark.createDataFrame([(1, 5)], "version int, session_id int"), str(tmp_path))
-    assert [f.name.endswith(".json.gz") for f in tmp_path.glob("reports/session_id=5/*.json*")] == [True]
+    assert [f.name.endswith(".json.gz") for f in tmp_path.glob("reports/session_id=5/part*")] == [True]
 
 
 def test_buckets_grow_with_rows(spark):
