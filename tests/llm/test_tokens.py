@@ -107,3 +107,15 @@ def test_query_digests_equal_plain_python(spark, sf_dir):
             at += r.length
         assert at == len(ids)
     assert sorted(set(placed.doc_id)) == sorted(docs)
+
+
+@pytest.mark.parametrize("name", TOKENIZERS)
+def test_pieces_that_come_again_are_not_encoded_again(name):
+    """Filling the table of pieces drops those only that were long not met."""
+    encoder, whole, asked = file_encoder(tokenizer_path(name), kept=40), plain(name), []
+    new = encoder.new
+    encoder.new = lambda pieces: asked.extend(pieces) or new(pieces)
+    texts = [f"common words, été### Ñandú: {' '.join(f'own{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + k)}' for k in range(25))}" for i in range(60)]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text])[0], "<u2").tolist() == whole(text)
+    assert len(asked) == len(set(asked)) > 1500

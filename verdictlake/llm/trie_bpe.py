@@ -191,7 +191,7 @@ class TrieEncoder:
         return out + self.pieces([text[at:]])[0]
 
     def encoder(self, **kept: int) -> Encoder:
-        return Encoder(self.whole, self.pieces, spaced_pieces, list(self.vocabulary.added), **kept)
+        return Encoder(self.whole, lambda new: self.pieces([p.decode("utf-8", "surrogatepass") for p in new]), spaced_pieces, list(self.vocabulary.added), **kept)
 
 
 def trie_encoder(path: str) -> Encoder:
