@@ -161,6 +161,26 @@ def test_components_equal_brute_force(spark, part):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
 
 
+def test_tokens_of_few_and_of_many_classes(spark):
+    """Pairs, clusters, slices of a hub and repeated ids give the links of brute force."""
+    rows = near_copies(seed=8)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for few, part in ((2, 8), (6, 64), (1000, 64)):
+        got = signature_join.jaccard_components(frame, few=few, part=part)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
+
+
+def test_classes_that_only_chain_are_not_gathered(spark, monkeypatch):
+    """Texts that share a rare shingle with the next one only make pairs, no cluster
+    that grows with the corpus."""
+    rows = [(i, " ".join(f"{k}" for k in range(40 * i, 40 * i + 60))) for i in range(120)]
+    gathered = []
+    own = signature_join.cluster_links
+    monkeypatch.setattr(signature_join, "cluster_links", lambda members, *a: gathered.append(members.count()) or own(members, *a))
+    got = signature_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows) and gathered == [0]
+
+
 def test_signature_tree_finds_all_links():
     rng = np.random.default_rng(1)
     base = [rng.choice(5000, rng.integers(5, 80), replace=False) for _ in range(30)]

@@ -1,8 +1,10 @@
 """N-gram Jaccard join: classes of equal sets, candidate clusters, signature trees.
 
 Documents with equal shingle sets are one class. Classes that could be similar
-must share a shingle among their rarest ones (prefix filter), which groups them
-into clusters; inside a cluster a tree over token bitmaps is traversed against
+must share a shingle among their rarest ones (prefix filter). Of the classes that
+share one, each is first compared with the least; then those that are still apart
+are compared in pairs, where few share the shingle. Where many do, they make
+clusters; inside a cluster a tree over token bitmaps is traversed against
 itself: nodes hold the OR of their members' bitmaps and their size range, and a
 pair of nodes is dropped when the largest overlap possible is too small. Pairs
 that stay are checked on the whole sets. Only links between different sets are
@@ -33,8 +35,11 @@ SIGNATURE_BYTES = 1024
 LEAF = 32
 STRETCH_PAIRS = 400_000
 STRETCH_SLOTS = 1 << 16
+FEW = 64
+MET_AT_ONCE = 256
 
-SETS = "doc_id long, n int, digest binary, slots int, counts binary"
+SETS = "doc_id long, n int, digest binary, mark long, slots int, counts binary"
+ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("n", "<i4")])
 
 
 def least_overlap(a, b, percent: int = PERCENT):
@@ -51,11 +56,11 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 # ---- sets and the sketch of token frequencies
 
 def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """A row per document (n, digest of its set) and, from each task, rows (slots,
+    """A row per document (n, digest of its set, mark of its text) and, from each task, rows (slots,
     counts): for a stretch of slots, packed, how often its sets hold a token whose
     hash falls into each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(1 << sketch_bits, np.int64), ["doc_id", "n", "digest", "slots", "counts"]
+        counts, names = np.zeros(1 << sketch_bits, np.int64), ["doc_id", "n", "digest", "mark", "slots", "counts"]
         for batch in batches:
             sizes, digests = [], []
             for text in batch.column(1):
@@ -64,14 +69,14 @@ def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS)
                 sizes.append(len(tokens)), digests.append(digest(tokens))
             gap = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-                                              gap, pa.nulls(len(sizes), pa.binary())], names)
+                                              batch.column(2), gap, pa.nulls(len(sizes), pa.binary())], names)
         for first in range(0, len(counts), STRETCH_SLOTS):
             own = counts[first:first + STRETCH_SLOTS]
             if own.any():
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([first], pa.int32()),
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([first], pa.int32()),
                                                   pa.array([zlib.compress(own.astype("<i8").tobytes(), 1)], pa.binary())], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, SETS)
 
 
 def sketch_of(described: DataFrame, sketch_bits: int = SKETCH_BITS) -> np.ndarray:
@@ -95,33 +100,33 @@ def sketch_of(described: DataFrame, sketch_bits: int = SKETCH_BITS) -> np.ndarra
     return counts
 
 
-# ---- candidate clusters
+# ---- candidates
 
 def class_key(found: bytes) -> int:
-    """The first 64 bits of a digest; equal keys of different sets only put them
-    into one cluster."""
+    """The first 64 bits of a digest; equal keys of different sets only make them
+    candidates of the same others."""
     return int.from_bytes(found[:8], "big", signed=True)
 
 
-def tied_to_least(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """From (token, class key) pairs: per token the pair of the least key, and
-    the distinct edges (other key, least key)."""
-    keys = pairs[:, 1].copy().view(np.int64)
-    order = np.lexsort((keys, pairs[:, 0]))
-    pairs, keys = pairs[order], keys[order]
-    first = np.flatnonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0]))
-    least = np.repeat(keys[first], np.diff(np.append(first, len(keys))))
-    other = least != keys
-    return pairs[first], np.unique(np.column_stack([keys[other], least[other]]), axis=0)
+def sharing(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``ENTRY`` rows, once each, those whose token others have too, and for
+    each the smallest class with the token (by size, then key)."""
+    found = found[np.lexsort((found["key"], found["n"], found["token"]))]
+    again = (found["token"][1:] == found["token"][:-1]) & (found["key"][1:] == found["key"][:-1])
+    found = found[np.append(True, ~again)]
+    first = np.flatnonzero(np.append(True, found["token"][1:] != found["token"][:-1]))
+    sizes = np.diff(np.append(first, len(found)))
+    hub = np.repeat(first, sizes)
+    kept = np.repeat(sizes, sizes) > 1
+    return found[kept], found[hub][kept]
 
 
-def prefix_edges(docs: DataFrame, counts: np.ndarray, bins: int, words: int, percent: int) -> DataFrame:
-    """(a, b): class keys that share a token of both their prefixes, tied to the
-    least key with that token, never all with all.
+def shared_prefixes(docs: DataFrame, counts: np.ndarray, bins: int, words: int, percent: int) -> DataFrame:
+    """(token, key, n, hub, hub_n): the classes that share a token of their prefixes
+    with others, and the smallest of them.
 
     Tokens travel packed, in one binary row per bin of token hashes and stretch
-    of input. A task ties the classes of its stretch to their least one and sends
-    only that on, so a token that most documents hold is no large group.
+    of input; those that one class alone has go no further.
     """
     bits = (bins - 1).bit_length()
     shift = np.uint64(64 - (len(counts) - 1).bit_length())
@@ -132,14 +137,12 @@ def prefix_edges(docs: DataFrame, counts: np.ndarray, bins: int, words: int, per
         load = 0
 
         def close() -> pa.RecordBatch:
-            pairs, edges = tied_to_least(np.concatenate(held))
-            place = (mixed(pairs[:, 0]) >> np.uint64(64 - bits)).astype(np.int64)
+            found = np.concatenate(held)
+            place = (mixed(found["token"].view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
             order = np.argsort(place, kind="stable")
             used, starts = np.unique(place[order], return_index=True)
-            packed = [p.tobytes() for p in np.split(pairs[order], starts[1:])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(used.astype(np.int32)), pa.array(packed, pa.binary()), pa.array([edges.tobytes()] + [None] * (len(used) - 1), pa.binary())],
-                ["bin", "pairs", "edges"])
+            packed = [p.tobytes() for p in np.split(found[order], starts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())], ["bin", "entries"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -154,36 +157,90 @@ def prefix_edges(docs: DataFrame, counts: np.ndarray, bins: int, words: int, per
                 seen.add(key)
                 length = prefix_length(len(tokens), percent)
                 rank = counts[(tokens >> shift).astype(np.int64)]
-                rarest = tokens[np.lexsort((tokens, rank))[:length]]
-                held.append(np.column_stack([rarest, np.full(length, key, np.int64).view(np.uint64)]))
+                own = np.empty(length, ENTRY)
+                own["token"] = tokens[np.lexsort((tokens, rank))[:length]].view(np.int64)
+                own["key"], own["n"] = key, len(tokens)
+                held.append(own)
                 load += length
-            if load > STRETCH_PAIRS:
-                yield close()
-                held, load = [], 0
+                if load > STRETCH_PAIRS:
+                    yield close()
+                    held, load = [], 0
         if held:
             yield close()
 
-    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Bins arrive whole, one after the other."""
-        def rows(edges: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["a", "b"])
+        def rows(parts: list[bytes]) -> pa.RecordBatch:
+            found, hub = sharing(np.frombuffer(b"".join(parts), ENTRY))
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (found["token"], found["key"], found["n"], hub["key"], hub["n"])],
+                                              ["token", "key", "n", "hub", "hub_n"])
 
         current, parts = None, []
         for batch in batches:
-            for number, pairs, edges in zip(*[c.to_pylist() for c in batch.columns]):
+            for number, entries in zip(*[c.to_pylist() for c in batch.columns]):
                 if number != current and parts:
-                    yield rows(tied_to_least(np.frombuffer(b"".join(parts), np.uint64).reshape(-1, 2))[1])
+                    yield rows(parts)
                     parts = []
                 current = number
-                parts.append(pairs)
-                if edges:
-                    yield rows(np.frombuffer(edges, np.int64).reshape(-1, 2))
+                parts.append(entries)
         if parts:
-            yield rows(tied_to_least(np.frombuffer(b"".join(parts), np.uint64).reshape(-1, 2))[1])
+            yield rows(parts)
 
-    return (docs.select("text").mapInArrow(cut, "bin int, pairs binary, edges binary")
+    return (docs.select("text").mapInArrow(cut, "bin int, entries binary")
             .repartition("bin").sortWithinPartitions("bin")
-            .mapInArrow(tie, "a long, b long").distinct())
+            .mapInArrow(gather, "token long, key long, n int, hub long, hub_n int"))
+
+
+def still_apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """Entries of ``shared`` whose token is met in several components (node,
+    component), with their ``component`` and how many classes share the token."""
+    placed = (shared.join(joined.withColumnRenamed("node", "key"), "key", "left")
+              .withColumn("component", F.coalesce("component", "key")))
+    spread = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("total"))
+              .filter("low < high AND total > 2").select("token", "total"))
+    return placed.join(spread, "token")
+
+
+def pairs_apart(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes of different components that share a token, the smaller
+    one first; pairs with a token's hub were met before."""
+    rest = entries.filter("key <> hub").select("token", "key", "n", "component")
+    other = rest.select("token", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("component").alias("component2"))
+    return (rest.withColumnRenamed("key", "a").join(other, "token")
+            .filter(f"component <> component2 AND (n < n2 OR n = n2 AND a < b) AND 100 * n >= {percent} * n2").select("a", "b").distinct())
+
+
+# ---- pairs on whole sets
+
+def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are linked."""
+    both = np.concatenate([a, b])
+    both.sort()
+    return int((both[1:] == both[:-1]).sum()) >= least_overlap(len(a), len(b), percent)
+
+
+def pair_links(pairs: DataFrame, keyed: DataFrame, marked: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) of class keys that are linked. The texts of all ``b`` of
+    an ``a`` stream behind its own; of an ``a`` with very many, in several slices."""
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MET_AT_ONCE).alias("slices"))
+    dealt = pairs.join(counts, "a").select("a", "b", F.expr("cast(pmod(xxhash64(b), slices) AS int)").alias("slice"))
+    rows = dealt.unionByName(dealt.select("a", F.col("a").alias("b"), "slice").distinct())
+    wanted = written(rows.join(keyed.select(F.col("node").alias("b"), "class", "mark"), "b"), "pairs-to-check")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            found = [[], []]
+            for a, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if a == b:
+                    if a != hub:
+                        hub, own = a, shingle_set(text.as_py(), words)
+                elif a == hub and linked(own, shingle_set(text.as_py(), words), percent):
+                    found[0].append(a), found[1].append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["a", "b"])
+
+    return (marked.join(wanted, ["class", "mark"]).repartition("a", "slice")
+            .sortWithinPartitions("a", "slice", F.col("a") != F.col("b")).select("a", "b", "text").mapInArrow(run, "a long, b long"))
 
 
 # ---- signature trees
@@ -192,7 +249,7 @@ class SignatureTree:
     """Sets in leaves of ``LEAF``, as many nodes to a node; ``bits`` are OR-combined bitmaps,
     ``low``/``high`` the sizes and ``few`` the least number of bits of a member."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT, width: int = SIGNATURE_BYTES):
+    def __init__(self, sets: list[np.ndarray], percent: int = PERCENT, width: int = SIGNATURE_BYTES, joined: list[int] | None = None):
         order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), len(sets[i])))
         self.members, self.sets, self.percent = order, [sets[i] for i in order], percent
         bits = np.zeros((len(sets), width * 8), bool)
@@ -201,6 +258,9 @@ class SignatureTree:
         self.bits = np.packbits(bits, axis=1).view(np.uint64)
         self.size = np.array([len(s) for s in self.sets])
         self.root = np.arange(len(sets))
+        if joined:  # which of them are connected already
+            _, first, place = np.unique([joined[i] for i in order], return_index=True, return_inverse=True)
+            self.root = first[place]
         few = np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
         self.few = few
         self.levels = []
@@ -250,15 +310,10 @@ class SignatureTree:
         able = most >= least_overlap(size_a, size_b, self.percent)
         for x, y in zip(*np.nonzero(able)):
             x, y = x + a, y + b
-            if x < y and self.root[x] != self.root[y] and self._linked(self.sets[x], self.sets[y]):
+            if x < y and self.root[x] != self.root[y] and linked(self.sets[x], self.sets[y], self.percent):
                 links.append((int(x), int(y)))
                 self.root[self.root == self.root[y]] = self.root[x]
 
-    def _linked(self, a: np.ndarray, b: np.ndarray) -> bool:
-        both = np.concatenate([a, b])
-        both.sort()
-        return int((both[1:] == both[:-1]).sum()) >= least_overlap(len(a), len(b), self.percent)
-
 
 def cluster_parts(classes: DataFrame, part: int, percent: int = PERCENT) -> DataFrame:
     """Add ``part``: clusters above ``part`` classes are cut along their sizes,
@@ -278,20 +333,19 @@ def cluster_parts(classes: DataFrame, part: int, percent: int = PERCENT) -> Data
 
 
 def cluster_links(members: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links between class ids, from one tree per (cluster, part)."""
+    """(a, b): links between class keys, from one tree per (cluster, part)."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("class").reset_index(drop=True)
+        rows = rows.drop_duplicates("node").sort_values("node")
         sets = [shingle_set(t, words) for t in rows["text"]]
-        keep = [i for i, (s, d) in enumerate(zip(sets, rows["digest"])) if digest(s) == bytes(d)]
-        links = SignatureTree([sets[i] for i in keep], percent).joined() if len(keep) > 1 else []
-        ids = rows["class"].to_numpy()
-        return pd.DataFrame({"a": [int(ids[keep[x]]) for x, _ in links], "b": [int(ids[keep[y]]) for _, y in links]}, dtype="int64")
+        links = SignatureTree(sets, percent, joined=rows["joined"].tolist()).joined() if len(sets) > 1 else []
+        ids = rows["node"].to_numpy()
+        return pd.DataFrame({"a": [int(ids[x]) for x, _ in links], "b": [int(ids[y]) for _, y in links]}, dtype="int64")
 
     return members.groupBy("cluster", "part").applyInPandas(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent: int = PERCENT,
-                       part: int = CLUSTER_PART) -> DataFrame:
+                       part: int = CLUSTER_PART, few: int = FEW) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document.
 
     Two documents link when ``100 * |A n B| >= percent * |A u B|`` over their sets
@@ -305,18 +359,33 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = written(described_sets(bare, words), "shingle-sets")
     counts = sketch_of(described)
-    rows = described.filter("slots IS NULL").select("doc_id", "n", "digest")
-    classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("class"), F.first("n").alias("n")),
+    rows = described.filter("slots IS NULL").select("doc_id", "n", "digest", "mark")
+    least = F.min(F.struct("doc_id", "mark"))
+    classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(least.alias("least"), F.first("n").alias("n"))
+                      .select("digest", F.col("least.doc_id").alias("class"), F.col("least.mark").alias("mark"), "n",
+                              F.expr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) AS long)").alias("node")),
                       "shingle-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
     bins = 1 << max(4, (int(tokens) // BIN_TOKENS).bit_length())
-    near = components(prefix_edges(bare, counts, bins, words, percent), "candidate-clusters")
-
-    keyed = classes.withColumn("node", F.expr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) AS long)"))
-    inside = keyed.join(near, "node").select("class", "n", "digest", F.col("component").alias("cluster"))
-    placed = cluster_parts(inside, part, percent)
-    members = placed.join(bare.withColumnRenamed("doc_id", "class"), "class")
-    links = components(cluster_links(members, words, percent), "links")
+    shared = written(shared_prefixes(bare, counts, bins, words, percent), "shared-prefixes")
+    marked = bare.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("class"), F.xxhash64("text").alias("mark"), "text")
+
+    near = shared.filter(f"key <> hub AND 100 * hub_n >= {percent} * n").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    near = written(near, "hub-pairs")
+    links = written(pair_links(near, classes, marked, words, percent), "hub-links")
+    apart = written(still_apart(shared, components(links, "hub-components")), "still-apart")
+
+    pairs = written(pairs_apart(apart.filter(F.col("total") <= few), percent).join(near, ["a", "b"], "left_anti"), "pairs-apart")
+    links = links.unionByName(pair_links(pairs, classes, marked, words, percent))
+
+    many = apart.filter(F.col("total") > few)
+    clusters = components(many.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")), "candidate-clusters")
+    inside = (many.groupBy(F.col("key").alias("node")).agg(F.first("component").alias("joined"))
+              .join(clusters.withColumnRenamed("component", "cluster"), "node").join(classes.select("node", "class", "mark", "n"), "node"))
+    members = written(cluster_parts(inside, part, percent), "cluster-members").join(marked, ["class", "mark"])
+    links = links.unionByName(cluster_links(members, words, percent))
+    named = [classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab"]
+    links = components(links.join(named[0], "a").join(named[1], "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "links")
 
     own = classes.join(links.withColumnRenamed("node", "class"), "class", "left").select(
         "digest", F.coalesce("component", "class").alias("component"))
