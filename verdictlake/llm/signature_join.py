@@ -35,7 +35,7 @@ SIGNATURE_BYTES = 1024
 LEAF = 32
 STRETCH_PAIRS = 400_000
 STRETCH_SLOTS = 1 << 16
-FEW = 64
+FEW = 256
 MET_AT_ONCE = 256
 
 SETS = "doc_id long, n int, digest binary, mark long, slots int, counts binary"
