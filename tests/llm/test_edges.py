@@ -181,6 +181,38 @@ def test_classes_that_only_chain_are_not_gathered(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows) and gathered == [0]
 
 
+def test_bitmaps_rule_no_link_out():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5, 63, 64, 65, 300, 1000, 5000):
+        for share in (0.0, 0.02, 0.1, 0.2, 0.5, 1.0):
+            one = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            other = np.unique(np.append(one[rng.random(n) >= share], rng.integers(0, 1 << 63, int(n * share), dtype=np.uint64)))
+            one = np.unique(one)
+            apart = len(np.setxor1d(one, other))
+            for found in (signature_join.least_difference(signature_join.parity(one), signature_join.parity(other)),
+                          signature_join.least_difference(signature_join.parity(other), signature_join.parity(one))):
+                assert found <= apart and (share < 0.5 or n < 5 or found > 0)
+
+
+def test_texts_move_only_for_likely_pairs(spark, monkeypatch):
+    """op5: texts that share one shingle with others are not moved to be compared;
+    near copies are, once each, and texts that share a slot with them by chance are not kept."""
+    own, looked = signature_join.texts_of, []
+
+    def texts_of(nodes, classes, marked):
+        found = own(nodes, classes, marked, bits=16)
+        looked.append(sorted(r.text for r in found.collect()))
+        return found
+
+    monkeypatch.setattr(signature_join, "texts_of", texts_of)
+    chain = [(i, " ".join(f"{k}" for k in range(40 * i, 40 * i + 60))) for i in range(100)]
+    near = [(1000 + i, " ".join(f"n{k}" for k in range(60)) + f" end{i}") for i in range(5)]
+    rows = chain + near
+    got = signature_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
+    assert looked == [sorted(t for _, t in near)]
+
+
 def test_signature_tree_finds_all_links():
     rng = np.random.default_rng(1)
     base = [rng.choice(5000, rng.integers(5, 80), replace=False) for _ in range(30)]

@@ -7,8 +7,10 @@ are compared in pairs, where few share the shingle. Where many do, they make
 clusters; inside a cluster a tree over token bitmaps is traversed against
 itself: nodes hold the OR of their members' bitmaps and their size range, and a
 pair of nodes is dropped when the largest overlap possible is too small. Pairs
+outside trees are held against each other as parity bitmaps first. Pairs
 that stay are checked on the whole sets. Only links between different sets are
-looked for, and none is when both sides are connected already.
+looked for, and none is when both sides are connected already. Texts move once,
+and only those that a check can ask for.
 """
 
 from __future__ import annotations
@@ -38,7 +40,10 @@ STRETCH_SLOTS = 1 << 16
 FEW = 256
 MET_AT_ONCE = 256
 
-SETS = "doc_id long, n int, digest binary, mark long, slots int, counts binary"
+WANTED_BITS = 24
+WANTED_STRETCH = 16
+
+SETS = "doc_id long, n int, digest binary, mark long, parity binary, slots int, counts binary"
 ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("n", "<i4")])
 
 
@@ -53,27 +58,62 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+# ---- parity bitmaps
+
+def parity(tokens: np.ndarray) -> bytes:
+    """A bitmap of about as many bits as the set has tokens: which slots hold an
+    odd number of them."""
+    width = 1 << max(6, (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(one: bytes, other: bytes) -> int:
+    """Two sets differ in at least as many tokens as their bitmaps, the wider one
+    folded, differ in bits."""
+    if len(one) < len(other):
+        one, other = other, one
+    a, b, bits = int.from_bytes(one, "little"), int.from_bytes(other, "little"), 4 * len(one)
+    while bits >= 8 * len(other):
+        a = (a >> bits) ^ (a & ((1 << bits) - 1))
+        bits //= 2
+    return (a ^ b).bit_count()
+
+
+def likely_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of class keys whose bitmaps do not rule a link out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [least_difference(one, other) <= n + n2 - 2 * least_overlap(n, n2, percent)
+                    for n, n2, one, other in zip(*[c.to_pylist() for c in batch.columns[2:]])]
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    own = classes.select(F.col("node").alias("a"), "n", F.col("parity").alias("one"))
+    other = classes.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("parity").alias("other"))
+    return pairs.join(own, "a").join(other, "b").select("a", "b", "n", "n2", "one", "other").mapInArrow(run, "a long, b long")
+
+
 # ---- sets and the sketch of token frequencies
 
 def described_sets(docs: DataFrame, words: int, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """A row per document (n, digest of its set, mark of its text) and, from each task, rows (slots,
+    """A row per document (n, digest and parity of its set, mark of its text) and, from each task, rows (slots,
     counts): for a stretch of slots, packed, how often its sets hold a token whose
     hash falls into each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(1 << sketch_bits, np.int64), ["doc_id", "n", "digest", "mark", "slots", "counts"]
+        counts, names = np.zeros(1 << sketch_bits, np.int64), ["doc_id", "n", "digest", "mark", "parity", "slots", "counts"]
         for batch in batches:
-            sizes, digests = [], []
+            sizes, digests, bitmaps = [], [], []
             for text in batch.column(1):
                 tokens = shingle_set(text.as_py(), words)
                 np.add.at(counts, (tokens >> np.uint64(64 - sketch_bits)).astype(np.int64), 1)
-                sizes.append(len(tokens)), digests.append(digest(tokens))
+                sizes.append(len(tokens)), digests.append(digest(tokens)), bitmaps.append(parity(tokens))
             gap = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-                                              batch.column(2), gap, pa.nulls(len(sizes), pa.binary())], names)
+                                              batch.column(2), pa.array(bitmaps, pa.binary()), gap, pa.nulls(len(sizes), pa.binary())], names)
         for first in range(0, len(counts), STRETCH_SLOTS):
             own = counts[first:first + STRETCH_SLOTS]
             if own.any():
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.array([first], pa.int32()),
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([first], pa.int32()),
                                                   pa.array([zlib.compress(own.astype("<i8").tobytes(), 1)], pa.binary())], names)
 
     return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(run, SETS)
@@ -108,22 +148,23 @@ def class_key(found: bytes) -> int:
     return int.from_bytes(found[:8], "big", signed=True)
 
 
-def sharing(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sharing(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of ``ENTRY`` rows, once each, those whose token others have too, and for
-    each the smallest class with the token (by size, then key)."""
+    each the smallest class with the token (by size, then key) and how many have it."""
     found = found[np.lexsort((found["key"], found["n"], found["token"]))]
     again = (found["token"][1:] == found["token"][:-1]) & (found["key"][1:] == found["key"][:-1])
     found = found[np.append(True, ~again)]
     first = np.flatnonzero(np.append(True, found["token"][1:] != found["token"][:-1]))
     sizes = np.diff(np.append(first, len(found)))
     hub = np.repeat(first, sizes)
-    kept = np.repeat(sizes, sizes) > 1
-    return found[kept], found[hub][kept]
+    totals = np.repeat(sizes, sizes)
+    kept = totals > 1
+    return found[kept], found[hub][kept], totals[kept].astype(np.int64)
 
 
 def shared_prefixes(docs: DataFrame, counts: np.ndarray, bins: int, words: int, percent: int) -> DataFrame:
-    """(token, key, n, hub, hub_n): the classes that share a token of their prefixes
-    with others, and the smallest of them.
+    """(token, key, n, hub, hub_n, total): the classes that share a token of their
+    prefixes with others, the smallest of them, and how many they are.
 
     Tokens travel packed, in one binary row per bin of token hashes and stretch
     of input; those that one class alone has go no further.
@@ -171,9 +212,9 @@ def shared_prefixes(docs: DataFrame, counts: np.ndarray, bins: int, words: int,
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Bins arrive whole, one after the other."""
         def rows(parts: list[bytes]) -> pa.RecordBatch:
-            found, hub = sharing(np.frombuffer(b"".join(parts), ENTRY))
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (found["token"], found["key"], found["n"], hub["key"], hub["n"])],
-                                              ["token", "key", "n", "hub", "hub_n"])
+            found, hub, total = sharing(np.frombuffer(b"".join(parts), ENTRY))
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in (found["token"], found["key"], found["n"], hub["key"], hub["n"], total)],
+                                              ["token", "key", "n", "hub", "hub_n", "total"])
 
         current, parts = None, []
         for batch in batches:
@@ -188,16 +229,17 @@ def shared_prefixes(docs: DataFrame, counts: np.ndarray, bins: int, words: int,
 
     return (docs.select("text").mapInArrow(cut, "bin int, entries binary")
             .repartition("bin").sortWithinPartitions("bin")
-            .mapInArrow(gather, "token long, key long, n int, hub long, hub_n int"))
+            .mapInArrow(gather, "token long, key long, n int, hub long, hub_n int, total long"))
 
 
 def still_apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
     """Entries of ``shared`` whose token is met in several components (node,
-    component), with their ``component`` and how many classes share the token."""
-    placed = (shared.join(joined.withColumnRenamed("node", "key"), "key", "left")
+    component), with their ``component``. Of two classes that share a token one is
+    its hub, so their entries stay behind."""
+    placed = (shared.filter("total > 2").drop("hub_n").join(joined.withColumnRenamed("node", "key"), "key", "left")
               .withColumn("component", F.coalesce("component", "key")))
-    spread = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("total"))
-              .filter("low < high AND total > 2").select("token", "total"))
+    spread = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+              .filter("low < high").select("token"))
     return placed.join(spread, "token")
 
 
@@ -210,6 +252,46 @@ def pairs_apart(entries: DataFrame, percent: int) -> DataFrame:
             .filter(f"component <> component2 AND (n < n2 OR n = n2 AND a < b) AND 100 * n >= {percent} * n2").select("a", "b").distinct())
 
 
+# ---- texts that are asked for
+
+def wanted_slots(wanted: DataFrame, bits: int = WANTED_BITS) -> np.ndarray:
+    """A bitmap of 2**bits slots, packed, whatever the size of the corpus: those
+    into which rows of ``wanted`` (slot) fall."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            stretches, places = (c.to_numpy() for c in batch.columns)
+            for stretch in np.unique(stretches).tolist():
+                held.setdefault(stretch, np.zeros(1 << WANTED_STRETCH, bool))[places[stretches == stretch]] = True
+        for stretch, own in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([stretch], pa.int64()), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], ["stretch", "packed"])
+
+    size = 1 << (WANTED_STRETCH - 3)
+    out = np.zeros(max(size, 1 << (bits - 3)), np.uint8)
+    parts = wanted.select(F.shiftright("slot", WANTED_STRETCH).alias("stretch"), F.col("slot").bitwiseAND((1 << WANTED_STRETCH) - 1).alias("place"))
+    for r in parts.repartition("stretch").mapInArrow(pack, "stretch long, packed binary").collect():
+        out[r.stretch * size:(r.stretch + 1) * size] |= np.frombuffer(r.packed, np.uint8)
+    return out
+
+
+def texts_of(nodes: DataFrame, classes: DataFrame, marked: DataFrame, bits: int = WANTED_BITS) -> DataFrame:
+    """(node, text) of the class keys ``nodes``. Texts that fall into no slot of a
+    wanted one stay where they lie; the join drops those that share one by chance."""
+    def slotted(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("slot", F.shiftrightunsigned(F.xxhash64("class", "mark"), 64 - bits))
+
+    wanted = written(slotted(nodes.distinct().join(classes.select("node", "class", "mark"), "node")), "classes-to-check")
+    used = wanted_slots(wanted, bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            yield batch.select(["class", "mark", "text"]).filter(pa.array((used[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
+
+    found = slotted(marked).mapInArrow(run, "class long, mark long, text string")
+    return written(found.join(wanted.drop("slot"), ["class", "mark"]).select("node", "text"), "texts-to-check")
+
+
 # ---- pairs on whole sets
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -219,13 +301,12 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return int((both[1:] == both[:-1]).sum()) >= least_overlap(len(a), len(b), percent)
 
 
-def pair_links(pairs: DataFrame, keyed: DataFrame, marked: DataFrame, words: int, percent: int) -> DataFrame:
+def pair_links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Those pairs (a, b) of class keys that are linked. The texts of all ``b`` of
     an ``a`` stream behind its own; of an ``a`` with very many, in several slices."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / MET_AT_ONCE).alias("slices"))
     dealt = pairs.join(counts, "a").select("a", "b", F.expr("cast(pmod(xxhash64(b), slices) AS int)").alias("slice"))
     rows = dealt.unionByName(dealt.select("a", F.col("a").alias("b"), "slice").distinct())
-    wanted = written(rows.join(keyed.select(F.col("node").alias("b"), "class", "mark"), "b"), "pairs-to-check")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.zeros(0, np.uint64)
@@ -239,7 +320,7 @@ def pair_links(pairs: DataFrame, keyed: DataFrame, marked: DataFrame, words: int
                     found[0].append(a), found[1].append(b)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["a", "b"])
 
-    return (marked.join(wanted, ["class", "mark"]).repartition("a", "slice")
+    return (rows.join(texts.select(F.col("node").alias("b"), "text"), "b").repartition("a", "slice")
             .sortWithinPartitions("a", "slice", F.col("a") != F.col("b")).select("a", "b", "text").mapInArrow(run, "a long, b long"))
 
 
@@ -359,10 +440,10 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     described = written(described_sets(bare, words), "shingle-sets")
     counts = sketch_of(described)
-    rows = described.filter("slots IS NULL").select("doc_id", "n", "digest", "mark")
+    rows = described.filter("slots IS NULL").select("doc_id", "n", "digest", "mark", "parity")
     least = F.min(F.struct("doc_id", "mark"))
-    classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(least.alias("least"), F.first("n").alias("n"))
-                      .select("digest", F.col("least.doc_id").alias("class"), F.col("least.mark").alias("mark"), "n",
+    classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(least.alias("least"), F.first("n").alias("n"), F.first("parity").alias("parity"))
+                      .select("digest", F.col("least.doc_id").alias("class"), F.col("least.mark").alias("mark"), "n", "parity",
                               F.expr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) AS long)").alias("node")),
                       "shingle-classes")
     tokens = classes.agg(F.sum("n")).first()[0] or 0
@@ -372,22 +453,33 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
 
     near = shared.filter(f"key <> hub AND 100 * hub_n >= {percent} * n").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
     near = written(near, "hub-pairs")
-    links = written(pair_links(near, classes, marked, words, percent), "hub-links")
+    likely = written(likely_pairs(near, classes, percent), "likely-hub-pairs")
+
+    # All that checks can ask for: classes of likely pairs, and, as if those were
+    # linked, of pairs and trees across what is then still apart. Components of the
+    # real links are parts of these, so what they leave apart is among the same.
+    open_ = written(still_apart(shared, components(likely, "likely-components")), "likely-apart")
+    across = likely_pairs(pairs_apart(open_.filter(F.col("total") <= few), percent), classes, percent)
+    ends = likely.unionByName(across).select(F.explode(F.array("a", "b")).alias("node"))
+    texts = texts_of(ends.unionByName(open_.filter(F.col("total") > few).select(F.col("key").alias("node"))), classes, marked)
+
+    links = written(pair_links(likely, texts, words, percent), "hub-links")
     apart = written(still_apart(shared, components(links, "hub-components")), "still-apart")
 
-    pairs = written(pairs_apart(apart.filter(F.col("total") <= few), percent).join(near, ["a", "b"], "left_anti"), "pairs-apart")
-    links = links.unionByName(pair_links(pairs, classes, marked, words, percent))
+    pairs = pairs_apart(apart.filter(F.col("total") <= few), percent).join(near, ["a", "b"], "left_anti")
+    pairs = written(likely_pairs(pairs, classes, percent), "pairs-apart")
+    links = links.unionByName(pair_links(pairs, texts, words, percent))
 
     many = apart.filter(F.col("total") > few)
     clusters = components(many.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")), "candidate-clusters")
     inside = (many.groupBy(F.col("key").alias("node")).agg(F.first("component").alias("joined"))
-              .join(clusters.withColumnRenamed("component", "cluster"), "node").join(classes.select("node", "class", "mark", "n"), "node"))
-    members = written(cluster_parts(inside, part, percent), "cluster-members").join(marked, ["class", "mark"])
+              .join(clusters.withColumnRenamed("component", "cluster"), "node").join(classes.select("node", "class", "n"), "node"))
+    members = written(cluster_parts(inside, part, percent), "cluster-members").join(texts, "node")
     links = links.unionByName(cluster_links(members, words, percent))
     named = [classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab"]
     links = components(links.join(named[0], "a").join(named[1], "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "links")
 
-    own = classes.join(links.withColumnRenamed("node", "class"), "class", "left").select(
+    own = classes.select("digest", "class").join(links.withColumnRenamed("node", "class"), "class", "left").select(
         "digest", F.coalesce("component", "class").alias("component"))
     return rows.join(own, "digest", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
