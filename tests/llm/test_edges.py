@@ -213,6 +213,48 @@ def test_texts_move_only_for_likely_pairs(spark, monkeypatch):
     assert looked == [sorted(t for _, t in near)]
 
 
+def test_texts_are_chosen_in_the_jvm(spark, monkeypatch):
+    """Pipeline, round 3: choosing the texts that checks ask for sends none through
+    Python and shuffles none that is not asked for; few slots give the same texts."""
+    plans, own = {}, signature_join.written
+
+    def written(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return own(df, purpose)
+
+    monkeypatch.setattr(signature_join, "written", written)
+    rows = [(i, i % 7, f"text {i}") for i in range(300)] + [(5, 5, "text 5"), (400, 1, None)]
+    marked = spark.createDataFrame(rows, "class long, mark long, text string").repartition(4)
+    classes = marked.distinct().select((F.col("class") + 1000).alias("node"), "class", "mark")
+    nodes = spark.createDataFrame([(n,) for n in (1003, 1005, 1005, 1400)], "node long")
+    for bits in (24, 16, 7, 6, 1):
+        got = signature_join.texts_of(nodes, classes, marked, bits=bits)
+        assert sorted((r.node, r.text or "") for r in got.collect()) == [(1003, "text 3"), (1005, "text 5"), (1005, "text 5"), (1400, "")]
+        plan = plans["texts-to-check"]
+        assert "LeftSemi" in plan and not re.search("Python|Pandas|MapInArrow", plan)
+    assert not signature_join.texts_of(nodes.limit(0), classes, marked).count()
+
+
+def test_texts_meet_python_in_small_batches(spark, monkeypatch):
+    """Pipeline, round 3: batches are bounded in bytes, not only in rows, while the
+    steps of op5 are written, and the session's setting is as before afterwards."""
+    name, own, largest = "spark.sql.execution.arrow.maxBytesPerBatch", signature_join.described_sets, []
+
+    def described_sets(docs, words):
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+        largest.append(max(r.size for r in docs.mapInArrow(sizes, "size long").collect()))
+        return own(docs, words)
+
+    monkeypatch.setattr(signature_join, "described_sets", described_sets)
+    before = spark.conf.get(name)
+    rows = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("same "), 1200), F.col("id").cast("string")).alias("text"))
+    assert signature_join.jaccard_components(rows).filter("n_shingles = 2 AND component_id = doc_id").count() == 3000
+    assert 0 < largest[0] < 2 * signature_join.BATCH_BYTES and spark.conf.get(name) == before
+
+
 def test_signature_tree_finds_all_links():
     rng = np.random.default_rng(1)
     base = [rng.choice(5000, rng.integers(5, 80), replace=False) for _ in range(30)]

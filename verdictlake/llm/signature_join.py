@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import boxed, table, unboxed, written
+from verdictlake.llm.common import arrow_batches, boxed, table, unboxed, written
 from verdictlake.llm.components import components
 from verdictlake.llm.shingles import SHINGLE_WORDS, digest, mixed, shingle_set
 from verdictlake.operators.ordered import number_block, positions
@@ -41,7 +41,7 @@ FEW = 256
 MET_AT_ONCE = 256
 
 WANTED_BITS = 24
-WANTED_STRETCH = 16
+BATCH_BYTES = 4 << 20
 
 SETS = "doc_id long, n int, digest binary, mark long, parity binary, slots int, counts binary"
 ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("n", "<i4")])
@@ -178,12 +178,15 @@ def shared_prefixes(docs: DataFrame, counts: np.ndarray, bins: int, words: int,
         load = 0
 
         def close() -> pa.RecordBatch:
+            """Entries are sorted by bin once; the rows are slices of that buffer."""
             found = np.concatenate(held)
+            held.clear()
             place = (mixed(found["token"].view(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
             order = np.argsort(place, kind="stable")
             used, starts = np.unique(place[order], return_index=True)
-            packed = [p.tobytes() for p in np.split(found[order], starts[1:])]
-            return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())], ["bin", "entries"])
+            ends = (np.append(starts, len(found)) * ENTRY.itemsize).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(ends), pa.py_buffer(found[order].view(np.uint8))])
+            return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), packed], ["bin", "entries"])
 
         for batch in batches:
             for text in batch.column(0):
@@ -205,7 +208,7 @@ def shared_prefixes(docs: DataFrame, counts: np.ndarray, bins: int, words: int,
                 load += length
                 if load > STRETCH_PAIRS:
                     yield close()
-                    held, load = [], 0
+                    load = 0
         if held:
             yield close()
 
@@ -254,41 +257,22 @@ def pairs_apart(entries: DataFrame, percent: int) -> DataFrame:
 
 # ---- texts that are asked for
 
-def wanted_slots(wanted: DataFrame, bits: int = WANTED_BITS) -> np.ndarray:
-    """A bitmap of 2**bits slots, packed, whatever the size of the corpus: those
-    into which rows of ``wanted`` (slot) fall."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            stretches, places = (c.to_numpy() for c in batch.columns)
-            for stretch in np.unique(stretches).tolist():
-                held.setdefault(stretch, np.zeros(1 << WANTED_STRETCH, bool))[places[stretches == stretch]] = True
-        for stretch, own in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([stretch], pa.int64()), pa.array([np.packbits(own, bitorder="little").tobytes()], pa.binary())], ["stretch", "packed"])
-
-    size = 1 << (WANTED_STRETCH - 3)
-    out = np.zeros(max(size, 1 << (bits - 3)), np.uint8)
-    parts = wanted.select(F.shiftright("slot", WANTED_STRETCH).alias("stretch"), F.col("slot").bitwiseAND((1 << WANTED_STRETCH) - 1).alias("place"))
-    for r in parts.repartition("stretch").mapInArrow(pack, "stretch long, packed binary").collect():
-        out[r.stretch * size:(r.stretch + 1) * size] |= np.frombuffer(r.packed, np.uint8)
-    return out
+def wanted_slots(wanted: DataFrame) -> DataFrame:
+    """(word, bits): into which slots rows of ``wanted`` (slot) fall, 64 slots to a
+    word; at most one row per 64 slots, whatever the size of the corpus."""
+    return wanted.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits"))
 
 
 def texts_of(nodes: DataFrame, classes: DataFrame, marked: DataFrame, bits: int = WANTED_BITS) -> DataFrame:
     """(node, text) of the class keys ``nodes``. Texts that fall into no slot of a
-    wanted one stay where they lie; the join drops those that share one by chance."""
+    wanted one stay where they lie; the join drops those that share one by chance.
+    The slots go to every task, so that no text moves, nor leaves the JVM, to meet them."""
     def slotted(rows: DataFrame) -> DataFrame:
         return rows.withColumn("slot", F.shiftrightunsigned(F.xxhash64("class", "mark"), 64 - bits))
 
     wanted = written(slotted(nodes.distinct().join(classes.select("node", "class", "mark"), "node")), "classes-to-check")
-    used = wanted_slots(wanted, bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = batch.column("slot").to_numpy()
-            yield batch.select(["class", "mark", "text"]).filter(pa.array((used[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1))
-
-    found = slotted(marked).mapInArrow(run, "class long, mark long, text string")
+    asked = (F.shiftright("slot", 6) == F.col("word")) & (F.getbit("bits", F.col("slot").bitwiseAND(63).cast("int")) == 1)
+    found = slotted(marked).join(F.broadcast(wanted_slots(wanted)), asked, "left_semi").select("class", "mark", "text")
     return written(found.join(wanted.drop("slot"), ["class", "mark"]).select("node", "text"), "texts-to-check")
 
 
@@ -437,53 +421,54 @@ def jaccard_components(docs: DataFrame, *, words: int = SHINGLE_WORDS, percent:
     Rows that repeat a doc_id are rows of their own and may lie in different
     components. An empty table gives no rows; other columns are not read.
     """
-    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    described = written(described_sets(bare, words), "shingle-sets")
-    counts = sketch_of(described)
-    rows = described.filter("slots IS NULL").select("doc_id", "n", "digest", "mark", "parity")
-    least = F.min(F.struct("doc_id", "mark"))
-    classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(least.alias("least"), F.first("n").alias("n"), F.first("parity").alias("parity"))
-                      .select("digest", F.col("least.doc_id").alias("class"), F.col("least.mark").alias("mark"), "n", "parity",
-                              F.expr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) AS long)").alias("node")),
-                      "shingle-classes")
-    tokens = classes.agg(F.sum("n")).first()[0] or 0
-    bins = 1 << max(4, (int(tokens) // BIN_TOKENS).bit_length())
-    shared = written(shared_prefixes(bare, counts, bins, words, percent), "shared-prefixes")
-    marked = bare.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("class"), F.xxhash64("text").alias("mark"), "text")
-
-    near = shared.filter(f"key <> hub AND 100 * hub_n >= {percent} * n").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
-    near = written(near, "hub-pairs")
-    likely = written(likely_pairs(near, classes, percent), "likely-hub-pairs")
-
-    # All that checks can ask for: classes of likely pairs, and, as if those were
-    # linked, of pairs and trees across what is then still apart. Components of the
-    # real links are parts of these, so what they leave apart is among the same.
-    open_ = written(still_apart(shared, components(likely, "likely-components")), "likely-apart")
-    across = likely_pairs(pairs_apart(open_.filter(F.col("total") <= few), percent), classes, percent)
-    ends = likely.unionByName(across).select(F.explode(F.array("a", "b")).alias("node"))
-    texts = texts_of(ends.unionByName(open_.filter(F.col("total") > few).select(F.col("key").alias("node"))), classes, marked)
-
-    links = written(pair_links(likely, texts, words, percent), "hub-links")
-    apart = written(still_apart(shared, components(links, "hub-components")), "still-apart")
-
-    pairs = pairs_apart(apart.filter(F.col("total") <= few), percent).join(near, ["a", "b"], "left_anti")
-    pairs = written(likely_pairs(pairs, classes, percent), "pairs-apart")
-    links = links.unionByName(pair_links(pairs, texts, words, percent))
-
-    many = apart.filter(F.col("total") > few)
-    clusters = components(many.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")), "candidate-clusters")
-    inside = (many.groupBy(F.col("key").alias("node")).agg(F.first("component").alias("joined"))
-              .join(clusters.withColumnRenamed("component", "cluster"), "node").join(classes.select("node", "class", "n"), "node"))
-    members = written(cluster_parts(inside, part, percent), "cluster-members").join(texts, "node")
-    links = links.unionByName(cluster_links(members, words, percent))
-    named = [classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab"]
-    links = components(links.join(named[0], "a").join(named[1], "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "links")
-
-    own = classes.select("digest", "class").join(links.withColumnRenamed("node", "class"), "class", "left").select(
-        "digest", F.coalesce("component", "class").alias("component"))
-    return rows.join(own, "digest", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        described = written(described_sets(bare, words), "shingle-sets")
+        counts = sketch_of(described)
+        rows = described.filter("slots IS NULL").select("doc_id", "n", "digest", "mark", "parity")
+        least = F.min(F.struct("doc_id", "mark"))
+        classes = written(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(least.alias("least"), F.first("n").alias("n"), F.first("parity").alias("parity"))
+                          .select("digest", F.col("least.doc_id").alias("class"), F.col("least.mark").alias("mark"), "n", "parity",
+                                  F.expr("cast(conv(hex(substring(digest, 1, 8)), 16, -10) AS long)").alias("node")),
+                          "shingle-classes")
+        tokens = classes.agg(F.sum("n")).first()[0] or 0
+        bins = 1 << max(4, (int(tokens) // BIN_TOKENS).bit_length())
+        shared = written(shared_prefixes(bare, counts, bins, words, percent), "shared-prefixes")
+        marked = bare.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("class"), F.xxhash64("text").alias("mark"), "text")
+
+        near = shared.filter(f"key <> hub AND 100 * hub_n >= {percent} * n").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+        near = written(near, "hub-pairs")
+        likely = written(likely_pairs(near, classes, percent), "likely-hub-pairs")
+
+        # All that checks can ask for: classes of likely pairs, and, as if those were
+        # linked, of pairs and trees across what is then still apart. Components of the
+        # real links are parts of these, so what they leave apart is among the same.
+        open_ = written(still_apart(shared, components(likely, "likely-components")), "likely-apart")
+        across = likely_pairs(pairs_apart(open_.filter(F.col("total") <= few), percent), classes, percent)
+        ends = likely.unionByName(across).select(F.explode(F.array("a", "b")).alias("node"))
+        texts = texts_of(ends.unionByName(open_.filter(F.col("total") > few).select(F.col("key").alias("node"))), classes, marked)
+
+        links = written(pair_links(likely, texts, words, percent), "hub-links")
+        apart = written(still_apart(shared, components(links, "hub-components")), "still-apart")
+
+        pairs = pairs_apart(apart.filter(F.col("total") <= few), percent).join(near, ["a", "b"], "left_anti")
+        pairs = written(likely_pairs(pairs, classes, percent), "pairs-apart")
+        links = links.unionByName(pair_links(pairs, texts, words, percent))
+
+        many = apart.filter(F.col("total") > few)
+        clusters = components(many.filter("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")), "candidate-clusters")
+        inside = (many.groupBy(F.col("key").alias("node")).agg(F.first("component").alias("joined"))
+                  .join(clusters.withColumnRenamed("component", "cluster"), "node").join(classes.select("node", "class", "n"), "node"))
+        members = written(cluster_parts(inside, part, percent), "cluster-members").join(texts, "node")
+        links = links.unionByName(cluster_links(members, words, percent))
+        named = [classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "ab"]
+        links = components(links.join(named[0], "a").join(named[1], "b").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "links")
+
+        own = classes.select("digest", "class").join(links.withColumnRenamed("node", "class"), "class", "left").select(
+            "digest", F.coalesce("component", "class").alias("component"))
+        return rows.join(own, "digest", "left").select(
+            "doc_id", F.col("n").cast("long").alias("n_shingles"),
+            F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
