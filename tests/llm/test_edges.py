@@ -235,6 +235,14 @@ def test_texts_are_chosen_in_the_jvm(spark, monkeypatch):
     assert not signature_join.texts_of(nodes.limit(0), classes, marked).count()
 
 
+def test_pieces_are_cut_where_texts_are_encoded(spark):
+    """Pipeline, round 3: a task of packing has one Python worker; a second one for
+    the pieces stayed beside it, with its memory, through the stages that follow."""
+    docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
+    plan = packing.pieces(docs, "byte_bpe_50k.json")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_texts_meet_python_in_small_batches(spark, monkeypatch):
     """Pipeline, round 3: batches are bounded in bytes, not only in rows, while the
     steps of op5 are written, and the session's setting is as before afterwards."""

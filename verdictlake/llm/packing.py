@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import table, written
+from verdictlake.llm.common import BATCH_BYTES, arrow_batches, table, written
 from verdictlake.llm.tokens import encoded, id_dtype
 
 CAPACITY = 2048
@@ -69,9 +69,11 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
         windows += 1
 
 
-def pieces(ids: DataFrame, kind: str, piece: int = PIECE, with_ids: bool = True) -> DataFrame:
-    """Cut each document's ids into pieces of ``piece`` ids and what is left;
+def pieces(docs: DataFrame, tokenizer_file: str, piece: int = PIECE, with_ids: bool = True) -> DataFrame:
+    """Encode the documents and cut each one's ids into pieces of ``piece`` ids and what is left;
     without ``with_ids`` a piece is its place, length and checksum alone."""
+    kind = id_dtype(tokenizer_file)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
@@ -87,7 +89,7 @@ def pieces(ids: DataFrame, kind: str, piece: int = PIECE, with_ids: bool = True)
             arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + ([pa.array(columns[5], pa.binary())] if with_ids else [])
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][:len(arrays)])
 
-    return ids.select("doc_id", "ids").mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
+    return encoded(docs, tokenizer_file, then=run, schema=PIECES + (", ids binary" if with_ids else ""))
 
 
 def packed(cut: DataFrame, capacity: int = CAPACITY, group_windows: int = GROUP_WINDOWS) -> DataFrame:
@@ -149,8 +151,8 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACIT
     other columns are not read, whatever their names. A window's pieces lie gapless from
     0; windows are padded to ``capacity`` by the reader.
     """
-    ids = encoded(docs, tokenizer_file)
-    return written(packed(pieces(ids, id_dtype(tokenizer_file), piece, with_ids), capacity), "packed")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return written(packed(pieces(docs, tokenizer_file, piece, with_ids), capacity), "packed")
 
 
 def op3_pack_sequences(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdictlake.llm.common import arrow_batches, boxed, table, unboxed, written
+from verdictlake.llm.common import BATCH_BYTES, arrow_batches, boxed, table, unboxed, written
 from verdictlake.llm.components import components
 from verdictlake.llm.shingles import SHINGLE_WORDS, digest, mixed, shingle_set
 from verdictlake.operators.ordered import number_block, positions
@@ -41,7 +41,6 @@ FEW = 256
 MET_AT_ONCE = 256
 
 WANTED_BITS = 24
-BATCH_BYTES = 4 << 20
 
 SETS = "doc_id long, n int, digest binary, mark long, parity binary, slots int, counts binary"
 ENTRY = np.dtype([("token", "<i8"), ("key", "<i8"), ("n", "<i4")])

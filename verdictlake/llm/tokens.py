@@ -227,9 +227,10 @@ def worker_encoder(path: str, make: Callable[[str], Encoder] = file_encoder) ->
 
 
 def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text",
-            end: int | None = END) -> DataFrame:
+            end: int | None = END, then: Callable | None = None, schema: str = "doc_id long, ids binary") -> DataFrame:
     """(doc_id, ids): each document's ids with the ``end`` id, as little-endian
-    binary of 2 bytes an id (4 for vocabularies above 65,536).
+    binary of 2 bytes an id (4 for vocabularies above 65,536). ``then`` makes rows of
+    ``schema`` of them in the same Python worker, so a task has one, not two.
 
     A null text counts as empty and gives the end id alone. Ids of documents may
     be null or repeat; each row is encoded by itself. Other columns are not read.
@@ -242,7 +243,7 @@ def encoded(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id", text:
                 ids = [value + tail for value in encoder.encode(part.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    return docs.select(doc_id, text).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(doc_id, text).mapInArrow((lambda batches: then(run(batches))) if then else run, schema)
 
 
 def id_dtype(tokenizer_file: str) -> str:
