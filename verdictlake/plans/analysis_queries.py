@@ -173,15 +173,17 @@ def _(spark, sf):
                                       F.round("js_divergence", 9).alias("js_divergence"))
 
 
-# Signatures: the least MD5 of each of 64 bins (a hex digit and a quarter of the
-# next one); bands of the four bins that share the digit.
-DIVERSITY_SQL = r"""
+SETS_SQL = r"""
 texts AS (SELECT source AS dataset_id, lang, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS norm FROM documents),
 sets AS (SELECT *, list_sort(list_distinct(string_split(norm, ' '))) AS bag FROM texts),
 mixed AS (SELECT dataset_id, -sum(p * log2(p)) AS entropy FROM (
             SELECT dataset_id, count(*) * 1.0::DOUBLE / sum(count(*)) OVER (PARTITION BY dataset_id) AS p
             FROM sets GROUP BY dataset_id, lang) z GROUP BY dataset_id),
-classes AS (SELECT dataset_id, sha256(array_to_string(bag, ' ')) AS set_id, any_value(bag) AS bag FROM sets GROUP BY dataset_id, sha256(array_to_string(bag, ' '))),
+classes AS (SELECT dataset_id, sha256(array_to_string(bag, ' ')) AS set_id, any_value(bag) AS bag FROM sets GROUP BY dataset_id, sha256(array_to_string(bag, ' '))),"""
+
+# Signatures: the least MD5 of each of 64 bins (a hex digit and a quarter of the
+# next one); bands of the four bins that share the digit.
+BANDS_SQL = r"""
 marks AS (SELECT dataset_id, set_id, md5(w) AS m FROM (SELECT dataset_id, set_id, unnest(bag) AS w FROM classes) u),
 mins AS (SELECT dataset_id, set_id, substr(m, 1, 1) AS band, min(m) AS m FROM marks
          GROUP BY dataset_id, set_id, substr(m, 1, 1), translate(substr(m, 2, 1), '0123456789abcdef', '0000111122223333')),
@@ -191,13 +193,23 @@ met AS (SELECT DISTINCT b.dataset_id, b.set_id, f.earlier FROM bands b JOIN firs
         ON f.dataset_id = b.dataset_id AND f.band = b.band AND f.value = b.value WHERE f.earlier < b.set_id),
 alike AS (SELECT m.dataset_id, m.set_id, len(list_intersect(a.bag, b.bag)) AS n, len(a.bag) + len(b.bag) AS both_sizes
           FROM met m JOIN classes a ON a.dataset_id = m.dataset_id AND a.set_id = m.set_id
-          JOIN classes b ON b.dataset_id = m.dataset_id AND b.set_id = m.earlier),
+          JOIN classes b ON b.dataset_id = m.dataset_id AND b.set_id = m.earlier),"""
+
+# All pairs of a dataset that share a word.
+PAIRS_SQL = """
+held AS (SELECT dataset_id, set_id, len(bag) AS size, unnest(bag) AS w FROM classes),
+alike AS (SELECT a.dataset_id, a.set_id, b.set_id AS earlier, count(*) AS n, any_value(a.size) + any_value(b.size) AS both_sizes
+          FROM held a JOIN held b ON b.dataset_id = a.dataset_id AND b.w = a.w AND b.set_id < a.set_id GROUP BY a.dataset_id, a.set_id, b.set_id),"""
+
+LINKS_SQL = r"""
 linked AS (SELECT dataset_id, count(DISTINCT set_id) AS linked_sets FROM alike WHERE n * 1.0::DOUBLE / (both_sizes - n) >= 0.8::DOUBLE GROUP BY dataset_id),
 diverse AS (SELECT s.dataset_id, count(*) AS scenarios, count(DISTINCT norm) * 1.0::DOUBLE / count(*) AS distinct_share,
                    any_value(m.entropy) AS entropy,
                    (count(*) - count(DISTINCT bag) + COALESCE(any_value(l.linked_sets), 0)) * 1.0::DOUBLE / count(*) AS near
             FROM sets s JOIN mixed m ON m.dataset_id = s.dataset_id LEFT JOIN linked l ON l.dataset_id = s.dataset_id GROUP BY s.dataset_id)"""
 
+DIVERSITY_SQL = SETS_SQL + PAIRS_SQL + LINKS_SQL
+
 
 @query("validation_diversity", f"""
 WITH {DIVERSITY_SQL} SELECT dataset_id, scenarios, distinct_share, round(entropy, 9) AS family_entropy,
@@ -208,7 +220,7 @@ def _(spark, sf):
 
 
 @query("validation_verdict", f"""
-WITH {MIX_SQL}, {DIVERSITY_SQL},
+WITH {MIX_SQL}, {SETS_SQL}{BANDS_SQL}{LINKS_SQL},
 valid AS (SELECT d.source AS dataset_id, CASE WHEN count(l.quality) > 0 THEN
             count(*) FILTER (l.quality = 1) * 1.0::DOUBLE / count(l.quality) END AS validity
           FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source)
